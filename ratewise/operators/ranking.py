@@ -30,7 +30,8 @@ def user_genre_counts_sorted(user_genre_counts: DataFrame, n: int = 30) -> DataF
             .limit(n))
 
 
-TOP_ORDER = (F.col("average_rating").desc(), F.col("rating_count").desc(), F.col("movie_id").asc())
+def _top_order():
+    return (F.col("average_rating").desc(), F.col("rating_count").desc(), F.col("movie_id").asc())
 
 
 def top_n_movies(average_ratings: DataFrame, n: int = 10, min_count: int = 0) -> DataFrame:
@@ -44,7 +45,7 @@ def top_n_movies(average_ratings: DataFrame, n: int = 10, min_count: int = 0) ->
     src = average_ratings
     if min_count:
         src = src.filter(F.col("rating_count") >= min_count)
-    top = src.orderBy(*TOP_ORDER).limit(n)
-    rank = F.row_number().over(Window.orderBy(*TOP_ORDER)).cast("int")
+    top = src.orderBy(*_top_order()).limit(n)
+    rank = F.row_number().over(Window.orderBy(*_top_order())).cast("int")
     return top.select(rank.alias("rank"), "movie_id", "movie_title", "average_rating",
                       "rating_count")

@@ -147,3 +147,40 @@ SCIENTIST = f"""scientist_users AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def lines_users() -> str:
+    return """SELECT concat_ws('|', CAST(user_id AS VARCHAR), CAST(age AS VARCHAR), gender,
+                        occupation, zip_code) AS value FROM users"""
+
+
+def lines_ratings(source: str = "ratings") -> str:
+    return f"""SELECT concat_ws(chr(9), CAST(user_id AS VARCHAR), CAST(movie_id AS VARCHAR),
+                        CAST(rating AS VARCHAR), CAST("timestamp" AS VARCHAR)) AS value
+               FROM {source}"""
+
+
+def lines_items(vocabulary: Sequence[str] = FIXTURE_GENRES) -> str:
+    flags = ", ".join(f"CAST({w} AS VARCHAR)" for w in vocabulary)
+    return f"""SELECT concat_ws('|', CAST(movie_id AS VARCHAR), movie_title, release_date,
+                        video_release_date, imdb_url, {flags}) AS value FROM movies_wide"""
+
+
+def profile(dataset: str, source: str, columns: Sequence[tuple[str, bool]]) -> str:
+    """Missing counts per column plus total/distinct/duplicate rows, long form."""
+    parts = []
+    for col, is_string in columns:
+        cond = f'"{col}" IS NULL' + (f" OR trim(\"{col}\") = ''" if is_string else "")
+        parts.append(
+            f"SELECT {_q(dataset)} AS dataset, 'missing' AS metric, {_q(col)} AS column_name, "
+            f"CAST(SUM(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS value FROM {source}")
+    names = ", ".join(f'"{c}"' for c, _ in columns)
+    dup = (f"(SELECT CAST(COUNT(*) AS BIGINT) AS t, "
+           f"(SELECT CAST(COUNT(*) AS BIGINT) FROM (SELECT DISTINCT {names} FROM {source}) x) AS d "
+           f"FROM {source})")
+    for metric, expr in (("total_rows", "t"), ("distinct_rows", "d"),
+                         ("duplicate_rows", "t - d")):
+        parts.append(f"SELECT {_q(dataset)} AS dataset, {_q(metric)} AS metric, "
+                     f"CAST(NULL AS VARCHAR) AS column_name, CAST({expr} AS BIGINT) AS value "
+                     f"FROM {dup} s")
+    return "\nUNION ALL\n".join(parts)

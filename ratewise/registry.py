@@ -1,10 +1,16 @@
 """Registered queries: one per operator/job of the inventory, each a function
 ``(spark, sf_dir) -> DataFrame`` over the adapter views, plus the matching
-DuckDB text (``ORACLE``).  Array results are flattened to ``|``-joined strings
-so both engines hash them alike."""
+DuckDB text (``ORACLE``).
+
+Array results are flattened to ``|``-joined strings so both engines hash them
+alike.  Queries that exercise a sink or a text source first write the derived
+data below the session's checkpoint folder (a fresh path per call) and then
+return the read-back DataFrame.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +18,56 @@ from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from . import oracle as o
+from . import schemas
 from .operators import (
     active_users,
     average_rating_per_movie,
+    clean_movies,
+    clean_ratings,
+    clean_users,
+    dedup_by_key,
+    duplicate_check,
     explode_genres,
     favourite_genre_per_user,
+    flags_to_array,
+    join_ratings_active_users,
+    join_ratings_movie_genres,
+    join_ratings_movies,
+    missing_values_profile,
+    project_columns,
+    record_counts,
+    top_n_movies,
     user_genre_counts,
+    user_genre_counts_sorted,
+    users_by_occupation_and_age,
+    users_younger_than,
+)
+from .plans.jobs import (
+    Store,
+    favourite_genre_report,
+    ingest_clean_store,
+    profile_raw,
+    ratings_report,
+    user_filter_report,
+    validate_store,
+)
+from .session import scratch_path
+from .sinks import (
+    load_documents_overwrite,
+    load_table_overwrite,
+    upsert_by_key,
+    write_clustered_by_key,
+)
+from .sources import (
+    parse_item_genres,
+    parse_item_wide,
+    parse_pipe_users,
+    parse_ws_ratings,
+    read_documents_defaulted,
+    read_table_projected,
+    scan_text_lines,
+    select_all_limit,
+    write_text_lines,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +89,15 @@ def joined(df: DataFrame, column: str = "genres", sep: str = "|") -> DataFrame:
     return df.withColumn(column, F.array_join(column, sep))
 
 
+MOVIE_DOC_COLS = "movie_id, movie_title, release_date, video_release_date, imdb_url"
+MOVIES_JOINED = (f"SELECT {MOVIE_DOC_COLS}, array_to_string(genres, '|') AS genres FROM movies")
+USER_COLS = "user_id, age, gender, occupation, zip_code"
+RATING_COLS = 'user_id, movie_id, rating, "timestamp"'
+W = o.with_
+
 # --- shared building blocks ---------------------------------------------------
 
+
 def _average(spark: SparkSession, sf: str) -> DataFrame:
     return average_rating_per_movie(fx.ratings(spark, sf), fx.movies(spark, sf))
 
@@ -50,28 +107,385 @@ def _genre_counts(spark: SparkSession, sf: str) -> DataFrame:
     return user_genre_counts(r, explode_genres(fx.movies(spark, sf)), active_users(r, 50))
 
 
-# --- analytics (Tasks 1-3) ------------------------------------------------------
+def _stage_lines(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Render the fixture views as raw text files; returns their paths."""
+    root = scratch_path(spark, "lines")
+    return {
+        "users": write_text_lines(fx.user_lines(spark, sf), f"{root}/u.user"),
+        "ratings": write_text_lines(fx.rating_lines(spark, sf), f"{root}/u.data"),
+        "items": write_text_lines(fx.item_lines(spark, sf), f"{root}/u.item"),
+    }
+
+
+def _stage_store(spark: SparkSession, sf: str) -> Store:
+    """A store holding the fixture base tables (users cleaned, as stored)."""
+    store = Store(scratch_path(spark, "store"))
+    store.write(clean_users(fx.users(spark, sf)), "users")
+    store.write(fx.ratings(spark, sf), "ratings")
+    store.write_movies(fx.movies(spark, sf))
+    return store
+
+
+# --- S: sources ---------------------------------------------------------------
+
+@register("scan_text_lines",
+          W(o.USERS, o.RATINGS, o.movies_wide())
+          + o.lines_users() + " UNION ALL " + o.lines_ratings() + " UNION ALL " + o.lines_items())
+def q_scan_text_lines(spark, sf):
+    paths = _stage_lines(spark, sf)
+    return scan_text_lines(spark, [paths["users"], paths["ratings"], paths["items"]])
+
+
+@register("parse_pipe_users", W(o.USERS) + f"SELECT {USER_COLS} FROM users")
+def q_parse_pipe_users(spark, sf):
+    path = write_text_lines(fx.user_lines(spark, sf), scratch_path(spark, "u.user"))
+    return parse_pipe_users(scan_text_lines(spark, path))
+
+
+@register("parse_ws_ratings", W(o.RATINGS) + f"SELECT {RATING_COLS} FROM ratings")
+def q_parse_ws_ratings(spark, sf):
+    path = write_text_lines(fx.rating_lines(spark, sf), scratch_path(spark, "u.data"))
+    return parse_ws_ratings(scan_text_lines(spark, path))
+
+
+@register("parse_item_wide", W(o.movies_wide()) + "SELECT * FROM movies_wide")
+def q_parse_item_wide(spark, sf):
+    path = write_text_lines(fx.item_lines(spark, sf), scratch_path(spark, "u.item"))
+    return parse_item_wide(scan_text_lines(spark, path), fx.FIXTURE_GENRES)
+
+
+@register("parse_item_genres", W(o.movies()) + MOVIES_JOINED)
+def q_parse_item_genres(spark, sf):
+    path = write_text_lines(fx.item_lines(spark, sf), scratch_path(spark, "u.item"))
+    return joined(parse_item_genres(scan_text_lines(spark, path), fx.FIXTURE_GENRES))
+
+
+@register("read_table_projected",
+          W(o.RATINGS) + "SELECT movie_id, rating FROM ratings")
+def q_read_table_projected(spark, sf):
+    path = load_table_overwrite(fx.ratings(spark, sf), scratch_path(spark, "ratings"),
+                                schemas.RATINGS)
+    return read_table_projected(spark, path, ["movie_id", "rating"])
+
+
+@register("read_documents_defaulted", W(o.movies()) + MOVIES_JOINED)
+def q_read_documents_defaulted(spark, sf):
+    path = load_documents_overwrite(fx.movies(spark, sf), scratch_path(spark, "movies"))
+    return joined(read_documents_defaulted(spark, path))
+
+
+@register("select_all_limit",
+          W(o.USERS, o.CLEAN_USERS)
+          + f"SELECT {USER_COLS} FROM clean_users ORDER BY user_id LIMIT 5")
+def q_select_all_limit(spark, sf):
+    path = load_table_overwrite(clean_users(fx.users(spark, sf)), scratch_path(spark, "users"),
+                                schemas.USERS)
+    return select_all_limit(read_table_projected(spark, path), 5, ["user_id"])
+
+
+# --- Q: quality and cleaning ----------------------------------------------------
+
+PROFILE_COLS = [("o_orderkey", False), ("o_custkey", False), ("o_orderstatus", True),
+                ("o_orderpriority", True), ("o_totalprice", False)]
+
+
+@register("missing_values_profile",
+          W(o.PROFILE_INPUT) + "SELECT " + ", ".join(
+              f"CAST(SUM(CASE WHEN {c} IS NULL" + (f" OR trim({c}) = ''" if s else "")
+              + f" THEN 1 ELSE 0 END) AS BIGINT) AS {c}" for c, s in PROFILE_COLS)
+          + " FROM profile_input")
+def q_missing_values_profile(spark, sf):
+    return missing_values_profile(fx.profile_input(spark, sf))
+
+
+@register("duplicate_check",
+          W(o.RATINGS_DIRTY)
+          + "SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, CAST(d.n AS BIGINT) AS distinct_rows, "
+          + "CAST(COUNT(*) - d.n AS BIGINT) AS duplicate_rows FROM ratings_dirty, "
+          + "(SELECT COUNT(*) AS n FROM (SELECT DISTINCT * FROM ratings_dirty) x) d GROUP BY d.n")
+def q_duplicate_check(spark, sf):
+    return duplicate_check(fx.ratings_dirty(spark, sf))
+
+
+@register("record_counts",
+          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies())
+          + " UNION ALL ".join(
+              f"SELECT '{n}' AS dataset, CAST(COUNT(*) AS BIGINT) AS row_count FROM {t}"
+              for n, t in (("users_raw", "users"), ("users_clean", "clean_users"),
+                           ("ratings_raw", "ratings_dirty"), ("ratings_clean", "clean_ratings"),
+                           ("movies_raw", "movies"), ("movies_clean", "movies"))))
+def q_record_counts(spark, sf):
+    users, ratings, movies = fx.users(spark, sf), fx.ratings_dirty(spark, sf), fx.movies(spark, sf)
+    return record_counts({
+        "users_raw": users, "users_clean": clean_users(users),
+        "ratings_raw": ratings, "ratings_clean": clean_ratings(ratings),
+        "movies_raw": movies, "movies_clean": clean_movies(movies)})
+
+
+@register("dedup_by_key",
+          W(o.RATINGS_DIRTY) + f"""SELECT {RATING_COLS} FROM (
+              SELECT *, row_number() OVER (PARTITION BY user_id, movie_id, "timestamp"
+                                          ORDER BY rating ASC NULLS FIRST) AS rn
+              FROM ratings_dirty) d WHERE rn = 1""")
+def q_dedup_by_key(spark, sf):
+    return dedup_by_key(fx.ratings_dirty(spark, sf), schemas.KEYS["ratings"])
+
+
+@register("clean_users", W(o.USERS, o.CLEAN_USERS) + "SELECT * FROM clean_users")
+def q_clean_users(spark, sf):
+    return clean_users(fx.users(spark, sf))
+
+
+@register("clean_ratings", W(o.RATINGS_DIRTY, o.CLEAN_RATINGS) + "SELECT * FROM clean_ratings")
+def q_clean_ratings(spark, sf):
+    return clean_ratings(fx.ratings_dirty(spark, sf))
+
+
+@register("clean_movies",
+          W(o.movies_wide()) + """SELECT * EXCLUDE (rn) FROM (
+              SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY movie_title) AS rn
+              FROM movies_wide) d
+              WHERE rn = 1 AND movie_id IS NOT NULL AND movie_title IS NOT NULL""")
+def q_clean_movies(spark, sf):
+    return clean_movies(fx.movies_wide(spark, sf))
+
+
+# --- P: projections and filters -------------------------------------------------
+
+@register("project_columns", W(o.movies_wide()) + "SELECT movie_id, movie_title, imdb_url FROM movies_wide")
+def q_project_columns(spark, sf):
+    return project_columns(fx.movies_wide(spark, sf), ["movie_id", "movie_title", "imdb_url"])
+
+
+@register("users_younger_than", W(o.USERS, o.CLEAN_USERS, o.YOUNG) + "SELECT * FROM young_users")
+def q_users_younger_than(spark, sf):
+    return users_younger_than(clean_users(fx.users(spark, sf)), 20)
+
+
+@register("users_by_occupation_and_age",
+          W(o.USERS, o.CLEAN_USERS, o.SCIENTIST) + "SELECT * FROM scientist_users")
+def q_users_by_occupation_and_age(spark, sf):
+    return users_by_occupation_and_age(clean_users(fx.users(spark, sf)),
+                                       fx.FIXTURE_OCCUPATION, 30, 40)
+
+
+# --- J: joins --------------------------------------------------------------------
+
+@register("join_ratings_movies",
+          W(o.RATINGS, o.movies())
+          + f"""SELECT r.movie_id, r.user_id, r.rating, r."timestamp", m.movie_title,
+                       m.release_date, m.video_release_date, m.imdb_url,
+                       array_to_string(m.genres, '|') AS genres
+                FROM ratings r JOIN movies m ON r.movie_id = m.movie_id""")
+def q_join_ratings_movies(spark, sf):
+    return joined(join_ratings_movies(fx.ratings(spark, sf), fx.movies(spark, sf)))
+
+
+@register("join_ratings_active_users",
+          W(o.RATINGS, o.ACTIVE)
+          + f"SELECT {RATING_COLS} FROM ratings WHERE user_id IN (SELECT user_id FROM active_users)")
+def q_join_ratings_active_users(spark, sf):
+    r = fx.ratings(spark, sf)
+    return join_ratings_active_users(r, active_users(r, 50))
+
+
+@register("join_ratings_movie_genres",
+          W(o.RATINGS, o.movies(), o.MOVIE_GENRES)
+          + """SELECT r.movie_id, r.user_id, r.rating, r."timestamp", g.movie_title, g.genre
+               FROM ratings r JOIN movie_genres g ON r.movie_id = g.movie_id""")
+def q_join_ratings_movie_genres(spark, sf):
+    return join_ratings_movie_genres(fx.ratings(spark, sf), explode_genres(fx.movies(spark, sf)))
+
+
+# --- A / W / L: analytics (Tasks 1-3) ---------------------------------------------
 
 @register("average_rating_per_movie",
-          o.with_(o.RATINGS, o.movies(), o.AVERAGE) + "SELECT * FROM average_movie_ratings")
-def q_average_rating_per_movie(spark: SparkSession, sf: str) -> DataFrame:
+          W(o.RATINGS, o.movies(), o.AVERAGE) + "SELECT * FROM average_movie_ratings")
+def q_average_rating_per_movie(spark, sf):
     return _average(spark, sf)
 
 
-@register("active_users", o.with_(o.RATINGS, o.ACTIVE) + "SELECT * FROM active_users")
-def q_active_users(spark: SparkSession, sf: str) -> DataFrame:
+@register("top_n_movies", W(o.RATINGS, o.movies(), o.AVERAGE, o.TOP10) + "SELECT * FROM top_10_movies")
+def q_top_n_movies(spark, sf):
+    return top_n_movies(_average(spark, sf), 10)
+
+
+@register("active_users", W(o.RATINGS, o.ACTIVE) + "SELECT * FROM active_users")
+def q_active_users(spark, sf):
     return active_users(fx.ratings(spark, sf), 50)
 
 
 @register("user_genre_counts",
-          o.with_(o.RATINGS, o.movies(), o.MOVIE_GENRES, o.ACTIVE, o.GENRE_COUNTS)
+          W(o.RATINGS, o.movies(), o.MOVIE_GENRES, o.ACTIVE, o.GENRE_COUNTS)
           + "SELECT * FROM user_genre_counts")
-def q_user_genre_counts(spark: SparkSession, sf: str) -> DataFrame:
+def q_user_genre_counts(spark, sf):
     return _genre_counts(spark, sf)
 
 
+@register("user_genre_counts_sorted",
+          W(o.RATINGS, o.movies(), o.MOVIE_GENRES, o.ACTIVE, o.GENRE_COUNTS)
+          + """SELECT * FROM user_genre_counts
+               ORDER BY user_id ASC, genre_rating_count DESC, genre ASC LIMIT 30""")
+def q_user_genre_counts_sorted(spark, sf):
+    return user_genre_counts_sorted(_genre_counts(spark, sf), 30)
+
+
 @register("favourite_genre_per_user",
-          o.with_(o.RATINGS, o.movies(), o.MOVIE_GENRES, o.ACTIVE, o.GENRE_COUNTS, o.FAVOURITE)
+          W(o.RATINGS, o.movies(), o.MOVIE_GENRES, o.ACTIVE, o.GENRE_COUNTS, o.FAVOURITE)
           + "SELECT * FROM user_favourite_genres")
-def q_favourite_genre_per_user(spark: SparkSession, sf: str) -> DataFrame:
+def q_favourite_genre_per_user(spark, sf):
     return favourite_genre_per_user(_genre_counts(spark, sf))
+
+
+# --- R: reshape --------------------------------------------------------------------
+
+@register("flags_to_array", W(o.movies()) + MOVIES_JOINED)
+def q_flags_to_array(spark, sf):
+    return joined(flags_to_array(fx.movies_wide(spark, sf), fx.FIXTURE_GENRES))
+
+
+@register("explode_genres", W(o.movies(), o.MOVIE_GENRES) + "SELECT * FROM movie_genres")
+def q_explode_genres(spark, sf):
+    return explode_genres(fx.movies(spark, sf))
+
+
+# --- K: sinks ------------------------------------------------------------------------
+
+@register("load_table_overwrite", W(o.USERS, o.CLEAN_USERS) + "SELECT * FROM clean_users")
+def q_load_table_overwrite(spark, sf):
+    path = scratch_path(spark, "users")
+    # Overwrite twice: the second load must fully replace the first.
+    load_table_overwrite(fx.users(spark, sf), path, schemas.USERS)
+    load_table_overwrite(clean_users(fx.users(spark, sf)), path, schemas.USERS)
+    return read_table_projected(spark, path)
+
+
+UPSERT_UPDATES = """updates AS (
+  SELECT user_id, movie_id, rating, "timestamp" FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, movie_id, "timestamp"
+                                 ORDER BY rating ASC NULLS FIRST) AS rn
+    FROM ratings WHERE rating = 5) d WHERE rn = 1)"""
+
+
+@register("upsert_by_key",
+          W(o.RATINGS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, UPSERT_UPDATES)
+          + f"""SELECT {RATING_COLS} FROM clean_ratings c WHERE NOT EXISTS (
+                  SELECT 1 FROM updates u WHERE u.user_id = c.user_id
+                    AND u.movie_id = c.movie_id AND u."timestamp" = c."timestamp")
+                UNION ALL SELECT {RATING_COLS} FROM updates""")
+def q_upsert_by_key(spark, sf):
+    """Stored: the cleaned dirty ratings.  Update batch: every five-star rating
+    of the clean ratings, replacing equal keys and adding new ones."""
+    current = load_table_overwrite(clean_ratings(fx.ratings_dirty(spark, sf)),
+                                   scratch_path(spark, "ratings"), schemas.RATINGS)
+    updates = fx.ratings(spark, sf).filter(F.col("rating") == 5)
+    merged = upsert_by_key(spark, current, updates, schemas.KEYS["ratings"],
+                           scratch_path(spark, "ratings"), schema=schemas.RATINGS)
+    return read_table_projected(spark, merged)
+
+
+@register("load_documents_overwrite", W(o.movies()) + MOVIES_JOINED)
+def q_load_documents_overwrite(spark, sf):
+    path = load_documents_overwrite(fx.movies(spark, sf), scratch_path(spark, "movies"))
+    return joined(spark.read.schema(schemas.MOVIES).json(path))
+
+
+@register("write_clustered_by_key", W(o.RATINGS) + f"SELECT {RATING_COLS} FROM ratings")
+def q_write_clustered_by_key(spark, sf):
+    name = f"ratewise_ratings_{uuid.uuid4().hex[:10]}"
+    from .sinks import conform
+    return write_clustered_by_key(conform(fx.ratings(spark, sf), schemas.RATINGS), name,
+                                  scratch_path(spark, "ratings_bucketed"), buckets=8)
+
+
+@register("validate_stored_counts",
+          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies())
+          + " UNION ALL ".join(
+              f"SELECT '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS expected_rows, "
+              f"CAST(COUNT(*) AS BIGINT) AS actual_rows, true AS ok FROM {t}"
+              for n, t in (("users", "clean_users"), ("ratings", "clean_ratings"),
+                           ("movies", "movies"))))
+def q_validate_stored_counts(spark, sf):
+    store = Store(scratch_path(spark, "store"))
+    users = clean_users(fx.users(spark, sf))
+    ratings = clean_ratings(fx.ratings_dirty(spark, sf))
+    movies = clean_movies(fx.movies(spark, sf))
+    store.write(users, "users")
+    store.write(ratings, "ratings")
+    store.write_movies(movies)
+    return validate_store(spark, store, {"users": users, "ratings": ratings, "movies": movies})
+
+
+# --- C: composite jobs ---------------------------------------------------------------
+
+@register("ingest_clean_store",
+          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS)
+          + " UNION ALL ".join(
+              f"SELECT '{n}' AS dataset, CAST(COUNT(*) AS BIGINT) AS row_count FROM {t}"
+              for n, t in (("raw_users", "customer"), ("raw_ratings", "ratings_dirty"),
+                           ("raw_movies", "part"), ("users", "clean_users"),
+                           ("ratings", "clean_ratings"), ("movies", "part"))))
+def q_ingest_clean_store(spark, sf):
+    root = scratch_path(spark, "raw")
+    users = write_text_lines(fx.user_lines(spark, sf), f"{root}/u.user")
+    ratings = write_text_lines(fx.rating_lines(spark, sf, dirty=True), f"{root}/u.data")
+    items = write_text_lines(fx.item_lines(spark, sf), f"{root}/u.item")
+    return ingest_clean_store(spark, users, ratings, items, Store(scratch_path(spark, "store")),
+                              fx.FIXTURE_GENRES)
+
+
+@register("ratings_report",
+          W(o.RATINGS, o.movies(), o.AVERAGE, o.TOP10) + "SELECT * FROM top_10_movies")
+def q_ratings_report(spark, sf):
+    """Runs Tasks 1+2 against a store; returns the stored top-10 table."""
+    store = _stage_store(spark, sf)
+    ratings_report(spark, store, 10).collect()
+    return store.read(spark, "top_10_movies")
+
+
+@register("favourite_genre_report",
+          W(o.RATINGS, o.movies(), o.MOVIE_GENRES, o.ACTIVE, o.GENRE_COUNTS, o.FAVOURITE)
+          + "SELECT * FROM user_favourite_genres")
+def q_favourite_genre_report(spark, sf):
+    store = _stage_store(spark, sf)
+    favourite_genre_report(spark, store, 50).collect()
+    return store.read(spark, "user_favourite_genres")
+
+
+@register("user_filter_report",
+          W(o.USERS, o.CLEAN_USERS, o.YOUNG, o.SCIENTIST)
+          + f"SELECT 'young_users' AS segment, {USER_COLS} FROM young_users UNION ALL "
+          + f"SELECT 'scientist_users' AS segment, {USER_COLS} FROM scientist_users")
+def q_user_filter_report(spark, sf):
+    store = _stage_store(spark, sf)
+    user_filter_report(spark, store, 20, fx.FIXTURE_OCCUPATION, 30, 40).collect()
+    return (store.read(spark, "young_users").select(F.lit("young_users").alias("segment"), "*")
+            .unionByName(store.read(spark, "scientist_users")
+                         .select(F.lit("scientist_users").alias("segment"), "*")))
+
+
+_PROFILE_SETS = {
+    "users": ("users", [("user_id", False), ("age", False), ("gender", True),
+                        ("occupation", True), ("zip_code", True)]),
+    "ratings": ("ratings_dirty", [("user_id", False), ("movie_id", False), ("rating", False),
+                                  ("timestamp", False)]),
+    "movies": ("movies_wide", [("movie_id", False), ("movie_title", True),
+                               ("release_date", True), ("video_release_date", True),
+                               ("imdb_url", True)] + [(g, False) for g in fx.FIXTURE_GENRES]),
+    "orders": ("profile_input", PROFILE_COLS),
+    "documents": ("documents", [("text", True)]),
+}
+
+
+@register("profile_raw",
+          W(o.USERS, o.RATINGS_DIRTY, o.movies_wide(), o.PROFILE_INPUT)
+          + "\nUNION ALL\n".join(o.profile(name, src, cols)
+                                 for name, (src, cols) in _PROFILE_SETS.items()))
+def q_profile_raw(spark, sf):
+    return profile_raw({
+        "users": fx.users(spark, sf),
+        "ratings": fx.ratings_dirty(spark, sf),
+        "movies": fx.movies_wide(spark, sf),
+        "orders": fx.profile_input(spark, sf),
+        "documents": fx.document_texts(spark, sf),
+    })
