@@ -1,0 +1,233 @@
+"""Operator semantics on literal inputs."""
+
+from pyspark.sql import functions as F
+
+from ratewise import schemas
+from ratewise.operators import (
+    active_users,
+    average_rating_per_movie,
+    clean_movies,
+    clean_ratings,
+    clean_users,
+    dedup_by_key,
+    duplicate_check,
+    explode_genres,
+    favourite_genre_per_user,
+    flags_to_array,
+    join_ratings_active_users,
+    join_ratings_movie_genres,
+    join_ratings_movies,
+    missing_values_profile,
+    project_columns,
+    record_counts,
+    top_n_movies,
+    user_genre_counts,
+    user_genre_counts_sorted,
+    users_by_occupation_and_age,
+    users_younger_than,
+)
+
+
+def users_df(spark, rows):
+    return spark.createDataFrame(rows, schemas.USERS)
+
+
+def ratings_df(spark, rows):
+    return spark.createDataFrame(rows, schemas.RATINGS)
+
+
+def movies_df(spark, rows):
+    return spark.createDataFrame(rows, schemas.MOVIES)
+
+
+def movie(mid, title, genres):
+    return (mid, title, "01-Jan-1995", "", f"http://x/{mid}", genres)
+
+
+# --- quality -------------------------------------------------------------------
+
+def test_missing_profile_counts_blanks_for_strings_only(spark):
+    df = users_df(spark, [(1, None, " ", "\t", None), (2, 30, "", "x", "1"), (None, 1, "M", "y", "2")])
+    r = missing_values_profile(df).collect()[0].asDict()
+    assert r == {"user_id": 1, "age": 1, "gender": 2, "occupation": 0, "zip_code": 1}
+
+
+def test_missing_profile_empty_is_null(spark):
+    r = missing_values_profile(users_df(spark, [])).collect()[0]
+    assert all(v is None for v in r)
+
+
+def test_missing_profile_array_only_null(spark):
+    df = movies_df(spark, [movie(1, "A", []), movie(2, "B", None)])
+    assert missing_values_profile(df).collect()[0].genres == 1
+
+
+def test_duplicate_check(spark):
+    df = ratings_df(spark, [(1, 1, 5, 10), (1, 1, 5, 10), (1, 1, 5, 10), (1, 1, 4, 10), (None, 1, 1, 1), (None, 1, 1, 1)])
+    assert tuple(duplicate_check(df).collect()[0]) == (6, 3, 3)
+    assert tuple(duplicate_check(ratings_df(spark, [])).collect()[0]) == (0, 0, 0)
+
+
+def test_record_counts(spark):
+    out = record_counts({"a": spark.range(3), "b": spark.range(0)})
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 3), ("b", 0)]
+
+
+def test_dedup_keeps_first_in_order_and_is_idempotent(spark):
+    df = users_df(spark, [(1, 40, "M", "b", "1"), (1, None, "M", "a", "1"), (1, 30, "F", "a", "1"), (2, 20, "F", "a", "1")])
+    once = dedup_by_key(df, ["user_id"])
+    rows = {r.user_id: r for r in once.collect()}
+    assert rows[1].age is None  # NULLs first
+    twice = dedup_by_key(once, ["user_id"])
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
+
+
+def test_clean_users_dedup_before_range_filter(spark):
+    # The kept duplicate (age 0 sorts first) is invalid, so user 1 is lost.
+    df = users_df(spark, [(1, 0, "M", "a", "1"), (1, 25, "M", "a", "1"), (2, 100, "F", "a", "1"),
+                          (3, 101, "F", "a", "1"), (None, 30, "F", "a", "1"), (4, None, "M", "a", "1")])
+    assert sorted(r.user_id for r in clean_users(df).collect()) == [2]
+
+
+def test_clean_ratings(spark):
+    df = ratings_df(spark, [(1, 1, 0, 1), (1, 1, 1, 2), (1, 1, 5, 3), (1, 1, 6, 4), (1, 1, 3, 5),
+                            (1, 1, 3, 5), (None, 1, 3, 6), (1, None, 3, 7), (1, 2, 4, 8)])
+    got = sorted(tuple(r) for r in clean_ratings(df).collect())
+    assert got == [(1, 1, 1, 2), (1, 1, 3, 5), (1, 1, 5, 3), (1, 2, 4, 8)]
+
+
+def test_clean_movies_both_forms(spark):
+    docs = movies_df(spark, [movie(1, "A", ["Drama"]), movie(1, "A", ["Drama"]), movie(2, None, []),
+                             movie(None, "C", [])])
+    assert [r.movie_id for r in clean_movies(docs).collect()] == [1]
+
+
+# --- reshape -------------------------------------------------------------------
+
+def test_flags_to_array_then_explode_is_long_form(spark):
+    vocab = ("unknown", "Action", "Drama")
+    schema = schemas.movies_wide(vocab)
+    wide = spark.createDataFrame([(1, "A", "d", "", "u", 0, 1, 1), (2, "B", "d", "", "u", 0, 0, 0),
+                                  (3, "C", "d", "", "u", 1, None, 0)], schema)
+    arr = {r.movie_id: r.genres for r in flags_to_array(wide, vocab).collect()}
+    assert arr == {1: ["Action", "Drama"], 2: [], 3: ["unknown"]}
+    long = sorted(tuple(r) for r in explode_genres(flags_to_array(wide, vocab)).collect())
+    assert long == [(1, "A", "Action"), (1, "A", "Drama"), (3, "C", "unknown")]
+
+
+def test_explode_drops_null_and_empty(spark):
+    df = movies_df(spark, [movie(1, "A", None), movie(2, "B", []), movie(3, "C", ["War"])])
+    assert [tuple(r) for r in explode_genres(df).collect()] == [(3, "C", "War")]
+
+
+# --- filters -----------------------------------------------------------------------
+
+def test_user_filters_bounds_and_nulls(spark):
+    df = users_df(spark, [(1, 19, "M", "scientist", "1"), (2, 20, "M", "scientist", "1"),
+                          (3, 29, "M", "scientist", "1"), (4, 30, "M", "scientist", "1"),
+                          (5, 40, "M", "scientist", "1"), (6, 41, "M", "scientist", "1"),
+                          (7, 35, "M", "Scientist", "1"), (8, 35, "M", None, "1"),
+                          (9, None, "M", "scientist", "1")])
+    assert [r.user_id for r in users_younger_than(df, 20).collect()] == [1]
+    assert sorted(r.user_id for r in users_by_occupation_and_age(df, "scientist", 30, 40).collect()) == [4, 5]
+    assert project_columns(df, ["zip_code", "user_id"]).columns == ["zip_code", "user_id"]
+
+
+# --- joins and aggregates ------------------------------------------------------------
+
+def test_average_rounds_half_up_and_counts(spark):
+    # 80 ratings summing to 323: 4.0375 -> 4.038.
+    rows = [(u, 1, 5, u) for u in range(3)] + [(u, 1, 4, u) for u in range(3, 80)]
+    assert sum(r[2] for r in rows) == 323
+    rows += [(1, 2, 1, 1), (1, 99, 5, 1)]            # movie 99 has no movie row
+    movies = movies_df(spark, [movie(1, "A", ["Drama"]), movie(2, "B", []), movie(3, "C", [])])
+    got = {r.movie_id: r for r in average_rating_per_movie(ratings_df(spark, rows), movies).collect()}
+    assert set(got) == {1, 2}                         # 3 has no ratings, 99 no movie
+    assert got[1].average_rating == 4.038 and got[1].rating_count == 80
+    assert got[2].average_rating == 1.0 and got[2].rating_count == 1
+
+
+def test_average_with_repeated_movie_rows_matches_join_semantics(spark):
+    ratings = ratings_df(spark, [(1, 1, 4, 1), (2, 1, 2, 1)])
+    movies = movies_df(spark, [movie(1, "A", []), movie(1, "A", []), movie(1, "A2", [])])
+    got = sorted(tuple(r) for r in average_rating_per_movie(ratings, movies).collect())
+    assert got == [(1, "A", 3.0, 4), (1, "A2", 3.0, 2)]
+
+
+def test_average_null_ratings(spark):
+    ratings = ratings_df(spark, [(1, 1, None, 1)])
+    got = average_rating_per_movie(ratings, movies_df(spark, [movie(1, "A", [])])).collect()
+    assert got[0].average_rating is None and got[0].rating_count == 0
+
+
+def test_top_n_orders_by_rounded_average_then_count_then_id(spark):
+    avg = spark.createDataFrame(
+        [(1, "a", 5.0, 1), (2, "b", 5.0, 2), (3, "c", 4.5, 10), (4, "d", 4.5, 10), (5, "e", 1.0, 99)],
+        schemas.AVERAGE_MOVIE_RATINGS)
+    got = [(r["rank"], r.movie_id) for r in top_n_movies(avg, 4).collect()]
+    assert got == [(1, 2), (2, 1), (3, 3), (4, 4)]
+    assert [r.movie_id for r in top_n_movies(avg, 10, min_count=5).collect()] == [3, 4, 5]
+
+
+def test_active_users_counts_rerating(spark):
+    rows = [(1, 1, 3, t) for t in range(50)] + [(2, m, 3, 0) for m in range(49)] + [(None, 1, 1, t) for t in range(60)]
+    got = sorted((r.user_id, r.total_ratings) for r in active_users(ratings_df(spark, rows), 50).collect()
+                 if r.user_id is not None)
+    assert got == [(1, 50)]
+
+
+def test_favourite_genre_ties_and_vanishing_users(spark):
+    ratings = ratings_df(spark, [(1, 10, 4, 0), (1, 11, 4, 0), (2, 12, 4, 0), (3, 10, 4, 0), (3, 11, 4, 0)])
+    movies = movies_df(spark, [movie(10, "X", ["unknown", "Drama"]), movie(11, "Y", ["unknown", "Action"]),
+                               movie(12, "Z", [])])
+    genres = explode_genres(movies)
+    active = active_users(ratings, 1)
+    counts = user_genre_counts(ratings, genres, active)
+    fav = {r.user_id: (r.favourite_genre, r.genre_rating_count)
+           for r in favourite_genre_per_user(counts).collect()}
+    # 'unknown' has 2 but beats nothing on ties; user 2 only rated a genre-less movie.
+    assert fav == {1: ("unknown", 2), 3: ("unknown", 2)}
+    ties = ratings_df(spark, [(5, 11, 4, 0), (5, 10, 4, 1)])
+    tie_counts = user_genre_counts(ties, explode_genres(movies_df(spark, [movie(10, "X", ["unknown", "Drama"]), movie(11, "Y", ["unknown", "Action"])])), active_users(ties, 1))
+    fav2 = favourite_genre_per_user(tie_counts.filter(F.col("genre") != "unknown")).collect()
+    assert [(r.favourite_genre, r.genre_rating_count) for r in fav2] == [("Action", 1)]
+
+
+def test_genre_tie_break_is_binary_order(spark):
+    counts = spark.createDataFrame([(1, "unknown", 3), (1, "War", 3), (1, "Action", 2)],
+                                   schemas.USER_GENRE_COUNTS)
+    assert [tuple(r) for r in favourite_genre_per_user(counts).collect()] == [(1, "War", 3)]
+
+
+def test_user_genre_counts_match_join_form(spark):
+    ratings = ratings_df(spark, [(u, m, 3, t) for u in range(4) for m in range(3) for t in range(u + 1)])
+    movies = movies_df(spark, [movie(0, "a", ["A", "B"]), movie(1, "b", ["B"]), movie(2, "c", [])])
+    genres = explode_genres(movies)
+    active = active_users(ratings, 6)
+    fast = sorted(tuple(r) for r in user_genre_counts(ratings, genres, active).collect())
+    slow = sorted(tuple(r) for r in join_ratings_movie_genres(
+        join_ratings_active_users(ratings, active), genres).groupBy("user_id", "genre").count().collect())
+    assert fast == slow and fast
+    sorted_rows = user_genre_counts_sorted(user_genre_counts(ratings, genres, active), 3).collect()
+    assert [(r.user_id, r.genre) for r in sorted_rows] == [(1, "B"), (1, "A"), (2, "B")]
+
+
+def test_join_ratings_movies_inner(spark):
+    ratings = ratings_df(spark, [(1, 1, 3, 0), (1, 2, 3, 0)])
+    movies = movies_df(spark, [movie(1, "A", []), movie(3, "C", [])])
+    assert [r.movie_id for r in join_ratings_movies(ratings, movies).collect()] == [1]
+
+
+def test_every_operator_accepts_empty_input(spark):
+    users, ratings, movies = users_df(spark, []), ratings_df(spark, []), movies_df(spark, [])
+    genres = explode_genres(movies)
+    active = active_users(ratings)
+    outs = [clean_users(users), clean_ratings(ratings), clean_movies(movies),
+            users_younger_than(users), users_by_occupation_and_age(users),
+            join_ratings_movies(ratings, movies), join_ratings_active_users(ratings, active),
+            join_ratings_movie_genres(ratings, genres), average_rating_per_movie(ratings, movies),
+            top_n_movies(average_rating_per_movie(ratings, movies)), active,
+            user_genre_counts(ratings, genres, active),
+            favourite_genre_per_user(user_genre_counts(ratings, genres, active)), genres]
+    for out in outs:
+        assert out.collect() == []
