@@ -67,14 +67,18 @@ def write_clustered_by_key(df: DataFrame, table_name: str, path: str,
                            bucket_by: str = "user_id", buckets: int = 64,
                            sort_by: Sequence[str] = ("movie_id", "timestamp"),
                            fmt: str = "parquet") -> DataFrame:
-    """K4: partition key + clustering order.  The rows are hash-bucketed by
-    ``bucket_by`` (one file per bucket: the data are first hash-partitioned by
-    the same key into ``buckets`` partitions) and sorted by ``sort_by`` inside
-    each bucket; the table is registered as ``table_name`` at ``path``.  A
-    later aggregate or join on ``bucket_by`` reads it without an exchange.
-    Size ``buckets`` so one bucket stays well under a task's memory at the
-    target scale."""
-    (df.repartition(buckets, F.col(bucket_by))
+    """K4: partition key + clustering order.  Rows are hash-bucketed by
+    ``bucket_by`` and sorted by ``sort_by`` inside each bucket file; the table
+    is registered as ``table_name`` at ``path``.  A later aggregate or join on
+    ``bucket_by`` reads it without an exchange.
+
+    Before writing, rows are rebalanced on the bucket key into ``buckets``
+    partitions (the same hash as the bucket id, so normally one file per
+    bucket).  Unlike a plain repartition, a rebalance lets AQE split a
+    partition that one hot key makes too large: that bucket is then written by
+    several tasks, as several files.  Size ``buckets`` so an ordinary bucket
+    stays well under a task's memory at the target scale."""
+    (df.hint("rebalance", buckets, bucket_by)
        .write.mode("overwrite").format(fmt)
        .bucketBy(buckets, bucket_by).sortBy(*sort_by)
        .option("path", path)
