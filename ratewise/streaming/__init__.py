@@ -1 +1,5 @@
 """Incremental ingest of rating lines with Structured Streaming."""
+
+from .ingest import read_keyed_ratings, start_ratings_ingest
+
+__all__ = ["read_keyed_ratings", "start_ratings_ingest"]
