@@ -10,6 +10,7 @@ from .quality import (
     dedup_by_key,
     duplicate_check,
     missing_values_profile,
+    profile_summary,
     record_counts,
 )
 from .ranking import favourite_genre_per_user, top_n_movies, user_genre_counts_sorted
@@ -20,6 +21,6 @@ __all__ = [
     "clean_users", "dedup_by_key", "duplicate_check", "explode_genres",
     "favourite_genre_per_user", "flags_to_array", "join_ratings_active_users",
     "join_ratings_movie_genres", "join_ratings_movies", "missing_values_profile",
-    "project_columns", "record_counts", "top_n_movies", "user_genre_counts",
+    "profile_summary", "project_columns", "record_counts", "top_n_movies", "user_genre_counts",
     "user_genre_counts_sorted", "users_by_occupation_and_age", "users_younger_than",
 ]

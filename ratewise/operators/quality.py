@@ -41,6 +41,36 @@ def duplicate_check(df: DataFrame) -> DataFrame:
     ).withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
 
 
+def profile_summary(df: DataFrame) -> DataFrame:
+    """Q1 + Q2 in one pass, long form ``(metric, column_name, value)``: the
+    missing count of every column (metric ``missing``) and ``total_rows`` /
+    ``distinct_rows`` / ``duplicate_rows``.  Rows are grouped once on all
+    columns (map-side combined); the missing counts are sums over the distinct
+    rows weighted by their copies, so the input is scanned a single time.
+    Missing counts of an empty input are NULL, as in the one-row profile."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    sums = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        missing = blank_or_null(c) if isinstance(f.dataType, T.StringType) else c.isNull()
+        sums.append(F.sum(F.when(missing, F.col("_copies")).otherwise(0)).cast("bigint").alias(f"_m{i}"))
+    row = grouped.agg(*sums,
+                      F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("_total"),
+                      F.count(F.lit(1)).cast("bigint").alias("_distinct"))
+
+    def entry(metric: str, column: str | None, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"),
+                        F.lit(column).cast("string").alias("column_name"),
+                        value.alias("value"))
+
+    entries = [entry("missing", f.name, F.col(f"_m{i}")) for i, f in enumerate(df.schema.fields)]
+    entries += [entry("total_rows", None, F.col("_total")),
+                entry("distinct_rows", None, F.col("_distinct")),
+                entry("duplicate_rows", None, F.col("_total") - F.col("_distinct"))]
+    return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
 def record_counts(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Q3: ``(dataset, row_count)``, one row per named DataFrame."""
     parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
@@ -56,15 +86,37 @@ def record_counts(datasets: Mapping[str, DataFrame]) -> DataFrame:
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str],
                  order_by: Sequence[Column | str] | None = None) -> DataFrame:
-    """Q4: keep one row per key.  The kept row is the first in ``order_by``
-    (default: every non-key column ascending, NULLs first), so the choice is
-    deterministic; any row would satisfy a plain drop-duplicates."""
+    """Q4: keep one row per key.  The kept row is the first in ``order_by``;
+    by default the first by every non-key column ascending, NULLs first, so the
+    choice is deterministic (a plain drop-duplicates keeps any row).
+
+    The default order is computed as a grouped minimum, so rows of one key are
+    combined on the map side before the shuffle (a key holding a third of all
+    rows arrives as one row per map task): ``min`` of the single other column
+    (NULL if any is NULL) runs as a hash aggregate; ``min`` over a struct of
+    several columns compares them left to right with NULLs first.  A custom
+    ``order_by`` uses a row-number window, which Spark plans as a two-phase
+    top-1 (``WindowGroupLimit`` before and after the exchange)."""
     keys = list(keys)
-    if order_by is None:
-        order_by = [F.col(f"`{c}`").asc_nulls_first() for c in df.columns if c not in keys]
-    if not order_by:
-        order_by = [F.lit(1)]
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order_by)
+    if order_by is not None:
+        return _dedup_window(df, keys, order_by)
+    others = [c for c in df.columns if c not in keys]
+    key_cols = [F.col(f"`{k}`") for k in keys]
+    if not others:
+        return df.select(*key_cols).distinct()
+    if len(others) == 1:
+        c = F.col(f"`{others[0]}`")
+        first = F.when(F.max(c.isNull()), F.lit(None)).otherwise(F.min(c))
+        out = df.groupBy(*key_cols).agg(first.cast(df.schema[others[0]].dataType).alias(others[0]))
+    else:
+        packed = F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_first")
+        out = df.groupBy(*key_cols).agg(packed).select(
+            *key_cols, *[F.col("_first").getField(c).alias(c) for c in others])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _dedup_window(df: DataFrame, keys: list[str], order_by: Sequence[Column | str]) -> DataFrame:
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*(order_by or [F.lit(1)]))
     return (df.withColumn("_rn", F.row_number().over(w))
               .filter(F.col("_rn") == 1)
               .drop("_rn"))

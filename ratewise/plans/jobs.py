@@ -22,18 +22,22 @@ from ..operators import (
     clean_movies,
     clean_ratings,
     clean_users,
-    duplicate_check,
     explode_genres,
     favourite_genre_per_user,
-    missing_values_profile,
+    profile_summary,
     record_counts,
     top_n_movies,
     user_genre_counts,
     users_by_occupation_and_age,
     users_younger_than,
 )
-from ..sinks import load_documents_overwrite, load_table_overwrite, validate_stored_counts
-from ..sinks.tables import write_clustered_by_key
+from ..sinks import (
+    conform,
+    load_documents_overwrite,
+    load_table_overwrite,
+    validate_stored_counts,
+    write_clustered_by_key,
+)
 from ..sources import (
     parse_item_genres,
     parse_pipe_users,
@@ -93,7 +97,6 @@ def ingest_clean_store(spark: SparkSession, user_path: str, rating_path: str, it
     movies = clean_movies(parse_item_genres(raw["movies"], vocabulary, lenient=lenient))
     store.write(users, "users")
     if rating_buckets:
-        from ..sinks import conform
         write_clustered_by_key(conform(ratings, schemas.RATINGS), f"{table_prefix}ratings",
                                store.path("ratings"), buckets=rating_buckets,
                                fmt=store.table_format)
@@ -149,20 +152,12 @@ def validate_store(spark: SparkSession, store: Store,
 
 
 def profile_raw(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """For every dataset, missing values per column, total / distinct /
-    duplicate rows and the row count, as ``(dataset, metric, column_name,
-    value)`` rows."""
-    parts = []
-    for name, df in datasets.items():
-        prof = missing_values_profile(df)
-        parts.append(prof.unpivot([], prof.columns, "column_name", "value")
-                     .select(F.lit(name).alias("dataset"), F.lit("missing").alias("metric"),
-                             "column_name", F.col("value").cast("bigint").alias("value")))
-        dup = duplicate_check(df)
-        parts.append(dup.unpivot([], dup.columns, "metric", "value")
-                     .select(F.lit(name).alias("dataset"), "metric",
-                             F.lit(None).cast("string").alias("column_name"),
-                             F.col("value").cast("bigint").alias("value")))
+    """For every dataset, missing values per column and total / distinct /
+    duplicate rows, as ``(dataset, metric, column_name, value)`` rows; one
+    scan of each dataset."""
+    parts = [profile_summary(df).select(F.lit(name).alias("dataset"), "metric",
+                                        "column_name", "value")
+             for name, df in datasets.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

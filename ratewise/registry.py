@@ -53,6 +53,7 @@ from .plans.jobs import (
 )
 from .session import scratch_path
 from .sinks import (
+    conform,
     load_documents_overwrite,
     load_table_overwrite,
     upsert_by_key,
@@ -393,7 +394,6 @@ def q_load_documents_overwrite(spark, sf):
 @register("write_clustered_by_key", W(o.RATINGS) + f"SELECT {RATING_COLS} FROM ratings")
 def q_write_clustered_by_key(spark, sf):
     name = f"ratewise_ratings_{uuid.uuid4().hex[:10]}"
-    from .sinks import conform
     return write_clustered_by_key(conform(fx.ratings(spark, sf), schemas.RATINGS), name,
                                   scratch_path(spark, "ratings_bucketed"), buckets=8)
 

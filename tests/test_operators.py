@@ -231,3 +231,16 @@ def test_every_operator_accepts_empty_input(spark):
             favourite_genre_per_user(user_genre_counts(ratings, genres, active)), genres]
     for out in outs:
         assert out.collect() == []
+
+
+def test_profile_summary_matches_separate_operators(spark):
+    from ratewise.operators import profile_summary
+    df = users_df(spark, [(1, None, " ", "\t", None), (1, None, " ", "\t", None), (2, 30, "", "x", "1"),
+                          (None, 1, "M", "y", "2")])
+    got = {(r.metric, r.column_name): r.value for r in profile_summary(df).collect()}
+    miss = missing_values_profile(df).collect()[0].asDict()
+    assert {c: got[("missing", c)] for c in df.columns} == miss
+    dup = duplicate_check(df).collect()[0]
+    assert (got[("total_rows", None)], got[("distinct_rows", None)], got[("duplicate_rows", None)]) == tuple(dup)
+    empty = {(r.metric, r.column_name): r.value for r in profile_summary(users_df(spark, [])).collect()}
+    assert empty[("missing", "age")] is None and empty[("total_rows", None)] == 0

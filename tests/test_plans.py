@@ -2,7 +2,7 @@
 
 from ratewise import fixtures as fx
 from ratewise import registry, schemas
-from ratewise.operators import clean_ratings, users_by_occupation_and_age
+from ratewise.operators import clean_ratings, clean_users, dedup_by_key, users_by_occupation_and_age
 from ratewise.plans import count_operator, plan_text
 from ratewise.sinks import conform, load_table_overwrite, write_clustered_by_key
 from ratewise.sources import read_table_projected
@@ -41,9 +41,19 @@ def test_favourite_genre_uses_group_limit(spark):
     assert "LeftSemi" in plan
 
 
-def test_dedup_two_phase_group_limit(spark):
+def test_dedup_combines_before_the_shuffle(spark):
     plan = plan_text(clean_ratings(fx.ratings_dirty(spark, SF_SMALL)), "simple")
-    assert plan.count("WindowGroupLimit") == 2
+    assert "HashAggregate" in plan and "partial_min(rating" in plan
+    assert "Window" not in plan
+    users = plan_text(clean_users(fx.users(spark, SF_SMALL)), "simple")
+    assert "partial_min(struct(" in users
+
+
+def test_custom_order_dedup_is_two_phase_group_limit(spark):
+    from pyspark.sql import functions as F
+    df = dedup_by_key(fx.ratings_dirty(spark, SF_SMALL), ["user_id", "movie_id"],
+                      order_by=[F.col("timestamp").desc()])
+    assert plan_text(df, "simple").count("WindowGroupLimit") == 2
 
 
 def test_partitioned_layout_prunes(spark, tmp_uri):
