@@ -51,6 +51,7 @@ from .plans.jobs import (
     user_filter_report,
     validate_store,
 )
+from .plans.views import average_rating_sql, favourite_genre_sql, register_views, top_movies_sql
 from .session import scratch_path
 from .sinks import (
     conform,
@@ -338,6 +339,35 @@ def q_favourite_genre_per_user(spark, sf):
     return favourite_genre_per_user(_genre_counts(spark, sf))
 
 
+# --- K6: the same tasks as Spark SQL over session views ------------------------------
+
+def _views(spark: SparkSession, sf: str) -> None:
+    register_views({"ratings": fx.ratings(spark, sf), "movies": fx.movies(spark, sf)})
+
+
+@register("average_rating_per_movie_sql",
+          W(o.RATINGS, o.movies(), o.AVERAGE) + "SELECT * FROM average_movie_ratings")
+def q_average_rating_per_movie_sql(spark, sf):
+    _views(spark, sf)
+    return average_rating_sql(spark)
+
+
+@register("top_n_movies_sql",
+          W(o.RATINGS, o.movies(), o.AVERAGE, o.TOP10) + "SELECT * FROM top_10_movies")
+def q_top_n_movies_sql(spark, sf):
+    _views(spark, sf)
+    register_views({"average_movie_ratings": average_rating_sql(spark)})
+    return top_movies_sql(spark, 10)
+
+
+@register("favourite_genre_per_user_sql",
+          W(o.RATINGS, o.movies(), o.MOVIE_GENRES, o.ACTIVE, o.GENRE_COUNTS, o.FAVOURITE)
+          + "SELECT * FROM user_favourite_genres")
+def q_favourite_genre_per_user_sql(spark, sf):
+    _views(spark, sf)
+    return favourite_genre_sql(spark, 50)
+
+
 # --- R: reshape --------------------------------------------------------------------
 
 @register("flags_to_array", W(o.movies()) + MOVIES_JOINED)

@@ -75,3 +75,12 @@ def test_bucketed_ratings_aggregate_without_exchange(spark, tmp_uri):
     # The same files read as a plain folder (no bucket spec) need the shuffle.
     unbucketed = read_table_projected(spark, t.inputFiles()[0].rsplit("/", 1)[0])
     assert count_operator(unbucketed.groupBy("user_id").count(), "Exchange") == 1
+
+
+def test_sql_forms_keep_the_plan_shape(spark):
+    avg = plan_text(registry.QUERIES["average_rating_per_movie_sql"](spark, SF_SMALL), "simple")
+    join_line = next(i for i, l in enumerate(avg.splitlines()) if "Join" in l)
+    assert "partial_sum" in "\n".join(avg.splitlines()[join_line:])
+    fav = plan_text(registry.QUERIES["favourite_genre_per_user_sql"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in fav and "LeftSemi" in fav
+    assert "TakeOrderedAndProject" in plan_text(registry.QUERIES["top_n_movies_sql"](spark, SF_SMALL))
