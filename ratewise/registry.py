@@ -113,9 +113,9 @@ def _stage_lines(spark: SparkSession, sf: str) -> dict[str, str]:
     """Render the fixture views as raw text files; returns their paths."""
     root = scratch_path(spark, "lines")
     return {
-        "users": write_text_lines(fx.user_lines(spark, sf), f"{root}/u.user"),
-        "ratings": write_text_lines(fx.rating_lines(spark, sf), f"{root}/u.data"),
-        "items": write_text_lines(fx.item_lines(spark, sf), f"{root}/u.item"),
+        "users": write_text_lines(fx.user_lines(spark, sf), f"{root}/user_lines"),
+        "ratings": write_text_lines(fx.rating_lines(spark, sf), f"{root}/rating_lines"),
+        "items": write_text_lines(fx.item_lines(spark, sf), f"{root}/item_lines"),
     }
 
 
@@ -140,25 +140,25 @@ def q_scan_text_lines(spark, sf):
 
 @register("parse_pipe_users", W(o.USERS) + f"SELECT {USER_COLS} FROM users")
 def q_parse_pipe_users(spark, sf):
-    path = write_text_lines(fx.user_lines(spark, sf), scratch_path(spark, "u.user"))
+    path = write_text_lines(fx.user_lines(spark, sf), scratch_path(spark, "user_lines"))
     return parse_pipe_users(scan_text_lines(spark, path))
 
 
 @register("parse_ws_ratings", W(o.RATINGS) + f"SELECT {RATING_COLS} FROM ratings")
 def q_parse_ws_ratings(spark, sf):
-    path = write_text_lines(fx.rating_lines(spark, sf), scratch_path(spark, "u.data"))
+    path = write_text_lines(fx.rating_lines(spark, sf), scratch_path(spark, "rating_lines"))
     return parse_ws_ratings(scan_text_lines(spark, path))
 
 
 @register("parse_item_wide", W(o.movies_wide()) + "SELECT * FROM movies_wide")
 def q_parse_item_wide(spark, sf):
-    path = write_text_lines(fx.item_lines(spark, sf), scratch_path(spark, "u.item"))
+    path = write_text_lines(fx.item_lines(spark, sf), scratch_path(spark, "item_lines"))
     return parse_item_wide(scan_text_lines(spark, path), fx.FIXTURE_GENRES)
 
 
 @register("parse_item_genres", W(o.movies()) + MOVIES_JOINED)
 def q_parse_item_genres(spark, sf):
-    path = write_text_lines(fx.item_lines(spark, sf), scratch_path(spark, "u.item"))
+    path = write_text_lines(fx.item_lines(spark, sf), scratch_path(spark, "item_lines"))
     return joined(parse_item_genres(scan_text_lines(spark, path), fx.FIXTURE_GENRES))
 
 
@@ -457,9 +457,9 @@ def q_validate_stored_counts(spark, sf):
                            ("ratings", "clean_ratings"), ("movies", "part"))))
 def q_ingest_clean_store(spark, sf):
     root = scratch_path(spark, "raw")
-    users = write_text_lines(fx.user_lines(spark, sf), f"{root}/u.user")
-    ratings = write_text_lines(fx.rating_lines(spark, sf, dirty=True), f"{root}/u.data")
-    items = write_text_lines(fx.item_lines(spark, sf), f"{root}/u.item")
+    users = write_text_lines(fx.user_lines(spark, sf), f"{root}/user_lines")
+    ratings = write_text_lines(fx.rating_lines(spark, sf, dirty=True), f"{root}/rating_lines")
+    items = write_text_lines(fx.item_lines(spark, sf), f"{root}/item_lines")
     return ingest_clean_store(spark, users, ratings, items, Store(scratch_path(spark, "store")),
                               fx.FIXTURE_GENRES)
 

@@ -9,9 +9,9 @@ from tests.conftest import SF_SMALL
 
 def test_ingest_then_reports(spark, tmp_uri):
     root = tmp_uri("raw")
-    u = write_text_lines(fx.user_lines(spark, SF_SMALL), f"{root}/u.user")
-    r = write_text_lines(fx.rating_lines(spark, SF_SMALL, dirty=True), f"{root}/u.data")
-    i = write_text_lines(fx.item_lines(spark, SF_SMALL), f"{root}/u.item")
+    u = write_text_lines(fx.user_lines(spark, SF_SMALL), f"{root}/user_lines")
+    r = write_text_lines(fx.rating_lines(spark, SF_SMALL, dirty=True), f"{root}/rating_lines")
+    i = write_text_lines(fx.item_lines(spark, SF_SMALL), f"{root}/item_lines")
     store = Store(tmp_uri("store"))
     counts = dict((row.dataset, row.row_count) for row in
                   ingest_clean_store(spark, u, r, i, store, fx.FIXTURE_GENRES).collect())
@@ -36,9 +36,9 @@ def test_ingest_then_reports(spark, tmp_uri):
 def test_ingest_clustered_ratings(spark, tmp_uri):
     import uuid
     root = tmp_uri("raw")
-    u = write_text_lines(fx.user_lines(spark, SF_SMALL), f"{root}/u.user")
-    r = write_text_lines(fx.rating_lines(spark, SF_SMALL), f"{root}/u.data")
-    i = write_text_lines(fx.item_lines(spark, SF_SMALL), f"{root}/u.item")
+    u = write_text_lines(fx.user_lines(spark, SF_SMALL), f"{root}/user_lines")
+    r = write_text_lines(fx.rating_lines(spark, SF_SMALL), f"{root}/rating_lines")
+    i = write_text_lines(fx.item_lines(spark, SF_SMALL), f"{root}/item_lines")
     store = Store(tmp_uri("store"))
     prefix = f"c{uuid.uuid4().hex[:6]}_"
     counts = dict((row.dataset, row.row_count) for row in ingest_clean_store(
