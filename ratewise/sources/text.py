@@ -44,6 +44,17 @@ def write_text_lines(lines: DataFrame, path: str, column: str = "value") -> str:
     return path
 
 
+def _split_once(lines: DataFrame, parts: Column) -> DataFrame:
+    """One row per line holding the split fields as ``_parts``.
+
+    The split comes out of a generator: Catalyst pushes a later filter on a
+    parsed field (such as a cleaner's key check) below a projection by
+    substituting the expression, so the split would run once more per filtered
+    field; it does not push such a filter below a generator, so the split runs
+    once per line."""
+    return lines.select(F.explode(F.array(parts)).alias("_parts"))
+
+
 def _get(parts: Column, index: int, required: bool) -> Column:
     return field(parts, index) if required else optional_field(parts, index)
 
@@ -51,9 +62,10 @@ def _get(parts: Column, index: int, required: bool) -> Column:
 def parse_pipe_users(lines: DataFrame, delimiter: str = "|", lenient: bool = False) -> DataFrame:
     """``user_id|age|gender|occupation|zip_code`` -> users schema.
     Blank text fields stay blank strings (not NULL); zip codes stay strings."""
-    parts = split_delimited(F.col("value"), delimiter)
+    split = _split_once(lines, split_delimited(F.col("value"), delimiter))
+    parts = F.col("_parts")
     req = not lenient
-    return lines.select(
+    return split.select(
         strict_cast(_get(parts, 0, req), "bigint", lenient).alias("user_id"),
         strict_cast(_get(parts, 1, req), "int", lenient).alias("age"),
         _get(parts, 2, req).alias("gender"),
@@ -65,9 +77,10 @@ def parse_pipe_users(lines: DataFrame, delimiter: str = "|", lenient: bool = Fal
 def parse_ws_ratings(lines: DataFrame, lenient: bool = False) -> DataFrame:
     """S3: ``user movie rating timestamp`` separated by any whitespace run
     (tabs or spaces, leading/trailing blanks ignored) -> ratings schema."""
-    parts = split_whitespace(F.col("value"))
+    split = _split_once(lines, split_whitespace(F.col("value")))
+    parts = F.col("_parts")
     req = not lenient
-    return lines.select(
+    return split.select(
         strict_cast(_get(parts, 0, req), "bigint", lenient).alias("user_id"),
         strict_cast(_get(parts, 1, req), "bigint", lenient).alias("movie_id"),
         strict_cast(_get(parts, 2, req), "int", lenient).alias("rating"),
@@ -75,8 +88,8 @@ def parse_ws_ratings(lines: DataFrame, lenient: bool = False) -> DataFrame:
     )
 
 
-def _item_parts(delimiter: str) -> Column:
-    return split_delimited(F.col("value"), delimiter)
+def _item_parts(lines: DataFrame, delimiter: str) -> DataFrame:
+    return _split_once(lines, split_delimited(F.col("value"), delimiter))
 
 
 def _item_descriptive(parts: Column, lenient: bool) -> list[Column]:
@@ -103,16 +116,16 @@ def parse_item_wide(lines: DataFrame, vocabulary: Sequence[str] = schemas.DEFAUL
                     delimiter: str = "|", lenient: bool = False) -> DataFrame:
     """Item line -> five descriptive columns + one int flag column per
     vocabulary name (flag i is field 5 + i)."""
-    parts = _item_parts(delimiter)
+    split, parts = _item_parts(lines, delimiter), F.col("_parts")
     flags = _item_flags(parts, vocabulary, lenient)
-    return lines.select(*_item_descriptive(parts, lenient), *[c.alias(n) for n, c in flags])
+    return split.select(*_item_descriptive(parts, lenient), *[c.alias(n) for n, c in flags])
 
 
 def parse_item_genres(lines: DataFrame, vocabulary: Sequence[str] = schemas.DEFAULT_GENRES,
                       delimiter: str = "|", lenient: bool = False) -> DataFrame:
     """Item line -> document form: descriptive columns + ``genres``, the
     names whose flag is 1, in vocabulary order."""
-    parts = _item_parts(delimiter)
+    split, parts = _item_parts(lines, delimiter), F.col("_parts")
     flags = _item_flags(parts, vocabulary, lenient)
-    return lines.select(*_item_descriptive(parts, lenient),
+    return split.select(*_item_descriptive(parts, lenient),
                         flag_names_array(flags).alias("genres"))
