@@ -29,8 +29,15 @@ def load_table_overwrite(df: DataFrame, path: str, schema: T.StructType | None =
                          options: Mapping[str, str] | None = None) -> str:
     """K1: replace the table at ``path`` with ``df`` (truncate + load).  With
     ``partition_by`` the files are laid out by those columns, so a later
-    equality filter on them prunes whole folders (``PartitionFilters``)."""
+    equality filter on them prunes whole folders (``PartitionFilters``).
+
+    A partitioned write first rebalances rows on the partition columns: each
+    folder then gets a few large files instead of one small file per writer
+    task, and AQE still splits a value that holds a large share of the rows
+    over several tasks."""
     out = conform(df, schema) if schema is not None else df
+    if partition_by:
+        out = out.hint("rebalance", *partition_by)
     writer = out.write.mode("overwrite").format(fmt).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -73,3 +73,21 @@ def test_validate_counts(spark):
                                     {"a": 3, "b": spark.range(5)})
     got = sorted(tuple(r) for r in report.collect())
     assert got == [("a", 3, 3, True), ("b", 5, 2, False)]
+
+
+def test_partitioned_write_rebalances_and_prunes(spark, tmp_uri):
+    import glob
+    import os
+
+    from ratewise import fixtures as fx
+    from ratewise.session import local_path
+    from tests.conftest import SF_SMALL
+    users = fx.users(spark, SF_SMALL)
+    path = load_table_overwrite(users, tmp_uri("users"), schemas.USERS, partition_by=["occupation"])
+    folders = [d for d in os.listdir(local_path(path)) if d.startswith("occupation=")]
+    assert len(folders) == 5
+    for d in folders:  # a few files per value, not one per writer task
+        assert len(glob.glob(os.path.join(local_path(path), d, "*.parquet"))) <= 2
+    back = read_table_projected(spark, path)
+    assert sorted(map(tuple, back.select(*schemas.USERS.names).collect())) == \
+        sorted(map(tuple, users.collect()))
