@@ -469,7 +469,7 @@ def q_ingest_clean_store(spark, sf):
 def q_ratings_report(spark, sf):
     """Runs Tasks 1+2 against a store; returns the stored top-10 table."""
     store = _stage_store(spark, sf)
-    ratings_report(spark, store, 10).collect()
+    ratings_report(spark, store, 10)  # writes both results; the report stays lazy
     return store.read(spark, "top_10_movies")
 
 
@@ -478,7 +478,7 @@ def q_ratings_report(spark, sf):
           + "SELECT * FROM user_favourite_genres")
 def q_favourite_genre_report(spark, sf):
     store = _stage_store(spark, sf)
-    favourite_genre_report(spark, store, 50).collect()
+    favourite_genre_report(spark, store, 50)
     return store.read(spark, "user_favourite_genres")
 
 
@@ -488,7 +488,7 @@ def q_favourite_genre_report(spark, sf):
           + f"SELECT 'scientist_users' AS segment, {USER_COLS} FROM scientist_users")
 def q_user_filter_report(spark, sf):
     store = _stage_store(spark, sf)
-    user_filter_report(spark, store, 20, fx.FIXTURE_OCCUPATION, 30, 40).collect()
+    user_filter_report(spark, store, 20, fx.FIXTURE_OCCUPATION, 30, 40)
     return (store.read(spark, "young_users").select(F.lit("young_users").alias("segment"), "*")
             .unionByName(store.read(spark, "scientist_users")
                          .select(F.lit("scientist_users").alias("segment"), "*")))
