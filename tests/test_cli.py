@@ -1,0 +1,29 @@
+"""The command-line jobs, run in-process on the smallest fixture."""
+
+from ratewise import fixtures as fx
+from ratewise.cli import run
+from ratewise.sources import write_text_lines
+from tests.conftest import SF_SMALL
+
+
+def test_cli_jobs_end_to_end(spark, tmp_uri):
+    root = tmp_uri("raw")
+    u = write_text_lines(fx.user_lines(spark, SF_SMALL), f"{root}/users")
+    r = write_text_lines(fx.rating_lines(spark, SF_SMALL, dirty=True), f"{root}/ratings")
+    i = write_text_lines(fx.item_lines(spark, SF_SMALL), f"{root}/items")
+    genres = ",".join(fx.FIXTURE_GENRES)
+    store = tmp_uri("store")
+    raw = ["--users", u, "--ratings", r, "--items", i, "--genres", genres]
+    ingest = dict(map(tuple, run(["ingest", *raw, "--store", store], spark).collect()))
+    assert ingest["users"] == 137 and ingest["movies"] == 200
+    rep = dict(map(tuple, run(["ratings-report", "--store", store, "--top", "5"], spark).collect()))
+    assert rep["top_10_movies"] == 5
+    fav = dict(map(tuple, run(["favourite-genre", "--store", store, "--min-ratings", "10"], spark).collect()))
+    assert fav["user_favourite_genres"] > 0
+    seg = dict(map(tuple, run(["user-filters", "--store", store, "--occupation", "building"], spark).collect()))
+    assert seg == {"young_users": 31, "scientist_users": 3}
+    prof = run(["profile", *raw], spark).collect()
+    total = {(p.dataset, p.metric): p.value for p in prof if p.column_name is None}
+    assert total[("users", "total_rows")] == 150 and total[("users_clean", "total_rows")] == 137
+    assert total[("ratings", "duplicate_rows")] > 0
+    assert len(run(["preview", "--path", u, "-n", "3"], spark).collect()) == 3
