@@ -3,10 +3,9 @@
 All of these are single declarative plans.  The profile is one pass with one
 conditional sum per column; the duplicate check counts total and distinct rows
 from one grouped aggregate (map-side combined, so even a group of copies holding
-a third of all rows collapses before the shuffle); the key-wise dedup keeps the
-first row per key in a total order, which Spark runs as a two-phase top-1
-(``WindowGroupLimit`` before and after the exchange).
-"""
+a third of all rows collapses before the shuffle); ``profile_summary`` gives
+both from that one grouped pass.  The key-wise dedup keeps the first row per
+key in a total order, also as a map-side combined aggregate."""
 
 from __future__ import annotations
 
