@@ -57,13 +57,14 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--store", required=True)
         sp.add_argument("--table-format", default="parquet")
         sp.add_argument("--document-format", default="json")
+        sp.add_argument("--table-prefix", default=None,
+                        help="read tables registered in the catalog under this prefix")
 
     ing = sub.add_parser("ingest", help="parse, clean and store users, ratings, movies")
     raw(ing)
     store(ing)
     ing.add_argument("--buckets", type=int, default=0,
                      help="store ratings bucketed by user into N buckets")
-    ing.add_argument("--table-prefix", default="")
 
     rr = sub.add_parser("ratings-report", help="Tasks 1 and 2")
     store(rr)
@@ -91,7 +92,7 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _store(args: argparse.Namespace) -> Store:
-    return Store(args.store, args.table_format, args.document_format)
+    return Store(args.store, args.table_format, args.document_format, args.table_prefix)
 
 
 def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame:
@@ -102,7 +103,7 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame:
     if args.job == "ingest":
         return ingest_clean_store(spark, args.users, args.ratings, args.items, _store(args),
                                   tuple(args.genres.split(",")), args.lenient,
-                                  args.buckets or None, args.table_prefix)
+                                  args.buckets or None)
     if args.job == "ratings-report":
         return ratings_report(spark, _store(args), args.top, args.min_count)
     if args.job == "favourite-genre":

@@ -51,11 +51,17 @@ from ..sources import (
 @dataclass(frozen=True)
 class Store:
     """Where the base and result tables live: ``root/<table>``.  Formats are
-    parameters, so another connector can be named by configuration."""
+    parameters, so another connector can be named by configuration.
+
+    With ``table_prefix`` set, a table registered in the session catalog as
+    ``<prefix><name>`` (the bucketed ratings of the ingest) is read through the
+    catalog, which keeps its bucket spec: a later per-user aggregate or join
+    then reads it without an exchange.  Otherwise tables are read by path."""
 
     root: str
     table_format: str = "parquet"
     document_format: str = "json"
+    table_prefix: str | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -66,6 +72,9 @@ class Store:
 
     def read(self, spark: SparkSession, name: str,
              columns: Sequence[str] | None = None) -> DataFrame:
+        if self.table_prefix is not None and spark.catalog.tableExists(self.table_prefix + name):
+            df = spark.table(self.table_prefix + name)
+            return df.select(*columns) if columns else df
         return read_table_projected(spark, self.path(name), columns, fmt=self.table_format)
 
     def write_movies(self, movies: DataFrame) -> str:
@@ -83,12 +92,15 @@ def _report(spark: SparkSession, store: Store, names: Sequence[str]) -> DataFram
 def ingest_clean_store(spark: SparkSession, user_path: str, rating_path: str, item_path: str,
                        store: Store, vocabulary: Sequence[str] = schemas.DEFAULT_GENRES,
                        lenient: bool = False, rating_buckets: int | None = None,
-                       table_prefix: str = "") -> DataFrame:
+                       table_prefix: str | None = None) -> DataFrame:
     """Raw lines -> parse -> clean -> store (users and ratings as tables,
     movies as documents) -> counts of raw lines and of the stored tables.
 
     With ``rating_buckets`` the ratings table is written clustered by user
-    (K4) and registered as ``<prefix>ratings``."""
+    (K4) and registered as ``<prefix>ratings`` (prefix: ``table_prefix``, else
+    the store's, else none); a store with that prefix reads it back through
+    the catalog."""
+    prefix = table_prefix if table_prefix is not None else (store.table_prefix or "")
     raw = {"users": scan_text_lines(spark, user_path),
            "ratings": scan_text_lines(spark, rating_path),
            "movies": scan_text_lines(spark, item_path)}
@@ -97,7 +109,7 @@ def ingest_clean_store(spark: SparkSession, user_path: str, rating_path: str, it
     movies = clean_movies(parse_item_genres(raw["movies"], vocabulary, lenient=lenient))
     store.write(users, "users")
     if rating_buckets:
-        write_clustered_by_key(conform(ratings, schemas.RATINGS), f"{table_prefix}ratings",
+        write_clustered_by_key(conform(ratings, schemas.RATINGS), f"{prefix}ratings",
                                store.path("ratings"), buckets=rating_buckets,
                                fmt=store.table_format)
     else:

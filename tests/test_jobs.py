@@ -55,3 +55,24 @@ def test_profile_raw_shape(spark):
     assert metrics[("users", "duplicate_rows", None)] == 0
     assert metrics[("orders", "missing", "o_orderstatus")] > 0
     assert metrics[("orders", "missing", "o_orderpriority")] > 0
+
+
+def test_bucketed_store_is_read_through_the_catalog(spark, tmp_uri):
+    import uuid
+
+    from ratewise.operators import active_users
+    from ratewise.plans import count_operator
+    root = tmp_uri("raw")
+    u = write_text_lines(fx.user_lines(spark, SF_SMALL), f"{root}/users")
+    r = write_text_lines(fx.rating_lines(spark, SF_SMALL), f"{root}/ratings")
+    i = write_text_lines(fx.item_lines(spark, SF_SMALL), f"{root}/items")
+    store = Store(tmp_uri("store"), table_prefix=f"b{uuid.uuid4().hex[:6]}_")
+    ingest_clean_store(spark, u, r, i, store, fx.FIXTURE_GENRES, rating_buckets=4).collect()
+    ratings = store.read(spark, "ratings", ["user_id", "movie_id"])
+    assert count_operator(active_users(ratings, 10), "Exchange") == 0
+    by_path = Store(store.root).read(spark, "ratings", ["user_id", "movie_id"])
+    assert count_operator(active_users(by_path, 10), "Exchange") == 1
+    assert sorted(map(tuple, active_users(ratings, 10).collect())) == \
+        sorted(map(tuple, active_users(by_path, 10).collect()))
+    fav = favourite_genre_report(spark, store, 10).collect()
+    assert fav[0].row_count > 0
