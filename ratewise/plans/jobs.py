@@ -99,7 +99,11 @@ def ingest_clean_store(spark: SparkSession, user_path: str, rating_path: str, it
     With ``rating_buckets`` the ratings table is written clustered by user
     (K4) and registered as ``<prefix>ratings`` (prefix: ``table_prefix``, else
     the store's, else none); a store with that prefix reads it back through
-    the catalog."""
+    the catalog.
+
+    The raw line counts are one extra scan of the text files.  Counting during
+    the write (``observe``) would save it, but metrics from a map stage can be
+    counted twice when a lost executor forces the stage to run again."""
     prefix = table_prefix if table_prefix is not None else (store.table_prefix or "")
     raw = {"users": scan_text_lines(spark, user_path),
            "ratings": scan_text_lines(spark, rating_path),
