@@ -75,6 +75,11 @@ class Store:
         if self.table_prefix is not None and spark.catalog.tableExists(self.table_prefix + name):
             df = spark.table(self.table_prefix + name)
             return df.select(*columns) if columns else df
+        # The stored schema is known: no inference job over the files' footers.
+        schema = schemas.TABLES.get(name)
+        if schema is not None and self.table_format in ("parquet", "orc", "json"):
+            return read_table_projected(spark, self.path(name), columns,
+                                        fmt=self.table_format, schema=schema)
         return read_table_projected(spark, self.path(name), columns, fmt=self.table_format)
 
     def write_movies(self, movies: DataFrame) -> str:
