@@ -53,6 +53,7 @@ from .plans.jobs import (
 )
 from .plans.views import average_rating_sql, favourite_genre_sql, register_views, top_movies_sql
 from .session import scratch_path
+from .streaming import read_keyed_ratings, start_ratings_ingest
 from .sinks import (
     conform,
     load_documents_overwrite,
@@ -446,6 +447,24 @@ def q_validate_stored_counts(spark, sf):
     return validate_store(spark, store, {"users": users, "ratings": ratings, "movies": movies})
 
 
+# --- streaming: the incremental ratings load ------------------------------------------
+
+@register("incremental_ingest_ratings",
+          W(o.RATINGS) + f"""SELECT {RATING_COLS} FROM (
+              SELECT *, row_number() OVER (PARTITION BY user_id, movie_id, "timestamp"
+                                          ORDER BY rating ASC NULLS FIRST) AS rn
+              FROM ratings) d WHERE rn = 1""")
+def q_incremental_ingest_ratings(spark, sf):
+    """Two arrivals through the stream: the dirty rating lines, then the clean
+    ones for the same keys; the second batch wins every key."""
+    src, table, ckpt = (scratch_path(spark, n) for n in ("incoming", "ratings", "ckpt"))
+    write_text_lines(fx.rating_lines(spark, sf, dirty=True), f"{src}/arrival-1")
+    start_ratings_ingest(spark, src, table, ckpt).awaitTermination()
+    write_text_lines(fx.rating_lines(spark, sf), f"{src}/arrival-2")
+    start_ratings_ingest(spark, src, table, ckpt).awaitTermination()
+    return read_keyed_ratings(spark, table)
+
+
 # --- C: composite jobs ---------------------------------------------------------------
 
 @register("ingest_clean_store",
