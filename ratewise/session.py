@@ -35,13 +35,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a local one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="ratewise-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
-    return root
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local-mode session (tests, a laptop) without one gets a folder of
+    our own; on a cluster a machine-local folder would not be visible to the
+    executors, so an unset setting is an error there."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if root:
+        return root
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                           "object store): intermediate tables are written below it")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="ratewise-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
