@@ -7,6 +7,7 @@
                               [--min-age 30] [--age-limit 40]
     ratewise profile  --users U --ratings R --items I
     ratewise preview  --path P [-n 5]
+    ratewise ddl      --store ROOT [--table-format parquet] [--table-prefix P]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so the master
 and every setting are whatever ``spark-submit`` (or the environment) gives.
@@ -30,6 +31,7 @@ from .plans.jobs import (
     ratings_report,
     user_filter_report,
 )
+from .sinks import result_tables_ddl
 from .sources import (
     parse_item_wide,
     parse_pipe_users,
@@ -85,6 +87,11 @@ def _parser() -> argparse.ArgumentParser:
     pr = sub.add_parser("profile", help="missing values and duplicates of the raw files")
     raw(pr)
 
+    dd = sub.add_parser("ddl", help="print the DDL of the base and result tables")
+    dd.add_argument("--store", required=True)
+    dd.add_argument("--table-format", default="parquet")
+    dd.add_argument("--table-prefix", default="")
+
     pv = sub.add_parser("preview", help="first lines of a text file")
     pv.add_argument("--path", required=True)
     pv.add_argument("-n", type=int, default=5)
@@ -127,5 +134,9 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame:
 
 def main(argv: Sequence[str] | None = None) -> None:
     import sys
-    report = run(sys.argv[1:] if argv is None else argv)
-    report.show(100, truncate=False)
+    argv = list(sys.argv[1:] if argv is None else argv)
+    if argv[:1] == ["ddl"]:  # plain text, no session needed
+        args = _parser().parse_args(argv)
+        print(result_tables_ddl(args.store, fmt=args.table_format, prefix=args.table_prefix))
+        return
+    run(argv).show(100, truncate=False)

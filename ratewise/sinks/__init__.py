@@ -6,6 +6,7 @@ from .tables import (
     conform,
     create_result_tables,
     load_table_overwrite,
+    result_tables_ddl,
     upsert_by_key,
     upsert_frames,
     write_clustered_by_key,
@@ -14,5 +15,5 @@ from .validate import validate_stored_counts
 
 __all__ = [
     "conform", "create_result_tables", "load_documents_overwrite", "load_table_overwrite",
-    "upsert_by_key", "upsert_frames", "validate_stored_counts", "write_clustered_by_key",
+    "result_tables_ddl", "upsert_by_key", "upsert_frames", "validate_stored_counts", "write_clustered_by_key",
 ]

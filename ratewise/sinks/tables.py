@@ -93,8 +93,17 @@ def write_clustered_by_key(df: DataFrame, table_name: str, path: str,
     return df.sparkSession.table(table_name)
 
 
-def _ddl_type(t: T.DataType) -> str:
-    return t.simpleString()
+def result_tables_ddl(root: str, tables: Mapping[str, T.StructType] = schemas.TABLES,
+                      fmt: str = "parquet", prefix: str = "") -> str:
+    """The Spark SQL text that drops and creates every table at ``root/<name>``
+    (to keep as a ``.sql`` file or run with ``spark.sql``)."""
+    stmts = []
+    for name, schema in tables.items():
+        cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        stmts.append(f"DROP TABLE IF EXISTS `{prefix}{name}`;\n"
+                     f"CREATE TABLE `{prefix}{name}` (\n  {cols}\n) USING {fmt} "
+                     f"LOCATION '{root.rstrip('/')}/{name}';")
+    return "\n\n".join(stmts) + "\n"
 
 
 def create_result_tables(spark: SparkSession, root: str,
@@ -102,11 +111,7 @@ def create_result_tables(spark: SparkSession, root: str,
                          fmt: str = "parquet", prefix: str = "") -> list[str]:
     """K5: drop-if-exists and create each table (empty, fixed schema) at
     ``root/<name>``.  Returns the catalog names."""
-    created = []
-    for name, schema in tables.items():
-        full = f"{prefix}{name}"
-        cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in schema.fields)
-        spark.sql(f"DROP TABLE IF EXISTS `{full}`")
-        spark.sql(f"CREATE TABLE `{full}` ({cols}) USING {fmt} LOCATION '{root}/{name}'")
-        created.append(full)
-    return created
+    for stmt in result_tables_ddl(root, tables, fmt, prefix).split(";"):
+        if stmt.strip():
+            spark.sql(stmt)
+    return [f"{prefix}{name}" for name in tables]
