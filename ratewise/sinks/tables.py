@@ -48,8 +48,11 @@ def load_table_overwrite(df: DataFrame, path: str, schema: T.StructType | None =
 def upsert_frames(current: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K2 as a plan: rows of ``updates`` win over ``current`` rows with an equal
     key; within ``updates`` one row per key is kept (the first in a total
-    order).  A small update batch is broadcast by AQE, so the stored side is
-    then scanned but never shuffled."""
+    order).  When the planner estimates the update batch under the broadcast
+    threshold, the anti-join broadcasts it and the stored side is only
+    scanned; otherwise both sides are hash-partitioned on the key (keys are
+    unique, so no key is hot) and AQE may still switch to a broadcast once the
+    batch's size is measured."""
     keys = list(keys)
     fresh = dedup_by_key(updates.select(*current.columns), keys)
     kept = current.join(fresh.select(*keys), keys, "left_anti")
