@@ -55,7 +55,7 @@ def upsert_frames(current: DataFrame, updates: DataFrame, keys: Sequence[str]) -
     batch's size is measured."""
     keys = list(keys)
     fresh = dedup_by_key(updates.select(*current.columns), keys)
-    kept = current.join(fresh.select(*keys), keys, "left_anti")
+    kept = current.join(fresh.select(*keys), keys, "left_anti").select(*current.columns)
     return kept.unionByName(fresh)
 
 

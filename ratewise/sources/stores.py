@@ -28,17 +28,23 @@ def read_documents_defaulted(spark: SparkSession, path: str, fmt: str = "json",
                              schema: T.StructType = schemas.MOVIES,
                              options: Mapping[str, str] | None = None) -> DataFrame:
     """Read documents with a fixed schema.  A missing field reads as NULL,
-    a missing or null ``genres`` becomes ``[]``, and a document without
-    ``movie_id`` fails the job (the id is required)."""
-    df = spark.read.format(fmt).options(**(options or {})).schema(schema).load(path)
-    movie_id = F.when(F.col("movie_id").isNotNull(), F.col("movie_id")).otherwise(
-        F.raise_error(F.lit("document without movie_id")).cast("bigint"))
+    a missing or null ``genres`` becomes ``[]``, and ``movie_id`` is required:
+    it is read as text and cast strictly, so ``2`` and ``"2"`` both give 2,
+    while a document without it, or with a non-numeric one, fails the job."""
+    id_type = schema["movie_id"].dataType
+    read_schema = T.StructType([
+        T.StructField(f.name, T.StringType(), True) if f.name == "movie_id" else f
+        for f in schema.fields])
+    df = spark.read.format(fmt).options(**(options or {})).schema(read_schema).load(path)
+    raw_id = F.col("movie_id")
+    movie_id = F.when(raw_id.isNotNull(), raw_id.cast(id_type)).otherwise(
+        F.raise_error(F.lit("document without movie_id")).cast(id_type))
     cols = []
     for f in schema.fields:
         if f.name == "movie_id":
             cols.append(movie_id.alias("movie_id"))
         elif f.name == "genres":
-            cols.append(F.coalesce(F.col("genres"), F.array().cast("array<string>")).alias("genres"))
+            cols.append(F.coalesce(F.col("genres"), F.array().cast(f.dataType)).alias("genres"))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
