@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,10 +31,19 @@ def split_whitespace(col: Column | str) -> Column:
         F.split(single, " ", -1))
 
 
+def _ansi() -> bool:
+    spark = SparkSession.getActiveSession()
+    return spark is None or spark.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
+
+
 def field(parts: Column, index: int) -> Column:
-    """Required field: indexing past the end raises (ANSI), as a short line must
-    fail the job."""
-    return parts[index]
+    """Required field: a line too short to have it fails the job.  Under ANSI
+    mode (the default) plain indexing already raises; otherwise the length is
+    checked explicitly."""
+    if _ansi():
+        return parts[index]
+    return F.when(F.size(parts) > index, F.get(parts, index)).otherwise(
+        F.raise_error(F.lit(f"line has no field {index}")).cast("string"))
 
 
 def optional_field(parts: Column, index: int) -> Column:
@@ -43,10 +52,17 @@ def optional_field(parts: Column, index: int) -> Column:
 
 
 def strict_cast(col: Column, dtype: str, lenient: bool = False) -> Column:
-    """String to number.  Strict (ANSI) raises on malformed text; lenient mode
-    yields ``NULL``.  Surrounding whitespace is tolerated by Spark's cast, as by
-    Python's ``int()``."""
-    return col.try_cast(dtype) if lenient else col.cast(dtype)
+    """String to number, tolerating surrounding whitespace like Python's
+    ``int()``.  Strict mode fails the job on malformed text: the ANSI cast
+    raises by itself; without ANSI the check is explicit.  Lenient mode yields
+    ``NULL``."""
+    if lenient:
+        return col.try_cast(dtype)
+    if _ansi():
+        return col.cast(dtype)
+    value = col.try_cast(dtype)
+    return F.when(col.isNull() | value.isNotNull(), value).otherwise(
+        F.raise_error(F.concat(F.lit(f"not a valid {dtype}: '"), col, F.lit("'"))).cast(dtype))
 
 
 def blank_or_null(col: Column | str) -> Column:

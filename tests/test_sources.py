@@ -160,3 +160,16 @@ def test_select_all_limit_is_top_n(spark):
     out = select_all_limit(df, 5, ["k"])
     assert "TakeOrderedAndProject" in plan_text(out)
     assert [r.k for r in out.collect()] == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("bad", ["3|30|M|writer", "4|abc|M|writer|12345"])
+def test_strict_parsing_without_ansi_mode(spark, bad):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(PySparkException, match="line has no field|not a valid"):
+            parse_pipe_users(lines(spark, bad)).collect()
+        ok = parse_pipe_users(lines(spark, "1|24|M|technician|85711")).collect()
+        assert tuple(ok[0]) == (1, 24, "M", "technician", "85711")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
