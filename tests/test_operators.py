@@ -87,6 +87,9 @@ def test_clean_users_dedup_before_range_filter(spark):
     df = users_df(spark, [(1, 0, "M", "a", "1"), (1, 25, "M", "a", "1"), (2, 100, "F", "a", "1"),
                           (3, 101, "F", "a", "1"), (None, 30, "F", "a", "1"), (4, None, "M", "a", "1")])
     assert sorted(r.user_id for r in clean_users(df).collect()) == [2]
+    # The kept duplicate (age 25 sorts before 200) is valid, so user 6 stays.
+    kept = users_df(spark, [(6, 200, "M", "a", "1"), (6, 25, "F", "a", "1")])
+    assert [tuple(r) for r in clean_users(kept).collect()] == [(6, 25, "F", "a", "1")]
 
 
 def test_clean_ratings(spark):
