@@ -90,3 +90,11 @@ def test_document_with_non_numeric_id_fails(spark, tmp_uri):
     write_text_lines(spark.createDataFrame([('{"movie_id": "x1", "movie_title": "A"}',)], "value string"), path)
     with pytest.raises(PySparkException):
         read_documents_defaulted(spark, path).collect()
+
+
+def test_store_in_another_format(spark, tmp_uri):
+    store = Store(tmp_uri("orc"), table_format="orc")
+    df = ratings(spark, [(1, 1, 3, 1), (2, 2, 4, 2)])
+    store.write(df, "ratings")
+    back = store.read(spark, "ratings", ["movie_id", "rating"])
+    assert sorted(map(tuple, back.collect())) == [(1, 3), (2, 4)]
