@@ -247,3 +247,14 @@ def test_profile_summary_matches_separate_operators(spark):
     assert (got[("total_rows", None)], got[("distinct_rows", None)], got[("duplicate_rows", None)]) == tuple(dup)
     empty = {(r.metric, r.column_name): r.value for r in profile_summary(users_df(spark, [])).collect()}
     assert empty[("missing", "age")] is None and empty[("total_rows", None)] == 0
+
+
+def test_ordered_previews(spark):
+    ratings = ratings_df(spark, [(u, m, (u + m) % 5 + 1, t) for u in (3, 1, 2) for m in (9, 4, 7) for t in range(2)])
+    movies = movies_df(spark, [movie(m, f"t{m}", ["A", "B"] if m % 2 else ["A"]) for m in (9, 4, 7)])
+    avg = average_rating_per_movie(ratings, movies, ordered=True).collect()
+    assert [r.movie_id for r in avg] == [4, 7, 9]
+    act = active_users(ratings, 1, ordered=True).collect()
+    assert [r.user_id for r in act] == [1, 2, 3]
+    counts = user_genre_counts(ratings, explode_genres(movies), active_users(ratings, 1))
+    assert [r.user_id for r in favourite_genre_per_user(counts, ordered=True).collect()] == [1, 2, 3]

@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB oracle (sf0.001): row count,
 column names, column types and an order-insensitive value hash."""
 
-
 import pytest
 
 from tests.conftest import SF_SMALL
