@@ -2,7 +2,13 @@
 
 from .aggregates import active_users, average_rating_per_movie, user_genre_counts
 from .filters import project_columns, users_by_occupation_and_age, users_younger_than
-from .joins import join_ratings_active_users, join_ratings_movie_genres, join_ratings_movies
+from .joins import (
+    join_ratings_active_users,
+    join_ratings_movie_genres,
+    join_ratings_movies,
+    measured_bytes,
+    sized_broadcast,
+)
 from .quality import (
     clean_movies,
     clean_ratings,
@@ -20,7 +26,7 @@ __all__ = [
     "active_users", "average_rating_per_movie", "clean_movies", "clean_ratings",
     "clean_users", "dedup_by_key", "duplicate_check", "explode_genres",
     "favourite_genre_per_user", "flags_to_array", "join_ratings_active_users",
-    "join_ratings_movie_genres", "join_ratings_movies", "missing_values_profile",
-    "profile_summary", "project_columns", "record_counts", "top_n_movies", "user_genre_counts",
+    "join_ratings_movie_genres", "join_ratings_movies", "measured_bytes", "missing_values_profile",
+    "profile_summary", "project_columns", "record_counts", "sized_broadcast", "top_n_movies", "user_genre_counts",
     "user_genre_counts_sorted", "users_by_occupation_and_age", "users_younger_than",
 ]

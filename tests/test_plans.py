@@ -84,3 +84,20 @@ def test_sql_forms_keep_the_plan_shape(spark):
     fav = plan_text(registry.QUERIES["favourite_genre_per_user_sql"](spark, SF_SMALL))
     assert "WindowGroupLimit" in fav and "LeftSemi" in fav
     assert "TakeOrderedAndProject" in plan_text(registry.QUERIES["top_n_movies_sql"](spark, SF_SMALL))
+
+
+def test_sized_broadcast_measures_and_chooses(spark):
+    from ratewise.operators import join_ratings_movie_genres, measured_bytes, sized_broadcast
+    genres = spark.createDataFrame([(1, "ab"), (2, "cde"), (3, None)], "movie_id long, genre string")
+    # per row: 8 (id) + bytes of the string + 8, plus 8 row overhead
+    assert measured_bytes(genres) == (8 + 2 + 8 + 8) + (8 + 3 + 8 + 8) + (8 + 0 + 8 + 8)
+    arr = spark.createDataFrame([(1, ["a", "bb"])], "movie_id long, genres array<string>")
+    assert measured_bytes(arr) == 8 + (16 + (1 + 8) + (2 + 8)) + 8
+    assert measured_bytes(spark.createDataFrame([], "movie_id long")) == 0
+    ratings = fx.ratings(spark, SF_SMALL)
+    small = plan_text(join_ratings_movie_genres(ratings, genres))
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    big = plan_text(join_ratings_movie_genres(ratings, genres, max_broadcast_bytes=10))
+    assert "SortMergeJoin" in big
+    mapped = spark.createDataFrame([(1, {"a": 1})], "movie_id long, m map<string,int>")
+    assert measured_bytes(mapped) is None and sized_broadcast(mapped) is mapped
