@@ -203,9 +203,11 @@ def q_missing_values_profile(spark, sf):
 
 @register("duplicate_check",
           W(o.RATINGS_DIRTY)
-          + "SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, CAST(d.n AS BIGINT) AS distinct_rows, "
-          + "CAST(COUNT(*) - d.n AS BIGINT) AS duplicate_rows FROM ratings_dirty, "
-          + "(SELECT COUNT(*) AS n FROM (SELECT DISTINCT * FROM ratings_dirty) x) d GROUP BY d.n")
+          + ", distinct_rows AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT * FROM ratings_dirty) x)\n"
+          + "SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, "
+          + "CAST((SELECT n FROM distinct_rows) AS BIGINT) AS distinct_rows, "
+          + "CAST(COUNT(*) - (SELECT n FROM distinct_rows) AS BIGINT) AS duplicate_rows "
+          + "FROM ratings_dirty")
 def q_duplicate_check(spark, sf):
     return duplicate_check(fx.ratings_dirty(spark, sf))
 
