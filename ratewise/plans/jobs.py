@@ -9,7 +9,8 @@ first one, which cuts the lineage without caching.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,6 +90,16 @@ class Store:
         return read_documents_defaulted(spark, self.path("movies"), fmt=self.document_format)
 
 
+def write_together(*writes: Callable[[], object]) -> list[object]:
+    """Submit independent writes of one job at the same time (one driver
+    thread each, one Spark job each).  A small table's write then uses slots
+    that a big write leaves free, instead of waiting for it; the first error
+    is raised after all have finished."""
+    with ThreadPoolExecutor(max_workers=max(1, len(writes))) as pool:
+        futures = [pool.submit(w) for w in writes]
+    return [f.result() for f in futures]
+
+
 def _report(spark: SparkSession, store: Store, names: Sequence[str]) -> DataFrame:
     return record_counts({n: (store.read_movies(spark) if n == "movies" else store.read(spark, n))
                           for n in names})
@@ -116,14 +127,16 @@ def ingest_clean_store(spark: SparkSession, user_path: str, rating_path: str, it
     users = clean_users(parse_pipe_users(raw["users"], lenient=lenient))
     ratings = clean_ratings(parse_ws_ratings(raw["ratings"], lenient=lenient))
     movies = clean_movies(parse_item_genres(raw["movies"], vocabulary, lenient=lenient))
-    store.write(users, "users")
     if rating_buckets:
-        write_clustered_by_key(conform(ratings, schemas.RATINGS), f"{prefix}ratings",
-                               store.path("ratings"), buckets=rating_buckets,
-                               fmt=store.table_format)
+        def write_ratings() -> object:
+            return write_clustered_by_key(conform(ratings, schemas.RATINGS), f"{prefix}ratings",
+                                          store.path("ratings"), buckets=rating_buckets,
+                                          fmt=store.table_format)
     else:
-        store.write(ratings, "ratings")
-    store.write_movies(movies)
+        def write_ratings() -> object:
+            return store.write(ratings, "ratings")
+    write_together(lambda: store.write(users, "users"), write_ratings,
+                   lambda: store.write_movies(movies))
     counts = {f"raw_{k}": v for k, v in raw.items()}
     counts.update({"users": store.read(spark, "users"), "ratings": store.read(spark, "ratings"),
                    "movies": store.read_movies(spark)})
@@ -158,9 +171,10 @@ def user_filter_report(spark: SparkSession, store: Store, max_age_exclusive: int
                        max_age: int = 40) -> DataFrame:
     """C4 (Tasks 4 and 5): two user segments from the stored users."""
     users = store.read(spark, "users")
-    store.write(users_younger_than(users, max_age_exclusive), "young_users")
-    store.write(users_by_occupation_and_age(users, occupation, min_age, max_age),
-                "scientist_users")
+    write_together(
+        lambda: store.write(users_younger_than(users, max_age_exclusive), "young_users"),
+        lambda: store.write(users_by_occupation_and_age(users, occupation, min_age, max_age),
+                            "scientist_users"))
     return _report(spark, store, ["young_users", "scientist_users"])
 
 

@@ -50,6 +50,7 @@ from .plans.jobs import (
     ratings_report,
     user_filter_report,
     validate_store,
+    write_together,
 )
 from .plans.views import average_rating_sql, favourite_genre_sql, register_views, top_movies_sql
 from .session import scratch_path
@@ -113,19 +114,19 @@ def _genre_counts(spark: SparkSession, sf: str) -> DataFrame:
 def _stage_lines(spark: SparkSession, sf: str) -> dict[str, str]:
     """Render the fixture views as raw text files; returns their paths."""
     root = scratch_path(spark, "lines")
-    return {
-        "users": write_text_lines(fx.user_lines(spark, sf), f"{root}/user_lines"),
-        "ratings": write_text_lines(fx.rating_lines(spark, sf), f"{root}/rating_lines"),
-        "items": write_text_lines(fx.item_lines(spark, sf), f"{root}/item_lines"),
-    }
+    paths = write_together(
+        lambda: write_text_lines(fx.user_lines(spark, sf), f"{root}/user_lines"),
+        lambda: write_text_lines(fx.rating_lines(spark, sf), f"{root}/rating_lines"),
+        lambda: write_text_lines(fx.item_lines(spark, sf), f"{root}/item_lines"))
+    return dict(zip(("users", "ratings", "items"), paths))
 
 
 def _stage_store(spark: SparkSession, sf: str) -> Store:
     """A store holding the fixture base tables (users cleaned, as stored)."""
     store = Store(scratch_path(spark, "store"))
-    store.write(clean_users(fx.users(spark, sf)), "users")
-    store.write(fx.ratings(spark, sf), "ratings")
-    store.write_movies(fx.movies(spark, sf))
+    write_together(lambda: store.write(clean_users(fx.users(spark, sf)), "users"),
+                   lambda: store.write(fx.ratings(spark, sf), "ratings"),
+                   lambda: store.write_movies(fx.movies(spark, sf)))
     return store
 
 
@@ -443,9 +444,8 @@ def q_validate_stored_counts(spark, sf):
     users = clean_users(fx.users(spark, sf))
     ratings = clean_ratings(fx.ratings_dirty(spark, sf))
     movies = clean_movies(fx.movies(spark, sf))
-    store.write(users, "users")
-    store.write(ratings, "ratings")
-    store.write_movies(movies)
+    write_together(lambda: store.write(users, "users"), lambda: store.write(ratings, "ratings"),
+                   lambda: store.write_movies(movies))
     return validate_store(spark, store, {"users": users, "ratings": ratings, "movies": movies})
 
 
@@ -478,9 +478,10 @@ def q_incremental_ingest_ratings(spark, sf):
                            ("ratings", "clean_ratings"), ("movies", "part"))))
 def q_ingest_clean_store(spark, sf):
     root = scratch_path(spark, "raw")
-    users = write_text_lines(fx.user_lines(spark, sf), f"{root}/user_lines")
-    ratings = write_text_lines(fx.rating_lines(spark, sf, dirty=True), f"{root}/rating_lines")
-    items = write_text_lines(fx.item_lines(spark, sf), f"{root}/item_lines")
+    users, ratings, items = write_together(
+        lambda: write_text_lines(fx.user_lines(spark, sf), f"{root}/user_lines"),
+        lambda: write_text_lines(fx.rating_lines(spark, sf, dirty=True), f"{root}/rating_lines"),
+        lambda: write_text_lines(fx.item_lines(spark, sf), f"{root}/item_lines"))
     return ingest_clean_store(spark, users, ratings, items, Store(scratch_path(spark, "store")),
                               fx.FIXTURE_GENRES)
 
