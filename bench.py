@@ -4,14 +4,17 @@ and print one JSON line.
 Each query is consumed in full through the ``noop`` sink (every row produced,
 nothing collected to the driver).  An untimed warm-up pass runs every query
 once on the smaller sf0.01 tables (same plan shapes, so JIT and generated code
-are warm) before the timed pass; local timings otherwise swing by +-20% with
-JVM warm-up.  Queries that write (sinks, jobs) include their writes in the time.
+are warm).  Then $BENCH_REPEAT (default 3) timed passes run over all queries
+and each query reports its median: single local runs were seen to swing by up
+to 40% between identical runs.  Queries that write (sinks, jobs) include their
+writes in the time.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -67,10 +70,13 @@ def main() -> None:
         warm_dir = sf_dir
     for name in names:  # warm-up, untimed
         run(name, warm_dir)
-    timings = {}
-    for name in names:
-        timings[name] = round(run(name, sf_dir), 3)
-        print(f"# {name}: {timings[name]:.3f}s", file=sys.stderr, flush=True)
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
+    runs: dict[str, list[float]] = {name: [] for name in names}
+    for i in range(repeat):
+        for name in names:
+            runs[name].append(run(name, sf_dir))
+            print(f"# pass {i + 1} {name}: {runs[name][-1]:.3f}s", file=sys.stderr, flush=True)
+    timings = {name: round(statistics.median(ts), 3) for name, ts in runs.items()}
 
     sf = os.path.basename(sf_dir)
     print(json.dumps({
@@ -81,6 +87,8 @@ def main() -> None:
         "sf": sf[2:] if sf.startswith("sf") else sf,
         "cpus": cpus,
         "warmup": os.path.basename(warm_dir),
+        "repeat": repeat,
+        "statistic": "median",
     }))
     spark.stop()
 

@@ -10,7 +10,8 @@ from tests.conftest import ROOT, SF_SMALL
 
 def test_bench_prints_one_json_line():
     env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2", BENCH_WARMUP_DIR=SF_SMALL,
-               BENCH_QUERIES="average_rating_per_movie,top_n_movies", BENCH_DRIVER_MEMORY="2g")
+               BENCH_QUERIES="average_rating_per_movie,top_n_movies", BENCH_DRIVER_MEMORY="2g",
+               BENCH_REPEAT="1")
     out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env, cwd=ROOT,
                          capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
