@@ -49,7 +49,7 @@ def measured_bytes(df: DataFrame) -> int | None:
             return None
         parts.append(b.cast("long"))
     row_bytes = sum(parts[1:], parts[0]) if parts else F.lit(0).cast("long")
-    total = df.agg(F.sum(row_bytes + 8).alias("b")).collect()[0]["b"]
+    total = df.agg(F.sum(row_bytes + 8).alias("b")).first()["b"]
     return int(total or 0)
 
 

@@ -29,12 +29,15 @@ def read_documents_defaulted(spark: SparkSession, path: str, fmt: str = "json",
                              options: Mapping[str, str] | None = None) -> DataFrame:
     """Read documents with a fixed schema.  A missing field reads as NULL,
     a missing or null ``genres`` becomes ``[]``, and ``movie_id`` is required:
-    it is read as text and cast strictly, so ``2`` and ``"2"`` both give 2,
-    while a document without it, or with a non-numeric one, fails the job."""
+    in JSON it is read as text and cast strictly, so ``2`` and ``"2"`` both
+    give 2, while a document without it, or with a non-numeric one, fails the
+    job."""
     id_type = schema["movie_id"].dataType
+    # JSON may hold the id as a number or as text: read it as text, cast below.
+    # Typed formats (parquet, orc) are read with the declared type.
     read_schema = T.StructType([
         T.StructField(f.name, T.StringType(), True) if f.name == "movie_id" else f
-        for f in schema.fields])
+        for f in schema.fields]) if fmt == "json" else schema
     df = spark.read.format(fmt).options(**(options or {})).schema(read_schema).load(path)
     raw_id = F.col("movie_id")
     movie_id = F.when(raw_id.isNotNull(), raw_id.cast(id_type)).otherwise(

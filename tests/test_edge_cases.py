@@ -98,3 +98,12 @@ def test_store_in_another_format(spark, tmp_uri):
     store.write(df, "ratings")
     back = store.read(spark, "ratings", ["movie_id", "rating"])
     assert sorted(map(tuple, back.collect())) == [(1, 3), (2, 4)]
+
+
+def test_documents_in_parquet(spark, tmp_uri):
+    store = Store(tmp_uri("docs"), document_format="parquet")
+    docs = spark.createDataFrame([(1, "A", "d", "", "u", ["War"]), (2, "B", None, None, None, None)],
+                                 schemas.MOVIES)
+    store.write_movies(docs)
+    got = {r.movie_id: r.genres for r in store.read_movies(spark).collect()}
+    assert got == {1: ["War"], 2: []}
