@@ -26,7 +26,7 @@ def missing_values_profile(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         missing = blank_or_null(c) if isinstance(f.dataType, T.StringType) else c.isNull()
-        exprs.append(F.sum(F.when(missing, 1).otherwise(0)).cast("bigint").alias(f.name))
+        exprs.append(F.sum(missing.cast("bigint")).alias(f.name))
     return df.select(*exprs)
 
 
@@ -121,26 +121,62 @@ def _dedup_window(df: DataFrame, keys: list[str], order_by: Sequence[Column | st
               .drop("_rn"))
 
 
-def clean_users(users: DataFrame, min_age_exclusive: int = 0, max_age: int = 100) -> DataFrame:
-    """Q5: dedup on ``user_id`` -> id not NULL -> ``min < age <= max``.  The
-    dedup runs first, so a kept duplicate with a bad age loses the key."""
-    return (dedup_by_key(users, ["user_id"])
-            .filter(F.col("user_id").isNotNull())
-            .filter((F.col("age") > min_age_exclusive) & (F.col("age") <= max_age)))
-
-
-def clean_ratings(ratings: DataFrame, min_rating: int = 1, max_rating: int = 5) -> DataFrame:
-    """Q6: dedup on ``(user_id, movie_id, timestamp)`` -> both ids not NULL ->
-    ``min <= rating <= max``."""
-    return (dedup_by_key(ratings, ["user_id", "movie_id", "timestamp"])
-            .filter(F.col("user_id").isNotNull())
-            .filter(F.col("movie_id").isNotNull())
-            .filter((F.col("rating") >= min_rating) & (F.col("rating") <= max_rating)))
+# Validity rules applied after the key-wise dedup: columns that must be set,
+# and an inclusive integer range for one column.
+CLEANING_RULES: dict[str, tuple[tuple[str, ...], tuple[str, ...], tuple[str, int, int] | None]] = {
+    #           dedup key                              required                      range
+    "users": (("user_id",), ("user_id",), ("age", 1, 100)),
+    "ratings": (("user_id", "movie_id", "timestamp"), ("user_id", "movie_id"), ("rating", 1, 5)),
+    "movies": (("movie_id",), ("movie_id", "movie_title"), None),
+}
+
+
+def clean(df: DataFrame, keys: Sequence[str], required: Sequence[str] = (),
+          int_range: tuple[str, int, int] | None = None) -> DataFrame:
+    """Dedup on ``keys``, then keep rows whose ``required`` columns are set and
+    whose ``int_range`` column lies in ``[lo, hi]``.  The dedup comes first, so
+    when the kept copy of a key is invalid the key is gone even if another copy
+    was valid."""
+    checks = [F.col(c).isNotNull() for c in required]
+    if int_range is not None:
+        name, lo, hi = int_range
+        checks.append(F.col(name).between(lo, hi))
+    kept = dedup_by_key(df, keys)
+    if not checks:
+        return kept
+    valid = checks[0]
+    for c in checks[1:]:
+        valid = valid & c
+    return kept.where(valid)
+
+
+def _rule_range(table: str, lo: int | None, hi: int | None) -> tuple[str, int, int] | None:
+    rng = CLEANING_RULES[table][2]
+    if rng is None:
+        return None
+    name, default_lo, default_hi = rng
+    return (name, default_lo if lo is None else lo, default_hi if hi is None else hi)
+
+
+def clean_users(users: DataFrame, min_age_exclusive: int | None = None,
+                max_age: int | None = None) -> DataFrame:
+    """Q5: dedup on ``user_id`` -> id set -> ``min < age <= max`` (default
+    ``0 < age <= 100``)."""
+    keys, required, _ = CLEANING_RULES["users"]
+    lo = None if min_age_exclusive is None else min_age_exclusive + 1
+    return clean(users, keys, required, _rule_range("users", lo, max_age))
+
+
+def clean_ratings(ratings: DataFrame, min_rating: int | None = None,
+                  max_rating: int | None = None) -> DataFrame:
+    """Q6: dedup on ``(user_id, movie_id, timestamp)`` -> both ids set ->
+    ``min <= rating <= max`` (default 1..5)."""
+    keys, required, _ = CLEANING_RULES["ratings"]
+    return clean(ratings, keys, required, _rule_range("ratings", min_rating, max_rating))
 
 
 def clean_movies(movies: DataFrame) -> DataFrame:
-    """Q7: dedup on ``movie_id`` -> id and title not NULL.  Works for the wide
+    """Q7: dedup on ``movie_id`` -> id and title set.  Works for the wide
     (flag columns) and the document (``genres`` array) form alike."""
-    return (dedup_by_key(movies, ["movie_id"])
-            .filter(F.col("movie_id").isNotNull())
-            .filter(F.col("movie_title").isNotNull()))
+    keys, required, rng = CLEANING_RULES["movies"]
+    return clean(movies, keys, required, rng)

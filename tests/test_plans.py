@@ -82,7 +82,7 @@ def test_sql_forms_keep_the_plan_shape(spark):
     join_line = next(i for i, l in enumerate(avg.splitlines()) if "Join" in l)
     assert "partial_sum" in "\n".join(avg.splitlines()[join_line:])
     fav = plan_text(registry.QUERIES["favourite_genre_per_user_sql"](spark, SF_SMALL))
-    assert "WindowGroupLimit" in fav and "LeftSemi" in fav
+    assert "min_by" in fav and "LeftSemi" in fav
     assert "TakeOrderedAndProject" in plan_text(registry.QUERIES["top_n_movies_sql"](spark, SF_SMALL))
 
 
