@@ -91,3 +91,33 @@ def test_partitioned_write_rebalances_and_prunes(spark, tmp_uri):
     back = read_table_projected(spark, path)
     assert sorted(map(tuple, back.select(*schemas.USERS.names).collect())) == \
         sorted(map(tuple, users.collect()))
+
+
+def test_clustered_write_splits_a_hot_bucket(spark, tmp_uri):
+    import glob
+    import os
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from ratewise.plans import count_operator
+    from ratewise.session import local_path
+    from ratewise.sinks import write_clustered_by_key
+    n = 300_000  # user 7 holds a third of all rows
+    df = spark.range(n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("user_id"),
+        (F.col("id") % 977).alias("movie_id"), F.lit(3).cast("int").alias("rating"),
+        F.col("id").alias("timestamp"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        path = tmp_uri("hot")
+        t = write_clustered_by_key(df, f"hot_{uuid.uuid4().hex[:8]}", path, buckets=4)
+    finally:
+        spark.conf.set(key, old)
+    hot_bucket = spark.range(1).select(F.pmod(F.hash(F.lit(7).cast("long")), F.lit(4))).first()[0]
+    files = glob.glob(os.path.join(local_path(path), f"*_{hot_bucket:05d}.c000*.parquet"))
+    assert len(files) > 1  # the hot bucket was written by several tasks
+    assert t.count() == n and count_operator(t.groupBy("user_id").count(), "Exchange") == 0
+    assert t.filter("user_id = 7").count() == df.filter("user_id = 7").count()
