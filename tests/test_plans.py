@@ -101,3 +101,28 @@ def test_sized_broadcast_measures_and_chooses(spark):
     assert "SortMergeJoin" in big
     mapped = spark.createDataFrame([(1, {"a": 1})], "movie_id long, m map<string,int>")
     assert measured_bytes(mapped) is None and sized_broadcast(mapped) is mapped
+
+
+READ_ONLY = ("average_rating_per_movie", "top_n_movies", "active_users", "user_genre_counts",
+             "favourite_genre_per_user", "join_ratings_active_users", "join_ratings_movie_genres",
+             "join_ratings_movies", "clean_users", "clean_ratings", "clean_movies", "dedup_by_key",
+             "duplicate_check", "missing_values_profile", "record_counts", "project_columns",
+             "users_younger_than", "users_by_occupation_and_age", "flags_to_array",
+             "explode_genres", "profile_raw", "user_genre_counts_sorted")
+
+
+def test_scans_read_only_needed_columns(spark):
+    """Column pruning reaches every parquet scan: no query reads a driver table
+    whole (none needs every column)."""
+    import re
+
+    from ratewise import fixtures
+    widths = {t: len(fixtures.table(spark, SF_SMALL, t).columns)
+              for t in ("lineitem", "orders", "customer", "part", "documents")}
+    for name in READ_ONLY:
+        plan = plan_text(registry.QUERIES[name](spark, SF_SMALL))
+        for m in re.finditer(r"Location: InMemoryFileIndex \[[^\]]*/(\w+)\.parquet\]"
+                             r"(?:.|\n)*?ReadSchema: struct<([^>]*)>", plan):
+            table, schema = m.group(1), m.group(2)
+            read = len(re.findall(r"\w+:", schema))
+            assert read < widths[table], (name, table, schema)
