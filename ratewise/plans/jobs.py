@@ -73,8 +73,10 @@ class Store:
 
     def read(self, spark: SparkSession, name: str,
              columns: Sequence[str] | None = None) -> DataFrame:
-        if self.table_prefix is not None and spark.catalog.tableExists(self.table_prefix + name):
-            df = spark.table(self.table_prefix + name)
+        full = None if self.table_prefix is None else self.table_prefix + name
+        if (full is not None and spark.catalog.tableExists(full)
+                and not spark.catalog.getTable(full).isTemporary):  # a stored table, not a view
+            df = spark.table(full)
             return df.select(*columns) if columns else df
         # The stored schema is known: no inference job over the files' footers.
         schema = schemas.TABLES.get(name)

@@ -76,3 +76,14 @@ def test_bucketed_store_is_read_through_the_catalog(spark, tmp_uri):
         sorted(map(tuple, active_users(by_path, 10).collect()))
     fav = favourite_genre_report(spark, store, 10).collect()
     assert fav[0].row_count > 0
+
+
+def test_store_ignores_temporary_views_of_the_same_name(spark, tmp_uri):
+    from ratewise import schemas
+    store = Store(tmp_uri("store"), table_prefix="")
+    store.write(spark.createDataFrame([(1, 1, 3, 1)], schemas.RATINGS), "ratings")
+    spark.createDataFrame([(9, 9, 9, 9)], schemas.RATINGS).createOrReplaceTempView("ratings")
+    try:
+        assert [tuple(r) for r in store.read(spark, "ratings").collect()] == [(1, 1, 3, 1)]
+    finally:
+        spark.catalog.dropTempView("ratings")
