@@ -40,8 +40,9 @@ def top_n_movies(average_ratings: DataFrame, n: int = 10, min_count: int = 0) ->
 
     The order+limit is a per-partition top-n merged on one task
     (``TakeOrderedAndProject``); the rank window then runs over those ``n``
-    rows only.  ``min_count`` (default 0 = no minimum) can drop movies with few
-    ratings."""
+    rows only.  ``n`` is a report size: those ``n`` rows meet on one task, so
+    it is meant to stay small (the reports use 10).  ``min_count`` (default 0 =
+    no minimum) can drop movies with few ratings."""
     src = average_ratings
     if min_count:
         src = src.filter(F.col("rating_count") >= min_count)
