@@ -17,8 +17,9 @@ def validate_stored_counts(stored: Mapping[str, DataFrame],
                            expected: Mapping[str, DataFrame | int]) -> DataFrame:
     """K7: ``(table_name, expected_rows, actual_rows, ok)``, one row per table.
     ``stored`` are the tables read back; ``expected`` gives a row count or the
-    DataFrame whose count is expected.  Every count is an aggregate on the
-    executors; only the small report is ever collected."""
+    DataFrame whose count is expected (that DataFrame is evaluated again for
+    its count; pass the number when it is already known).  Every count is an
+    aggregate on the executors; only the small report is ever collected."""
     parts: list[DataFrame] = []
     for name, df in stored.items():
         parts.append(_count_row(df, name, "actual"))
