@@ -35,11 +35,11 @@ def start_ratings_ingest(spark: SparkSession, lines_dir: str, table_dir: str,
                          available_now: bool = True,
                          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream over the text files below ``lines_dir`` (subfolders
-    included: each arrival may be its own folder).  ``available_now`` processes
-    what is there and stops
-    (a scheduled incremental job); otherwise it keeps polling.  Lenient parsing
-    is the default here so one bad line does not stop the stream: it becomes a
-    row with NULLs, which the cleaning drops."""
+    included: each arrival may be its own folder).  ``available_now``
+    processes what is there and stops (a scheduled incremental job); otherwise
+    it keeps polling.  Lenient parsing is the default here so one bad line does
+    not stop the stream: it becomes a row with NULLs, which the cleaning
+    drops."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -62,6 +62,9 @@ def read_keyed_ratings(spark: SparkSession, table_dir: str) -> DataFrame:
     the latest batch that wrote the key."""
     schema = T.StructType(list(schemas.RATINGS.fields) + [T.StructField(BATCH_COLUMN, T.LongType())])
     df = spark.read.schema(schema).parquet(table_dir)
-    latest = dedup_by_key(df, schemas.KEYS["ratings"],
-                          order_by=[F.col(BATCH_COLUMN).desc(), F.col("rating").asc_nulls_first()])
-    return latest.drop(BATCH_COLUMN)
+    keys = list(schemas.KEYS["ratings"])
+    # First by the other columns ascending = latest batch (negated id), then
+    # the smaller rating: the map-side-combined form of the dedup.
+    ranked = df.select(*keys, (-F.col(BATCH_COLUMN)).alias("_neg_batch"), "rating")
+    latest = dedup_by_key(ranked, keys)
+    return latest.select(*schemas.RATINGS.names)
