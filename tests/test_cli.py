@@ -27,3 +27,16 @@ def test_cli_jobs_end_to_end(spark, tmp_uri):
     assert total[("users", "total_rows")] == 150 and total[("users_clean", "total_rows")] == 137
     assert total[("ratings", "duplicate_rows")] > 0
     assert len(run(["preview", "--path", u, "-n", "3"], spark).collect()) == 3
+
+
+def test_ddl_text_and_command(capsys):
+    from ratewise import schemas
+    from ratewise.cli import main
+    from ratewise.sinks import result_tables_ddl
+    ddl = result_tables_ddl("/data/store", fmt="orc", prefix="x_")
+    assert ddl.count("CREATE TABLE") == len(schemas.TABLES)
+    assert "CREATE TABLE `x_top_10_movies` (\n  `rank` int," in ddl
+    assert "USING orc LOCATION '/data/store/ratings';" in ddl
+    main(["ddl", "--store", "/data/store"])
+    out = capsys.readouterr().out
+    assert out.count("DROP TABLE IF EXISTS") == len(schemas.TABLES)
