@@ -79,12 +79,17 @@ def main() -> None:
     timings = {name: round(statistics.median(ts), 3) for name, ts in runs.items()}
 
     sf = os.path.basename(sf_dir)
+    sf = sf[2:] if sf.startswith("sf") else sf
+    try:
+        sf_value: float | str = float(sf)
+    except ValueError:
+        sf_value = sf
     print(json.dumps({
         "metric": "total_query_time",
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
-        "sf": sf[2:] if sf.startswith("sf") else sf,
+        "sf": sf_value,
         "cpus": cpus,
         "warmup": os.path.basename(warm_dir),
         "repeat": repeat,

@@ -19,4 +19,4 @@ def test_bench_prints_one_json_line():
     assert len(lines) == 1
     rec = json.loads(lines[0])
     assert rec["unit"] == "sec" and set(rec["queries"]) == {"average_rating_per_movie", "top_n_movies"}
-    assert rec["value"] > 0 and rec["sf"] == "0.001"
+    assert rec["value"] > 0 and rec["sf"] == 0.001
