@@ -105,3 +105,26 @@ def test_flags_to_array_then_explode_is_long_form(spark, flags):
     long = sorted((r.movie_id, r.genre) for r in explode_genres(flags_to_array(wide, GENRES)).collect())
     want = sorted((i, g) for i, f in enumerate(flags) for g, v in zip(GENRES, f) if v == 1)
     assert long == want
+
+
+keyed_st = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(1, 5), st.integers(0, 2)),
+                    max_size=25)
+
+
+@SETTINGS
+@given(current=keyed_st, updates=keyed_st)
+def test_upsert_matches_brute_force(spark, current, updates):
+    from ratewise.sinks import upsert_frames
+    key = lambda r: (r[0], r[1], r[3])  # noqa: E731  (user, movie, timestamp)
+    cur_df = dedup_by_key(spark.createDataFrame(current, schemas.RATINGS), schemas.KEYS["ratings"])
+    merged = upsert_frames(cur_df, spark.createDataFrame(updates, schemas.RATINGS),
+                           schemas.KEYS["ratings"])
+    assert merged.columns == schemas.RATINGS.names
+    table = {}
+    for r in sorted(current, key=lambda r: r[2]):   # stored table: first rating per key
+        table.setdefault(key(r), r)
+    fresh = {}
+    for r in sorted(updates, key=lambda r: r[2]):   # batch: first rating per key wins
+        fresh.setdefault(key(r), r)
+    table.update(fresh)
+    assert sorted(map(tuple, merged.collect())) == sorted(table.values())
