@@ -126,3 +126,19 @@ def test_scans_read_only_needed_columns(spark):
             table, schema = m.group(1), m.group(2)
             read = len(re.findall(r"\w+:", schema))
             assert read < widths[table], (name, table, schema)
+
+
+def test_ratings_are_only_shuffled_as_aggregates(spark):
+    """Tasks 1 and 3: every shuffle by user or movie carries aggregated rows
+    (a HashAggregate, partial or final, directly below the exchange), never raw
+    rating rows; with the genre side broadcast, no rating is shuffled row by
+    row."""
+    for name in ("average_rating_per_movie", "favourite_genre_per_user", "user_genre_counts"):
+        lines = plan_text(registry.QUERIES[name](spark, SF_SMALL), "simple").splitlines()
+        exchanges = [i for i, l in enumerate(lines)
+                     if "Exchange hashpartitioning(user_id" in l
+                     or "Exchange hashpartitioning(movie_id" in l]
+        assert exchanges, name
+        for i in exchanges:
+            below = lines[i + 1].strip().lstrip(":+- ")
+            assert below.startswith("HashAggregate"), (name, lines[i], below)
