@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP9_SQL, op9_chat_formatting
+from .langid import op8_language_id
+from .packing import op6_best_fit_packing
 from .tokens import op2_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
 }
 
