@@ -134,8 +134,9 @@ def pieces(documents: DataFrame, tokenizer_path: str, size: int = 1024, end_id:
 
 # --- the plan, on the histogram of lengths ----------------------------------------------
 
-def _exact(count: np.ndarray, size: int) -> list[tuple[Counter, int]]:
-    """Consume from ``count`` (by length) what fills sequences exactly."""
+def _exact(count: np.ndarray, size: int, terms: int = 3) -> list[tuple[Counter, int]]:
+    """Consume from ``count`` (by length) what fills sequences exactly, a gap
+    being filled by up to ``terms`` lengths."""
     patterns: list[tuple[Counter, int]] = []
 
     def take(lengths: tuple[int, ...]) -> bool:
@@ -154,12 +155,12 @@ def _exact(count: np.ndarray, size: int) -> list[tuple[Counter, int]]:
             continue
         if count[top] and gap <= top and count[gap]:
             take((top, gap))
-        while count[top]:  # two further lengths, each at most ``top``
+        while terms > 1 and count[top]:  # two further lengths, each at most ``top``
             a = np.arange((gap + 1) // 2, min(top, gap - 1) + 1)
             a = a[(count[a] > 0) & (count[gap - a] > 0)] if len(a) else a
             if not any(take((top, int(x), int(gap - x))) for x in a[::-1]):
                 break
-        while count[top]:  # three
+        while terms > 2 and count[top]:  # three
             have = (count > 0).astype(np.int64)
             pair = np.convolve(have, have)  # sums of two available lengths
             a = np.arange(1, min(top, gap - 2) + 1)
@@ -212,11 +213,19 @@ def _best_fit(count: np.ndarray, size: int) -> list[tuple[Counter, int]]:
 
 
 def plan(histogram: dict[int, int], size: int) -> list[tuple[Counter, int]]:
-    """``[(lengths of a sequence, number of such sequences)]``."""
-    count = np.zeros(2 * size + 2, np.int64)
-    for length, n in histogram.items():
-        count[length] = n
-    return _exact(count, size) + _best_fit(count, size)
+    """``[(lengths of a sequence, number of such sequences)]``.
+
+    Exact fills of many small lengths can leave large ones without partners, so
+    complements of up to three, two and one lengths are all planned (the plan
+    costs the same at any input size), and the one with the fewest sequences is
+    kept."""
+    def planned(terms: int) -> list[tuple[Counter, int]]:
+        count = np.zeros(2 * size + 2, np.int64)
+        for length, n in histogram.items():
+            count[length] = n
+        return _exact(count, size, terms) + _best_fit(count, size)
+
+    return min((planned(t) for t in (3, 2, 1)), key=lambda p: sum(n for _, n in p))
 
 
 def intervals(patterns: list[tuple[Counter, int]], size: int) -> dict[int, np.ndarray]:

@@ -8,16 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP9_SQL, op9_chat_formatting
 from .langid import op8_language_id
+from .lines import OP3_SQL, op3_line_dedup
+from .minhash import op4_minhash_dedup
 from .packing import op6_best_fit_packing
 from .tokens import op2_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_minhash_dedup": op4_minhash_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL,
     "op9_chat_formatting": OP9_SQL,
 }
