@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP9_SQL, op9_chat_formatting
+from .decontam import op1_decontamination
 from .langid import op8_language_id
 from .lines import OP3_SQL, op3_line_dedup
 from .minhash import op4_minhash_dedup
@@ -14,6 +15,7 @@ from .packing import op6_best_fit_packing
 from .tokens import op2_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
     "op3_line_dedup": op3_line_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
