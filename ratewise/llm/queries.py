@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP9_SQL, op9_chat_formatting
 from .decontam import op1_decontamination
+from .embeddings import op5_embedding_dedup
 from .langid import op8_language_id
 from .lines import OP3_SQL, op3_line_dedup
 from .minhash import op4_minhash_dedup
 from .packing import op6_best_fit_packing
+from .quality import op7_quality_classifier
 from .tokens import op2_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,7 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_line_dedup": op3_line_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
 }
