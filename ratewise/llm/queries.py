@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import OP9_SQL, op9_chat_formatting
 from .decontam import op1_decontamination
 from .embeddings import op5_embedding_dedup
+from .html import op10_html_extraction
 from .langid import op8_language_id
 from .lines import OP3_SQL, op3_line_dedup
 from .minhash import op4_minhash_dedup
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE: dict[str, str] = {
