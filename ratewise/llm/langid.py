@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,30 +171,34 @@ def train(labelled: DataFrame) -> ByteNet | None:
     return ByteNet(languages).fit(np.array(x), np.array(y))
 
 
+def predict(texts: list[str | None], model: ByteNet | None) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    known, parts, size = [], [], 0
+    for i, text in enumerate([*texts, None]):
+        if i < len(texts) and model and text and any(map(str.isalpha, text)):
+            known.append(i)
+            parts.append(windows(text))
+            size += len(parts[-1])
+        if known and (size >= 8 * BATCH or i == len(texts)):
+            n = np.array([len(p) for p in parts])
+            p = np.add.reduceat(model.probabilities(np.concatenate(parts)).astype("f8"),
+                                np.concatenate(([0], np.cumsum(n)[:-1]))) / n[:, None]
+            best = p.argmax(1)
+            score[known] = np.clip(p[np.arange(len(p)), best], 0, 1)
+            for k, b in zip(known, best):
+                lang[k] = model.languages[b]
+            known, parts, size = [], [], 0
+    return lang, score
+
+
 def predict_language(documents: DataFrame, model: ByteNet | None) -> DataFrame:
     """``(doc_id, lang_pred, score)`` of every document."""
     small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            lang, score = [UNKNOWN] * len(pdf), np.zeros(len(pdf))
-            known, parts = [], []
-            size = 0
-            texts = list(pdf["text"])
-            for i, text in enumerate([*texts, None]):
-                if i < len(texts) and model and text and any(map(str.isalpha, text)):
-                    known.append(i)
-                    parts.append(windows(text))
-                    size += len(parts[-1])
-                if known and (size >= 8 * BATCH or i == len(texts)):
-                    n = np.array([len(p) for p in parts])
-                    p = np.add.reduceat(model.probabilities(np.concatenate(parts)).astype("f8"),
-                                        np.concatenate(([0], np.cumsum(n)[:-1]))) / n[:, None]
-                    best = p.argmax(1)
-                    score[known] = np.clip(p[np.arange(len(p)), best], 0, 1)
-                    for k, b in zip(known, best):
-                        lang[k] = model.languages[b]
-                    known, parts, size = [], [], 0
+            lang, score = predict(list(pdf["text"]), model)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": lang, "score": score})
 
     return plain(documents, doc_id="long", text="string").mapInPandas(
@@ -208,5 +213,21 @@ def identify(documents: DataFrame) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def identified(documents: DataFrame, least: float) -> DataFrame:
+    """The documents, all columns, whose language is found with a score of
+    ``least`` or more; the model as in :func:`identify`."""
+    small_batches(documents.sparkSession)
+    rows = plain(documents, doc_id="long", text="string", lang="string")
+    model = train(rows.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, score = predict(batch.column(at).to_pylist(), model)
+            yield batch.filter(pa.array([one != UNKNOWN and s >= least for one, s in zip(lang, score)],
+                                        pa.bool_()))
+    return documents.mapInArrow(run, documents.schema)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))

@@ -341,5 +341,16 @@ def near_duplicates(documents: DataFrame, words: int = 5, num: int = 80, den: in
         "kept", F.col("doc_id") == F.col("component_id"))
 
 
+def one_of_each(documents: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The documents, all columns, without near-duplicates: the one with the
+    smallest id of each group stays, and a repeated row stays once."""
+    kept = stored(near_duplicates(documents, words, num, den).where("kept").select(
+        F.col("doc_id").alias("_kept")).distinct(), "kept")
+    left = documents.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    if documents.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        left = left.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"])
+    return left.select(*documents.columns)
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), 3, 85, 100)
