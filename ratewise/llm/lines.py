@@ -108,11 +108,11 @@ def drop_repeated_lines(documents: DataFrame) -> DataFrame:
     """``documents`` with the repeated chunks cut out of ``text``; the same rows
     and columns."""
     lost = stored(_lost(repeated_chunks(documents)), "lost").select(
-        F.col("doc_id").alias("_id"), F.col("doc").alias("_doc"), F.col("lost").alias("_lost"))
-    joined = documents.withColumn("_key", F.xxhash64("text")).join(
-        lost, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_doc")), "left")
-    return joined.withColumn("text", F.when(F.col("_lost").isNull(), F.col("text")).otherwise(
-        _remaining(F.col("text"), F.col("_lost")))).select(*documents.columns)
+        F.col("doc_id").alias("__llm_id"), F.col("doc").alias("__llm_doc"), F.col("lost").alias("__llm_lost"))
+    joined = documents.withColumn("__llm_key", F.xxhash64("text")).join(
+        lost, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_key") == F.col("__llm_doc")), "left")
+    return joined.withColumn("text", F.when(F.col("__llm_lost").isNull(), F.col("text")).otherwise(
+        _remaining(F.col("text"), F.col("__llm_lost")))).select(*documents.columns)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
