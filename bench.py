@@ -38,6 +38,9 @@ HEADLINE = [
     "parse_ws_ratings",
     "write_clustered_by_key",
     "upsert_by_key",
+    "load_documents_overwrite",
+    "validate_stored_counts",
+    "incremental_ingest_ratings",
     "ingest_clean_store",
     "ratings_report",
     "favourite_genre_report",
@@ -51,7 +54,7 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from ratewise.registry import QUERIES
-    from ratewise.session import build_session, checkpoint_root
+    from ratewise.session import build_session, checkpoint_root, clear_scratch
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
                           app_name="ratewise-bench",
@@ -95,6 +98,7 @@ def main() -> None:
         "repeat": repeat,
         "statistic": "median",
     }))
+    clear_scratch(spark)
     spark.stop()
 
 

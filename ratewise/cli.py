@@ -7,11 +7,15 @@
                               [--min-age 30] [--age-limit 40]
     ratewise profile  --users U --ratings R --items I
     ratewise preview  --path P [-n 5]
+    ratewise sample   --store ROOT --table T [-n 5]
+    ratewise rejects  --path P --kind users|ratings|movies
     ratewise ddl      --store ROOT [--table-format parquet] [--table-prefix P]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so the master
 and every setting are whatever ``spark-submit`` (or the environment) gives.
-Each job prints only its small report (one row per table or metric).
+Each job prints its whole report (one row per table or metric), ``preview`` and
+``sample`` exactly the rows asked for; ``rejects`` prints the number of lines that
+lenient parsing rejects and writes them to ``--out`` if given.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from . import schemas
-from .operators import clean_movies, clean_ratings, clean_users
+from .operators import clean_movies, clean_ratings, clean_users, record_counts
 from .plans.jobs import (
     Store,
     favourite_genre_report,
@@ -36,8 +40,10 @@ from .sources import (
     parse_item_wide,
     parse_pipe_users,
     parse_ws_ratings,
+    rejected_lines,
     scan_text_lines,
     select_all_limit,
+    write_text_lines,
 )
 
 
@@ -53,7 +59,7 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--genres", default=",".join(schemas.DEFAULT_GENRES),
                         help="category vocabulary, in flag order, comma-separated")
         sp.add_argument("--lenient", action="store_true",
-                        help="turn malformed fields into NULLs instead of failing")
+                        help="reject unreadable lines instead of failing")
 
     def store(sp: argparse.ArgumentParser) -> None:
         sp.add_argument("--store", required=True)
@@ -95,6 +101,17 @@ def _parser() -> argparse.ArgumentParser:
     pv = sub.add_parser("preview", help="first lines of a text file")
     pv.add_argument("--path", required=True)
     pv.add_argument("-n", type=int, default=5)
+
+    sm = sub.add_parser("sample", help="first rows of a stored table, by its key")
+    store(sm)
+    sm.add_argument("--table", required=True, choices=[*schemas.TABLES, "movies"])
+    sm.add_argument("-n", type=int, default=5)
+
+    rj = sub.add_parser("rejects", help="lines that lenient parsing rejects")
+    rj.add_argument("--path", required=True)
+    rj.add_argument("--kind", required=True, choices=["users", "ratings", "movies"])
+    rj.add_argument("--genres", default=",".join(schemas.DEFAULT_GENRES))
+    rj.add_argument("--out", default=None, help="folder to write the raw lines to")
     return p
 
 
@@ -129,6 +146,17 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame:
                             "movies_clean": clean_movies(movies)})
     if args.job == "preview":
         return select_all_limit(scan_text_lines(spark, args.path), args.n)
+    if args.job == "sample":
+        store = _store(args)
+        table = store.read_movies(spark) if args.table == "movies" else store.read(spark, args.table)
+        return select_all_limit(table, args.n, schemas.KEYS.get(args.table))
+    if args.job == "rejects":
+        bad = rejected_lines(scan_text_lines(spark, args.path), args.kind,
+                             vocabulary=tuple(args.genres.split(",")))
+        if args.out:
+            write_text_lines(bad, args.out)
+            bad = scan_text_lines(spark, args.out)
+        return record_counts({f"rejected_{args.kind}": bad})
     raise SystemExit(f"unknown job {args.job}")
 
 
@@ -139,4 +167,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         args = _parser().parse_args(argv)
         print(result_tables_ddl(args.store, fmt=args.table_format, prefix=args.table_prefix))
         return
-    run(argv).show(100, truncate=False)
+    report = run(argv)
+    print("\t".join(report.columns))
+    for row in report.toLocalIterator():  # all rows, a partition at a time
+        print("\t".join("" if v is None else str(v) for v in row))

@@ -9,18 +9,18 @@ the same views lives in :mod:`ratewise.oracle`; both must cast the same way.
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
-# Category vocabulary of the fixture items: the distinct words of part names,
-# in vocabulary (alphabetical) order.
+# Category vocabulary of the fixture items: words of part names, in alphabetical
+# order.  Three words that occur are left out, so that some items have one
+# category and some have none.
 FIXTURE_GENRES: tuple[str, ...] = (
     "anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large",
-    "new", "old", "plate", "red", "ring", "rod", "small", "widget",
+    "new", "plate", "red", "ring", "rod",
 )
 FIXTURE_RELEASE_DATE = "01-Jan-1995"
 FIXTURE_URL_PREFIX = "http://example.org/"
@@ -31,35 +31,22 @@ FIXTURE_OCCUPATION = "building"
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-_VIEWS: dict[tuple, DataFrame] = {}
-
-
-def _per_session(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Define each view once per session (DataFrames are immutable plans), so
-    repeated queries skip re-listing files and re-analysing the view."""
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str, *args) -> DataFrame:
-        key = (fn.__name__, id(spark), spark.sparkContext.applicationId,
-               sf_dir.rstrip("/"), args)
-        df = _VIEWS.get(key)
-        if df is None:
-            df = _VIEWS[key] = fn(spark, sf_dir, *args)
-        return df
-    return wrapper
-
-
-@_per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@_per_session
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth customer comes twice, the second time 30 years younger (so
+    the copy that is kept can be the invalid one) and with another gender."""
     c = table(spark, sf_dir, "customer")
+    copies = F.when(F.col("c_custkey") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0)))
+    c = c.select("c_custkey", "c_acctbal", "c_mktsegment", F.explode(copies).alias("_copy"))
     return c.select(
         F.col("c_custkey").cast("bigint").alias("user_id"),
-        F.floor(F.col("c_acctbal") / 100).cast("int").alias("age"),
-        F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
+        (F.floor(F.col("c_acctbal") / 100) - 30 * F.col("_copy")).cast("int").alias("age"),
+        F.when(F.col("_copy") == 1, F.lit("X")).when(F.col("c_custkey") % 2 == 0, F.lit("M"))
+         .otherwise(F.lit("F")).alias("gender"),
         F.lower("c_mktsegment").alias("occupation"),
         F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("zip_code"),
     )
@@ -71,7 +58,9 @@ def _epoch_seconds(col: str) -> Column:
 
 def _rating_rows(spark: SparkSession, sf_dir: str, rating: Column,
                  extra: Sequence[str] = ()) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    # every 13th part is never rated; movies() lacks every 11th, so ratings have
+    # orphans on both sides
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 13 != 0).select(
         "l_orderkey", "l_partkey", "l_quantity", "l_shipdate", *extra)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
@@ -84,13 +73,11 @@ def _rating_rows(spark: SparkSession, sf_dir: str, rating: Column,
     )
 
 
-@_per_session
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings 1..5 from quantities 1..50."""
     return _rating_rows(spark, sf_dir, F.ceil(F.col("l_quantity") / 10).cast("int"))
 
 
-@_per_session
 def ratings_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings 0..6 (so the range check drops rows) plus, again, every row of
     line number 1 (guaranteed duplicates).  The copies come from a generator
@@ -107,10 +94,14 @@ def _name_words() -> Column:
     return F.split(F.col("p_name"), " ", -1)
 
 
-@_per_session
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").where(F.col("p_partkey") % 11 != 0).select(
+        "p_partkey", "p_name")
+
+
 def movies_wide(spark: SparkSession, sf_dir: str,
                 vocabulary: Sequence[str] = FIXTURE_GENRES) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    p = _parts(spark, sf_dir)
     words = _name_words()
     return p.select(
         F.col("p_partkey").cast("bigint").alias("movie_id"),
@@ -122,12 +113,11 @@ def movies_wide(spark: SparkSession, sf_dir: str,
     )
 
 
-@_per_session
 def movies(spark: SparkSession, sf_dir: str,
            vocabulary: Sequence[str] = FIXTURE_GENRES) -> DataFrame:
     """Document form: the words of the name that are in the vocabulary, in
     vocabulary order."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    p = _parts(spark, sf_dir)
     words = _name_words()
     vocab = F.array(*[F.lit(w) for w in vocabulary])
     return p.select(
@@ -140,6 +130,24 @@ def movies(spark: SparkSession, sf_dir: str,
     )
 
 
+def movies_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide form with second copies: every ninth movie under another title,
+    every seventh without one (which sorts first, so that movie is lost)."""
+    m = movies_wide(spark, sf_dir)
+    one = F.lit(0)
+    copies = F.when(F.col("movie_id") % 7 == 0, F.array(one, F.lit(2))).when(
+        F.col("movie_id") % 9 == 0, F.array(one, F.lit(1))).otherwise(F.array(one))
+    title = F.when(F.col("_copy") == 0, F.col("movie_title")).when(
+        F.col("_copy") == 1, F.concat(F.lit("a "), F.col("movie_title")))
+    return m.withColumn("_copy", F.explode(copies)).withColumn("movie_title", title).drop("_copy")
+
+
+def movies_without_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document form with a null category list in every fifth movie."""
+    return movies(spark, sf_dir).withColumn(
+        "genres", F.when(F.col("movie_id") % 5 != 0, F.col("genres")))
+
+
 # --- raw text lines ---------------------------------------------------------
 
 def _s(c: str) -> Column:
@@ -156,6 +164,22 @@ def rating_lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataF
     return r.select(F.concat_ws("\t", *[_s(c) for c in r.columns]).alias("value"))
 
 
+def rating_lines_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating lines of which some end in text and some lack the last field."""
+    r = ratings(spark, sf_dir)
+    last = F.when((F.col("user_id") % 3 == 0) & (F.col("rating") == 2),
+                  F.concat(F.lit("x"), _s("timestamp"))).when(
+        (F.col("user_id") % 5 == 0) & (F.col("rating") == 4), F.lit(None).cast("string")).otherwise(
+        _s("timestamp"))
+    return r.select(F.concat_ws("\t", _s("user_id"), _s("movie_id"), _s("rating"), last).alias("value"))
+
+
+def ratings_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings whose movie is unknown for every tenth movie."""
+    return ratings(spark, sf_dir).withColumn(
+        "movie_id", F.when(F.col("movie_id") % 10 != 0, F.col("movie_id")))
+
+
 def item_lines(spark: SparkSession, sf_dir: str,
                vocabulary: Sequence[str] = FIXTURE_GENRES) -> DataFrame:
     m = movies_wide(spark, sf_dir, vocabulary)
@@ -164,7 +188,6 @@ def item_lines(spark: SparkSession, sf_dir: str,
 
 # --- profile inputs ---------------------------------------------------------
 
-@_per_session
 def profile_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with NULLs (status 'P') and blanks (priority '5-LOW')."""
     o = table(spark, sf_dir, "orders")

@@ -2,15 +2,17 @@
 
 from .expressions import (
     blank_or_null,
+    checked_cast,
     field,
     flag_names_array,
     optional_field,
+    raise_when,
     split_delimited,
     split_whitespace,
     strict_cast,
 )
 
 __all__ = [
-    "blank_or_null", "field", "flag_names_array", "optional_field",
-    "split_delimited", "split_whitespace", "strict_cast",
+    "blank_or_null", "checked_cast", "field", "flag_names_array", "optional_field",
+    "raise_when", "split_delimited", "split_whitespace", "strict_cast",
 ]

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -31,17 +31,16 @@ def split_whitespace(col: Column | str) -> Column:
         F.split(single, " ", -1))
 
 
-def _ansi() -> bool:
-    spark = SparkSession.getActiveSession()
-    return spark is None or spark.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
+def raise_when(bad: Column, message: Column | str) -> Column:
+    """True, or an error on the executor where ``bad`` holds.  Used as a filter,
+    it is evaluated for every row whatever columns a query goes on to read, and
+    it does not depend on the session's ANSI setting."""
+    text = F.lit(message) if isinstance(message, str) else message
+    return F.when(F.coalesce(bad, F.lit(False)), F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
 
 
 def field(parts: Column, index: int) -> Column:
-    """Required field: a line too short to have it fails the job.  Under ANSI
-    mode (the default) plain indexing already raises; otherwise the length is
-    checked explicitly."""
-    if _ansi():
-        return parts[index]
+    """Required field: a line too short to have it fails the job."""
     return F.when(F.size(parts) > index, F.get(parts, index)).otherwise(
         F.raise_error(F.lit(f"line has no field {index}")).cast("string"))
 
@@ -53,16 +52,17 @@ def optional_field(parts: Column, index: int) -> Column:
 
 def strict_cast(col: Column, dtype: str, lenient: bool = False) -> Column:
     """String to number, tolerating surrounding whitespace like Python's
-    ``int()``.  Strict mode fails the job on malformed text: the ANSI cast
-    raises by itself; without ANSI the check is explicit.  Lenient mode yields
-    ``NULL``."""
-    if lenient:
-        return col.try_cast(dtype)
-    if _ansi():
-        return col.cast(dtype)
+    ``int()``.  Strict mode fails the job on malformed text, lenient mode yields
+    ``NULL``; neither depends on the session's ANSI setting."""
+    return col.try_cast(dtype) if lenient else checked_cast(col, dtype)
+
+
+def checked_cast(col: Column, dtype: str) -> Column:
+    """Cast that fails the job on a value the type cannot hold (it never wraps
+    or turns it into ``NULL``), with or without ANSI mode."""
     value = col.try_cast(dtype)
-    return F.when(col.isNull() | value.isNotNull(), value).otherwise(
-        F.raise_error(F.concat(F.lit(f"not a valid {dtype}: '"), col, F.lit("'"))).cast(dtype))
+    return F.when(col.isNull() | value.isNotNull(), value).otherwise(F.raise_error(
+        F.concat(F.lit(f"not a valid {dtype}: '"), col.cast("string"), F.lit("'"))).cast(dtype))
 
 
 def blank_or_null(col: Column | str) -> Column:

@@ -1,6 +1,6 @@
 """Relational operators of the ratings domain; each is DataFrame -> DataFrame."""
 
-from .aggregates import active_users, average_rating_per_movie, user_genre_counts
+from .aggregates import active_user_genre_counts, active_users, average_rating_per_movie, user_genre_counts
 from .filters import project_columns, users_by_occupation_and_age, users_younger_than
 from .joins import (
     join_ratings_active_users,
@@ -25,7 +25,7 @@ from .ranking import favourite_genre_per_user, top_n_movies, user_genre_counts_s
 from .reshape import explode_genres, flags_to_array
 
 __all__ = [
-    "CLEANING_RULES", "clean", "active_users", "average_rating_per_movie", "clean_movies", "clean_ratings",
+    "CLEANING_RULES", "clean", "active_user_genre_counts", "active_users", "average_rating_per_movie", "clean_movies", "clean_ratings",
     "clean_users", "dedup_by_key", "duplicate_check", "explode_genres",
     "favourite_genre_per_user", "flags_to_array", "join_ratings_active_users",
     "join_ratings_movie_genres", "join_ratings_movies", "measured_bytes", "missing_values_profile",

@@ -10,7 +10,7 @@ whole in one reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import DEFAULT_MAX_BROADCAST_BYTES, sized_broadcast
@@ -65,3 +65,24 @@ def user_genre_counts(ratings: DataFrame, movie_genres: DataFrame, active: DataF
     counts = pairs.groupBy("user_id", "genre").agg(
         F.count(F.lit(1)).alias("genre_rating_count"))
     return counts.join(active.select("user_id"), "user_id", "left_semi")
+
+
+def active_user_genre_counts(ratings: DataFrame, movies: DataFrame, min_ratings: int = 50,
+                             max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """A2 + A3 in one scan of the ratings: for users with at least
+    ``min_ratings`` ratings, the number of ratings per ``(user_id, genre)``.
+
+    Movies are folded to one row with all its genres, so a rating meets one row
+    and does not fan out; ratings are counted per user and genre array (combined
+    map-side), a user's total is the sum over its few arrays, and only then are
+    the arrays of active users exploded."""
+    folded = movies.groupBy("movie_id").agg(
+        F.sort_array(F.flatten(F.collect_list("genres"))).alias("genres"))
+    joined = ratings.select("user_id", "movie_id").join(
+        sized_broadcast(folded, max_broadcast_bytes), "movie_id", "left")
+    counts = joined.groupBy("user_id", "genres").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("movie_id").alias("_rated"))
+    total = F.sum("_rated").over(Window.partitionBy("user_id"))
+    active = counts.withColumn("_total", total).where(F.col("_total") >= min_ratings)
+    return (active.select("user_id", F.explode("genres").alias("genre"), "_n")
+            .groupBy("user_id", "genre").agg(F.sum("_n").alias("genre_rating_count")))

@@ -55,11 +55,9 @@ def measured_bytes(df: DataFrame) -> int | None:
 
 def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if its measured size is at most
-    ``max_bytes``, else with a sort-merge hint; unmeasurable -> unchanged."""
+    ``max_bytes``, else (or if it cannot be measured) with a sort-merge hint."""
     size = measured_bytes(df)
-    if size is None:
-        return df
-    return F.broadcast(df) if size <= max_bytes else df.hint("merge")
+    return F.broadcast(df) if size is not None and size <= max_bytes else df.hint("merge")
 
 
 def join_ratings_movies(ratings: DataFrame, movies: DataFrame,

@@ -30,11 +30,54 @@ def missing_values_profile(df: DataFrame) -> DataFrame:
     return df.select(*exprs)
 
 
+_SCALAR = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType,
+           T.TimestampNTZType)
+_MASK_BITS = 62
+
+
+def _encoded(name: str, dtype: T.DataType) -> Column:
+    """A value as text that no other value shares: NULL apart from everything,
+    the length before the text, and floats as grouping compares them (-0.0 is 0.0,
+    all NaN are one)."""
+    c = F.col(f"`{name}`")
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        text = F.when(c == 0, F.lit("0")).otherwise(c.cast("string"))
+    elif isinstance(dtype, T.BinaryType):
+        text = F.hex(c)
+    else:
+        text = c.cast("string")
+    return F.when(c.isNull(), F.lit("n")).otherwise(
+        F.concat(F.octet_length(text).cast("string"), F.lit(":"), text))
+
+
+def _missing(f: T.StructField) -> Column:
+    c = F.col(f"`{f.name}`")
+    return blank_or_null(c) if isinstance(f.dataType, T.StringType) else c.isNull()
+
+
+def _copies(df: DataFrame, with_masks: bool) -> DataFrame:
+    """One row per distinct row: a 256-bit digest of all its scalar columns, the
+    missing flags as bit masks, and the number of copies.  The exchange carries
+    these instead of whole rows; columns of other types stay grouping columns."""
+    scalar = [f for f in df.schema.fields if isinstance(f.dataType, _SCALAR)]
+    other = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, _SCALAR)]
+    keys = list(other)
+    if scalar:
+        keys.append(F.unhex(F.sha2(F.concat(*[_encoded(f.name, f.dataType) for f in scalar]), 256))
+                    .alias("_digest"))
+    if with_masks:
+        fields = df.schema.fields
+        for k in range(0, len(fields), _MASK_BITS):
+            mask = F.lit(0).cast("long")
+            for i, f in enumerate(fields[k:k + _MASK_BITS]):
+                mask = mask + F.when(_missing(f), F.lit(1 << i)).otherwise(F.lit(0))
+            keys.append(mask.alias(f"_mask{k // _MASK_BITS}"))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+
+
 def duplicate_check(df: DataFrame) -> DataFrame:
     """Q2: ``(total_rows, distinct_rows, duplicate_rows)`` in one aggregate."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    per_row = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
-    return per_row.agg(
+    return _copies(df, False).agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("total_rows"),
         F.count(F.lit(1)).cast("bigint").alias("distinct_rows"),
     ).withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
@@ -43,17 +86,16 @@ def duplicate_check(df: DataFrame) -> DataFrame:
 def profile_summary(df: DataFrame) -> DataFrame:
     """Q1 + Q2 in one pass, long form ``(metric, column_name, value)``: the
     missing count of every column (metric ``missing``) and ``total_rows`` /
-    ``distinct_rows`` / ``duplicate_rows``.  Rows are grouped once on all
-    columns (map-side combined); the missing counts are sums over the distinct
-    rows weighted by their copies, so the input is scanned a single time.
-    Missing counts of an empty input are NULL, as in the one-row profile."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    ``distinct_rows`` / ``duplicate_rows``.  Rows are grouped once, by digest and
+    missing mask (map-side combined); the missing counts are sums over the
+    distinct rows weighted by their copies, so the input is scanned a single
+    time and no text is shuffled.  Missing counts of an empty input are NULL, as
+    in the one-row profile."""
+    grouped = _copies(df, True)
     sums = []
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        missing = blank_or_null(c) if isinstance(f.dataType, T.StringType) else c.isNull()
-        sums.append(F.sum(F.when(missing, F.col("_copies")).otherwise(0)).cast("bigint").alias(f"_m{i}"))
+    for i in range(len(df.schema.fields)):
+        bit = F.col(f"_mask{i // _MASK_BITS}").bitwiseAND(F.lit(1 << (i % _MASK_BITS))) != 0
+        sums.append(F.sum(F.when(bit, F.col("_copies")).otherwise(0)).cast("bigint").alias(f"_m{i}"))
     row = grouped.agg(*sums,
                       F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("_total"),
                       F.count(F.lit(1)).cast("bigint").alias("_distinct"))

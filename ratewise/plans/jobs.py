@@ -13,27 +13,26 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import (
-    active_users,
+    active_user_genre_counts,
     average_rating_per_movie,
     clean_movies,
     clean_ratings,
     clean_users,
-    explode_genres,
     favourite_genre_per_user,
     profile_summary,
     record_counts,
     top_n_movies,
-    user_genre_counts,
     users_by_occupation_and_age,
     users_younger_than,
 )
 from ..sinks import (
     conform,
+    even_buckets,
     load_documents_overwrite,
     load_table_overwrite,
     validate_stored_counts,
@@ -67,15 +66,18 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def write(self, df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> str:
+    def write(self, df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
+              observation: Observation | None = None) -> str:
         return load_table_overwrite(df, self.path(name), schema=schemas.TABLES.get(name),
-                                    fmt=self.table_format, partition_by=partition_by)
+                                    fmt=self.table_format, partition_by=partition_by,
+                                    observation=observation)
 
     def read(self, spark: SparkSession, name: str,
              columns: Sequence[str] | None = None) -> DataFrame:
         full = None if self.table_prefix is None else self.table_prefix + name
         if (full is not None and spark.catalog.tableExists(full)
-                and not spark.catalog.getTable(full).isTemporary):  # a stored table, not a view
+                and not spark.catalog.getTable(full).isTemporary  # a stored table, not a view
+                and even_buckets(spark, self.path(name))):
             df = spark.table(full)
             return df.select(*columns) if columns else df
         # The stored schema is known: no inference job over the files' footers.
@@ -85,8 +87,9 @@ class Store:
                                         fmt=self.table_format, schema=schema)
         return read_table_projected(spark, self.path(name), columns, fmt=self.table_format)
 
-    def write_movies(self, movies: DataFrame) -> str:
-        return load_documents_overwrite(movies, self.path("movies"), fmt=self.document_format)
+    def write_movies(self, movies: DataFrame, observation: Observation | None = None) -> str:
+        return load_documents_overwrite(movies, self.path("movies"), fmt=self.document_format,
+                                        observation=observation)
 
     def read_movies(self, spark: SparkSession) -> DataFrame:
         return read_documents_defaulted(spark, self.path("movies"), fmt=self.document_format)
@@ -102,9 +105,12 @@ def write_together(*writes: Callable[[], object]) -> list[object]:
     return [f.result() for f in futures]
 
 
-def _report(spark: SparkSession, store: Store, names: Sequence[str]) -> DataFrame:
-    return record_counts({n: (store.read_movies(spark) if n == "movies" else store.read(spark, n))
-                          for n in names})
+def counted(write: Callable[[Observation], object]) -> int:
+    """Run a write and return the rows it wrote, counted in the stage that wrote
+    them (each partition once, however often a task is retried)."""
+    rows = Observation()
+    write(rows)
+    return int(rows.get["rows"])
 
 
 def ingest_clean_store(spark: SparkSession, user_path: str, rating_path: str, item_path: str,
@@ -112,72 +118,81 @@ def ingest_clean_store(spark: SparkSession, user_path: str, rating_path: str, it
                        lenient: bool = False, rating_buckets: int | None = None,
                        table_prefix: str | None = None) -> DataFrame:
     """Raw lines -> parse -> clean -> store (users and ratings as tables,
-    movies as documents) -> counts of raw lines and of the stored tables.
+    movies as documents) -> read back: ``(table_name, raw_rows, expected_rows,
+    actual_rows, ok)`` with the raw lines, the cleaned rows as the writers counted
+    them, and the rows of the stored tables.
 
     With ``rating_buckets`` the ratings table is written clustered by user
-    (K4) and registered as ``<prefix>ratings`` (prefix: ``table_prefix``, else
-    the store's, else none); a store with that prefix reads it back through
-    the catalog.
+    (K4) and registered as ``<prefix>ratings``; a prefix (``table_prefix``, else
+    the store's) is then required, so that no unrelated table is replaced.  A
+    store with that prefix reads it back through the catalog.
 
-    The raw line counts are one extra scan of the text files.  Counting during
-    the write (``observe``) would save it, but metrics from a map stage can be
-    counted twice when a lost executor forces the stage to run again."""
+    The raw line counts are one extra scan of the text files: counting them
+    while parsing would be in a map stage, whose metrics a lost executor can
+    count twice."""
     prefix = table_prefix if table_prefix is not None else (store.table_prefix or "")
+    if rating_buckets and not prefix:
+        raise ValueError("bucketed ratings are registered in the catalog: give a table prefix")
     raw = {"users": scan_text_lines(spark, user_path),
            "ratings": scan_text_lines(spark, rating_path),
            "movies": scan_text_lines(spark, item_path)}
     users = clean_users(parse_pipe_users(raw["users"], lenient=lenient))
     ratings = clean_ratings(parse_ws_ratings(raw["ratings"], lenient=lenient))
     movies = clean_movies(parse_item_genres(raw["movies"], vocabulary, lenient=lenient))
-    if rating_buckets:
-        def write_ratings() -> object:
+
+    def write_ratings(rows: Observation) -> object:
+        if rating_buckets:
             return write_clustered_by_key(conform(ratings, schemas.RATINGS), f"{prefix}ratings",
                                           store.path("ratings"), buckets=rating_buckets,
-                                          fmt=store.table_format)
-    else:
-        def write_ratings() -> object:
-            return store.write(ratings, "ratings")
-    write_together(lambda: store.write(users, "users"), write_ratings,
-                   lambda: store.write_movies(movies))
-    counts = {f"raw_{k}": v for k, v in raw.items()}
-    counts.update({"users": store.read(spark, "users"), "ratings": store.read(spark, "ratings"),
-                   "movies": store.read_movies(spark)})
-    return record_counts(counts)
+                                          fmt=store.table_format, observation=rows)
+        return store.write(ratings, "ratings", observation=rows)
+
+    n_users, n_ratings, n_movies = write_together(
+        lambda: counted(lambda rows: store.write(users, "users", observation=rows)),
+        lambda: counted(write_ratings),
+        lambda: counted(lambda rows: store.write_movies(movies, rows)))
+    report = validate_store(spark, store, {"users": n_users, "ratings": n_ratings, "movies": n_movies})
+    lines = record_counts(raw).select(F.col("dataset").alias("table_name"),
+                                      F.col("row_count").alias("raw_rows"))
+    return lines.join(report, "table_name")
 
 
 def ratings_report(spark: SparkSession, store: Store, n: int = 10,
                    min_count: int = 0) -> DataFrame:
     """C2 (Tasks 1 and 2): per-movie averages, then the top ``n`` built from
-    the stored averages; returns the counts of both stored results."""
+    the stored averages; returns the validation of both stored results."""
     ratings = store.read(spark, "ratings", ["movie_id", "rating"])
     movies = store.read_movies(spark).select("movie_id", "movie_title")
-    store.write(average_rating_per_movie(ratings, movies), "average_movie_ratings")
+    averages = counted(lambda rows: store.write(
+        average_rating_per_movie(ratings, movies), "average_movie_ratings", observation=rows))
     stored_avg = store.read(spark, "average_movie_ratings")
-    store.write(top_n_movies(stored_avg, n, min_count), "top_10_movies")
-    return _report(spark, store, ["average_movie_ratings", "top_10_movies"])
+    top = counted(lambda rows: store.write(
+        top_n_movies(stored_avg, n, min_count), "top_10_movies", observation=rows))
+    return validate_store(spark, store, {"average_movie_ratings": averages, "top_10_movies": top})
 
 
 def favourite_genre_report(spark: SparkSession, store: Store, min_ratings: int = 50) -> DataFrame:
-    """C3 (Task 3): favourite genre of every active user; returns the count of
-    the stored result."""
+    """C3 (Task 3): favourite genre of every active user; returns the
+    validation of the stored result."""
     ratings = store.read(spark, "ratings", ["user_id", "movie_id"])
-    genres = explode_genres(store.read_movies(spark))
     fav = favourite_genre_per_user(
-        user_genre_counts(ratings, genres, active_users(ratings, min_ratings)))
-    store.write(fav, "user_favourite_genres")
-    return _report(spark, store, ["user_favourite_genres"])
+        active_user_genre_counts(ratings, store.read_movies(spark), min_ratings))
+    rows = counted(lambda o: store.write(fav, "user_favourite_genres", observation=o))
+    return validate_store(spark, store, {"user_favourite_genres": rows})
 
 
 def user_filter_report(spark: SparkSession, store: Store, max_age_exclusive: int = 20,
                        occupation: str = "scientist", min_age: int = 30,
                        max_age: int = 40) -> DataFrame:
-    """C4 (Tasks 4 and 5): two user segments from the stored users."""
+    """C4 (Tasks 4 and 5): two user segments from the stored users, validated."""
     users = store.read(spark, "users")
-    write_together(
-        lambda: store.write(users_younger_than(users, max_age_exclusive), "young_users"),
-        lambda: store.write(users_by_occupation_and_age(users, occupation, min_age, max_age),
-                            "scientist_users"))
-    return _report(spark, store, ["young_users", "scientist_users"])
+    young, scientists = write_together(
+        lambda: counted(lambda rows: store.write(
+            users_younger_than(users, max_age_exclusive), "young_users", observation=rows)),
+        lambda: counted(lambda rows: store.write(
+            users_by_occupation_and_age(users, occupation, min_age, max_age), "scientist_users",
+            observation=rows)))
+    return validate_store(spark, store, {"young_users": young, "scientist_users": scientists})
 
 
 def validate_store(spark: SparkSession, store: Store,

@@ -20,6 +20,7 @@ from . import fixtures as fx
 from . import oracle as o
 from . import schemas
 from .operators import (
+    active_user_genre_counts,
     active_users,
     average_rating_per_movie,
     clean_movies,
@@ -37,7 +38,6 @@ from .operators import (
     project_columns,
     record_counts,
     top_n_movies,
-    user_genre_counts,
     user_genre_counts_sorted,
     users_by_occupation_and_age,
     users_younger_than,
@@ -54,9 +54,10 @@ from .plans.jobs import (
 )
 from .plans.views import average_rating_sql, favourite_genre_sql, register_views, top_movies_sql
 from .session import scratch_path
-from .streaming import read_keyed_ratings, start_ratings_ingest
+from .streaming import compact_ratings, read_keyed_ratings, start_ratings_ingest
 from .sinks import (
     conform,
+    create_result_tables,
     load_documents_overwrite,
     load_table_overwrite,
     upsert_by_key,
@@ -69,6 +70,7 @@ from .sources import (
     parse_ws_ratings,
     read_documents_defaulted,
     read_table_projected,
+    rejected_lines,
     scan_text_lines,
     select_all_limit,
     write_text_lines,
@@ -107,8 +109,7 @@ def _average(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _genre_counts(spark: SparkSession, sf: str) -> DataFrame:
-    r = fx.ratings(spark, sf)
-    return user_genre_counts(r, explode_genres(fx.movies(spark, sf)), active_users(r, 50))
+    return active_user_genre_counts(fx.ratings(spark, sf), fx.movies(spark, sf), 50)
 
 
 def _stage_lines(spark: SparkSession, sf: str) -> dict[str, str]:
@@ -152,6 +153,26 @@ def q_parse_ws_ratings(spark, sf):
     return parse_ws_ratings(scan_text_lines(spark, path))
 
 
+MIXED = """lines AS (
+  SELECT concat_ws(chr(9), CAST(user_id AS VARCHAR), CAST(movie_id AS VARCHAR), CAST(rating AS VARCHAR),
+           CASE WHEN user_id % 3 = 0 AND rating = 2 THEN 'x' || CAST("timestamp" AS VARCHAR)
+                WHEN user_id % 5 = 0 AND rating = 4 THEN NULL
+                ELSE CAST("timestamp" AS VARCHAR) END) AS value,
+         (user_id % 3 = 0 AND rating = 2) OR (user_id % 5 = 0 AND rating = 4) AS rejected
+  FROM ratings)"""
+
+
+@register("reject_bad_lines", W(o.RATINGS, MIXED) + "SELECT value, rejected FROM lines")
+def q_reject_bad_lines(spark, sf):
+    """Readable lines, parsed and rendered again, and the rejects as they stood."""
+    path = write_text_lines(fx.rating_lines_mixed(spark, sf), scratch_path(spark, "rating_lines"))
+    lines = scan_text_lines(spark, path)
+    good = parse_ws_ratings(lines, lenient=True)
+    rendered = good.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in good.columns]).alias("value"),
+                           F.lit(False).alias("rejected"))
+    return rendered.unionByName(rejected_lines(lines, "ratings").withColumn("rejected", F.lit(True)))
+
+
 @register("parse_item_wide", W(o.movies_wide()) + "SELECT * FROM movies_wide")
 def q_parse_item_wide(spark, sf):
     path = write_text_lines(fx.item_lines(spark, sf), scratch_path(spark, "item_lines"))
@@ -172,9 +193,13 @@ def q_read_table_projected(spark, sf):
     return read_table_projected(spark, path, ["movie_id", "rating"])
 
 
-@register("read_documents_defaulted", W(o.movies()) + MOVIES_JOINED)
+@register("read_documents_defaulted",
+          W(o.movies()) + MOVIES_JOINED.replace(
+              "array_to_string(genres, '|')",
+              "CASE WHEN movie_id % 5 = 0 THEN '' ELSE array_to_string(genres, '|') END"))
 def q_read_documents_defaulted(spark, sf):
-    path = load_documents_overwrite(fx.movies(spark, sf), scratch_path(spark, "movies"))
+    """Documents of which every fifth has no ``genres`` field."""
+    path = load_documents_overwrite(fx.movies_without_genres(spark, sf), scratch_path(spark, "movies"))
     return joined(read_documents_defaulted(spark, path))
 
 
@@ -214,14 +239,14 @@ def q_duplicate_check(spark, sf):
 
 
 @register("record_counts",
-          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies())
+          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies_wide(), o.MOVIES_DIRTY)
           + " UNION ALL ".join(
               f"SELECT '{n}' AS dataset, CAST(COUNT(*) AS BIGINT) AS row_count FROM {t}"
               for n, t in (("users_raw", "users"), ("users_clean", "clean_users"),
                            ("ratings_raw", "ratings_dirty"), ("ratings_clean", "clean_ratings"),
-                           ("movies_raw", "movies"), ("movies_clean", "movies"))))
+                           ("movies_raw", "movies_dirty"), ("movies_clean", "clean_movies"))))
 def q_record_counts(spark, sf):
-    users, ratings, movies = fx.users(spark, sf), fx.ratings_dirty(spark, sf), fx.movies(spark, sf)
+    users, ratings, movies = fx.users(spark, sf), fx.ratings_dirty(spark, sf), fx.movies_dirty(spark, sf)
     return record_counts({
         "users_raw": users, "users_clean": clean_users(users),
         "ratings_raw": ratings, "ratings_clean": clean_ratings(ratings),
@@ -247,13 +272,9 @@ def q_clean_ratings(spark, sf):
     return clean_ratings(fx.ratings_dirty(spark, sf))
 
 
-@register("clean_movies",
-          W(o.movies_wide()) + """SELECT * EXCLUDE (rn) FROM (
-              SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY movie_title) AS rn
-              FROM movies_wide) d
-              WHERE rn = 1 AND movie_id IS NOT NULL AND movie_title IS NOT NULL""")
+@register("clean_movies", W(o.movies_wide(), o.MOVIES_DIRTY) + "SELECT * FROM clean_movies")
 def q_clean_movies(spark, sf):
-    return clean_movies(fx.movies_wide(spark, sf))
+    return clean_movies(fx.movies_dirty(spark, sf))
 
 
 # --- P: projections and filters -------------------------------------------------
@@ -427,24 +448,72 @@ def q_load_documents_overwrite(spark, sf):
 
 @register("write_clustered_by_key", W(o.RATINGS) + f"SELECT {RATING_COLS} FROM ratings")
 def q_write_clustered_by_key(spark, sf):
-    name = f"ratewise_ratings_{uuid.uuid4().hex[:10]}"
-    return write_clustered_by_key(conform(fx.ratings(spark, sf), schemas.RATINGS), name,
-                                  scratch_path(spark, "ratings_bucketed"), buckets=8)
+    """The files of the bucketed table; its catalog entry goes again."""
+    name, path = f"ratewise_ratings_{uuid.uuid4().hex[:10]}", scratch_path(spark, "ratings_bucketed")
+    write_clustered_by_key(conform(fx.ratings(spark, sf), schemas.RATINGS), name, path, buckets=8)
+    spark.sql(f"DROP TABLE {name}")
+    return read_table_projected(spark, path, schema=schemas.RATINGS)
+
+
+NULL_KEYS = """null_keys AS (
+  SELECT user_id, CASE WHEN movie_id % 10 <> 0 THEN movie_id END AS movie_id, rating, "timestamp"
+  FROM ratings),
+batch AS (
+  SELECT user_id, movie_id, min(rating) AS rating, "timestamp" FROM null_keys
+  WHERE rating >= 3 GROUP BY ALL),
+base AS (
+  SELECT user_id, movie_id, min(rating) AS rating, "timestamp" FROM null_keys
+  WHERE rating <= 3 GROUP BY ALL)"""
+
+
+@register("upsert_null_keys",
+          W(o.RATINGS, NULL_KEYS)
+          + f"""SELECT {RATING_COLS} FROM batch UNION ALL
+                SELECT {RATING_COLS} FROM base b WHERE NOT EXISTS (
+                  SELECT 1 FROM batch n WHERE n.user_id = b.user_id AND n."timestamp" = b."timestamp"
+                    AND n.movie_id IS NOT DISTINCT FROM b.movie_id)""")
+def q_upsert_null_keys(spark, sf):
+    """The same batch twice, into the table itself; NULL movies are equal keys."""
+    rows = fx.ratings_null_keys(spark, sf)
+    keys = schemas.KEYS["ratings"]
+    path = load_table_overwrite(dedup_by_key(rows.where("rating <= 3"), keys),
+                                scratch_path(spark, "ratings"), schemas.RATINGS)
+    for _ in range(2):
+        upsert_by_key(spark, path, rows.where("rating >= 3"), keys, path, schema=schemas.RATINGS)
+    return read_table_projected(spark, path)
+
+
+@register("create_result_tables",
+          W(o.USERS) + " UNION ALL ".join(
+              f"SELECT '{n}' AS dataset, CAST(COUNT(*) AS BIGINT) AS row_count FROM users WHERE false"
+              for n in schemas.TABLES))
+def q_create_result_tables(spark, sf):
+    """Create over old rows: every table is there and empty."""
+    root, prefix = scratch_path(spark, "created"), f"ratewise_{uuid.uuid4().hex[:8]}_"
+    load_table_overwrite(fx.users(spark, sf), f"{root}/users", schemas.USERS)
+    for name in create_result_tables(spark, root, prefix=prefix):
+        spark.sql(f"DROP TABLE {name}")  # external: the files are what is counted
+    return record_counts({n: read_table_projected(spark, f"{root}/{n}", schema=t)
+                          for n, t in schemas.TABLES.items()})
 
 
 @register("validate_stored_counts",
-          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies())
+          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies_wide(), o.MOVIES_DIRTY)
           + " UNION ALL ".join(
-              f"SELECT '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS expected_rows, "
-              f"CAST(COUNT(*) AS BIGINT) AS actual_rows, true AS ok FROM {t}"
-              for n, t in (("users", "clean_users"), ("ratings", "clean_ratings"),
-                           ("movies", "movies"))))
+              f"""SELECT '{n}' AS table_name, CAST(e.n AS BIGINT) AS expected_rows,
+                         CAST(a.n AS BIGINT) AS actual_rows, e.n = a.n AS ok
+                  FROM (SELECT COUNT(*) AS n FROM {exp}) e, (SELECT COUNT(*) AS n FROM {act}) a"""
+              for n, exp, act in (("users", "clean_users", "clean_users"),
+                                  ("ratings", "ratings_dirty", "clean_ratings"),
+                                  ("movies", "clean_movies", "clean_movies"))))
 def q_validate_stored_counts(spark, sf):
+    """Users and movies as stored; the ratings are held against the uncleaned
+    rows, which they must not match."""
     store = Store(scratch_path(spark, "store"))
-    users = clean_users(fx.users(spark, sf))
-    ratings = clean_ratings(fx.ratings_dirty(spark, sf))
-    movies = clean_movies(fx.movies(spark, sf))
-    write_together(lambda: store.write(users, "users"), lambda: store.write(ratings, "ratings"),
+    users, ratings = clean_users(fx.users(spark, sf)), fx.ratings_dirty(spark, sf)
+    movies = flags_to_array(clean_movies(fx.movies_dirty(spark, sf)), fx.FIXTURE_GENRES)
+    write_together(lambda: store.write(users, "users"),
+                   lambda: store.write(clean_ratings(ratings), "ratings"),
                    lambda: store.write_movies(movies))
     return validate_store(spark, store, {"users": users, "ratings": ratings, "movies": movies})
 
@@ -452,30 +521,35 @@ def q_validate_stored_counts(spark, sf):
 # --- streaming: the incremental ratings load ------------------------------------------
 
 @register("incremental_ingest_ratings",
-          W(o.RATINGS) + f"""SELECT {RATING_COLS} FROM (
-              SELECT *, row_number() OVER (PARTITION BY user_id, movie_id, "timestamp"
-                                          ORDER BY rating ASC NULLS FIRST) AS rn
-              FROM ratings) d WHERE rn = 1""")
+          W(o.RATINGS, o.RATINGS_DIRTY, o.CLEAN_RATINGS)
+          + f"""SELECT user_id, movie_id, min(rating) AS rating, "timestamp" FROM ratings
+                WHERE movie_id % 2 = 0 GROUP BY user_id, movie_id, "timestamp"
+                UNION ALL SELECT {RATING_COLS} FROM clean_ratings WHERE movie_id % 2 <> 0""")
 def q_incremental_ingest_ratings(spark, sf):
-    """Two arrivals through the stream: the dirty rating lines, then the clean
-    ones for the same keys; the second batch wins every key."""
+    """Two arrivals through the stream: the dirty rating lines, then clean ones
+    for the movies with even ids, which win their keys; then the batches are
+    compacted."""
     src, table, ckpt = (scratch_path(spark, n) for n in ("incoming", "ratings", "ckpt"))
     write_text_lines(fx.rating_lines(spark, sf, dirty=True), f"{src}/arrival-1")
     start_ratings_ingest(spark, src, table, ckpt).awaitTermination()
-    write_text_lines(fx.rating_lines(spark, sf), f"{src}/arrival-2")
+    even = F.split("value", "\t")[1].cast("bigint") % 2 == 0
+    write_text_lines(fx.rating_lines(spark, sf).where(even), f"{src}/arrival-2")
     start_ratings_ingest(spark, src, table, ckpt).awaitTermination()
+    compact_ratings(spark, table)
     return read_keyed_ratings(spark, table)
 
 
 # --- C: composite jobs ---------------------------------------------------------------
 
 @register("ingest_clean_store",
-          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS)
+          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies_wide())
           + " UNION ALL ".join(
-              f"SELECT '{n}' AS dataset, CAST(COUNT(*) AS BIGINT) AS row_count FROM {t}"
-              for n, t in (("raw_users", "customer"), ("raw_ratings", "ratings_dirty"),
-                           ("raw_movies", "part"), ("users", "clean_users"),
-                           ("ratings", "clean_ratings"), ("movies", "part"))))
+              f"""SELECT '{n}' AS table_name, CAST(r.n AS BIGINT) AS raw_rows, CAST(c.n AS BIGINT) AS expected_rows,
+                         CAST(c.n AS BIGINT) AS actual_rows, true AS ok
+                  FROM (SELECT COUNT(*) AS n FROM {raw}) r, (SELECT COUNT(*) AS n FROM {clean}) c"""
+              for n, raw, clean in (("users", "users", "clean_users"),
+                                    ("ratings", "ratings_dirty", "clean_ratings"),
+                                    ("movies", "movies_wide", "movies_wide"))))
 def q_ingest_clean_store(spark, sf):
     root = scratch_path(spark, "raw")
     users, ratings, items = write_together(

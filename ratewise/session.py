@@ -51,10 +51,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/ratewise/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the checkpoint folder (never reused)."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/ratewise/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the checkpoint folder (never reused), in this
+    application's own folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application wrote to scratch paths; frames that
+    still read it cannot be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def local_path(uri: str) -> str:

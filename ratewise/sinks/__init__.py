@@ -3,9 +3,12 @@ read-back validation (K1-K7)."""
 
 from .documents import load_documents_overwrite
 from .tables import (
+    bucket_bytes,
     conform,
     create_result_tables,
+    even_buckets,
     load_table_overwrite,
+    result_table_statements,
     result_tables_ddl,
     upsert_by_key,
     upsert_frames,
@@ -14,6 +17,6 @@ from .tables import (
 from .validate import validate_stored_counts
 
 __all__ = [
-    "conform", "create_result_tables", "load_documents_overwrite", "load_table_overwrite",
-    "result_tables_ddl", "upsert_by_key", "upsert_frames", "validate_stored_counts", "write_clustered_by_key",
+    "bucket_bytes", "conform", "create_result_tables", "even_buckets", "load_documents_overwrite",
+    "load_table_overwrite", "result_table_statements", "result_tables_ddl", "upsert_by_key", "upsert_frames", "validate_stored_counts", "write_clustered_by_key",
 ]

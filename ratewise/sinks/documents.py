@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from .. import schemas
-from .tables import conform
+from .tables import conform, replace_folder
 
 
 def load_documents_overwrite(df: DataFrame, path: str, fmt: str = "json",
                              options: Mapping[str, str] | None = None,
-                             conform_to=schemas.MOVIES) -> str:
-    """K3: replace the collection at ``path`` with ``df``'s documents.  An
+                             conform_to=schemas.MOVIES,
+                             observation: Observation | None = None) -> str:
+    """K3: replace the collection at ``path`` with ``df``'s documents, staged and
+    then switched; ``observation`` counts them as they are written.  An
     empty input leaves an empty collection (drop, then nothing to insert).
     NULL fields are omitted from a document, and read back as missing."""
     out = conform(df, conform_to) if conform_to is not None else df
-    out.write.mode("overwrite").format(fmt).options(**(options or {})).save(path)
-    return path
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    return replace_folder(df.sparkSession, path,
+                          out.write.format(fmt).options(**(options or {})).save)

@@ -8,75 +8,178 @@ registered in the session catalog.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions import checked_cast
 from ..operators.quality import dedup_by_key
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns by name and cast to the stored types (ANSI:
-    a value that does not fit raises rather than wrapping)."""
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Select the schema's columns by name and cast to the stored types; a value
+    that does not fit raises rather than wrapping, with or without ANSI mode."""
+    def column(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if df.schema[f.name].dataType == f.dataType:
+            return c.alias(f.name)
+        if isinstance(f.dataType, (T.NumericType, T.BooleanType)):
+            return checked_cast(c, f.dataType.simpleString()).alias(f.name)
+        return c.cast(f.dataType).alias(f.name)
+    return df.select(*[column(f) for f in schema.fields])
+
+
+# --- staged, then switched -------------------------------------------------------
+
+def _file_system(spark: SparkSession, path: str):
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs_path
+
+
+def _sibling(path: str, kind: str) -> str:
+    """A fresh hidden name beside ``path`` (readers skip names with ``_``)."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{kind}-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def switch(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the folder ``staged`` in the place of ``path``: two renames, and the
+    old folder is removed only then.  If the second fails the old one is put
+    back."""
+    fs, fs_path = _file_system(spark, path)
+    target, new = fs_path(path), fs_path(staged)
+    old = fs_path(_sibling(path, "replaced"))
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot replace {path}")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move {staged} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], object]) -> str:
+    """``write`` a complete table to a fresh sibling of ``path``, then switch.  A
+    write that fails leaves the old table as it was, and the frame may read the
+    very table that it replaces."""
+    staged = _sibling(path, "staged")
+    try:
+        write(staged)
+    except BaseException:
+        fs, fs_path = _file_system(spark, path)
+        fs.delete(fs_path(staged), True)
+        raise
+    switch(spark, staged, path)
+    return path
 
 
 def load_table_overwrite(df: DataFrame, path: str, schema: T.StructType | None = None,
                          fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-                         options: Mapping[str, str] | None = None) -> str:
-    """K1: replace the table at ``path`` with ``df`` (truncate + load).  With
-    ``partition_by`` the files are laid out by those columns, so a later
-    equality filter on them prunes whole folders (``PartitionFilters``).
+                         options: Mapping[str, str] | None = None,
+                         observation: Observation | None = None) -> str:
+    """K1: replace the table at ``path`` with ``df`` (truncate + load, staged and
+    then switched).  With ``partition_by`` the files are laid out by those
+    columns, so a later equality filter on them prunes whole folders
+    (``PartitionFilters``).
 
     A partitioned write first rebalances rows on the partition columns: each
     folder then gets a few large files instead of one small file per writer
     task, and AQE still splits a value that holds a large share of the rows
-    over several tasks."""
+    over several tasks.  ``observation`` counts the rows (as ``rows``) in the
+    stage that writes them, which counts each partition once."""
     out = conform(df, schema) if schema is not None else df
     if partition_by:
         out = out.hint("rebalance", *partition_by)
-    writer = out.write.mode("overwrite").format(fmt).options(**(options or {}))
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    writer = out.write.format(fmt).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    return path
+    return replace_folder(df.sparkSession, path, writer.save)
+
+
+def _anti_join(current: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``current`` whose key (NULLs equal) is not in ``fresh``."""
+    taken = fresh.select(*[F.col(f"`{k}`").alias(f"_new_{i}") for i, k in enumerate(keys)])
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & current[k].eqNullSafe(taken[f"_new_{i}"])
+    return current.join(taken, match, "left_anti")
 
 
-def upsert_frames(current: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_frames(current: DataFrame, updates: DataFrame, keys: Sequence[str],
+                  fresh: DataFrame | None = None) -> DataFrame:
     """K2 as a plan: rows of ``updates`` win over ``current`` rows with an equal
-    key; within ``updates`` one row per key is kept (the first in a total
-    order).  When the planner estimates the update batch under the broadcast
-    threshold, the anti-join broadcasts it and the stored side is only
-    scanned; otherwise both sides are hash-partitioned on the key (keys are
-    unique, so no key is hot) and AQE may still switch to a broadcast once the
-    batch's size is measured."""
+    key (a NULL key equals a NULL key); within ``updates`` one row per key is
+    kept (the first in a total order).  When the planner estimates the update
+    batch under the broadcast threshold, the anti-join broadcasts it and the
+    stored side is only scanned; otherwise both sides are hash-partitioned on
+    the key (keys are unique, so no key is hot) and AQE may still switch to a
+    broadcast once the batch's size is measured.  ``fresh`` is the batch
+    already reduced to one row per key, if the caller has it."""
     keys = list(keys)
-    fresh = dedup_by_key(updates.select(*current.columns), keys)
-    kept = current.join(fresh.select(*keys), keys, "left_anti").select(*current.columns)
-    return kept.unionByName(fresh)
+    if fresh is None:
+        fresh = dedup_by_key(updates.select(*current.columns), keys)
+    return _anti_join(current, fresh, keys).unionByName(fresh)
 
 
 def upsert_by_key(spark: SparkSession, current_path: str, updates: DataFrame,
                   keys: Sequence[str], out_path: str, fmt: str = "parquet",
                   schema: T.StructType | None = None) -> str:
     """K2: merge ``updates`` into the table at ``current_path`` and write the
-    result to ``out_path`` (a new location: Spark does not overwrite a table
-    it is reading).  The caller then points readers at ``out_path``."""
+    result to ``out_path``, which may be ``current_path`` (the write is staged).
+
+    The batch is planned and shuffled once: its rows, one per key, are staged
+    beside the result and read twice from there, then removed."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     current = reader.load(current_path)
-    merged = upsert_frames(current, updates, keys)
-    return load_table_overwrite(merged, out_path, schema=schema, fmt=fmt)
+    batch = _sibling(out_path, "batch")
+    one = dedup_by_key(updates.select(*current.columns), list(keys))
+    one = conform(one, current.schema)
+    one.write.format(fmt).save(batch)
+    try:
+        merged = upsert_frames(current, updates, keys,
+                               spark.read.format(fmt).schema(current.schema).load(batch))
+        return load_table_overwrite(merged, out_path, schema=schema, fmt=fmt)
+    finally:
+        fs, fs_path = _file_system(spark, batch)
+        fs.delete(fs_path(batch), True)
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(name: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def _location(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_name(table)}").where(
+        "col_name = 'Location'").select("data_type").collect()
+    return rows[0][0] if rows else ""
+
+
+def _plain_path(path: str) -> str:
+    return re.sub(r"^file:/*", "/", path).rstrip("/")
 
 
 def write_clustered_by_key(df: DataFrame, table_name: str, path: str,
                            bucket_by: str = "user_id", buckets: int = 64,
                            sort_by: Sequence[str] = ("movie_id", "timestamp"),
-                           fmt: str = "parquet") -> DataFrame:
+                           fmt: str = "parquet", observation: Observation | None = None) -> DataFrame:
     """K4: partition key + clustering order.  Rows are hash-bucketed by
     ``bucket_by`` and sorted by ``sort_by`` inside each bucket file; the table
     is registered as ``table_name`` at ``path``.  A later aggregate or join on
@@ -87,34 +190,79 @@ def write_clustered_by_key(df: DataFrame, table_name: str, path: str,
     bucket).  Unlike a plain repartition, a rebalance lets AQE split a
     partition that one hot key makes too large: that bucket is then written by
     several tasks, as several files.  Size ``buckets`` so an ordinary bucket
-    stays well under a task's memory at the target scale."""
-    (df.hint("rebalance", buckets, bucket_by)
-       .write.mode("overwrite").format(fmt)
-       .bucketBy(buckets, bucket_by).sortBy(*sort_by)
-       .option("path", path)
-       .saveAsTable(table_name))
-    return df.sparkSession.table(table_name)
+    stays well under a task's memory at the target scale.
 
+    The files are staged under a table name of their own and then switched; a
+    table of that name at another location is never replaced."""
+    spark = df.sparkSession
+    at = _location(spark, table_name)
+    if at is not None and _plain_path(at) != _plain_path(path):
+        raise ValueError(f"table {table_name} exists at {at or 'no location'}, not at {path}")
+    out = df.hint("rebalance", buckets, bucket_by)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    staged, staged_table = _sibling(path, "staged"), f"{table_name}_staged_{uuid.uuid4().hex[:8]}"
+    try:
+        (out.write.format(fmt).bucketBy(buckets, bucket_by).sortBy(*sort_by)
+            .option("path", staged).saveAsTable(staged_table))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {_name(staged_table)}")  # external: the files stay
+    spark.sql(f"DROP TABLE IF EXISTS {_name(table_name)}")
+    switch(spark, staged, path)
+    cols = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"CREATE TABLE {_name(table_name)} ({cols}) USING {fmt} CLUSTERED BY ({_name(bucket_by)}) "
+              f"SORTED BY ({', '.join(map(_name, sort_by))}) INTO {buckets} BUCKETS LOCATION {_literal(path)}")
+    return spark.table(table_name)
 
-def result_tables_ddl(root: str, tables: Mapping[str, T.StructType] = schemas.TABLES,
-                      fmt: str = "parquet", prefix: str = "") -> str:
-    """The Spark SQL text that drops and creates every table at ``root/<name>``
-    (to keep as a ``.sql`` file or run with ``spark.sql``)."""
-    stmts = []
+
+def bucket_bytes(spark: SparkSession, path: str) -> dict[int, int]:
+    """Bytes of every bucket of a bucketed table's folder (one listing)."""
+    fs, fs_path = _file_system(spark, path)
+    sizes: dict[int, int] = {}
+    for status in fs.listStatus(fs_path(path)):
+        m = re.search(r"_(\d{5})(?:\.|$)", status.getPath().getName())
+        if m:
+            sizes[int(m[1])] = sizes.get(int(m[1]), 0) + status.getLen()
+    return sizes
+
+
+def even_buckets(spark: SparkSession, path: str, factor: float = 2.0) -> bool:
+    """Whether no bucket holds more than ``factor`` times the median one.  A
+    bucketed scan is one task a bucket, which adaptive execution cannot split,
+    so an uneven table is better read by path."""
+    sizes = sorted(bucket_bytes(spark, path).values())
+    return not sizes or sizes[-1] <= factor * sizes[len(sizes) // 2]
+
+
+def result_table_statements(root: str, tables: Mapping[str, T.StructType] = schemas.TABLES,
+                            fmt: str = "parquet", prefix: str = "") -> list[str]:
+    """The Spark SQL statements that drop and create every table at
+    ``root/<name>``."""
+    out = []
     for name, schema in tables.items():
         cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        stmts.append(f"DROP TABLE IF EXISTS `{prefix}{name}`;\n"
-                     f"CREATE TABLE `{prefix}{name}` (\n  {cols}\n) USING {fmt} "
-                     f"LOCATION '{root.rstrip('/')}/{name}';")
-    return "\n\n".join(stmts) + "\n"
+        out += [f"DROP TABLE IF EXISTS {_name(prefix + name)}",
+                f"CREATE TABLE {_name(prefix + name)} (\n  {cols}\n) USING {fmt} "
+                f"LOCATION {_literal(root.rstrip('/') + '/' + name)}"]
+    return out
+
+
+def result_tables_ddl(root: str, tables: Mapping[str, T.StructType] = schemas.TABLES,
+                      fmt: str = "parquet", prefix: str = "") -> str:
+    """The statements as one text (to keep as a ``.sql`` file)."""
+    lines = [s + ";" for s in result_table_statements(root, tables, fmt, prefix)]
+    return "\n\n".join("\n".join(lines[i:i + 2]) for i in range(0, len(lines), 2)) + "\n"
 
 
 def create_result_tables(spark: SparkSession, root: str,
                          tables: Mapping[str, T.StructType] = schemas.TABLES,
                          fmt: str = "parquet", prefix: str = "") -> list[str]:
     """K5: drop-if-exists and create each table (empty, fixed schema) at
-    ``root/<name>``.  Returns the catalog names."""
-    for stmt in result_tables_ddl(root, tables, fmt, prefix).split(";"):
-        if stmt.strip():
-            spark.sql(stmt)
+    ``root/<name>``; files that an earlier table left there go.  Returns the
+    catalog names."""
+    for statement in result_table_statements(root, tables, fmt, prefix):
+        spark.sql(statement)
+    for name, schema in tables.items():
+        load_table_overwrite(spark.createDataFrame([], schema), f"{root.rstrip('/')}/{name}", fmt=fmt)
+        spark.catalog.refreshTable(prefix + name)
     return [f"{prefix}{name}" for name in tables]

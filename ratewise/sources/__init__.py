@@ -6,12 +6,13 @@ from .text import (
     parse_item_wide,
     parse_pipe_users,
     parse_ws_ratings,
+    rejected_lines,
     scan_text_lines,
     write_text_lines,
 )
 
 __all__ = [
     "parse_item_genres", "parse_item_wide", "parse_pipe_users", "parse_ws_ratings",
-    "read_documents_defaulted", "read_table_projected", "scan_text_lines",
+    "read_documents_defaulted", "read_table_projected", "rejected_lines", "scan_text_lines",
     "select_all_limit", "write_text_lines",
 ]

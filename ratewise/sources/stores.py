@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions import raise_when
 
 
 def read_table_projected(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -39,9 +40,11 @@ def read_documents_defaulted(spark: SparkSession, path: str, fmt: str = "json",
         T.StructField(f.name, T.StringType(), True) if f.name == "movie_id" else f
         for f in schema.fields]) if fmt == "json" else schema
     df = spark.read.format(fmt).options(**(options or {})).schema(read_schema).load(path)
-    raw_id = F.col("movie_id")
-    movie_id = F.when(raw_id.isNotNull(), raw_id.cast(id_type)).otherwise(
-        F.raise_error(F.lit("document without movie_id")).cast(id_type))
+    movie_id = F.col("movie_id").try_cast(id_type)
+    # A filter, so that every read enforces it, also one that never reads the id.
+    df = df.where(raise_when(movie_id.isNull(), F.concat(
+        F.lit("document without a readable movie_id: "),
+        F.coalesce(F.col("movie_id").cast("string"), F.lit("null")))))
     cols = []
     for f in schema.fields:
         if f.name == "movie_id":

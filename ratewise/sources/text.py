@@ -7,9 +7,11 @@ turns blank fields into NULL, interprets quote marks and rejects extra fields,
 none of which the line format allows.
 
 Failure policy (``lenient=False``, the default): a line with too few required
-fields or non-numeric text in a numeric field fails the job (ANSI index and
-cast errors).  ``lenient=True`` yields NULLs instead, which the cleaners then
-drop.  Extra trailing fields are ignored in every parser.
+fields or unreadable text in a numeric field fails the job, whatever columns a
+query reads.  ``lenient=True`` rejects such a line as a whole, never a part of
+it; :func:`rejected_lines` returns the rejects as they stood in the file.  The
+check does not depend on the session's ANSI setting.  Extra trailing fields are
+ignored in every parser; a short item line lacks its last flags.
 """
 
 from __future__ import annotations
@@ -21,14 +23,21 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import (
-    field,
     flag_names_array,
     optional_field,
+    raise_when,
     split_delimited,
     split_whitespace,
-    strict_cast,
 )
 
+# Required fields of a line, in order, and the type of the numeric ones.
+USER_FIELDS = (("user_id", "bigint"), ("age", "int"), ("gender", "string"),
+               ("occupation", "string"), ("zip_code", "string"))
+RATING_FIELDS = (("user_id", "bigint"), ("movie_id", "bigint"), ("rating", "int"),
+                 ("timestamp", "bigint"))
+ITEM_FIELDS = (("movie_id", "bigint"), ("movie_title", "string"), ("release_date", "string"),
+               ("video_release_date", "string"), ("imdb_url", "string"))
+
 
 def scan_text_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """path(s) -> ``(value string)``, one row per line.  Any Hadoop file
@@ -55,77 +64,85 @@ def _split_once(lines: DataFrame, parts: Column) -> DataFrame:
     return lines.select(F.explode(F.array(parts)).alias("_parts"))
 
 
-def _get(parts: Column, index: int, required: bool) -> Column:
-    return field(parts, index) if required else optional_field(parts, index)
+Fields = Sequence[tuple[str, str]]
+
+
+def _unreadable(parts: Column, fields: Fields, n_flags: int = 0) -> Column:
+    """The line lacks a required field, or a numeric field or a present flag
+    does not read as its type."""
+    bad = F.size(parts) < len(fields)
+    for i, (_, dtype) in enumerate(fields):
+        if dtype != "string":
+            bad = bad | F.get(parts, i).try_cast(dtype).isNull()
+    if n_flags:
+        flags = F.slice(parts, schemas.ITEM_FLAG_OFFSET + 1, n_flags)
+        bad = bad | F.exists(flags, lambda x: x.try_cast("int").isNull())
+    return F.coalesce(bad, F.lit(True))
+
+
+def _checked(lines: DataFrame, parts: Column, fields: Fields, lenient: bool,
+             n_flags: int = 0) -> DataFrame:
+    """Split lines, without the unreadable ones (lenient) or failing on them."""
+    bad = _unreadable(F.col("_parts"), fields, n_flags)
+    fail = raise_when(bad, F.concat(F.lit("unreadable line, fields: "),
+                                    F.to_json(F.col("_parts"))))
+    return _split_once(lines, parts).where(~bad if lenient else fail)
+
+
+def _columns(fields: Fields) -> list[Column]:
+    parts = F.col("_parts")
+    return [(F.get(parts, i) if dtype == "string" else F.get(parts, i).try_cast(dtype)).alias(name)
+            for i, (name, dtype) in enumerate(fields)]
 
 
 def parse_pipe_users(lines: DataFrame, delimiter: str = "|", lenient: bool = False) -> DataFrame:
     """``user_id|age|gender|occupation|zip_code`` -> users schema.
     Blank text fields stay blank strings (not NULL); zip codes stay strings."""
-    split = _split_once(lines, split_delimited(F.col("value"), delimiter))
-    parts = F.col("_parts")
-    req = not lenient
-    return split.select(
-        strict_cast(_get(parts, 0, req), "bigint", lenient).alias("user_id"),
-        strict_cast(_get(parts, 1, req), "int", lenient).alias("age"),
-        _get(parts, 2, req).alias("gender"),
-        _get(parts, 3, req).alias("occupation"),
-        _get(parts, 4, req).alias("zip_code"),
-    )
+    split = _checked(lines, split_delimited(F.col("value"), delimiter), USER_FIELDS, lenient)
+    return split.select(*_columns(USER_FIELDS))
 
 
 def parse_ws_ratings(lines: DataFrame, lenient: bool = False) -> DataFrame:
     """S3: ``user movie rating timestamp`` separated by any whitespace run
     (tabs or spaces, leading/trailing blanks ignored) -> ratings schema."""
-    split = _split_once(lines, split_whitespace(F.col("value")))
-    parts = F.col("_parts")
-    req = not lenient
-    return split.select(
-        strict_cast(_get(parts, 0, req), "bigint", lenient).alias("user_id"),
-        strict_cast(_get(parts, 1, req), "bigint", lenient).alias("movie_id"),
-        strict_cast(_get(parts, 2, req), "int", lenient).alias("rating"),
-        strict_cast(_get(parts, 3, req), "bigint", lenient).alias("timestamp"),
-    )
-
-
-def _item_parts(lines: DataFrame, delimiter: str) -> DataFrame:
-    return _split_once(lines, split_delimited(F.col("value"), delimiter))
-
-
-def _item_descriptive(parts: Column, lenient: bool) -> list[Column]:
-    req = not lenient
-    return [
-        strict_cast(_get(parts, 0, req), "bigint", lenient).alias("movie_id"),
-        _get(parts, 1, req).alias("movie_title"),
-        _get(parts, 2, req).alias("release_date"),
-        _get(parts, 3, req).alias("video_release_date"),
-        _get(parts, 4, req).alias("imdb_url"),
-    ]
+    split = _checked(lines, split_whitespace(F.col("value")), RATING_FIELDS, lenient)
+    return split.select(*_columns(RATING_FIELDS))
 
 
-def _item_flags(parts: Column, vocabulary: Sequence[str], lenient: bool) -> list[tuple[str, Column]]:
-    # A short line simply lacks its last flags (NULL); a present flag with bad
-    # text fails in strict mode.
-    return [
-        (name, strict_cast(optional_field(parts, schemas.ITEM_FLAG_OFFSET + i), "int", lenient))
-        for i, name in enumerate(vocabulary)
-    ]
+def _item_split(lines: DataFrame, vocabulary: Sequence[str], delimiter: str,
+                lenient: bool) -> tuple[DataFrame, list[tuple[str, Column]]]:
+    split = _checked(lines, split_delimited(F.col("value"), delimiter), ITEM_FIELDS, lenient,
+                     len(vocabulary))
+    flags = [(name, optional_field(F.col("_parts"), schemas.ITEM_FLAG_OFFSET + i).try_cast("int"))
+             for i, name in enumerate(vocabulary)]
+    return split, flags
 
 
 def parse_item_wide(lines: DataFrame, vocabulary: Sequence[str] = schemas.DEFAULT_GENRES,
                     delimiter: str = "|", lenient: bool = False) -> DataFrame:
     """Item line -> five descriptive columns + one int flag column per
     vocabulary name (flag i is field 5 + i)."""
-    split, parts = _item_parts(lines, delimiter), F.col("_parts")
-    flags = _item_flags(parts, vocabulary, lenient)
-    return split.select(*_item_descriptive(parts, lenient), *[c.alias(n) for n, c in flags])
+    split, flags = _item_split(lines, vocabulary, delimiter, lenient)
+    return split.select(*_columns(ITEM_FIELDS), *[c.alias(n) for n, c in flags])
 
 
 def parse_item_genres(lines: DataFrame, vocabulary: Sequence[str] = schemas.DEFAULT_GENRES,
                       delimiter: str = "|", lenient: bool = False) -> DataFrame:
     """Item line -> document form: descriptive columns + ``genres``, the
     names whose flag is 1, in vocabulary order."""
-    split, parts = _item_parts(lines, delimiter), F.col("_parts")
-    flags = _item_flags(parts, vocabulary, lenient)
-    return split.select(*_item_descriptive(parts, lenient),
-                        flag_names_array(flags).alias("genres"))
+    split, flags = _item_split(lines, vocabulary, delimiter, lenient)
+    return split.select(*_columns(ITEM_FIELDS), flag_names_array(flags).alias("genres"))
+
+
+def rejected_lines(lines: DataFrame, kind: str, delimiter: str = "|",
+                   vocabulary: Sequence[str] = schemas.DEFAULT_GENRES) -> DataFrame:
+    """The lines ``(value)`` that the lenient parser of ``kind`` (``users``,
+    ``ratings`` or ``movies``) rejects, unchanged."""
+    value = F.col("value")
+    parts, fields, n_flags = {
+        "users": (split_delimited(value, delimiter), USER_FIELDS, 0),
+        "ratings": (split_whitespace(value), RATING_FIELDS, 0),
+        "movies": (split_delimited(value, delimiter), ITEM_FIELDS, len(vocabulary)),
+    }[kind]
+    split = lines.select("value", F.explode(F.array(parts)).alias("_parts"))
+    return split.where(_unreadable(F.col("_parts"), fields, n_flags)).select("value")

@@ -1,5 +1,5 @@
 """Incremental ingest of rating lines with Structured Streaming."""
 
-from .ingest import read_keyed_ratings, start_ratings_ingest
+from .ingest import compact_ratings, read_keyed_ratings, read_rejects, start_ratings_ingest
 
-__all__ = ["read_keyed_ratings", "start_ratings_ingest"]
+__all__ = ["compact_ratings", "read_keyed_ratings", "read_rejects", "start_ratings_ingest"]

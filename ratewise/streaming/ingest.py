@@ -24,33 +24,41 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.quality import clean_ratings, dedup_by_key
-from ..sinks.tables import conform
-from ..sources.text import parse_ws_ratings
+from ..sinks.tables import conform, replace_folder
+from ..sources.text import parse_ws_ratings, rejected_lines
 
 BATCH_COLUMN = "batch_id"
 
 
 def start_ratings_ingest(spark: SparkSession, lines_dir: str, table_dir: str,
-                         checkpoint_location: str, lenient: bool = True,
+                         checkpoint_location: str, rejects_dir: str | None = None,
                          available_now: bool = True,
                          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream over the text files below ``lines_dir`` (subfolders
     included: each arrival may be its own folder).  ``available_now``
     processes what is there and stops (a scheduled incremental job); otherwise
-    it keeps polling.  Lenient parsing is the default here so one bad line does
-    not stop the stream: it becomes a row with NULLs, which the cleaning
-    drops."""
+    it keeps polling.
+
+    Parsing is strict, as in the batch job: an unreadable line fails the query.
+    With ``rejects_dir`` such lines are kept instead, unchanged, in that folder's
+    ``batch_id=<n>`` partition (:func:`read_rejects` reads and counts them), and
+    the readable ones go on."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    parsed = parse_ws_ratings(reader.load(lines_dir), lenient=lenient)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        (conform(clean_ratings(batch), schemas.RATINGS)
-         .withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+    def write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+        (rows.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COLUMN).parquet(table_dir))
+         .partitionBy(BATCH_COLUMN).parquet(path))
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        ratings = clean_ratings(parse_ws_ratings(batch, lenient=rejects_dir is not None))
+        write_batch(conform(ratings, schemas.RATINGS), batch_id, table_dir)
+        if rejects_dir is not None:
+            write_batch(rejected_lines(batch, "ratings"), batch_id, rejects_dir)
 
+    parsed = reader.load(lines_dir)
     writer = (parsed.writeStream.foreachBatch(merge)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer
@@ -68,3 +76,21 @@ def read_keyed_ratings(spark: SparkSession, table_dir: str) -> DataFrame:
     ranked = df.select(*keys, (-F.col(BATCH_COLUMN)).alias("_neg_batch"), "rating")
     latest = dedup_by_key(ranked, keys)
     return latest.select(*schemas.RATINGS.names)
+
+
+def read_rejects(spark: SparkSession, rejects_dir: str) -> DataFrame:
+    """The lines kept as unreadable, ``(value, batch_id)``."""
+    schema = T.StructType([T.StructField("value", T.StringType()),
+                           T.StructField(BATCH_COLUMN, T.LongType())])
+    return spark.read.schema(schema).parquet(rejects_dir)
+
+
+def compact_ratings(spark: SparkSession, table_dir: str) -> str:
+    """Fold all batches into one: afterwards the folder holds one row per key, as
+    the latest batch's partition.  Staged and then switched; doing it again
+    changes nothing.  Run it between two runs of the stream, not during one."""
+    last = spark.read.parquet(table_dir).agg(F.max(BATCH_COLUMN)).first()[0]
+    if last is None:
+        return table_dir
+    rows = read_keyed_ratings(spark, table_dir).withColumn(BATCH_COLUMN, F.lit(last).cast("bigint"))
+    return replace_folder(spark, table_dir, lambda staged: rows.write.partitionBy(BATCH_COLUMN).parquet(staged))

@@ -13,13 +13,14 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from ratewise.session import build_session, checkpoint_root
+    from ratewise.session import build_session, checkpoint_root, clear_scratch
     s = build_session("local[*]", 8, "ratewise-tests")
     # Tests only: a checkpoint folder of our own when the session names none.
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ratewise-test-ckpt-"))
     checkpoint_root(s)
     yield s
+    clear_scratch(s)
 
 
 @pytest.fixture()

@@ -14,21 +14,37 @@ def test_cli_jobs_end_to_end(spark, tmp_uri):
     genres = ",".join(fx.FIXTURE_GENRES)
     store = tmp_uri("store")
     raw = ["--users", u, "--ratings", r, "--items", i, "--genres", genres]
-    ingest = dict(map(tuple, run(["ingest", *raw, "--store", store], spark).collect()))
-    assert ingest["users"] == 137 and ingest["movies"] == 200
-    rep = dict(map(tuple, run(["ratings-report", "--store", store, "--top", "5"], spark).collect()))
-    assert rep["top_10_movies"] == 5
-    fav = dict(map(tuple, run(["favourite-genre", "--store", store, "--min-ratings", "10"], spark).collect()))
-    assert fav["user_favourite_genres"] > 0
-    seg = dict(map(tuple, run(["user-filters", "--store", store, "--occupation", "building"], spark).collect()))
-    assert seg == {"young_users": 31, "scientist_users": 3}
+    def report(*args):
+        rows = run(args, spark).collect()
+        assert all(r.ok for r in rows)
+        return {r.table_name: r.actual_rows for r in rows}
+    ingest = report("ingest", *raw, "--store", store)
+    assert ingest["users"] > 100 and ingest["movies"] == fx.movies(spark, SF_SMALL).count()
+    assert report("ratings-report", "--store", store, "--top", "5")["top_10_movies"] == 5
+    assert report("favourite-genre", "--store", store, "--min-ratings", "10")["user_favourite_genres"] > 0
+    assert set(report("user-filters", "--store", store, "--occupation", "building")) == {
+        "young_users", "scientist_users"}
+    sample = run(["sample", "--store", store, "--table", "users", "-n", "4"], spark).collect()
+    assert len(sample) == 4 and [r.user_id for r in sample] == sorted(r.user_id for r in sample)
+    assert len(run(["sample", "--store", store, "--table", "movies", "-n", "3"], spark).collect()) == 3
+    mixed = write_text_lines(fx.rating_lines_mixed(spark, SF_SMALL), f"{root}/mixed")
+    rejected = run(["rejects", "--path", mixed, "--kind", "ratings", "--out", f"{root}/rejects"], spark).first()
+    assert rejected.row_count > 0
     prof = run(["profile", *raw], spark).collect()
     total = {(p.dataset, p.metric): p.value for p in prof if p.column_name is None}
-    assert total[("users", "total_rows")] == 150 and total[("users_clean", "total_rows")] == 137
+    assert total[("users", "total_rows")] == 165
+    assert total[("users_clean", "total_rows")] == ingest["users"]
     assert total[("ratings", "duplicate_rows")] > 0
     assert len(run(["preview", "--path", u, "-n", "3"], spark).collect()) == 3
 
 
+def test_preview_prints_every_line_asked_for(spark, tmp_uri, capsys):
+    from ratewise.cli import main
+    path = write_text_lines(spark.range(400).selectExpr("concat('line ', id) AS value"), tmp_uri("lines"))
+    main(["preview", "--path", path, "-n", "150"])
+    assert len(capsys.readouterr().out.strip().split("\n")) == 151  # and the header
+
+
 def test_ddl_text_and_command(capsys):
     from ratewise import schemas
     from ratewise.cli import main

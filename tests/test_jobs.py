@@ -1,5 +1,7 @@
 """Composite jobs end to end on the smallest fixture."""
 
+import pytest
+
 from ratewise import fixtures as fx
 from ratewise.plans import Store, favourite_genre_report, ingest_clean_store, profile_raw, \
     ratings_report, user_filter_report
@@ -13,24 +15,54 @@ def test_ingest_then_reports(spark, tmp_uri):
     r = write_text_lines(fx.rating_lines(spark, SF_SMALL, dirty=True), f"{root}/rating_lines")
     i = write_text_lines(fx.item_lines(spark, SF_SMALL), f"{root}/item_lines")
     store = Store(tmp_uri("store"))
-    counts = dict((row.dataset, row.row_count) for row in
-                  ingest_clean_store(spark, u, r, i, store, fx.FIXTURE_GENRES).collect())
-    assert counts["raw_users"] == 150 and counts["users"] == 137
-    assert counts["raw_movies"] == counts["movies"] == 200
-    assert counts["ratings"] < counts["raw_ratings"]
+    rows = {r.table_name: r for r in ingest_clean_store(spark, u, r, i, store, fx.FIXTURE_GENRES).collect()}
+    assert all(r.ok and r.expected_rows == r.actual_rows for r in rows.values())
+    assert rows["users"].raw_rows == fx.users(spark, SF_SMALL).count() > rows["users"].actual_rows > 0
+    assert rows["movies"].raw_rows == rows["movies"].actual_rows == fx.movies(spark, SF_SMALL).count()
+    assert rows["ratings"].actual_rows < rows["ratings"].raw_rows
 
-    rep = dict((row.dataset, row.row_count) for row in ratings_report(spark, store).collect())
+    rep = report(ratings_report(spark, store))
     assert rep["top_10_movies"] == 10 and rep["average_movie_ratings"] <= 200
     top = store.read(spark, "top_10_movies").orderBy("rank").collect()
     assert [t["rank"] for t in top] == list(range(1, 11))
     keys = [(-t.average_rating, -t.rating_count, t.movie_id) for t in top]
     assert keys == sorted(keys)
 
-    fav = favourite_genre_report(spark, store, 10).collect()
-    assert fav[0].row_count > 0
-    seg = dict((row.dataset, row.row_count) for row in
-               user_filter_report(spark, store, 20, fx.FIXTURE_OCCUPATION, 30, 40).collect())
-    assert seg["young_users"] == 31 and seg["scientist_users"] == 3
+    assert report(favourite_genre_report(spark, store, 10))["user_favourite_genres"] > 0
+    users = store.read(spark, "users")
+    assert report(user_filter_report(spark, store, 20, fx.FIXTURE_OCCUPATION, 30, 40)) == {
+        "young_users": users.where("age < 20").count(),
+        "scientist_users": users.where(f"occupation = '{fx.FIXTURE_OCCUPATION}' AND age BETWEEN 30 AND 40").count()}
+
+
+def report(df):
+    rows = df.collect()
+    assert all(r.ok and r.expected_rows == r.actual_rows for r in rows)
+    return {r.table_name: r.actual_rows for r in rows}
+
+
+def test_a_short_write_is_noticed(spark, tmp_uri):
+    """Rows that are lost after the writer counted them."""
+    store = Store(tmp_uri("store"))
+    store.write(fx.users(spark, SF_SMALL).where("age > 0"), "users")
+
+    class Lossy(Store):
+        def read(self, spark, name, columns=None):
+            df = Store.read(self, spark, name, columns)
+            return df.limit(2) if name == "young_users" else df
+    rows = {r.table_name: r for r in user_filter_report(
+        spark, Lossy(store.root), 20, fx.FIXTURE_OCCUPATION, 30, 40).collect()}
+    assert rows["young_users"].ok is False and rows["young_users"].expected_rows > 2
+    assert rows["scientist_users"].ok
+
+
+def test_written_rows_are_counted_once_over_retries(spark, tmp_uri):
+    from ratewise.plans.jobs import counted
+    from ratewise.sinks import load_table_overwrite
+    df = spark.range(1000, numPartitions=4).hint("rebalance", "id")
+    n = counted(lambda rows: load_table_overwrite(df, tmp_uri("t"), observation=rows))
+    assert n == 1000
+    assert counted(lambda rows: load_table_overwrite(df.limit(0), tmp_uri("t"), observation=rows)) == 0
 
 
 def test_ingest_clustered_ratings(spark, tmp_uri):
@@ -41,17 +73,18 @@ def test_ingest_clustered_ratings(spark, tmp_uri):
     i = write_text_lines(fx.item_lines(spark, SF_SMALL), f"{root}/item_lines")
     store = Store(tmp_uri("store"))
     prefix = f"c{uuid.uuid4().hex[:6]}_"
-    counts = dict((row.dataset, row.row_count) for row in ingest_clean_store(
-        spark, u, r, i, store, fx.FIXTURE_GENRES, rating_buckets=4, table_prefix=prefix).collect())
-    assert counts["ratings"] == 6000
-    assert spark.table(f"{prefix}ratings").count() == 6000
+    with pytest.raises(ValueError, match="prefix"):
+        ingest_clean_store(spark, u, r, i, store, fx.FIXTURE_GENRES, rating_buckets=4)
+    counts = report(ingest_clean_store(
+        spark, u, r, i, store, fx.FIXTURE_GENRES, rating_buckets=4, table_prefix=prefix))
+    assert spark.table(f"{prefix}ratings").count() == counts["ratings"] > 5000
 
 
 def test_profile_raw_shape(spark):
     out = profile_raw({"users": fx.users(spark, SF_SMALL), "orders": fx.profile_input(spark, SF_SMALL)})
     rows = out.collect()
     metrics = {(r.dataset, r.metric, r.column_name): r.value for r in rows}
-    assert metrics[("users", "total_rows", None)] == 150
+    assert metrics[("users", "total_rows", None)] == 165
     assert metrics[("users", "duplicate_rows", None)] == 0
     assert metrics[("orders", "missing", "o_orderstatus")] > 0
     assert metrics[("orders", "missing", "o_orderpriority")] > 0
@@ -74,8 +107,7 @@ def test_bucketed_store_is_read_through_the_catalog(spark, tmp_uri):
     assert count_operator(active_users(by_path, 10), "Exchange") == 1
     assert sorted(map(tuple, active_users(ratings, 10).collect())) == \
         sorted(map(tuple, active_users(by_path, 10).collect()))
-    fav = favourite_genre_report(spark, store, 10).collect()
-    assert fav[0].row_count > 0
+    assert report(favourite_genre_report(spark, store, 10))["user_favourite_genres"] > 0
 
 
 def test_store_ignores_temporary_views_of_the_same_name(spark, tmp_uri):

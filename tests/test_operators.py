@@ -258,3 +258,61 @@ def test_ordered_previews(spark):
     assert [r.user_id for r in act] == [1, 2, 3]
     counts = user_genre_counts(ratings, explode_genres(movies), active_users(ratings, 1))
     assert [r.user_id for r in favourite_genre_per_user(counts, ordered=True).collect()] == [1, 2, 3]
+
+
+def test_digests_tell_rows_apart_as_grouping_does(spark):
+    from ratewise.operators import duplicate_check, profile_summary
+    nan, neg = float("nan"), -0.0
+    rows = [(None, "a", 0.0), ("", "a", 0.0), (None, "a", neg), ("a", "", nan), ("a", None, nan), ("a", "", nan),
+            ("1:a", "b", 1.0), ("1", ":ab", 1.0), ("ab", "", 2.0), ("a", "b", 2.0)]
+    df = spark.createDataFrame(rows, "x string, y string, z double")
+    want = (len(rows), df.distinct().count(), len(rows) - df.distinct().count())
+    assert tuple(duplicate_check(df).first()) == want
+    got = {(r.metric, r.column_name): r.value for r in profile_summary(df).collect()}
+    assert (got["total_rows", None], got["distinct_rows", None], got["duplicate_rows", None]) == want
+    assert got["missing", "x"] == 3 and got["missing", "y"] == 4 and got["missing", "z"] == 0
+
+
+def test_profile_of_many_columns_and_arrays(spark):
+    from pyspark.sql import functions as F
+
+    from ratewise.operators import missing_values_profile, profile_summary
+    df = spark.range(50).select(*[F.when(F.col("id") % (i + 2) != 0, F.col("id")).alias(f"c{i}") for i in range(70)],
+                                F.array("id").alias("arr"))
+    df = df.unionByName(df)
+    got = {r.column_name: r.value for r in profile_summary(df).where("metric = 'missing'").collect()}
+    assert got == missing_values_profile(df).first().asDict()
+    assert profile_summary(df).where("metric = 'duplicate_rows'").first().value == 50
+
+
+def test_exchange_of_the_duplicate_check_carries_no_text(spark):
+    from pyspark.sql import functions as F
+
+    from ratewise.operators import duplicate_check
+    from ratewise.plans import plan_text
+    df = spark.range(10).select(F.repeat(F.lit("long text "), 100).alias("text"), "id")
+    keys = [line for line in plan_text(duplicate_check(df)).split("\n") if "hashpartitioning" in line]
+    assert keys and all("_digest" in line and "text" not in line for line in keys)
+
+
+def test_active_user_genre_counts_equal_the_joined_form(spark):
+    from ratewise.operators import active_user_genre_counts, active_users, explode_genres, user_genre_counts
+    ratings = spark.createDataFrame(
+        [(1, 1), (1, 1), (1, 2), (1, 9), (2, 1), (2, 3), (3, None), (3, None), (3, 2), (4, 9), (4, 9), (4, 9)],
+        "user_id long, movie_id long")
+    movies = spark.createDataFrame([(1, "t", ["a", "b"]), (2, "t", []), (3, "t", ["b"]), (3, "u", ["b", "c"]), (4, "t", None)],
+                                   "movie_id long, movie_title string, genres array<string>")
+    for least in (1, 2, 3, 4):
+        want = user_genre_counts(ratings, explode_genres(movies), active_users(ratings, least))
+        got = active_user_genre_counts(ratings, movies, least)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_task3_scans_the_ratings_once(spark, tmp_uri):
+    from ratewise.operators import active_user_genre_counts, favourite_genre_per_user
+    from ratewise.plans import plan_text
+    path = tmp_uri("r")
+    spark.range(100).selectExpr("id % 7 AS user_id", "id % 11 AS movie_id").write.parquet(path)
+    movies = spark.createDataFrame([(1, ["a"])], "movie_id long, genres array<string>")
+    plan = plan_text(favourite_genre_per_user(active_user_genre_counts(spark.read.parquet(path), movies, 5)))
+    assert plan.count("Scan parquet") == 1

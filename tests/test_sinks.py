@@ -121,3 +121,94 @@ def test_clustered_write_splits_a_hot_bucket(spark, tmp_uri):
     assert len(files) > 1  # the hot bucket was written by several tasks
     assert t.count() == n and count_operator(t.groupBy("user_id").count(), "Exchange") == 0
     assert t.filter("user_id = 7").count() == df.filter("user_id = 7").count()
+
+
+def test_failed_overwrite_keeps_the_old_rows(spark, tmp_uri):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from ratewise.session import local_path
+    path = tmp_uri("users")
+    old = spark.createDataFrame([(1, 20, "M", "a", "01234")], schemas.USERS)
+    load_table_overwrite(old, path, schemas.USERS)
+    broken = old.withColumn("age", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(PySparkException):
+        load_table_overwrite(broken, path, schemas.USERS)
+    assert read_table_projected(spark, path).count() == 1
+    docs = tmp_uri("movies")
+    load_documents_overwrite(spark.createDataFrame([(1, "A", "d", "", "u", [])], schemas.MOVIES), docs)
+    with pytest.raises(PySparkException):
+        load_documents_overwrite(read_documents_defaulted(spark, docs).withColumn(
+            "movie_title", F.raise_error(F.lit("no")).cast("string")), docs)
+    assert read_documents_defaulted(spark, docs).count() == 1
+    parent = local_path(path).rpartition("/")[0]
+    assert not [f for f in glob.glob(f"{parent}/_staged-users-*") if path.split("/")[-1] in f]
+
+
+def test_a_table_may_be_overwritten_from_itself(spark, tmp_uri):
+    path = load_table_overwrite(spark.range(10).withColumnRenamed("id", "user_id"), tmp_uri("t"))
+    load_table_overwrite(read_table_projected(spark, path).where("user_id < 3"), path)
+    assert read_table_projected(spark, path).count() == 3
+
+
+def test_narrowing_raises_without_ansi_mode(spark, tmp_uri):
+    df = spark.createDataFrame([(1, 5_000_000_000, "M", "a", "z")],
+                               "user_id long, age long, gender string, occupation string, zip_code string")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(PySparkException, match="not a valid int"):
+            load_table_overwrite(df, tmp_uri("u"), schemas.USERS)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_upserting_a_batch_with_null_keys_twice(spark, tmp_uri):
+    current = load_table_overwrite(spark.createDataFrame([(1, 1, 3, 10), (2, None, 4, 10)], schemas.RATINGS),
+                                   tmp_uri("cur"), schemas.RATINGS)
+    batch = spark.createDataFrame([(2, None, 1, 10), (3, None, 2, None)], schemas.RATINGS)
+    for _ in range(2):
+        upsert_by_key(spark, current, batch, schemas.KEYS["ratings"], current, schema=schemas.RATINGS)
+    got = sorted((tuple(r) for r in read_table_projected(spark, current).collect()), key=str)
+    assert got == [(1, 1, 3, 10), (2, None, 1, 10), (3, None, 2, None)]
+
+
+def test_created_tables_are_empty_over_old_files(spark, tmp_uri):
+    root = tmp_uri("it's ddl; here")
+    load_table_overwrite(spark.createDataFrame([(1, 20, "M", "a", "z")], schemas.USERS), f"{root}/users")
+    create_result_tables(spark, root, prefix="t_old_")
+    assert spark.table("t_old_users").count() == 0
+    load_table_overwrite(spark.createDataFrame([(1, 20, "M", "a", "z")], schemas.USERS), f"{root}/users")
+    spark.catalog.refreshTable("t_old_users")
+    assert spark.table("t_old_users").count() == 1
+
+
+def test_a_table_elsewhere_is_not_replaced(spark, tmp_uri):
+    from ratewise.sinks import write_clustered_by_key
+    rows = spark.createDataFrame([(1, 1, 3, 10)], schemas.RATINGS)
+    write_clustered_by_key(rows, "t_here_ratings", tmp_uri("a"), buckets=2)
+    with pytest.raises(ValueError, match="exists at"):
+        write_clustered_by_key(rows, "t_here_ratings", tmp_uri("b"), buckets=2)
+    spark.sql("DROP TABLE t_here_ratings")
+
+
+def test_uneven_buckets_are_noticed(spark, tmp_uri):
+    from pyspark.sql import functions as F
+
+    from ratewise.plans import Store, count_operator
+    from ratewise.sinks import even_buckets, write_clustered_by_key
+    n = 60_000  # one user holds a third of all rows
+
+    def ratings(user):
+        return spark.range(n).select(user.alias("user_id"), (F.col("id") % 977).alias("movie_id"),
+                                     F.lit(3).cast("int").alias("rating"), F.hash("id").cast("long").alias("timestamp"))
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).cast("long")
+    for user, even in ((hot, False), ((F.col("id") % 5000).cast("long"), True)):
+        store = Store(tmp_uri("store"), table_prefix=f"even_{str(even).lower()}_")
+        write_clustered_by_key(ratings(user), f"{store.table_prefix}ratings", store.path("ratings"), buckets=8)
+        assert even_buckets(spark, store.path("ratings")) is even
+        counts = store.read(spark, "ratings", ["user_id"]).groupBy("user_id").count()
+        assert count_operator(counts, "Exchange") == (0 if even else 1)
+        assert counts.agg(F.sum("count")).first()[0] == n
+        spark.sql(f"DROP TABLE {store.table_prefix}ratings")

@@ -53,10 +53,53 @@ def test_parse_users_strict_failures(spark, bad):
         parse_pipe_users(lines(spark, bad)).collect()
 
 
-def test_parse_users_lenient(spark):
-    df = parse_pipe_users(lines(spark, "3|30|M|writer", "4|abc|M|writer|12345"), lenient=True)
-    rows = sorted(df.collect(), key=lambda r: r.user_id)
-    assert rows[0].zip_code is None and rows[1].age is None
+def test_lenient_parsing_rejects_whole_lines(spark):
+    from ratewise.sources import rejected_lines
+    bad, good = ["3|30|M|writer", "4|abc|M|writer|12345", ""], "5|20|F||01234"
+    src = lines(spark, *bad, good)
+    assert [tuple(r) for r in parse_pipe_users(src, lenient=True).collect()] == [(5, 20, "F", "", "01234")]
+    assert sorted(r.value for r in rejected_lines(src, "users").collect()) == sorted(bad)
+
+
+def test_lenient_ratings_are_not_merged(spark):
+    from ratewise.operators import clean_ratings
+    from ratewise.sources import rejected_lines
+    src = lines(spark, "1 10 3 abc", "1 10 5 xyz", " 1\t10  4 7 ", "1 10 4")
+    assert [tuple(r) for r in clean_ratings(parse_ws_ratings(src, lenient=True)).collect()] == [(1, 10, 4, 7)]
+    assert rejected_lines(src, "ratings").count() == 3
+
+
+def test_lenient_items_reject_unreadable_flags_only(spark):
+    from ratewise.sources import parse_item_genres, rejected_lines
+    src = lines(spark, "1|A|d||u|1|0", "2|B|d||u|x|1", "3|C|d||u|1", "4|D|d")
+    vocabulary = ("a", "b")
+    got = {r.movie_id: r.genres for r in parse_item_genres(src, vocabulary, lenient=True).collect()}
+    assert got == {1: ["a"], 3: ["a"]}
+    assert sorted(r.value[0] for r in rejected_lines(src, "movies", vocabulary=vocabulary).collect()) == ["2", "4"]
+
+
+def test_strict_checks_hold_whatever_is_read(spark):
+    for bad in ("1 10 3 abc", "1 10 3"):
+        df = parse_ws_ratings(lines(spark, "1 10 3 5", bad))
+        for narrow in (df.select("user_id"), df.groupBy().count()):
+            with pytest.raises(PySparkException, match="unreadable line"):
+                narrow.collect()
+
+
+def test_documents_need_an_id_whatever_is_read(spark, tmp_uri):
+    for bad in ('{"movie_title": "t"}', '{"movie_id": "x1"}', "{broken"):
+        path = tmp_uri("docs")
+        lines(spark, '{"movie_id": 1, "movie_title": "a"}', bad).write.text(path)
+        df = read_documents_defaulted(spark, path)
+        old = spark.conf.get("spark.sql.ansi.enabled")
+        try:
+            for ansi in ("true", "false"):
+                spark.conf.set("spark.sql.ansi.enabled", ansi)
+                for narrow in (df.select("movie_title"), df.groupBy().count(), df):
+                    with pytest.raises(PySparkException, match="movie_id"):
+                        narrow.collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", old)
 
 
 def test_parse_ratings_whitespace(spark):
@@ -167,7 +210,7 @@ def test_strict_parsing_without_ansi_mode(spark, bad):
     old = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        with pytest.raises(PySparkException, match="line has no field|not a valid"):
+        with pytest.raises(PySparkException, match="unreadable line"):
             parse_pipe_users(lines(spark, bad)).collect()
         ok = parse_pipe_users(lines(spark, "1|24|M|technician|85711")).collect()
         assert tuple(ok[0]) == (1, 24, "M", "technician", "85711")
