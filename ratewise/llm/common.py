@@ -185,10 +185,12 @@ class Forest:
 
 # --- connected components ---------------------------------------------------------
 
-def _same(a: DataFrame, b: DataFrame) -> bool:
-    sums = lambda d: d.select(F.xxhash64("u", "v").cast("decimal(38,0)").alias("h")).agg(
-        F.count("*"), F.sum("h")).first()
-    return tuple(sums(a)) == tuple(sums(b))
+def _starred(e: DataFrame) -> bool:
+    """Whether every edge ``(u, v)`` leads from a leaf to the centre of its star."""
+    ends = e.select(F.col("u").alias("n"), F.lit(1).alias("leaf")).unionAll(
+        e.select(F.col("v").alias("n"), F.lit(0).alias("leaf")))
+    seen = ends.groupBy("n").agg(F.sum("leaf").alias("up"), F.max(1 - F.col("leaf")).alias("centre"))
+    return not seen.where("up > 1 OR (up = 1 AND centre = 1)").limit(1).count()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -196,25 +198,22 @@ def components(edges: DataFrame) -> DataFrame:
     component named by its smallest node; nodes without an edge to another node
     are left out.
 
-    Alternating large-star and small-star steps over stored edge tables: each
-    step is a grouped minimum (combined map-side) and a join of two stored
-    tables (AQE splits a hot star); nothing but a count reaches the driver."""
+    Alternating large-star and small-star steps over stored edge tables, until
+    every component is a star around its smallest node: each step is a grouped
+    minimum (combined map-side) and a join of two stored tables (AQE splits a hot
+    star); nothing but a count reaches the driver."""
     e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"),
                                             F.least("a", "b").alias("v")).distinct(), "edges")
-    while True:
+    while not _starred(e):
         # large star: every larger neighbour of a node moves to the node's minimum
         low = stored(e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
                      .groupBy("u").agg(F.min("v").alias("m"))
                      .select(F.col("u").alias("v"), F.least("u", "m").alias("m")), "low")
-        large = stored(e.join(low, "v").select("u", F.col("m").alias("v"))
-                       .where("u <> v").distinct(), "large")
+        large = stored(e.join(low, "v").select("u", F.col("m").alias("v")).where("u <> v"), "large")
         # small star: smaller neighbours of a node, and the node, move to its minimum
         least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"),
                                                               F.col("m").alias("v"))
-        nxt = stored(moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        if _same(e, nxt):
-            break
-        e = nxt
+        e = stored(moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component")))

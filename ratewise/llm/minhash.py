@@ -46,7 +46,7 @@ from .common import (Forest, components, mix, plain, read, runs, shingle_sets, s
                      stored)
 
 COORDS, TREES, DENSITY = 64, 5, 0.3
-NODE, DEPTH, LEADERS, SAME = 96, 4, 6, 0.93
+NODE, DEPTH, LEADERS, SAME = 96, 3, 6, 0.93
 SLACK = 4.5
 #: Texts of a verification chunk.
 CHUNK = 192
@@ -83,18 +83,25 @@ def _tokens(column: pd.Series) -> np.ndarray:
 
 def _agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Coordinates in which each row of ``a`` agrees with each row of ``b``."""
-    out = np.zeros((len(a), len(b)), np.int16)
+    if len(a) * len(b) <= 1024:
+        return (a[:, None] == b[None]).sum(2)
+    out = np.zeros((len(a), len(b)), np.int8)
     for j in range(a.shape[1]):
         out += a[:, j, None] == b[None, :, j]
     return out
 
 
-def _star_edges(ids: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
-    """``near``: pairs of positions.  Edges from each group's first id."""
-    forest = Forest(len(ids))
-    for i, j in near:
-        forest.join(int(i), int(j))
-    return [(int(ids[forest.root(i)]), int(ids[i])) for i in range(len(ids)) if forest.root(i) != i]
+def _star_edges(ids: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from the first id of each connected group of a symmetric matrix."""
+    first = np.arange(len(ids))
+    while True:
+        new = np.minimum(first, np.where(near, first[None], len(ids)).min(1))
+        new = new[new]
+        if (new == first).all():
+            break
+        first = new
+    rest = np.flatnonzero(first != np.arange(len(ids)))
+    return ids[first[rest]], ids[rest]
 
 
 def _least_agreement(threshold: float) -> int:
@@ -154,12 +161,30 @@ def _roots(reps: DataFrame) -> DataFrame:
 
 def _compare(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
     """All pairs of each small group (sorted by ``keys``): star edges."""
+    def edges(rep: np.ndarray, tokens: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
+        two = starts[ends - starts == 2]
+        two = two[(tokens[two] == tokens[two + 1]).sum(1) >= least]
+        a, b = [rep[two]], [rep[two + 1]]
+        for i, j in zip(starts, ends):
+            if j - i > 2:
+                x, y = _star_edges(rep[i:j], _agree(tokens[i:j], tokens[i:j]) >= least)
+                a.append(x)
+                b.append(y)
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in runs(batches, keys):
-            tokens = _tokens(group["sketch"])
-            near = np.argwhere(np.triu(_agree(tokens, tokens) >= least, 1))
-            if len(near):
-                yield pd.DataFrame(_star_edges(group["rep"].to_numpy(), near), columns=["a", "b"])
+        held = None  # the last group of a batch may go on in the next
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            now = [pdf[keys].to_numpy(), pdf["rep"].to_numpy(), _tokens(pdf["sketch"])]
+            now = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            cuts = np.concatenate(([0], np.flatnonzero((now[0][1:] != now[0][:-1]).any(1)) + 1))
+            yield edges(now[1], now[2], cuts[:-1], cuts[1:])
+            held = [x[cuts[-1]:] for x in now]
+        if held is not None:
+            yield edges(held[1], held[2], np.array([0]), np.array([len(held[1])]))
+
     return groups.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInPandas(run, EDGES)
 
 
@@ -274,8 +299,8 @@ def _confirm(groups: DataFrame, keys: list[str], words: int, num: int, den: int)
 
 
 def links(documents: DataFrame, edges: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Confirmed links ``(a, b)`` between the representatives that candidate
-    edges connect; enough of them to connect every true component."""
+    """Components ``(node, component)`` of the confirmed links among the
+    representatives that candidate edges connect."""
     clusters = stored(components(edges), "clusters")
     sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
     sized = stored(clusters.join(stored(sizes, "sizes"), "component")
@@ -293,33 +318,34 @@ def links(documents: DataFrame, edges: DataFrame, words: int, num: int, den: int
     cols = ["component", "c", "rep", "text"]
     found = stored(_confirm(rows.select(*cols, none).unionAll(everywhere.select(*cols, none)),
                             ["component", "c"], words, num, den), "links")
+    parts = stored(components(found), "parts")
     if not sized.where("k > 1").limit(1).count():
-        return found
+        return parts
     # clusters of several chunks: what is not in the largest component meets all chunks
     wide = sized.where("k > 1").select(F.col("node").alias("rep"), "component", "k", "c")
-    parts = components(found.join(wide.select(F.col("rep").alias("a")), "a").select("a", "b"))
     labelled = stored(wide.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("p")),
                                 "rep", "left").withColumn("label", F.coalesce("p", "rep")).drop("p"),
                       "labelled")
     count = labelled.groupBy("component", "label").agg(F.count("*").alias("m"))
     top = stored(count.groupBy("component").agg(F.max(F.struct("m", "label"))["label"].alias("main")), "main")
-    apart = stored(labelled.join(top, "component").where("label <> main")
-                   .withColumn("s", F.col("rep")), "apart")
-    strays = apart.groupBy("component").agg(F.count("*").alias("strays"))
-    if not apart.limit(1).count():
-        return found
+    apart = stored(labelled.join(top, "component").where("label <> main"), "apart")
+    strays = stored(apart.groupBy("component").agg(F.count("*").alias("strays")), "strays")
+    if not strays.limit(1).count():
+        return parts
     split = F.ceil(F.col("strays") / CHUNK).cast("int")
-    every = labelled.join(stored(strays, "strays"), "component").withColumn("ks", split)
+    every = labelled.join(strays, "component").withColumn("ks", split)
     body = every.withColumn("s", F.explode(F.sequence(F.lit(0), F.col("ks") - 1)))
     guests = every.join(apart.select("rep"), "rep").withColumn(
         "s", F.pmod(F.xxhash64("rep", F.lit(9)), F.col("ks")).cast("int")).withColumn(
         "c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     cols = ["component", "c", "s", "rep", "label"]
     meet = body.select(*cols).unionAll(guests.select(*cols))
-    more = _confirm(meet.join(rows.select("rep", "text"), "rep")
-                    .select("component", "c", "s", "rep", "text", "label"),
-                    ["component", "c", "s"], words, num, den)
-    return found.unionAll(stored(more, "links"))
+    more = stored(_confirm(meet.join(rows.select("rep", "text"), "rep")
+                           .select("component", "c", "s", "rep", "text", "label"),
+                           ["component", "c", "s"], words, num, den), "links")
+    if not more.limit(1).count():
+        return parts
+    return components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -331,8 +357,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, num: int = 80, den: in
     reps = stored(full.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"])
                   .select(F.col("doc_id").alias("rep"), "sketch").distinct(), "reps")
     edges = stored(candidate_edges(reps, num / den), "candidates")
-    confirmed = links(documents, edges, words, num, den)
-    parts = components(confirmed).select(F.col("node").alias("rep"), "component")
+    parts = links(documents, edges, words, num, den).select(F.col("node").alias("rep"), "component")
     named = stored(classes.join(parts, "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")), "named")
     joined = docs.join(named, "digest", "left")
@@ -345,10 +370,10 @@ def one_of_each(documents: DataFrame, words: int = 5, num: int = 80, den: int =
     """The documents, all columns, without near-duplicates: the one with the
     smallest id of each group stays, and a repeated row stays once."""
     kept = stored(near_duplicates(documents, words, num, den).where("kept").select(
-        F.col("doc_id").alias("_kept")).distinct(), "kept")
-    left = documents.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+        F.col("doc_id").alias("__llm_kept")).distinct(), "kept")
+    left = documents.join(kept, F.col("doc_id").cast("long") == F.col("__llm_kept"), "left_semi")
     if documents.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        left = left.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"])
+        left = left.withColumn("__llm_text", F.xxhash64("text")).dropDuplicates(["doc_id", "__llm_text"])
     return left.select(*documents.columns)
 
 
