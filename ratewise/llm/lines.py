@@ -44,21 +44,21 @@ def chunks(text: Column) -> Column:
     cut = F.transform(F.split(text, "\n", -1), lambda l: F.struct(
         l.alias("l"), F.md5(l.cast("binary")).alias("h"), n_words(l).alias("w")))
 
-    def bounds(rows: Column) -> Column:
-        ends = F.transform(rows, lambda r, i: F.struct(
-            i.alias("i"),
-            ((r["w"] >= LINE_WORDS)
-             | (F.md5(F.concat(F.coalesce(F.get(rows, i - 1)["h"], F.lit("")), r["h"]).cast("binary"))
-                < F.lit("8"))).alias("end")))
-        starts = F.transform(
-            F.filter(ends, lambda e: (e["i"] == 0) | F.get(ends, e["i"] - 1)["end"]), lambda e: e["i"])
-        return F.transform(starts, lambda s, k: F.struct(
-            s.alias("first_line"),
-            (F.coalesce(F.get(starts, k + 1), F.size(rows)) - s).alias("n_lines")))
-
     # arrays used more than once are bound by a one-element transform, so that
     # they are computed once
     once = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def bounds(rows: Column) -> Column:
+        ends = F.transform(rows, lambda r, i:
+                           (r["w"] >= LINE_WORDS)
+                           | (F.md5(F.concat(F.coalesce(F.get(rows, i - 1)["h"], F.lit("")), r["h"])
+                                    .cast("binary")) < F.lit("8")))
+        starts = lambda e: F.filter(F.sequence(F.lit(0), F.size(rows) - 1),
+                                    lambda i: (i == 0) | F.get(e, i - 1))
+        return once(once(ends, starts), lambda at: F.transform(at, lambda s, k: F.struct(
+            s.alias("first_line"),
+            (F.coalesce(F.get(at, k + 1), F.size(rows)) - s).alias("n_lines"))))
+
     return once(cut, lambda rows: F.transform(bounds(rows), lambda b: F.struct(
         b["first_line"].alias("first_line"), b["n_lines"].alias("n_lines"),
         F.aggregate(F.slice(rows, b["first_line"] + 1, b["n_lines"]), F.lit(0),
