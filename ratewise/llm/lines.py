@@ -1,10 +1,9 @@
 """Line dedup by content-defined line chunks [native].
 
 A text's lines are hashed, a rolling hash over the last two line hashes decides
-where a chunk ends (probability 1/2 a line), and a line of at least
-``LINE_WORDS`` words always ends one.  Boundaries therefore depend on the lines
-around them alone, and a passage keeps its inner chunks wherever it stands;
-long lines and paragraphs are chunks by themselves.
+where a chunk ends (probability 1/2 a line), and a line of at least ``LINE_WORDS`` words
+is a chunk by itself.  Boundaries therefore depend on the lines around them alone,
+and a passage keeps its inner chunks, and all its long lines, wherever it stands.
 
 Chunks of at least ``MIN_WORDS`` words that occur more than once in the corpus,
 in any document or place, are removed except at their first occurrence (by
@@ -51,6 +50,7 @@ def chunks(text: Column) -> Column:
     def bounds(rows: Column) -> Column:
         ends = F.transform(rows, lambda r, i:
                            (r["w"] >= LINE_WORDS)
+                           | F.coalesce(F.get(rows, i + 1)["w"] >= LINE_WORDS, F.lit(False))
                            | (F.md5(F.concat(F.coalesce(F.get(rows, i - 1)["h"], F.lit("")), r["h"])
                                     .cast("binary")) < F.lit("8")))
         starts = lambda e: F.filter(F.sequence(F.lit(0), F.size(rows) - 1),
@@ -140,7 +140,7 @@ WITH lines AS (
                unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
         FROM documents WHERE text <> '')),
 marked AS (
-  SELECT *, w >= 15 OR md5(coalesce(lag(h) OVER d, '') || h) < '8' AS ends FROM lines
+  SELECT *, w >= 15 OR coalesce(lead(w) OVER d >= 15, false) OR md5(coalesce(lag(h) OVER d, '') || h) < '8' AS ends FROM lines
   WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (
   SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i
