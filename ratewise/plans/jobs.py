@@ -18,15 +18,17 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import (
-    active_user_genre_counts,
+    active_users,
     average_rating_per_movie,
     clean_movies,
     clean_ratings,
     clean_users,
+    explode_genres,
     favourite_genre_per_user,
     profile_summary,
     record_counts,
     top_n_movies,
+    user_genre_counts,
     users_by_occupation_and_age,
     users_younger_than,
 )
@@ -175,8 +177,9 @@ def favourite_genre_report(spark: SparkSession, store: Store, min_ratings: int =
     """C3 (Task 3): favourite genre of every active user; returns the
     validation of the stored result."""
     ratings = store.read(spark, "ratings", ["user_id", "movie_id"])
+    genres = explode_genres(store.read_movies(spark))
     fav = favourite_genre_per_user(
-        active_user_genre_counts(ratings, store.read_movies(spark), min_ratings))
+        user_genre_counts(ratings, genres, active_users(ratings, min_ratings)))
     rows = counted(lambda o: store.write(fav, "user_favourite_genres", observation=o))
     return validate_store(spark, store, {"user_favourite_genres": rows})
 

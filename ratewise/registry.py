@@ -20,7 +20,6 @@ from . import fixtures as fx
 from . import oracle as o
 from . import schemas
 from .operators import (
-    active_user_genre_counts,
     active_users,
     average_rating_per_movie,
     clean_movies,
@@ -38,6 +37,7 @@ from .operators import (
     project_columns,
     record_counts,
     top_n_movies,
+    user_genre_counts,
     user_genre_counts_sorted,
     users_by_occupation_and_age,
     users_younger_than,
@@ -109,7 +109,8 @@ def _average(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _genre_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return active_user_genre_counts(fx.ratings(spark, sf), fx.movies(spark, sf), 50)
+    r = fx.ratings(spark, sf)
+    return user_genre_counts(r, explode_genres(fx.movies(spark, sf)), active_users(r, 50))
 
 
 def _stage_lines(spark: SparkSession, sf: str) -> dict[str, str]:

@@ -294,26 +294,3 @@ def test_exchange_of_the_duplicate_check_carries_no_text(spark):
     tree = plan_text(duplicate_check(df), "simple").split("\n")
     below = [tree[i + 1] for i, line in enumerate(tree) if "hashpartitioning" in line]
     assert below and all("partial_count" in line and "text" not in line for line in below)
-
-
-def test_active_user_genre_counts_equal_the_joined_form(spark):
-    from ratewise.operators import active_user_genre_counts, active_users, explode_genres, user_genre_counts
-    ratings = spark.createDataFrame(
-        [(1, 1), (1, 1), (1, 2), (1, 9), (2, 1), (2, 3), (3, None), (3, None), (3, 2), (4, 9), (4, 9), (4, 9)],
-        "user_id long, movie_id long")
-    movies = spark.createDataFrame([(1, "t", ["a", "b"]), (2, "t", []), (3, "t", ["b"]), (3, "u", ["b", "c"]), (4, "t", None)],
-                                   "movie_id long, movie_title string, genres array<string>")
-    for least in (1, 2, 3, 4):
-        want = user_genre_counts(ratings, explode_genres(movies), active_users(ratings, least))
-        got = active_user_genre_counts(ratings, movies, least)
-        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-
-
-def test_task3_scans_the_ratings_once(spark, tmp_uri):
-    from ratewise.operators import active_user_genre_counts, favourite_genre_per_user
-    from ratewise.plans import plan_text
-    path = tmp_uri("r")
-    spark.range(100).selectExpr("id % 7 AS user_id", "id % 11 AS movie_id").write.parquet(path)
-    movies = spark.createDataFrame([(1, ["a"])], "movie_id long, genres array<string>")
-    plan = plan_text(favourite_genre_per_user(active_user_genre_counts(spark.read.parquet(path), movies, 5)), "simple")
-    assert plan.count("FileScan parquet") == 1
