@@ -120,7 +120,8 @@ def learned_lists(documents: DataFrame, labels: DataFrame) -> tuple[frozenset, f
         counted = words.select("doc_id", "t", key.alias("w")).where(F.length("w") >= least).distinct() \
             .groupBy("w").agg(F.sum("t").alias("a"), F.sum(1 - F.col("t")).alias("b"))
         odds = (F.col("a") / float(total[0])) / ((F.col("b") + 0.5) / float(total[1]))
-        rows = counted.where((F.col("a") >= 4) & (odds >= 25)).orderBy(odds.desc(), "w").limit(LEXICON_WORDS)
+        often = max(4.0, 0.015 * float(total[0]))  # a few copies of one text are no pattern
+        rows = counted.where((F.col("a") >= often) & (odds >= 25)).orderBy(odds.desc(), "w").limit(LEXICON_WORDS)
         return frozenset(r[0] for r in rows.select("w").collect())
 
     w = F.col("w")
