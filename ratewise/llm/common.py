@@ -30,6 +30,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of at most so many rows of a few numbers are broadcast to a join.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """A stored table of a few numbers a row, with a broadcast hint up to
+    BROADCAST_ROWS rows (counted, not estimated) and a sort-merge hint beyond."""
+    return F.broadcast(table) if (table.count() if rows is None else rows) <= BROADCAST_ROWS \
+        else table.hint("merge")
+
+
 def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
     """Lower the session's Arrow batch size to ``rows`` (never raises it)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -10,8 +10,8 @@ COORDS)``, by a hash of its path; a member goes to one child for each selected
 coordinate, named by path, coordinate and token.  Nodes of at most ``NODE``
 members are compared exhaustively on the tokens.  Larger ones first compare
 their members with a few leaders (whoever is nearly equal to one stays behind,
-linked to it), and branch again, up to ``DEPTH`` levels; what is still large then
-is compared in blocks.  ``TREES`` independent trees bring the recall to the
+linked to it), and branch again; when comparing what is still large in blocks
+costs no more than ``BLOCK_ROWS`` says, or after ``DEPTH`` levels, that is done.  ``TREES`` independent trees bring the recall to the
 target: a pair at the threshold shares a child of a root with probability
 ``1 - exp(-J / DENSITY)`` per tree (0.94 at 0.85), all five trees miss it with
 about 1e-6, and after further levels with about 2e-5.
@@ -42,11 +42,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (Forest, components, mix, plain, read, runs, shingle_sets, small_batches,
+from .common import (Forest, components, mix, plain, read, runs, shingle_sets, sized, small_batches,
                      stored)
 
 COORDS, TREES, DENSITY = 64, 5, 0.3
-NODE, DEPTH, LEADERS, SAME = 96, 3, 6, 0.93
+NODE, DEPTH, LEADERS, SAME = 96, 4, 12, 0.88
+#: What the leaders leave of large nodes is compared in blocks as soon as that
+#: moves at most so many rows per representative; until then it branches.
+BLOCK_ROWS = 2
 SLACK = 4.5
 #: Texts of a verification chunk.
 CHUNK = 192
@@ -135,18 +138,17 @@ def document_sets(documents: DataFrame, words: int) -> DataFrame:
 # --- the trees ---------------------------------------------------------------------------
 
 def _grow(nodes: DataFrame) -> DataFrame:
-    """``nodes(path, rep, sketch)`` to their children, same columns."""
+    """``nodes(path, rep, sketch)`` to their children ``(path, rep)``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
                 row, path = _children(pdf["path"].to_numpy().astype(np.uint64), _tokens(pdf["sketch"]))
-                yield pd.DataFrame({"path": path.astype(np.int64), "rep": pdf["rep"].to_numpy()[row],
-                                    "sketch": pdf["sketch"].to_numpy()[row]})
-    return nodes.mapInPandas(run, "path long, rep long, sketch binary")
+                yield pd.DataFrame({"path": path.astype(np.int64), "rep": pdf["rep"].to_numpy()[row]})
+    return nodes.mapInPandas(run, "path long, rep long")
 
 
 def _roots(reps: DataFrame) -> DataFrame:
-    """Children of all roots; a root holds every representative."""
+    """Children ``(path, rep)`` of all roots; a root holds every representative."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not len(pdf):
@@ -154,9 +156,8 @@ def _roots(reps: DataFrame) -> DataFrame:
             tokens = _tokens(pdf["sketch"])
             for tree in mix(np.arange(101, 101 + TREES, dtype=np.uint64)):
                 row, path = _children(np.full(len(pdf), tree), tokens)
-                yield pd.DataFrame({"path": path.astype(np.int64), "rep": pdf["rep"].to_numpy()[row],
-                                    "sketch": pdf["sketch"].to_numpy()[row]})
-    return reps.mapInPandas(run, "path long, rep long, sketch binary")
+                yield pd.DataFrame({"path": path.astype(np.int64), "rep": pdf["rep"].to_numpy()[row]})
+    return reps.mapInPandas(run, "path long, rep long")
 
 
 def _compare(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
@@ -193,26 +194,33 @@ def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
     and that share a node: ``reps(rep, sketch)`` -> ``(a, b)``."""
     least, same = _least_agreement(threshold), int(SAME * COORDS)
     found: list[DataFrame] = []
-    nodes = _roots(reps)
+    nodes, total = _roots(reps), reps.count()
     for depth in range(1, DEPTH + 1):
         sizes = stored(nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-        members = stored(nodes.join(sizes, "path"), "nodes")
+        # only (path, rep) meets the sizes; sketches go to members that have company
+        shared = nodes.join(sized(sizes), "path")
+        members = stored(shared.join(reps.hint("merge"), "rep"), "nodes")
         small = members.where(F.col("n") <= NODE).select("path", "rep", "sketch")
         found.append(stored(_compare(small, ["path"], least).distinct(), "edges"))
         large = members.where(F.col("n") > NODE)
         if not sizes.where(F.col("n") > NODE).limit(1).count():
             break
-        if depth == DEPTH:
-            found.append(stored(_blocks(large, least).distinct(), "edges"))
-            break
         # leaders: the members with the smallest of several hashes
         pick = lambda k: F.min(F.struct(F.xxhash64("rep", "path", F.lit(k)), "rep", "sketch"))
         leaders = stored(large.groupBy("path").agg(F.array(*[pick(k) for k in range(LEADERS)])
                                                    .alias("leaders")), "leaders")
         led = stored(large.join(leaders, "path").mapInPandas(
-            _with_leaders(least, same), "path long, rep long, sketch binary, a long"), "led")
-        found.append(led.where("a IS NOT NULL").select("a", F.col("rep").alias("b")).distinct())
-        nodes = _grow(led.where("sketch IS NOT NULL").select("path", "rep", "sketch"))
+            _with_leaders(least, same), "path long, rep long, sketch binary, a array<long>"), "led")
+        found.append(led.select(F.explode("a").alias("a"), F.col("rep").alias("b")).distinct())
+        rest = led.where("sketch IS NOT NULL").select("path", "rep", "sketch")
+        counts = stored(rest.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "rest")
+        moved = counts.agg(F.sum(F.col("n") * F.ceil(F.col("n") / NODE))).first()[0]
+        if not moved:
+            break
+        if depth == DEPTH or moved <= BLOCK_ROWS * total:
+            found.append(stored(_blocks(rest.join(sized(counts), "path"), least).distinct(), "edges"))
+            break
+        nodes = _grow(rest)
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)
@@ -220,28 +228,30 @@ def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
 
 
 def _with_leaders(least: int, same: int):
-    """A member that is nearly equal to a leader (not the leader itself) loses
-    its sketch, so it branches no further; ``a`` is a leader that it is near."""
+    """A member that is nearly equal to a leader (not a leader itself) loses its
+    sketch, so it branches no further; ``a`` holds the leaders that it is near.
+    What is linked to such a member is near its leader too (1 - similarity is a
+    metric), and other nodes have other leaders."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not len(pdf):
                 continue
             tokens, rep = _tokens(pdf["sketch"]), pdf["rep"].to_numpy()
-            best, at = np.full(len(pdf), -1), np.zeros(len(pdf), np.int64)
             lead = [[(x["rep"], x["sketch"]) for x in row] for row in pdf["leaders"]]
-            own = np.zeros(len(pdf), bool)
+            own, best = np.zeros(len(pdf), bool), np.zeros(len(pdf), np.int64)
+            near: list[set[int]] = [set() for _ in range(len(pdf))]
             for k in range(LEADERS):
                 ids = np.array([x[k][0] for x in lead])
                 other = np.frombuffer(b"".join(x[k][1] for x in lead), np.uint32).reshape(-1, COORDS)
                 agree = (tokens == other).sum(1)
                 own |= ids == rep
-                # the smaller id leads among equals, so that one of them stays
-                better = (agree > best) & (ids != rep)
-                best[better], at[better] = agree[better], ids[better]
-            gone = (best >= same) & ~own
-            a = pd.Series(at, dtype="Int64").where(best >= least)
+                agree[ids == rep] = 0
+                best = np.maximum(best, agree)
+                for i in np.flatnonzero(agree >= least):
+                    near[i].add(int(ids[i]))
             yield pd.DataFrame({"path": pdf["path"], "rep": rep,
-                                "sketch": pdf["sketch"].where(~gone, None), "a": a})
+                                "sketch": pdf["sketch"].where((best < same) | own, None),
+                                "a": [sorted(x) for x in near]})
     return run
 
 
@@ -303,15 +313,17 @@ def links(documents: DataFrame, edges: DataFrame, words: int, num: int, den: int
     representatives that candidate edges connect."""
     clusters = stored(components(edges), "clusters")
     sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    sized = stored(clusters.join(stored(sizes, "sizes"), "component")
+    chunked = stored(clusters.join(stored(sizes, "sizes"), "component")
                    .withColumn("k", F.ceil(F.col("n") / CHUNK).cast("int"))
                    .withColumn("c", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")), "clusters")
     texts = plain(documents, doc_id="long", text="string").withColumnRenamed("doc_id", "rep")
-    rows = stored(sized.select(F.col("node").alias("rep"), "component", "k", "c")
-                  .join(texts, "rep"), "texts")
+    # texts are shuffled only for documents of a cluster, as long as their ids can
+    # be broadcast
+    members = sized(chunked.select(F.col("node").alias("rep"), "component", "k", "c"))
+    rows = stored(texts.join(members, "rep"), "texts")
     # the leaders of a cluster of several chunks join every chunk
     pick = lambda s: F.min(F.struct(F.xxhash64("node", F.lit(s)), "node"))["node"]
-    leaders = sized.where("k > 1").groupBy("component").agg(F.array(*[pick(s) for s in range(4)]).alias("l"))
+    leaders = chunked.where("k > 1").groupBy("component").agg(F.array(*[pick(s) for s in range(4)]).alias("l"))
     lead = leaders.select(F.explode("l").alias("rep")).distinct()
     everywhere = rows.join(lead, "rep").withColumn("c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     none = F.lit(None).cast("long").alias("label")
@@ -319,10 +331,10 @@ def links(documents: DataFrame, edges: DataFrame, words: int, num: int, den: int
     found = stored(_confirm(rows.select(*cols, none).unionAll(everywhere.select(*cols, none)),
                             ["component", "c"], words, num, den), "links")
     parts = stored(components(found), "parts")
-    if not sized.where("k > 1").limit(1).count():
+    if not chunked.where("k > 1").limit(1).count():
         return parts
     # clusters of several chunks: what is not in the largest component meets all chunks
-    wide = sized.where("k > 1").select(F.col("node").alias("rep"), "component", "k", "c")
+    wide = chunked.where("k > 1").select(F.col("node").alias("rep"), "component", "k", "c")
     labelled = stored(wide.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("p")),
                                 "rep", "left").withColumn("label", F.coalesce("p", "rep")).drop("p"),
                       "labelled")
