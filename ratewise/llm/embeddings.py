@@ -33,10 +33,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Forest, components, read, runs, small_batches, stored
+from .common import Forest, components, read, runs, small_batches, stored, uniform
 
 PREFIX, SHARED, CHUNK = 8, 2, 1024
 MIN_PIVOTS, MAX_PIVOTS = 64, 4096
+#: Sampled vectors this close to an earlier one are not pivots.
+PIVOT_COSINE = 0.7
 
 
 def _unit(v) -> np.ndarray | None:
@@ -77,6 +79,17 @@ def _matrix(units) -> np.ndarray:
     return np.frombuffer(b"".join(units), np.float64).reshape(len(units), -1)
 
 
+def apart(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, in order, without those close to an earlier one: pivots of
+    one dense group would crowd each other out of the prefixes."""
+    close = vectors @ vectors.T >= PIVOT_COSINE
+    keep: list[int] = []
+    for i in range(len(vectors)):
+        if not close[i, keep].any():
+            keep.append(i)
+    return vectors[keep]
+
+
 def index(reps: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     """The inverted lists: ``(dim, pivot, rep, size, prefix, unit)``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -166,11 +179,13 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame:
     n = reps.count()
     wanted = int(min(MAX_PIVOTS, max(MIN_PIVOTS, 2 * n ** 0.5)))
     # a bounded sample
-    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("dim", "unit").collect()
+    u = uniform("rep")
+    sample = reps.where(u * float(n) <= 3 * wanted).orderBy(u, "rep").limit(wanted).select(
+        "dim", "unit").collect()
     pivots: dict[int, list[bytes]] = {}
     for dim, unit in sample:
         pivots.setdefault(dim, []).append(bytes(unit))
-    lists = stored(index(reps, {d: _matrix(u) for d, u in pivots.items()}), "lists")
+    lists = stored(index(reps, {d: apart(_matrix(u)) for d, u in pivots.items()}), "lists")
     found = stored(compare(lists, threshold), "links")
     linked = stored(found.where("b IS NULL").groupBy("a").agg(F.sum("weight").alias("w")), "linked")
     parts = stored(components(found.where("b IS NOT NULL").select("a", "b")), "components")

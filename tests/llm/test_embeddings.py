@@ -13,9 +13,10 @@ def brute(rows):
     ids, ok = [r[0] for r in rows], []
     for _, v in rows:
         good = v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v)
-        ok.append(np.array(v, np.float32).astype(float) if good else None)
+        x = np.array(v, np.float32).astype(float) if good else None
+        ok.append(None if x is None else x / np.linalg.norm(x))
     near = [[j for j, y in enumerate(ok) if j != i and x is not None and y is not None and len(x) == len(y)
-             and x @ y >= 0.95 * np.linalg.norm(x) * np.linalg.norm(y) - 1e-12] for i, x in enumerate(ok)]
+             and x @ y >= 0.95] for i, x in enumerate(ok)]
     comp = list(ids)
     while True:
         new = [min([comp[i], *(comp[j] for j in near[i])]) for i in range(len(ids))]
