@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -49,6 +49,13 @@ def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def uniform(*columns) -> Column:
+    """A number in [0, 1) from a hash of the columns: the same on every run.  A
+    sample of about ``k`` of ``n`` rows first keeps ``uniform * n <= 3 * k``, so that
+    its sort and its way to the driver do not grow with the number of tasks."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+
 def plain(df: DataFrame, **columns: str) -> DataFrame:
     """Only the needed columns, cast; a duplicated or extra column of the input
     never reaches the operator (``plain(df, doc_id="long", text="string")``)."""

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import plain, read, small_batches
+from .common import plain, read, small_batches, uniform
 
 SAMPLE_PAGES, TRAIN_PAGES = 300, 700
 CHANGE = 1.5
@@ -436,8 +436,10 @@ def _compose(rng: random.Random, words: list[list[str]]) -> str:
 
 def train(pages: DataFrame, seed: int = 17) -> Boosted:
     """Trees from pages composed of the words of a bounded sample of rows."""
-    rows = pages.where("html IS NOT NULL AND html <> ''").orderBy(F.xxhash64("page_id"), "page_id").limit(
-        SAMPLE_PAGES).select(F.substring("html", 1, 20000).alias("h")).collect()
+    usable = pages.where("html IS NOT NULL AND html <> ''").withColumn("u", uniform("page_id"))
+    few = usable.where(F.col("u") * F.lit(float(usable.count())) <= 3 * SAMPLE_PAGES)
+    rows = few.orderBy("u", "page_id").limit(SAMPLE_PAGES).select(
+        F.substring("html", 1, 20000).alias("h")).collect()
     words = _words_of([r["h"] for r in rows])
     rng = random.Random(seed)
     xs, ys = [], []

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import plain, read, small_batches
+from .common import plain, read, small_batches, uniform
 
 #: Bounds of the training sample.
 PER_LANGUAGE, MAX_LANGUAGES = 1200, 64
@@ -151,13 +151,13 @@ def train(labelled: DataFrame) -> ByteNet | None:
     if not counts:
         return None
     share = F.create_map(*[x for lang, n in counts for x in (F.lit(lang), F.lit(float(n)))])
-    u = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    u = uniform("doc_id", F.lit(1))
     start = F.pmod(F.xxhash64("doc_id", F.lit(2)),
                    F.greatest(F.lit(1), F.length("text") - WINDOW)).cast("int") + 1
     # small u * count: about the same number of documents of each language; bounded
     sample = (usable.select("doc_id", "lang", share[F.col("lang")].alias("n"),
                             u.alias("u"), F.substring(F.col("text"), start, F.lit(WINDOW)).alias("w"))
-              .where("n IS NOT NULL").orderBy(F.col("u") * F.col("n"), "doc_id", "w")
+              .where(F.col("u") * F.col("n") <= 3 * PER_LANGUAGE).orderBy(F.col("u") * F.col("n"), "doc_id", "w")
               .limit(PER_LANGUAGE * len(counts)).select("lang", "w").collect())
     languages = sorted(lang for lang, _ in counts)
     rng = np.random.default_rng(3)

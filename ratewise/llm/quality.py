@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import plain, read, small_batches, stored
+from .common import plain, read, small_batches, stored, uniform
 
 LEXICON_ROWS, LEXICON_WORDS, TRAIN_ROWS = 6000, 4000, 6000
 BUCKETS = 1 << 18
@@ -106,8 +106,8 @@ def learned_lists(documents: DataFrame, labels: DataFrame) -> tuple[frozenset, f
     if len(share) < 2:
         return frozenset(), frozenset()
     weight = F.when(F.col("toxic") > 0, F.lit(float(share[True]))).otherwise(F.lit(float(share[False])))
-    sample = told.orderBy(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40)) * weight, "doc_id").limit(
-        LEXICON_ROWS).select("doc_id", (F.col("toxic") > 0).cast("int").alias("t"))
+    order = uniform("doc_id", F.lit(5)) * weight
+    sample = told.where(order <= 3 * LEXICON_ROWS).orderBy(order, "doc_id").limit(LEXICON_ROWS).select("doc_id", (F.col("toxic") > 0).cast("int").alias("t"))
     sample = stored(sample, "lexicon-sample")
     total = sample.agg(F.sum("t"), F.sum(1 - F.col("t"))).first()
     if not total[0] or not total[1]:
@@ -268,8 +268,9 @@ def train(documents: DataFrame, labels: DataFrame) -> Scorer:
     share = F.lit(0.0)
     for s, n in sizes.items():
         share = F.when(F.col("s") == s, F.lit(float(n))).otherwise(share)
-    picked = stored(strata.orderBy(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 40)) * share, "doc_id")
-                    .limit(TRAIN_ROWS), "train-sample")
+    order = uniform("doc_id", F.lit(6)) * share
+    picked = stored(strata.where(order <= 3 * TRAIN_ROWS).orderBy(order, "doc_id").limit(TRAIN_ROWS),
+                    "train-sample")
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
