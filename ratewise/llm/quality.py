@@ -51,7 +51,7 @@ dummkopf trottel arschloch abschaum
 idiota imbécil estúpido basura
 """.split())
 
-_TAIL = ("!", "#", "$", "%", "&", "*", "@", "^", "~")
+_ENDS = re.compile(r"[!#$%&*@^~](?!\S)")
 _MARK = re.compile(r"[^\w\s]")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -69,9 +69,10 @@ def shape(text: str) -> tuple[int, list[float]]:
     if not n:
         return 0, [0.0] * JUNK
     part = words if n <= 400 else words[::max(1, n // 400)]
+    odd = [w for w in words if not w[0].isalnum()]
     return n, [sum(map(str.isupper, words)) / n,
-               sum(w.endswith(_TAIL) for w in words) / n,
-               sum(not any(map(str.isalnum, w)) for w in words) / n,
+               len(_ENDS.findall(text)) / n,
+               sum(not any(map(str.isalnum, w)) for w in odd) / n,
                sum(map(eq, words, words[1:])) / n,
                1 - len(set(part)) / len(part),
                len(_MARK.findall(text)) / max(1, len(text))]
@@ -195,30 +196,28 @@ class Scorer:
 
     @functools.cached_property
     def _words(self):
-        weights = self.weights
+        # both heads' weights as one complex number, so that one sum adds both
+        both = (self.weights[0] + 1j * self.weights[1]).tolist()
 
         class Known(dict):
             def __missing__(self, word):
-                v = weights[:, _word_buckets(word)].sum(1)
+                a, b, c = _word_buckets(word)
+                v = both[a] + both[b] + both[c]
                 if len(self) >= CACHE_WORDS:
                     self.clear()
                 self[word] = v
                 return v
-        return Known()
+        return Known(), both
 
     def __getstate__(self):
         return {"weights": self.weights, "bias": self.bias}
 
     def scores(self, text: str) -> np.ndarray:
-        known = self._words
-        z = self.bias.copy()
-        words = set(_WORD.findall(text.lower()))
-        if words:
-            z += np.array([known[w] for w in words]).sum(0)
-        marks = [_bucket(f) for f in _shape_marks(*shape(text))]
-        if marks:
-            z += self.weights[:, marks].sum(1)
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+        known, both = self._words
+        z = sum(map(known.__getitem__, set(_WORD.findall(text.lower()))), complex(*self.bias.tolist()))
+        for f in _shape_marks(*shape(text)):
+            z += both[_bucket(f)]
+        return 1 / (1 + np.exp(-np.clip([z.real, z.imag], -50, 50)))
 
 
 def fit(samples: list[np.ndarray], targets: np.ndarray, weight: np.ndarray, rounds: int = 150,
