@@ -383,7 +383,7 @@ def one_of_each(documents: DataFrame, words: int = 5, num: int = 80, den: int =
     smallest id of each group stays, and a repeated row stays once."""
     kept = stored(near_duplicates(documents, words, num, den).where("kept").select(
         F.col("doc_id").alias("__llm_kept")).distinct(), "kept")
-    left = documents.join(kept, F.col("doc_id").cast("long") == F.col("__llm_kept"), "left_semi")
+    left = documents.join(sized(kept), F.col("doc_id").cast("long") == F.col("__llm_kept"), "left_semi")
     if documents.groupBy("doc_id").count().where("count > 1").limit(1).count():
         left = left.withColumn("__llm_text", F.xxhash64("text")).dropDuplicates(["doc_id", "__llm_text"])
     return left.select(*documents.columns)
