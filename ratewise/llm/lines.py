@@ -8,7 +8,10 @@ and a passage keeps its inner chunks, and all its long lines, wherever it stands
 Chunks of at least ``MIN_WORDS`` words that occur more than once in the corpus,
 in any document or place, are removed except at their first occurrence (by
 document id, then place), after a byte comparison: equal digests propose, equal
-text decides.
+text decides.  ``op3_line_dedup`` does this, as its SQL says.
+:func:`drop_repeated_lines`, the stage of the pipeline, compares chunks of any length
+and applies the minimum to runs of adjacent repeated chunks, so that repeated passages
+of short lines go too.
 
 Words are counted as pieces between spaces.  Built from DataFrame functions
 alone.  The digests of a corpus's chunks are counted with a map-side combine;
@@ -23,7 +26,7 @@ rows; other columns are carried along.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import plain, read, stored
@@ -67,20 +70,21 @@ def chunks(text: Column) -> Column:
                      "\n").alias("text"))))
 
 
-def document_chunks(documents: DataFrame) -> DataFrame:
+def document_chunks(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """``(doc_id, doc, chunk, first_line, n_lines, n_words, digest, text)`` of every
-    chunk that is long enough; ``doc`` tells rows of one id apart."""
+    chunk of at least ``least`` words; ``doc`` tells rows of one id apart."""
     docs = plain(documents, doc_id="long", text="string").where("text <> ''")
     rows = docs.select("doc_id", F.xxhash64("text").alias("doc"), F.posexplode(chunks(F.col("text"))))
     return rows.select("doc_id", "doc", F.col("pos").alias("chunk"), "col.first_line", "col.n_lines",
                        "col.n_words", F.col("col.text").alias("text")).where(
-        F.col("n_words") >= MIN_WORDS).withColumn("digest", F.md5(F.col("text").cast("binary")))
+        F.col("n_words") >= least).withColumn("digest", F.md5(F.col("text").cast("binary")))
 
 
-def repeated_chunks(documents: DataFrame) -> DataFrame:
-    """Every later occurrence of a chunk: ``(doc_id, doc, chunk, n_lines, n_words,
-    kept_doc_id)``, the last naming the document of the first occurrence."""
-    rows = document_chunks(documents)
+def repeated_chunks(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """Every later occurrence of a chunk of at least ``least`` words: ``(doc_id, doc,
+    chunk, n_lines, n_words, kept_doc_id)``, the last naming the document of the first
+    occurrence."""
+    rows = document_chunks(documents, least)
     again = stored(rows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"),
                    "digests")
     small = again.count() * _ROW_BYTES <= BROADCAST_BYTES
@@ -93,6 +97,16 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
         "doc_id", "doc", "chunk", "n_lines", "n_words", F.col("first.doc_id").alias("kept_doc_id"))
 
 
+def repeated_runs(documents: DataFrame) -> DataFrame:
+    """``(doc_id, doc, chunk, n_words)`` of the repeated chunks, of any length, that
+    stand in a run of adjacent ones with at least ``MIN_WORDS`` words together."""
+    rows = repeated_chunks(documents, 0).select("doc_id", "doc", "chunk", "n_words").distinct()
+    text = Window.partitionBy("doc_id", "doc")
+    runs = rows.withColumn("run", F.col("chunk") - F.row_number().over(text.orderBy("chunk")))
+    words = F.sum("n_words").over(Window.partitionBy("doc_id", "doc", "run"))
+    return runs.withColumn("words", words).where(F.col("words") >= MIN_WORDS).drop("run", "words")
+
+
 def _lost(repeated: DataFrame) -> DataFrame:
     """One row per document row that loses chunks: ``(doc_id, doc, lost)``."""
     return repeated.groupBy("doc_id", "doc").agg(F.collect_set("chunk").alias("lost"))
@@ -105,9 +119,9 @@ def _remaining(text: Column, lost: Column) -> Column:
 
 
 def drop_repeated_lines(documents: DataFrame) -> DataFrame:
-    """``documents`` with the repeated chunks cut out of ``text``; the same rows
-    and columns."""
-    lost = stored(_lost(repeated_chunks(documents)), "lost").select(
+    """``documents`` with the runs of repeated chunks cut out of ``text``; the same
+    rows and columns."""
+    lost = stored(_lost(repeated_runs(documents)), "lost").select(
         F.col("doc_id").alias("__llm_id"), F.col("doc").alias("__llm_doc"), F.col("lost").alias("__llm_lost"))
     joined = documents.withColumn("__llm_key", F.xxhash64("text")).join(
         lost, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_key") == F.col("__llm_doc")), "left")

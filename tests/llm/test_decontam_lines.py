@@ -131,3 +131,19 @@ def test_chunks_are_the_same_wherever_a_passage_stands(spark):
     assert len(sets[0] & sets[1] & sets[2]) >= 8
     for r, t in zip(df.select(lines.chunks(df.text).alias("c")).collect(), texts):
         assert "\n".join(c["text"] for c in r["c"]) == t
+
+
+def test_repeated_passages_of_short_lines_are_cut(spark):
+    rng = random.Random(8)
+    line = lambda n: " ".join(word(rng) for _ in range(n))
+    for n in (3, 6, 8):
+        passage = [line(n) for _ in range(60)]
+        docs = [(i, "\n".join([line(25), *passage, line(25), "read more", line(30)])) for i in range(4)]
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        out = {r["doc_id"]: r["text"].split("\n") for r in lines.drop_repeated_lines(df).collect()}
+        assert "\n".join(out[0]) == docs[0][1]
+        for i, t in docs[1:]:
+            own = [t.split("\n")[k] for k in (0, -3, -2, -1)]
+            left = out[i][1:-3]
+            assert [out[i][0], *out[i][-3:]] == own  # a short repeat alone stays
+            assert left == passage[:len(left)] and len(left) <= 8  # where its first chunk ends, the line before decides
