@@ -11,6 +11,8 @@ Expectation-maximisation on the counts of vote patterns of all documents (at mos
 and on good documents, and so the posterior of every pattern.  The posteriors of
 a bounded, stratified sample of documents are the soft labels of a hashed linear
 scorer over words, word beginnings and shape marks, which scores whole texts.
+The share of distinct words is that of windows of ``NEAR`` words, averaged over all
+words, so that it means the same at every length.
 
 Bounds: ``LEXICON_ROWS`` labelled rows for the learned word lists, ``TRAIN_ROWS``
 documents for the scorer; vote patterns, and the scores, cover all documents.
@@ -39,6 +41,8 @@ from .common import plain, read, small_batches, stored, uniform
 LEXICON_ROWS, LEXICON_WORDS, TRAIN_ROWS = 6000, 4000, 6000
 BUCKETS = 1 << 18
 CACHE_WORDS = 300_000
+#: Distinct words are counted in consecutive windows of so many words.
+NEAR = 400
 BAD, GOOD, ABSTAIN = 2, 1, 0
 JUNK, TOXIC = 6, 4  # labellers of a head, without the human label
 
@@ -68,13 +72,13 @@ def shape(text: str) -> tuple[int, list[float]]:
     n = len(words)
     if not n:
         return 0, [0.0] * JUNK
-    part = words if n <= 400 else words[::max(1, n // 400)]
+    distinct = sum(len(set(words[i:i + NEAR])) for i in range(0, n, NEAR))
     odd = [w for w in words if not w[0].isalnum()]
     return n, [sum(map(str.isupper, words)) / n,
                len(_ENDS.findall(text)) / n,
                sum(not any(map(str.isalnum, w)) for w in odd) / n,
                sum(map(eq, words, words[1:])) / n,
-               1 - len(set(part)) / len(part),
+               1 - distinct / n,
                len(_MARK.findall(text)) / max(1, len(text))]
 
 

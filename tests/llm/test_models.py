@@ -72,6 +72,19 @@ def test_quality_of_odd_rows(spark):
     assert quality.classify(docs.limit(0), labels).count() == 0
 
 
+def test_few_distinct_words_of_long_texts_are_seen_wherever_they_stand():
+    sale = " ".join(f"buy now cheap x{i}" for i in range(400))
+    fresh = " ".join(f"w{i}" for i in range(1600))
+    few = lambda text: quality.shape(text)[1][4]
+    assert abs(few(sale) - few("one " + sale)) < 0.01 and 0.7 < few(sale) < 0.8
+    assert few(fresh) == 0
+    for at in range(4):  # words that one stride would pass over
+        w = fresh.split()
+        w[at + 4::4] = ["same"] * len(w[at + 4::4])
+        assert 0.2 < few(" ".join(w)) < 0.3
+    assert few("a b a c") == 0.25
+
+
 def test_expectation_maximisation_recovers_the_truth():
     rng = np.random.default_rng(2)
     truth = rng.random(20000) < 0.2
