@@ -85,6 +85,15 @@ def test_block_index_finds_all_within_the_radius(spark):
     assert both.where("NOT arrays_overlap(x, y)").count() == 0
 
 
+def test_every_window_at_the_threshold_is_found(spark):
+    rng = random.Random(12)
+    items = [(i, " ".join(word(rng) for _ in range(50))) for i in range(600)]
+    edited = lambda t: " ".join([*t.split()[:25], "replaced", *t.split()[26:]])
+    got = run(spark, [(i, edited(t)) for i, t in items], items)  # 41 shingles of 51 are shared
+    assert set(got) == {(i, i) for i, _ in items}
+    assert all(abs(r["similarity"] - 41 / 51) < 1e-9 for r in got.values())
+
+
 def test_decontamination_without_rows(spark):
     docs = spark.createDataFrame([(1, "some words stand here today")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
