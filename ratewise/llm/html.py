@@ -63,7 +63,7 @@ _LETTERS = re.compile(r"[a-z]+")
 
 class Node:
     __slots__ = ("tag", "names", "parent", "depth", "text", "link", "marks", "blocks", "kids", "at",
-                 "gold", "size", "links", "stops", "nodes", "paras", "heads")
+                 "gold", "place", "size", "links", "stops", "nodes", "paras", "heads")
 
     def __init__(self, tag: str, names: tuple[str, ...], parent: int, depth: int, at: int):
         self.tag, self.names, self.parent, self.depth, self.at = tag, names, parent, depth, at
@@ -71,6 +71,7 @@ class Node:
         self.blocks = 0
         self.kids: list[int] = []
         self.gold = -1
+        self.place = 0  # among the parent's kids
 
 
 @functools.lru_cache(4096)
@@ -158,6 +159,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         node = Node(tag, _names(m[4]) if m[4] else (), stack[-1], len(stack), m.start())
         if "data-gold" in m[4]:
             node.gold = int('data-gold="1"' in m[4])
+        node.place = len(nodes[stack[-1]].kids)
         nodes[stack[-1]].kids.append(len(nodes))
         stack.append(len(nodes))
         nodes.append(node)
@@ -235,7 +237,7 @@ def features(nodes: list[Node]) -> np.ndarray:
                                                          up[N_TAGS * 2:N_TAGS * 2 + N_GROUPS])
         parent = nodes[node.parent] if i else node
         peers = parent.kids if i else [0]
-        place = peers.index(i) if i and len(peers) <= 64 else len(peers) // 2 if i else 0
+        place = node.place
         size = node.size
         k = above + N_GROUPS
         row[k:] = (
@@ -245,7 +247,7 @@ def features(nodes: list[Node]) -> np.ndarray:
             min(node.paras, 20), node.heads, place / max(1, len(peers)), min(len(peers), 30),
             (peers[-1] - peers[0]) / max(1, n), before / total, i / n,
             max((nodes[p].size for p in (peers[max(0, place - 1):place] + peers[place + 1:place + 2])),
-                default=0) / total if i and len(peers) <= 64 else 0, node.text / max(1, size))
+                default=0) / total if i else 0, node.text / max(1, size))
         before += node.text
     return x
 

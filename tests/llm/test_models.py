@@ -144,6 +144,15 @@ def test_odd_pages(model):
     assert len(got[7]) == 249999
 
 
+def test_place_and_neighbours_among_many_siblings():
+    for n in (10, 65, 200):
+        nodes, _ = html.parse("<div>" + "".join(f"<p>{'x' * (1 + k)}</p>" for k in range(n)) + "</div>")
+        x, k = html.features(nodes)[2:], html.N_TAGS * 2 + html.N_GROUPS * 2
+        total = n * (n + 1) / 2
+        assert np.allclose(x[:, k + 12], np.arange(n) / n)
+        assert np.allclose(x[:, k + 17], [(i + 2 if i + 1 < n else i) / total for i in range(n)])
+
+
 def test_decoding_never_keeps_below_a_dropped_node():
     rng = np.random.default_rng(5)
     nodes, _ = html.parse("<div><div><p>a</p><p>b</p></div><div><ul><li>c<li>d</ul></div></div>" * 8)
