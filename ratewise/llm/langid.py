@@ -7,9 +7,8 @@ text are scored in batches; a text's probabilities are the mean over its
 windows.
 
 The model is fitted on the driver with a bounded sample of labelled rows: one
-window of at most ``PER_LANGUAGE`` documents of each of the ``MAX_LANGUAGES``
-most frequent languages (a hash of the document id decides, so the sample is
-the same on every run).  Prediction reads the text alone.
+window of about ``PER_LANGUAGE`` documents at most of every language (a hash of the
+document id decides, so the sample is the same on every run).  Prediction reads the text alone.
 
 Cases: a null text, or one without a letter, gives ``und`` with score 0; with no
 labelled row every text does; repeated ids and texts are predicted each; other
@@ -29,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import plain, read, small_batches, uniform
 
-#: Bounds of the training sample.
-PER_LANGUAGE, MAX_LANGUAGES = 1200, 64
+#: Bound of the training sample.
+PER_LANGUAGE = 1200
 #: Bytes of a window; windows scored at once.
 WINDOW, BATCH = 128, 512
 UNKNOWN = "und"
@@ -145,9 +144,8 @@ def held_out(doc_id: Column) -> Column:
 def train(labelled: DataFrame) -> ByteNet | None:
     """Fit on ``labelled(doc_id, text, lang)``; None without a usable row."""
     usable = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    # at most MAX_LANGUAGES rows
-    counts = [(r[0], r[1]) for r in usable.groupBy("lang").count()
-              .orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    # one row a language
+    counts = [(r[0], r[1]) for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     if not counts:
         return None
     share = F.create_map(*[x for lang, n in counts for x in (F.lit(lang), F.lit(float(n)))])

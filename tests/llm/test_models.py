@@ -42,6 +42,12 @@ def test_language_of_odd_texts(spark):
     assert langid.identify(df.limit(0)).count() == 0
 
 
+def test_every_label_is_learnt(spark):
+    rows = [(100 * k + i, f"word{k} " * 5, f"l{k:02}") for k in range(70) for i in range(3 if k else 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.train(df).languages == [f"l{k:02}" for k in range(70)]
+
+
 def test_windows_cover_the_whole_text():
     rng = random.Random(0)
     for n in (0, 1, 127, 128, 129, 256, 1000):
