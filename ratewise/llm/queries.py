@@ -15,7 +15,10 @@ from .lines import OP3_SQL, op3_line_dedup
 from .minhash import op4_minhash_dedup
 from .packing import op6_best_fit_packing
 from .quality import op7_quality_classifier
+from .repair import OP12_SQL, op12_conversation_repair
+from .spelling import OP11_SQL, op11_spelling_variants
 from .tokens import op2_token_counts
+from .urls import OP13_SQL, op13_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
@@ -28,9 +31,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_html_extraction": op10_html_extraction,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_url_filters": op13_url_filters,
 }
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
     "op9_chat_formatting": OP9_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
+    "op13_url_filters": OP13_SQL,
 }
