@@ -8,7 +8,9 @@
     ratewise profile  --users U --ratings R --items I
     ratewise preview  --path P [-n 5]
     ratewise sample   --store ROOT --table T [-n 5]
-    ratewise rejects  --path P --kind users|ratings|movies
+    ratewise rejects  --path P --kind users|ratings|movies [--by-file]
+    ratewise user-ratings --store ROOT --user U [--first-movie M] [--last-movie M]
+    ratewise vacuum   --store ROOT [--keep 1] [--idle-seconds 86400]
     ratewise ddl      --store ROOT [--table-format parquet] [--table-prefix P]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so the master
@@ -35,7 +37,7 @@ from .plans.jobs import (
     ratings_report,
     user_filter_report,
 )
-from .sinks import result_tables_ddl
+from .sinks import result_tables_ddl, vacuum
 from .sources import (
     parse_item_wide,
     parse_pipe_users,
@@ -112,6 +114,19 @@ def _parser() -> argparse.ArgumentParser:
     rj.add_argument("--kind", required=True, choices=["users", "ratings", "movies"])
     rj.add_argument("--genres", default=",".join(schemas.DEFAULT_GENRES))
     rj.add_argument("--out", default=None, help="folder to write the raw lines to")
+    rj.add_argument("--by-file", action="store_true", help="count the rejects of every file")
+
+    ur = sub.add_parser("user-ratings", help="one user's stored ratings, by key")
+    store(ur)
+    ur.add_argument("--user", type=int, required=True)
+    ur.add_argument("--first-movie", type=int, default=None)
+    ur.add_argument("--last-movie", type=int, default=None)
+
+    vc = sub.add_parser("vacuum", help="remove files that no recent commit names")
+    vc.add_argument("--store", required=True)
+    vc.add_argument("--keep", type=int, default=1, help="commits to keep")
+    vc.add_argument("--idle-seconds", type=float, default=86_400,
+                    help="leave alone what is younger (writes under way, readers)")
     return p
 
 
@@ -151,12 +166,19 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> DataFrame:
         table = store.read_movies(spark) if args.table == "movies" else store.read(spark, args.table)
         return select_all_limit(table, args.n, schemas.KEYS.get(args.table))
     if args.job == "rejects":
-        bad = rejected_lines(scan_text_lines(spark, args.path), args.kind,
+        bad = rejected_lines(scan_text_lines(spark, args.path, origin=True), args.kind,
                              vocabulary=tuple(args.genres.split(",")))
+        if args.by_file:
+            return bad.groupBy("file").count().withColumnRenamed("count", "row_count").orderBy("file")
         if args.out:
             write_text_lines(bad, args.out)
             bad = scan_text_lines(spark, args.out)
         return record_counts({f"rejected_{args.kind}": bad})
+    if args.job == "user-ratings":
+        return _store(args).ratings_of_user(spark, args.user, args.first_movie, args.last_movie)
+    if args.job == "vacuum":
+        gone = vacuum(spark, args.store.rstrip("/"), args.keep, args.idle_seconds)
+        return spark.createDataFrame([(g,) for g in gone], "removed string")
     raise SystemExit(f"unknown job {args.job}")
 
 

@@ -56,17 +56,23 @@ def _epoch_seconds(col: str) -> Column:
     return F.expr(f"timestampdiff(SECOND, {EPOCH_NTZ}, {col})").cast("bigint")
 
 
+def _other_id(key: str, every: int) -> Column:
+    """The key, negated in every ``every``-th."""
+    k = F.col(key).cast("bigint")
+    return F.when(k % every == 0, -k).otherwise(k)
+
+
 def _rating_rows(spark: SparkSession, sf_dir: str, rating: Column,
                  extra: Sequence[str] = ()) -> DataFrame:
-    # every 13th part is never rated; movies() lacks every 11th, so ratings have
-    # orphans on both sides
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 13 != 0).select(
+    # ratings of every 13th part, and every 11th movie, carry an id that the other
+    # side lacks (but where both do), so there are orphans on both sides
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_shipdate", *extra)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return j.select(
         F.col("o_custkey").cast("bigint").alias("user_id"),
-        F.col("l_partkey").cast("bigint").alias("movie_id"),
+        _other_id("l_partkey", 13).alias("movie_id"),
         rating.alias("rating"),
         _epoch_seconds("l_shipdate").alias("timestamp"),
         *extra,
@@ -95,8 +101,7 @@ def _name_words() -> Column:
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").where(F.col("p_partkey") % 11 != 0).select(
-        "p_partkey", "p_name")
+    return table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
 
 def movies_wide(spark: SparkSession, sf_dir: str,
@@ -104,7 +109,7 @@ def movies_wide(spark: SparkSession, sf_dir: str,
     p = _parts(spark, sf_dir)
     words = _name_words()
     return p.select(
-        F.col("p_partkey").cast("bigint").alias("movie_id"),
+        _other_id("p_partkey", 11).alias("movie_id"),
         F.col("p_name").alias("movie_title"),
         F.lit(FIXTURE_RELEASE_DATE).alias("release_date"),
         F.lit("").alias("video_release_date"),
@@ -121,7 +126,7 @@ def movies(spark: SparkSession, sf_dir: str,
     words = _name_words()
     vocab = F.array(*[F.lit(w) for w in vocabulary])
     return p.select(
-        F.col("p_partkey").cast("bigint").alias("movie_id"),
+        _other_id("p_partkey", 11).alias("movie_id"),
         F.col("p_name").alias("movie_title"),
         F.lit(FIXTURE_RELEASE_DATE).alias("release_date"),
         F.lit("").alias("video_release_date"),
@@ -164,9 +169,12 @@ def rating_lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataF
     return r.select(F.concat_ws("\t", *[_s(c) for c in r.columns]).alias("value"))
 
 
-def rating_lines_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rating lines of which some end in text and some lack the last field."""
+def rating_lines_mixed(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
+    """Rating lines of which some end in text and some lack the last field; with
+    ``again`` those of the first kind alone, for users with even ids."""
     r = ratings(spark, sf_dir)
+    if again:
+        r = r.where((F.col("user_id") % 6 == 0) & (F.col("rating") == 2))
     last = F.when((F.col("user_id") % 3 == 0) & (F.col("rating") == 2),
                   F.concat(F.lit("x"), _s("timestamp"))).when(
         (F.col("user_id") % 5 == 0) & (F.col("rating") == 4), F.lit(None).cast("string")).otherwise(

@@ -55,24 +55,49 @@ def _missing(f: T.StructField) -> Column:
     return blank_or_null(c) if isinstance(f.dataType, T.StringType) else c.isNull()
 
 
+# Bytes of the fixed-width types; rows of these up to DIGEST_BYTES are their own key.
+_WIDTHS = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
+           T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8}
+DIGEST_BYTES = 32
+
+
+def _narrow(df: DataFrame) -> bool:
+    """Whether a whole row is no wider than its digest would be."""
+    widths = [_WIDTHS.get(type(f.dataType)) for f in df.schema.fields]
+    return bool(widths) and None not in widths and sum(widths) <= DIGEST_BYTES
+
+
+def _masks(df: DataFrame) -> list[Column]:
+    """The missing flags of a row as bit masks."""
+    out = []
+    for k in range(0, len(df.schema.fields), _MASK_BITS):
+        mask = F.lit(0).cast("long")
+        for i, f in enumerate(df.schema.fields[k:k + _MASK_BITS]):
+            mask = mask + F.when(_missing(f), F.lit(1 << i)).otherwise(F.lit(0))
+        out.append(mask.alias(f"_mask{k // _MASK_BITS}"))
+    return out
+
+
 def _copies(df: DataFrame, with_masks: bool) -> DataFrame:
-    """One row per distinct row: a 256-bit digest of all its scalar columns, the
-    missing flags as bit masks, and the number of copies.  The exchange carries
-    these instead of whole rows; columns of other types stay grouping columns."""
+    """One row per distinct row: its missing flags as bit masks, and the number of
+    copies.
+
+    The schema chooses the grouping key.  A row of few fixed-width columns (a rating is
+    28 bytes) is grouped by its columns, and the masks come from them afterwards.  Any
+    other row is grouped by a 256-bit digest of its scalar columns and its masks, so the
+    exchange carries some 40 bytes instead of whole texts; columns of other types stay
+    grouping columns."""
+    copies = F.count(F.lit(1)).alias("_copies")
+    if _narrow(df):
+        grouped = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(copies)
+        return grouped.select("_copies", *(_masks(df) if with_masks else []))
     scalar = [f for f in df.schema.fields if isinstance(f.dataType, _SCALAR)]
     other = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, _SCALAR)]
     keys = list(other)
     if scalar:
         keys.append(F.unhex(F.sha2(F.concat(*[_encoded(f.name, f.dataType) for f in scalar]), 256))
                     .alias("_digest"))
-    if with_masks:
-        fields = df.schema.fields
-        for k in range(0, len(fields), _MASK_BITS):
-            mask = F.lit(0).cast("long")
-            for i, f in enumerate(fields[k:k + _MASK_BITS]):
-                mask = mask + F.when(_missing(f), F.lit(1 << i)).otherwise(F.lit(0))
-            keys.append(mask.alias(f"_mask{k // _MASK_BITS}"))
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    return df.groupBy(*keys, *(_masks(df) if with_masks else [])).agg(copies)
 
 
 def duplicate_check(df: DataFrame) -> DataFrame:
@@ -86,8 +111,8 @@ def duplicate_check(df: DataFrame) -> DataFrame:
 def profile_summary(df: DataFrame) -> DataFrame:
     """Q1 + Q2 in one pass, long form ``(metric, column_name, value)``: the
     missing count of every column (metric ``missing``) and ``total_rows`` /
-    ``distinct_rows`` / ``duplicate_rows``.  Rows are grouped once, by digest and
-    missing mask (map-side combined); the missing counts are sums over the
+    ``distinct_rows`` / ``duplicate_rows``.  Rows are grouped once (:func:`_copies`,
+    map-side combined); the missing counts are sums over the
     distinct rows weighted by their copies, so the input is scanned a single
     time and no text is shuffled.  Missing counts of an empty input are NULL, as
     in the one-row profile."""

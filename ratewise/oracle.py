@@ -29,20 +29,18 @@ USERS = """users AS (
 
 RATINGS = """ratings AS (
   SELECT CAST(o.o_custkey AS BIGINT) AS user_id,
-         CAST(l.l_partkey AS BIGINT) AS movie_id,
+         CAST(CASE WHEN l.l_partkey % 13 = 0 THEN -l.l_partkey ELSE l.l_partkey END AS BIGINT) AS movie_id,
          CAST(ceil(l.l_quantity / 10) AS INTEGER) AS rating,
          CAST(epoch(l.l_shipdate) AS BIGINT) AS "timestamp"
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_partkey % 13 <> 0)"""
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 RATINGS_DIRTY = """ratings_base AS (
   SELECT CAST(o.o_custkey AS BIGINT) AS user_id,
-         CAST(l.l_partkey AS BIGINT) AS movie_id,
+         CAST(CASE WHEN l.l_partkey % 13 = 0 THEN -l.l_partkey ELSE l.l_partkey END AS BIGINT) AS movie_id,
          CAST(CAST(l.l_quantity AS INTEGER) % 7 AS INTEGER) AS rating,
          CAST(epoch(l.l_shipdate) AS BIGINT) AS "timestamp",
          l.l_linenumber
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_partkey % 13 <> 0),
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 ratings_dirty AS (
   SELECT user_id, movie_id, rating, "timestamp" FROM ratings_base
   UNION ALL
@@ -57,25 +55,25 @@ def movies_wide(vocabulary: Sequence[str] = FIXTURE_GENRES) -> str:
     flags = ",\n         ".join(
         f"CAST({_word_test(w)} AS INTEGER) AS {w}" for w in vocabulary)
     return f"""movies_wide AS (
-  SELECT CAST(p_partkey AS BIGINT) AS movie_id,
+  SELECT CAST(CASE WHEN p_partkey % 11 = 0 THEN -p_partkey ELSE p_partkey END AS BIGINT) AS movie_id,
          p_name AS movie_title,
          {_q(FIXTURE_RELEASE_DATE)} AS release_date,
          '' AS video_release_date,
          {_q(FIXTURE_URL_PREFIX)} || CAST(p_partkey AS VARCHAR) AS imdb_url,
          {flags}
-  FROM part WHERE p_partkey % 11 <> 0)"""
+  FROM part)"""
 
 
 def movies(vocabulary: Sequence[str] = FIXTURE_GENRES) -> str:
     cases = ", ".join(f"CASE WHEN {_word_test(w)} THEN {_q(w)} END" for w in vocabulary)
     return f"""movies AS (
-  SELECT CAST(p_partkey AS BIGINT) AS movie_id,
+  SELECT CAST(CASE WHEN p_partkey % 11 = 0 THEN -p_partkey ELSE p_partkey END AS BIGINT) AS movie_id,
          p_name AS movie_title,
          {_q(FIXTURE_RELEASE_DATE)} AS release_date,
          '' AS video_release_date,
          {_q(FIXTURE_URL_PREFIX)} || CAST(p_partkey AS VARCHAR) AS imdb_url,
          list_filter([{cases}], lambda x: x IS NOT NULL) AS genres
-  FROM part WHERE p_partkey % 11 <> 0)"""
+  FROM part)"""
 
 
 MOVIE_GENRES = """movie_genres AS (

@@ -60,10 +60,14 @@ from .sinks import (
     create_result_tables,
     load_documents_overwrite,
     load_table_overwrite,
+    rows_of_key,
+    table_folders,
     upsert_by_key,
     write_clustered_by_key,
+    write_keyed_table,
 )
 from .sources import (
+    first_rows,
     parse_item_genres,
     parse_item_wide,
     parse_pipe_users,
@@ -126,9 +130,10 @@ def _stage_lines(spark: SparkSession, sf: str) -> dict[str, str]:
 def _stage_store(spark: SparkSession, sf: str) -> Store:
     """A store holding the fixture base tables (users cleaned, as stored)."""
     store = Store(scratch_path(spark, "store"))
-    write_together(lambda: store.write(clean_users(fx.users(spark, sf)), "users"),
-                   lambda: store.write(fx.ratings(spark, sf), "ratings"),
-                   lambda: store.write_movies(fx.movies(spark, sf)))
+    entries = write_together(lambda: store.stage_segments(clean_users(fx.users(spark, sf)), "users"),
+                             lambda: store.stage(fx.ratings(spark, sf), "ratings"),
+                             lambda: store.stage_movies(fx.movies(spark, sf)))
+    store.commit(spark, dict(zip(("users", "ratings", "movies"), entries)))
     return store
 
 
@@ -155,7 +160,8 @@ def q_parse_ws_ratings(spark, sf):
 
 
 MIXED = """lines AS (
-  SELECT concat_ws(chr(9), CAST(user_id AS VARCHAR), CAST(movie_id AS VARCHAR), CAST(rating AS VARCHAR),
+  SELECT user_id, rating,
+         concat_ws(chr(9), CAST(user_id AS VARCHAR), CAST(movie_id AS VARCHAR), CAST(rating AS VARCHAR),
            CASE WHEN user_id % 3 = 0 AND rating = 2 THEN 'x' || CAST("timestamp" AS VARCHAR)
                 WHEN user_id % 5 = 0 AND rating = 4 THEN NULL
                 ELSE CAST("timestamp" AS VARCHAR) END) AS value,
@@ -163,15 +169,25 @@ MIXED = """lines AS (
   FROM ratings)"""
 
 
-@register("reject_bad_lines", W(o.RATINGS, MIXED) + "SELECT value, rejected FROM lines")
+@register("reject_bad_lines",
+          W(o.RATINGS, MIXED)
+          + """SELECT value, rejected, CASE WHEN rejected THEN 'monday' ELSE '' END AS arrival FROM lines
+               UNION ALL SELECT value, true, 'tuesday' FROM lines WHERE user_id % 6 = 0 AND rating = 2""")
 def q_reject_bad_lines(spark, sf):
-    """Readable lines, parsed and rendered again, and the rejects as they stood."""
-    path = write_text_lines(fx.rating_lines_mixed(spark, sf), scratch_path(spark, "rating_lines"))
-    lines = scan_text_lines(spark, path)
+    """Two arrivals; the second repeats some bad lines of the first.  Readable lines, parsed
+    and rendered again, and the rejects as they stood, each with the folder of its file."""
+    root = scratch_path(spark, "rating_lines")
+    write_together(
+        lambda: write_text_lines(fx.rating_lines_mixed(spark, sf), f"{root}/monday"),
+        lambda: write_text_lines(fx.rating_lines_mixed(spark, sf, again=True), f"{root}/tuesday"))
+    lines = scan_text_lines(spark, [f"{root}/monday", f"{root}/tuesday"], origin=True)
     good = parse_ws_ratings(lines, lenient=True)
     rendered = good.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in good.columns]).alias("value"),
-                           F.lit(False).alias("rejected"))
-    return rendered.unionByName(rejected_lines(lines, "ratings").withColumn("rejected", F.lit(True)))
+                           F.lit(False).alias("rejected"), F.lit("").alias("arrival"))
+    bad = rejected_lines(lines, "ratings")
+    return rendered.unionByName(bad.select(
+        "value", F.lit(True).alias("rejected"),
+        F.regexp_extract("file", "([^/]+)/[^/]+$", 1).alias("arrival")))
 
 
 @register("parse_item_wide", W(o.movies_wide()) + "SELECT * FROM movies_wide")
@@ -431,8 +447,23 @@ UPSERT_UPDATES = """updates AS (
                     AND u.movie_id = c.movie_id AND u."timestamp" = c."timestamp")
                 UNION ALL SELECT {RATING_COLS} FROM updates""")
 def q_upsert_by_key(spark, sf):
-    """Stored: the cleaned dirty ratings.  Update batch: every five-star rating
-    of the clean ratings, replacing equal keys and adding new ones."""
+    """Stored in hash partitions: the cleaned dirty ratings.  Update batch: every five-star
+    rating of the clean ratings, replacing equal keys and adding new ones, in place."""
+    keys = schemas.KEYS["ratings"]
+    path = write_keyed_table(clean_ratings(fx.ratings_dirty(spark, sf)), scratch_path(spark, "ratings"),
+                             keys, parts=16, schema=schemas.RATINGS)
+    upsert_by_key(spark, path, fx.ratings(spark, sf).filter(F.col("rating") == 5), keys)
+    return read_table_projected(spark, path)
+
+
+@register("upsert_other_table",
+          W(o.RATINGS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, UPSERT_UPDATES)
+          + f"""SELECT {RATING_COLS} FROM clean_ratings c WHERE NOT EXISTS (
+                  SELECT 1 FROM updates u WHERE u.user_id = c.user_id
+                    AND u.movie_id = c.movie_id AND u."timestamp" = c."timestamp")
+                UNION ALL SELECT {RATING_COLS} FROM updates""")
+def q_upsert_other_table(spark, sf):
+    """The same merge of a table without partitions, into a second table."""
     current = load_table_overwrite(clean_ratings(fx.ratings_dirty(spark, sf)),
                                    scratch_path(spark, "ratings"), schemas.RATINGS)
     updates = fx.ratings(spark, sf).filter(F.col("rating") == 5)
@@ -444,7 +475,8 @@ def q_upsert_by_key(spark, sf):
 @register("load_documents_overwrite", W(o.movies()) + MOVIES_JOINED)
 def q_load_documents_overwrite(spark, sf):
     path = load_documents_overwrite(fx.movies(spark, sf), scratch_path(spark, "movies"))
-    return joined(spark.read.schema(schemas.MOVIES).json(path))
+    (folder,) = table_folders(spark, path)
+    return joined(spark.read.schema(schemas.MOVIES).json(folder))
 
 
 @register("write_clustered_by_key", W(o.RATINGS) + f"SELECT {RATING_COLS} FROM ratings")
@@ -477,13 +509,67 @@ def q_upsert_null_keys(spark, sf):
     """The same batch twice, into the table itself; NULL movies are equal keys."""
     rows = fx.ratings_null_keys(spark, sf)
     keys = schemas.KEYS["ratings"]
-    path = load_table_overwrite(dedup_by_key(rows.where("rating <= 3"), keys),
-                                scratch_path(spark, "ratings"), schemas.RATINGS)
+    path = write_keyed_table(dedup_by_key(rows.where("rating <= 3"), keys), scratch_path(spark, "ratings"),
+                             keys, parts=8, by=["movie_id"], schema=schemas.RATINGS)
     for _ in range(2):
-        upsert_by_key(spark, path, rows.where("rating >= 3"), keys, path, schema=schemas.RATINGS)
+        upsert_by_key(spark, path, rows.where("rating >= 3"), keys)
     return read_table_projected(spark, path)
 
 
+ONE_USER = f"SELECT {RATING_COLS} FROM ratings WHERE user_id = (SELECT max(user_id) FROM ratings)"
+
+
+@register("rows_of_key", W(o.RATINGS, "batch AS (" + ONE_USER + ")") + f"""
+          SELECT user_id, movie_id, min(rating) AS rating, "timestamp" FROM batch GROUP BY ALL""")
+def q_rows_of_key(spark, sf):
+    """A user's ratings from a table in hash partitions of users."""
+    rows = fx.ratings(spark, sf)
+    path = write_keyed_table(dedup_by_key(rows, schemas.KEYS["ratings"]), scratch_path(spark, "ratings"),
+                             schemas.KEYS["ratings"], parts=16, by=["user_id"], schema=schemas.RATINGS)
+    return rows_of_key(spark, path, user_id=rows.agg(F.max("user_id")).first()[0])
+
+
+def _clustered_store(spark: SparkSession, sf: str) -> Store:
+    """Ratings bucketed by user, hot users apart, registered in the catalog."""
+    store = Store(scratch_path(spark, "store"), table_prefix=f"ratewise_{uuid.uuid4().hex[:8]}_")
+    write_clustered_by_key(conform(fx.ratings(spark, sf), schemas.RATINGS), f"{store.table_prefix}ratings",
+                           store.path("ratings"), buckets=8, split_hot=True)
+    return store
+
+
+@register("user_ratings_lookup",
+          W(o.RATINGS) + ONE_USER.replace("WHERE", "WHERE movie_id BETWEEN 100 AND 1500 AND"))
+def q_user_ratings_lookup(spark, sf):
+    """A user's ratings of a range of movies, from one bucket of the clustered table."""
+    store = _clustered_store(spark, sf)
+    user = store.read(spark, "ratings", ["user_id"]).agg(F.max("user_id")).first()[0]
+    out = store.ratings_of_user(spark, user, 100, 1500)
+    out.schema  # planned through the catalog, whose entry may go now: it is external
+    spark.sql(f"DROP TABLE {store.table_prefix}ratings")
+    return out
+
+
+@register("active_users_clustered", W(o.RATINGS, o.ACTIVE) + "SELECT * FROM active_users")
+def q_active_users_clustered(spark, sf):
+    """Active users from the clustered table: the buckets without an exchange, the users
+    stored apart as partial counts."""
+    store = _clustered_store(spark, sf)
+    out = store.per_key(spark, "ratings", ["user_id", "movie_id"], lambda r: active_users(r, 50))
+    out.schema
+    spark.sql(f"DROP TABLE {store.table_prefix}ratings")
+    return out
+
+
+@register("first_rows_by_range",
+          W(o.USERS, o.CLEAN_USERS)
+          + f"SELECT {USER_COLS} FROM clean_users ORDER BY occupation, age, user_id LIMIT 20")
+def q_first_rows_by_range(spark, sf):
+    """The first rows of the users in segment order, from the first files of the table."""
+    store = Store(scratch_path(spark, "store"))
+    store.commit(spark, {"users": store.stage_segments(clean_users(fx.users(spark, sf)), "users")})
+    return first_rows(spark, store.path("users"), 20, schema=schemas.USERS)
+
+
 @register("create_result_tables",
           W(o.USERS) + " UNION ALL ".join(
               f"SELECT '{n}' AS dataset, CAST(COUNT(*) AS BIGINT) AS row_count FROM users WHERE false"
@@ -499,24 +585,32 @@ def q_create_result_tables(spark, sf):
 
 
 @register("validate_stored_counts",
-          W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies_wide(), o.MOVIES_DIRTY)
+          W(o.USERS, o.CLEAN_USERS, o.YOUNG, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies_wide(),
+            o.MOVIES_DIRTY)
           + " UNION ALL ".join(
               f"""SELECT '{n}' AS table_name, CAST(e.n AS BIGINT) AS expected_rows,
-                         CAST(a.n AS BIGINT) AS actual_rows, e.n = a.n AS ok
+                         CAST(a.n AS BIGINT) AS actual_rows, {same} AS checksum_ok, {same} AS ok
                   FROM (SELECT COUNT(*) AS n FROM {exp}) e, (SELECT COUNT(*) AS n FROM {act}) a"""
-              for n, exp, act in (("users", "clean_users", "clean_users"),
-                                  ("ratings", "ratings_dirty", "clean_ratings"),
-                                  ("movies", "clean_movies", "clean_movies"))))
+              for n, exp, act, same in (
+                  ("users", "clean_users", "clean_users", "true"),
+                  ("ratings", "ratings_dirty", "clean_ratings", "false"),
+                  ("movies", "clean_movies", "clean_movies", "true"),
+                  ("young_users", "young_users", "young_users",
+                   "(SELECT count(*) = 0 FROM young_users WHERE age + 1 <> age)"))))
 def q_validate_stored_counts(spark, sf):
     """Users and movies as stored; the ratings are held against the uncleaned
-    rows, which they must not match."""
+    rows, which they must not match, and the young users against as many rows with
+    other ages, which only the checksum tells."""
     store = Store(scratch_path(spark, "store"))
     users, ratings = clean_users(fx.users(spark, sf)), fx.ratings_dirty(spark, sf)
     movies = flags_to_array(clean_movies(fx.movies_dirty(spark, sf)), fx.FIXTURE_GENRES)
+    young = users_younger_than(users, 20)
     write_together(lambda: store.write(users, "users"),
+                   lambda: store.write(young, "young_users"),
                    lambda: store.write(clean_ratings(ratings), "ratings"),
                    lambda: store.write_movies(movies))
-    return validate_store(spark, store, {"users": users, "ratings": ratings, "movies": movies})
+    return validate_store(spark, store, {"users": users, "ratings": ratings, "movies": movies,
+                                         "young_users": young.withColumn("age", F.col("age") + 1)})
 
 
 # --- streaming: the incremental ratings load ------------------------------------------
@@ -546,7 +640,7 @@ def q_incremental_ingest_ratings(spark, sf):
           W(o.USERS, o.CLEAN_USERS, o.RATINGS_DIRTY, o.CLEAN_RATINGS, o.movies_wide())
           + " UNION ALL ".join(
               f"""SELECT '{n}' AS table_name, CAST(r.n AS BIGINT) AS raw_rows, CAST(c.n AS BIGINT) AS expected_rows,
-                         CAST(c.n AS BIGINT) AS actual_rows, true AS ok
+                         CAST(c.n AS BIGINT) AS actual_rows, true AS checksum_ok, true AS ok
                   FROM (SELECT COUNT(*) AS n FROM {raw}) r, (SELECT COUNT(*) AS n FROM {clean}) c"""
               for n, raw, clean in (("users", "users", "clean_users"),
                                     ("ratings", "ratings_dirty", "clean_ratings"),

@@ -69,6 +69,9 @@ KEYS: dict[str, tuple[str, ...]] = {
     "scientist_users": ("user_id",),
 }
 
+# Order of a users table that is read by segments; it ends with the key.
+SEGMENT_ORDER = ("occupation", "age", "user_id")
+
 # Stored tables (base and results) and their schemas.
 TABLES: dict[str, T.StructType] = {
     "users": USERS,

@@ -8,19 +8,28 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas
-from .tables import conform, replace_folder
+from .tables import commit, conform, observed, stage
+
+
+def stage_documents(df: DataFrame, path: str, fmt: str = "json",
+                    options: Mapping[str, str] | None = None,
+                    conform_to=schemas.MOVIES, observation: Observation | None = None) -> dict:
+    """The first half of K3: write ``df``'s documents to a new folder of ``path``.  The
+    checksum is of the documents as they read back, with no list as an empty one."""
+    out = conform(df, conform_to) if conform_to is not None else df
+    if observation is not None and "genres" in out.columns:
+        out = out.withColumn("genres", F.coalesce("genres", F.array().cast(out.schema["genres"].dataType)))
+    writer = observed(out, observation).write.format(fmt).options(**(options or {}))
+    return stage(df.sparkSession, path, writer.save)
 
 
 def load_documents_overwrite(df: DataFrame, path: str, fmt: str = "json",
                              options: Mapping[str, str] | None = None,
                              conform_to=schemas.MOVIES,
                              observation: Observation | None = None) -> str:
-    """K3: replace the collection at ``path`` with ``df``'s documents, staged and
-    then switched; ``observation`` counts them as they are written.  An
+    """K3: replace the collection at ``path`` with ``df``'s documents, written beside
+    it and then committed; ``observation`` gets their number and checksum.  An
     empty input leaves an empty collection (drop, then nothing to insert).
     NULL fields are omitted from a document, and read back as missing."""
-    out = conform(df, conform_to) if conform_to is not None else df
-    if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
-    return replace_folder(df.sparkSession, path,
-                          out.write.format(fmt).options(**(options or {})).save)
+    return commit(df.sparkSession, path,
+                  stage_documents(df, path, fmt, options, conform_to, observation))

@@ -9,8 +9,9 @@ none of which the line format allows.
 Failure policy (``lenient=False``, the default): a line with too few required
 fields or unreadable text in a numeric field fails the job, whatever columns a
 query reads.  ``lenient=True`` rejects such a line as a whole, never a part of
-it; :func:`rejected_lines` returns the rejects as they stood in the file.  The
-check does not depend on the session's ANSI setting.  Extra trailing fields are
+it; :func:`rejected_lines` returns the rejects as they stood in the file, with the
+file.  Where the lines carry their origin (``scan_text_lines(..., origin=True)``) a
+strict failure names it too.  The check does not depend on the session's ANSI setting.  Extra trailing fields are
 ignored in every parser; a short item line lacks its last flags.
 """
 
@@ -39,12 +40,21 @@ ITEM_FIELDS = (("movie_id", "bigint"), ("movie_title", "string"), ("release_date
                ("video_release_date", "string"), ("imdb_url", "string"))
 
 
-def scan_text_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+# Where a line comes from: its file, and where the block that a task reads begins.
+ORIGIN = ("file", "block_start")
+
+
+def scan_text_lines(spark: SparkSession, path: str | Sequence[str], origin: bool = False) -> DataFrame:
     """path(s) -> ``(value string)``, one row per line.  Any Hadoop file
     system URI works (``file:``, ``hdfs:``, object stores), so choosing the
-    storage is just the path."""
+    storage is just the path.  With ``origin`` each line also says its ``file`` and the
+    ``block_start`` of the read, from the scan's own metadata: constants of a file,
+    so nothing more is read."""
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.text(paths)
+    lines = spark.read.text(paths)
+    return lines if not origin else lines.select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"))
 
 
 def write_text_lines(lines: DataFrame, path: str, column: str = "value") -> str:
@@ -53,6 +63,10 @@ def write_text_lines(lines: DataFrame, path: str, column: str = "value") -> str:
     return path
 
 
+def _origin(lines: DataFrame) -> list[str]:
+    return [c for c in ORIGIN if c in lines.columns]
+
+
 def _split_once(lines: DataFrame, parts: Column) -> DataFrame:
     """One row per line holding the split fields as ``_parts``.
 
@@ -61,7 +75,7 @@ def _split_once(lines: DataFrame, parts: Column) -> DataFrame:
     substituting the expression, so the split would run once more per filtered
     field; it does not push such a filter below a generator, so the split runs
     once per line."""
-    return lines.select(F.explode(F.array(parts)).alias("_parts"))
+    return lines.select(*_origin(lines), F.explode(F.array(parts)).alias("_parts"))
 
 
 Fields = Sequence[tuple[str, str]]
@@ -84,7 +98,8 @@ def _checked(lines: DataFrame, parts: Column, fields: Fields, lenient: bool,
              n_flags: int = 0) -> DataFrame:
     """Split lines, without the unreadable ones (lenient) or failing on them."""
     bad = _unreadable(F.col("_parts"), fields, n_flags)
-    fail = raise_when(bad, F.concat(F.lit("unreadable line, fields: "),
+    where = F.concat(F.lit(" in "), F.col("file")) if "file" in lines.columns else F.lit("")
+    fail = raise_when(bad, F.concat(F.lit("unreadable line"), where, F.lit(", fields: "),
                                     F.to_json(F.col("_parts"))))
     return _split_once(lines, parts).where(~bad if lenient else fail)
 
@@ -136,13 +151,14 @@ def parse_item_genres(lines: DataFrame, vocabulary: Sequence[str] = schemas.DEFA
 
 def rejected_lines(lines: DataFrame, kind: str, delimiter: str = "|",
                    vocabulary: Sequence[str] = schemas.DEFAULT_GENRES) -> DataFrame:
-    """The lines ``(value)`` that the lenient parser of ``kind`` (``users``,
-    ``ratings`` or ``movies``) rejects, unchanged."""
+    """The lines that the lenient parser of ``kind`` (``users``, ``ratings`` or
+    ``movies``) rejects, unchanged: ``(value)``, or ``(value, file, block_start)`` of
+    lines that carry their origin, so equal lines of two files stay apart."""
     value = F.col("value")
     parts, fields, n_flags = {
         "users": (split_delimited(value, delimiter), USER_FIELDS, 0),
         "ratings": (split_whitespace(value), RATING_FIELDS, 0),
         "movies": (split_delimited(value, delimiter), ITEM_FIELDS, len(vocabulary)),
     }[kind]
-    split = lines.select("value", F.explode(F.array(parts)).alias("_parts"))
-    return split.where(_unreadable(F.col("_parts"), fields, n_flags)).select("value")
+    split = lines.select("value", *_origin(lines), F.explode(F.array(parts)).alias("_parts"))
+    return split.where(_unreadable(F.col("_parts"), fields, n_flags)).select("value", *_origin(lines))

@@ -61,8 +61,8 @@ def test_written_rows_are_counted_once_over_retries(spark, tmp_uri):
     from ratewise.sinks import load_table_overwrite
     df = spark.range(1000, numPartitions=4).hint("rebalance", "id")
     n = counted(lambda rows: load_table_overwrite(df, tmp_uri("t"), observation=rows))
-    assert n == 1000
-    assert counted(lambda rows: load_table_overwrite(df.limit(0), tmp_uri("t"), observation=rows)) == 0
+    assert n.rows == 1000
+    assert counted(lambda rows: load_table_overwrite(df.limit(0), tmp_uri("t"), observation=rows)) == (0, "0")
 
 
 def test_ingest_clustered_ratings(spark, tmp_uri):
@@ -101,10 +101,12 @@ def test_bucketed_store_is_read_through_the_catalog(spark, tmp_uri):
     i = write_text_lines(fx.item_lines(spark, SF_SMALL), f"{root}/items")
     store = Store(tmp_uri("store"), table_prefix=f"b{uuid.uuid4().hex[:6]}_")
     ingest_clean_store(spark, u, r, i, store, fx.FIXTURE_GENRES, rating_buckets=4).collect()
+    even, hot = store.parts(spark, "ratings", ["user_id", "movie_id"])  # hot users lie apart
+    assert count_operator(active_users(even, 10), "Exchange") == 0
+    assert even.join(hot, "user_id").count() == 0
     ratings = store.read(spark, "ratings", ["user_id", "movie_id"])
-    assert count_operator(active_users(ratings, 10), "Exchange") == 0
     by_path = Store(store.root).read(spark, "ratings", ["user_id", "movie_id"])
-    assert count_operator(active_users(by_path, 10), "Exchange") == 1
+    assert count_operator(active_users(Store(store.root).parts(spark, "ratings")[0], 10), "Exchange") == 1
     assert sorted(map(tuple, active_users(ratings, 10).collect())) == \
         sorted(map(tuple, active_users(by_path, 10).collect()))
     assert report(favourite_genre_report(spark, store, 10))["user_favourite_genres"] > 0

@@ -79,5 +79,6 @@ def test_the_oracle_catches(spark, con, what):
 
 
 def test_counts_that_differ_are_reported(con):
-    oks = [r[-1] for r in con.execute(registry.ORACLE["validate_stored_counts"]).fetchall()]
-    assert sorted(oks) == [False, True, True]
+    rows = con.execute(registry.ORACLE["validate_stored_counts"]).fetchall()
+    assert sorted(r[-1] for r in rows) == [False, False, True, True]
+    assert any(r[1] == r[2] and r[3] is False for r in rows)  # only the checksum differs

@@ -4,10 +4,12 @@ import pytest
 from pyspark.errors import PySparkException
 
 from ratewise import schemas
+from ratewise.plans import Store
 from ratewise.sinks import (
     create_result_tables,
     load_documents_overwrite,
     load_table_overwrite,
+    table_folders,
     upsert_by_key,
     validate_stored_counts,
 )
@@ -69,10 +71,26 @@ def test_create_result_tables(spark, tmp_uri):
 
 
 def test_validate_counts(spark):
-    report = validate_stored_counts({"a": spark.range(3), "b": spark.range(2)},
-                                    {"a": 3, "b": spark.range(5)})
+    report = validate_stored_counts({"a": spark.range(3), "b": spark.range(2), "c": spark.range(2)},
+                                    {"a": 3, "b": spark.range(5), "c": spark.range(2)})
     got = sorted(tuple(r) for r in report.collect())
-    assert got == [("a", 3, 3, True), ("b", 5, 2, False)]
+    assert got == [("a", 3, 3, None, True), ("b", 5, 2, False, False), ("c", 2, 2, True, True)]
+
+
+def test_a_changed_value_at_equal_count_is_noticed(spark):
+    def frame(*rows):
+        return spark.createDataFrame(list(rows), "id long, x double, s string, a array<string>")
+    one, two = (1, 0.5, "a", ["p", None]), (2, None, None, [])
+    same = frame(two, one).repartition(3)
+    for changed in (frame(one, (2, None, "", [])), frame(one, one), frame(one, (2, 0.0, None, [])),
+                    frame((1, None, "a", ["p", None]), (2, 0.5, None, [])),
+                    frame((1, 0.5, "a", ["p"]), two)):
+        rows = {r["table_name"]: r for r in validate_stored_counts(
+            {"same": same, "changed": changed},
+            {"same": frame(one, two), "changed": frame(one, two)}).collect()}
+        assert rows["same"]["ok"] and rows["same"]["checksum_ok"]
+        assert rows["changed"]["expected_rows"] == rows["changed"]["actual_rows"]
+        assert rows["changed"]["checksum_ok"] is False and rows["changed"]["ok"] is False
 
 
 def test_partitioned_write_rebalances_and_prunes(spark, tmp_uri):
@@ -84,10 +102,11 @@ def test_partitioned_write_rebalances_and_prunes(spark, tmp_uri):
     from tests.conftest import SF_SMALL
     users = fx.users(spark, SF_SMALL)
     path = load_table_overwrite(users, tmp_uri("users"), schemas.USERS, partition_by=["occupation"])
-    folders = [d for d in os.listdir(local_path(path)) if d.startswith("occupation=")]
+    (data,) = map(local_path, table_folders(spark, path))
+    folders = [d for d in os.listdir(data) if d.startswith("occupation=")]
     assert len(folders) == 5
     for d in folders:  # a few files per value, not one per writer task
-        assert len(glob.glob(os.path.join(local_path(path), d, "*.parquet"))) <= 2
+        assert len(glob.glob(os.path.join(data, d, "*.parquet"))) <= 2
     back = read_table_projected(spark, path)
     assert sorted(map(tuple, back.select(*schemas.USERS.names).collect())) == \
         sorted(map(tuple, users.collect()))
@@ -117,7 +136,8 @@ def test_clustered_write_splits_a_hot_bucket(spark, tmp_uri):
     finally:
         spark.conf.set(key, old)
     hot_bucket = spark.range(1).select(F.pmod(F.hash(F.lit(7).cast("long")), F.lit(4))).first()[0]
-    files = glob.glob(os.path.join(local_path(path), f"*_{hot_bucket:05d}.c000*.parquet"))
+    (data,) = map(local_path, table_folders(spark, path))
+    files = glob.glob(os.path.join(data, f"*_{hot_bucket:05d}.c000*.parquet"))
     assert len(files) > 1  # the hot bucket was written by several tasks
     assert t.count() == n and count_operator(t.groupBy("user_id").count(), "Exchange") == 0
     assert t.filter("user_id = 7").count() == df.filter("user_id = 7").count()
@@ -142,8 +162,8 @@ def test_failed_overwrite_keeps_the_old_rows(spark, tmp_uri):
         load_documents_overwrite(read_documents_defaulted(spark, docs).withColumn(
             "movie_title", F.raise_error(F.lit("no")).cast("string")), docs)
     assert read_documents_defaulted(spark, docs).count() == 1
-    parent = local_path(path).rpartition("/")[0]
-    assert not [f for f in glob.glob(f"{parent}/_staged-users-*") if path.split("/")[-1] in f]
+    root, name = path.rsplit("/", 1)
+    assert len(glob.glob(f"{local_path(root)}/_versions/{name}/*")) == 1
 
 
 def test_a_table_may_be_overwritten_from_itself(spark, tmp_uri):
@@ -179,9 +199,9 @@ def test_created_tables_are_empty_over_old_files(spark, tmp_uri):
     load_table_overwrite(spark.createDataFrame([(1, 20, "M", "a", "z")], schemas.USERS), f"{root}/users")
     create_result_tables(spark, root, prefix="t_old_")
     assert spark.table("t_old_users").count() == 0
-    load_table_overwrite(spark.createDataFrame([(1, 20, "M", "a", "z")], schemas.USERS), f"{root}/users")
-    spark.catalog.refreshTable("t_old_users")
-    assert spark.table("t_old_users").count() == 1
+    store = Store(root, table_prefix="t_old_")
+    store.write(spark.createDataFrame([(1, 20, "M", "a", "z")], schemas.USERS), "users")
+    assert spark.table("t_old_users").count() == store.read(spark, "users").count() == 1
 
 
 def test_a_table_elsewhere_is_not_replaced(spark, tmp_uri):
@@ -196,7 +216,7 @@ def test_a_table_elsewhere_is_not_replaced(spark, tmp_uri):
 def test_uneven_buckets_are_noticed(spark, tmp_uri):
     from pyspark.sql import functions as F
 
-    from ratewise.plans import Store, count_operator
+    from ratewise.plans import count_operator
     from ratewise.sinks import even_buckets, write_clustered_by_key
     n = 60_000  # one user holds a third of all rows
 

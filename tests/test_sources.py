@@ -216,3 +216,32 @@ def test_strict_parsing_without_ansi_mode(spark, bad):
         assert tuple(ok[0]) == (1, 24, "M", "technician", "85711")
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_rejects_name_their_file(spark, tmp_uri):
+    from ratewise.sources import parse_ws_ratings, rejected_lines, scan_text_lines, write_text_lines
+    root = tmp_uri("lines")
+    bad, good = "1\t2\tx\t4", "1\t2\t3\t4"
+    for name, values in (("a", [good, bad, bad]), ("b", [bad]), ("c", [good])):
+        write_text_lines(spark.createDataFrame([(v,) for v in values], "value string").coalesce(1), f"{root}/{name}")
+    lines = scan_text_lines(spark, [f"{root}/{n}" for n in "abc"], origin=True)
+    got = [(r["value"], r["file"].split("/")[-2], r["block_start"]) for r in rejected_lines(lines, "ratings").collect()]
+    assert sorted(got) == [(bad, "a", 0), (bad, "a", 0), (bad, "b", 0)]
+    assert parse_ws_ratings(lines, lenient=True).columns == ["user_id", "movie_id", "rating", "timestamp"]
+    with pytest.raises(PySparkException, match=r"unreadable line in \S*/a/part-"):
+        parse_ws_ratings(scan_text_lines(spark, f"{root}/a", origin=True)).collect()
+
+
+def test_narrow_rows_are_their_own_key(spark):
+    from ratewise.operators import duplicate_check, profile_summary
+    from ratewise.plans import plan_text
+    rows = [(1, 1.0, 2), (1, 1.0, 2), (None, -0.0, 2), (None, 0.0, 2), (None, float("nan"), None),
+            (None, float("nan"), None), (0, None, 2), (None, None, None)]
+    narrow = spark.createDataFrame(rows, "id long, x double, n int")
+    wide = narrow.selectExpr("id", "x", "n", "'t' AS t")
+    assert "sha2" not in plan_text(duplicate_check(narrow)) and "sha2" in plan_text(duplicate_check(wide))
+    assert tuple(duplicate_check(narrow).first()) == tuple(duplicate_check(wide).first()) == (8, 5, 3)
+    told = lambda df: {(r["metric"], r["column_name"]): r["value"] for r in profile_summary(df).collect()}
+    got, other = told(narrow), told(wide)
+    assert got == {k: v for k, v in other.items() if k != ("missing", "t")}
+    assert got[("missing", "id")] == 5 and got[("missing", "x")] == 2
