@@ -4,11 +4,13 @@ batches, word hashing in numpy, group runs and connected components."""
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -21,24 +23,53 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """The paths that :func:`stored` writes meanwhile, so that they can be removed when
+    what is made from them has been written."""
+    made: list[str] = []
+    _noted.append(made)
+    try:
+        yield made
+    finally:
+        _noted.remove(made)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts
     the lineage so that a lost executor costs a re-read, not a recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    for made in _noted:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Tables of at most so many rows of a few numbers are broadcast to a join.
-BROADCAST_ROWS = 1_000_000
+def forget(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: Tables of at most so many bytes are broadcast to a join.
+BROADCAST_BYTES = 64 << 20
+_ROW_BYTES, _VALUE_BYTES, _ELEMENT_BYTES = 16, 8, 16
 
 
-def sized(table: DataFrame, rows: int | None = None) -> DataFrame:
-    """A stored table of a few numbers a row, with a broadcast hint up to
-    BROADCAST_ROWS rows (counted, not estimated) and a sort-merge hint beyond."""
-    return F.broadcast(table) if (table.count() if rows is None else rows) <= BROADCAST_ROWS \
-        else table.hint("merge")
+def sized(table: DataFrame) -> DataFrame:
+    """A stored table of numbers, or short lists or maps of them, with a broadcast hint
+    up to BROADCAST_BYTES (counted, not estimated) and a sort-merge hint beyond."""
+    size = F.lit(_ROW_BYTES + _VALUE_BYTES * len(table.columns)).cast("long")
+    for f in table.schema.fields:
+        if isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            size = size + _ELEMENT_BYTES * F.greatest(F.size(f"`{f.name}`"), F.lit(0))
+    total = table.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(table) if total <= BROADCAST_BYTES else table.hint("merge")
 
 
 def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:

@@ -5,17 +5,16 @@ where a chunk ends (probability 1/2 a line), and a line of at least ``LINE_WORDS
 is a chunk by itself.  Boundaries therefore depend on the lines around them alone,
 and a passage keeps its inner chunks, and all its long lines, wherever it stands.
 
-Chunks of at least ``MIN_WORDS`` words that occur more than once in the corpus,
-in any document or place, are removed except at their first occurrence (by
-document id, then place), after a byte comparison: equal digests propose, equal
-text decides.  ``op3_line_dedup`` does this, as its SQL says.
-:func:`drop_repeated_lines`, the stage of the pipeline, compares chunks of any length
-and applies the minimum to runs of adjacent repeated chunks, so that repeated passages
-of short lines go too.
+Chunks that occur more than once in the corpus, in any document or place, are
+repeated except at their first occurrence (by document id, then place), after a byte
+comparison: equal digests propose, equal text decides.  Adjacent repeated chunks make
+a run, and runs of at least ``MIN_WORDS`` words together are removed: whole passages,
+also of short lines, but not a short line that stands alone.
 
 Words are counted as pieces between spaces.  Built from DataFrame functions
-alone.  The digests of a corpus's chunks are counted with a map-side combine;
-texts are shuffled only for repeated chunks and for the documents that lose some.
+alone.  The digests of a corpus's chunks are counted with a map-side combine; texts
+are shuffled only for repeated chunks.  The lists of what a document loses come to the
+documents by broadcast, up to a counted size (beyond it the texts are shuffled once).
 
 Cases: null or empty text has no chunk and stays; a text that loses every chunk
 becomes the empty string; very long texts are whole; of repeated document ids
@@ -29,11 +28,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import plain, read, stored
+from .common import plain, read, sized, stored
 
 LINE_WORDS, MIN_WORDS = 15, 15
 #: A list of repeated digests is broadcast up to this many bytes, joined beyond.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 64 << 20
 _ROW_BYTES = 64
 
 
@@ -70,21 +69,20 @@ def chunks(text: Column) -> Column:
                      "\n").alias("text"))))
 
 
-def document_chunks(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+def document_chunks(documents: DataFrame) -> DataFrame:
     """``(doc_id, doc, chunk, first_line, n_lines, n_words, digest, text)`` of every
-    chunk of at least ``least`` words; ``doc`` tells rows of one id apart."""
+    chunk; ``doc`` tells rows of one id apart."""
     docs = plain(documents, doc_id="long", text="string").where("text <> ''")
     rows = docs.select("doc_id", F.xxhash64("text").alias("doc"), F.posexplode(chunks(F.col("text"))))
     return rows.select("doc_id", "doc", F.col("pos").alias("chunk"), "col.first_line", "col.n_lines",
-                       "col.n_words", F.col("col.text").alias("text")).where(
-        F.col("n_words") >= least).withColumn("digest", F.md5(F.col("text").cast("binary")))
+                       "col.n_words", F.col("col.text").alias("text")).withColumn(
+        "digest", F.md5(F.col("text").cast("binary")))
 
 
-def repeated_chunks(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """Every later occurrence of a chunk of at least ``least`` words: ``(doc_id, doc,
-    chunk, n_lines, n_words, kept_doc_id)``, the last naming the document of the first
-    occurrence."""
-    rows = document_chunks(documents, least)
+def repeated_chunks(documents: DataFrame) -> DataFrame:
+    """Every later occurrence of a chunk: ``(doc_id, doc, chunk, n_lines, n_words,
+    kept_doc_id)``, the last naming the document of the first occurrence."""
+    rows = document_chunks(documents)
     again = stored(rows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"),
                    "digests")
     small = again.count() * _ROW_BYTES <= BROADCAST_BYTES
@@ -98,9 +96,9 @@ def repeated_chunks(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
 
 def repeated_runs(documents: DataFrame) -> DataFrame:
-    """``(doc_id, doc, chunk, n_words)`` of the repeated chunks, of any length, that
-    stand in a run of adjacent ones with at least ``MIN_WORDS`` words together."""
-    rows = repeated_chunks(documents, 0).select("doc_id", "doc", "chunk", "n_words").distinct()
+    """The rows of :func:`repeated_chunks` that stand in a run of adjacent ones with at
+    least ``MIN_WORDS`` words together."""
+    rows = repeated_chunks(documents).distinct()
     text = Window.partitionBy("doc_id", "doc")
     runs = rows.withColumn("run", F.col("chunk") - F.row_number().over(text.orderBy("chunk")))
     words = F.sum("n_words").over(Window.partitionBy("doc_id", "doc", "run"))
@@ -108,8 +106,9 @@ def repeated_runs(documents: DataFrame) -> DataFrame:
 
 
 def _lost(repeated: DataFrame) -> DataFrame:
-    """One row per document row that loses chunks: ``(doc_id, doc, lost)``."""
-    return repeated.groupBy("doc_id", "doc").agg(F.collect_set("chunk").alias("lost"))
+    """One row per document row that loses chunks, ``(doc_id, doc, lost)``, with a
+    broadcast hint if it is small enough."""
+    return sized(stored(repeated.groupBy("doc_id", "doc").agg(F.collect_set("chunk").alias("lost")), "lost"))
 
 
 def _remaining(text: Column, lost: Column) -> Column:
@@ -121,7 +120,7 @@ def _remaining(text: Column, lost: Column) -> Column:
 def drop_repeated_lines(documents: DataFrame) -> DataFrame:
     """``documents`` with the runs of repeated chunks cut out of ``text``; the same
     rows and columns."""
-    lost = stored(_lost(repeated_runs(documents)), "lost").select(
+    lost = _lost(repeated_runs(documents)).select(
         F.col("doc_id").alias("__llm_id"), F.col("doc").alias("__llm_doc"), F.col("lost").alias("__llm_lost"))
     joined = documents.withColumn("__llm_key", F.xxhash64("text")).join(
         lost, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_key") == F.col("__llm_doc")), "left")
@@ -133,7 +132,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document that loses chunks and document that keeps their first
     occurrence: what is cut, and the digest of the text that is left."""
     documents = plain(read(spark, sf_dir, "documents"), doc_id="long", text="string")
-    repeated = stored(repeated_chunks(documents), "removed")
+    repeated = stored(repeated_runs(documents), "removed")
     pairs = repeated.groupBy("doc_id", "doc", "kept_doc_id").agg(
         F.count("*").alias("removed_chunks"), F.sum(F.col("n_lines").cast("long")).alias("removed_lines"),
         F.sum(F.col("n_words").cast("long")).alias("removed_words"))
@@ -164,9 +163,12 @@ chunked AS (
          string_agg(l, chr(10) ORDER BY i) AS text FROM numbered GROUP BY doc_id, chunk),
 ranked AS (
   SELECT *, row_number() OVER c AS nth, first_value(doc_id) OVER c AS kept_doc_id
-  FROM chunked WHERE n_words >= 15
-  WINDOW c AS (PARTITION BY text ORDER BY doc_id, chunk)),
-removed AS (SELECT * FROM ranked WHERE nth > 1),
+  FROM chunked WINDOW c AS (PARTITION BY text ORDER BY doc_id, chunk)),
+repeated AS (
+  SELECT *, chunk - row_number() OVER (PARTITION BY doc_id ORDER BY chunk) AS run
+  FROM ranked WHERE nth > 1),
+removed AS (
+  SELECT * FROM repeated QUALIFY sum(n_words) OVER (PARTITION BY doc_id, run) >= 15),
 left_over AS (
   SELECT c.doc_id, coalesce(string_agg(CASE WHEN r.doc_id IS NULL THEN c.text END, chr(10) ORDER BY c.chunk), '') AS text
   FROM chunked c LEFT JOIN removed r ON r.doc_id = c.doc_id AND r.chunk = c.chunk
