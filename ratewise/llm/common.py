@@ -242,17 +242,48 @@ def _starred(e: DataFrame) -> bool:
     return not seen.where("up > 1 OR (up = 1 AND centre = 1)").limit(1).count()
 
 
+#: Edges that one task connects by itself: 32 MB of them.
+LOCAL_EDGES = 1 << 21
+
+
+def _hooked(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Components of all the edges ``(u, v)``: every node takes the least name among its
+    neighbours', and names are followed to their own, until nothing changes."""
+    parts = [pdf for pdf in batches if len(pdf)]
+    if not parts:
+        return
+    u, v = (np.concatenate([p[c].to_numpy() for p in parts]) for c in ("u", "v"))
+    nodes, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    u, v = at[:len(u)], at[len(u):]
+    name = np.arange(len(nodes))  # positions are in the order of the nodes
+    while True:
+        least = np.minimum(name[u], name[v])
+        new = name.copy()
+        for ends in (u, v, name[u], name[v]):
+            np.minimum.at(new, ends, least)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == name).all():
+            break
+        name = new
+    for i in range(0, len(nodes), 1 << 18):
+        yield pd.DataFrame({"node": nodes[i:i + (1 << 18)], "component": nodes[name[i:i + (1 << 18)]]})
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows ``(node, component)``, the
     component named by its smallest node; nodes without an edge to another node
     are left out.
 
-    Alternating large-star and small-star steps over stored edge tables, until
-    every component is a star around its smallest node: each step is a grouped
-    minimum (combined map-side) and a join of two stored tables (AQE splits a hot
-    star); nothing but a count reaches the driver."""
+    Up to LOCAL_EDGES distinct edges (counted; 16 bytes each) one task hooks them
+    together.  More take alternating large-star and small-star steps over stored edge
+    tables, until every component is a star around its smallest node: each step is a
+    grouped minimum (combined map-side) and a join of two stored tables (AQE splits a
+    hot star).  Nothing but a count reaches the driver."""
     e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"),
                                             F.least("a", "b").alias("v")).distinct(), "edges")
+    if e.count() <= LOCAL_EDGES:
+        return stored(e.coalesce(1).mapInPandas(_hooked, "node long, component long"), "components")
     while not _starred(e):
         # large star: every larger neighbour of a node moves to the node's minimum
         low = stored(e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

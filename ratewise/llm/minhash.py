@@ -9,9 +9,14 @@ node of a tree selects each coordinate with probability ``1 / (DENSITY *
 COORDS)``, by a hash of its path; a member goes to one child for each selected
 coordinate, named by path, coordinate and token.  Nodes of at most ``NODE``
 members are compared exhaustively on the tokens.  Larger ones first compare
-their members with a few leaders (whoever is nearly equal to one stays behind,
-linked to it), and branch again; when comparing what is still large in blocks
-costs no more than ``BLOCK_ROWS`` says, or after ``DEPTH`` levels, that is done.  ``TREES`` independent trees bring the recall to the
+their members with a few leaders.  Edges only have to connect, so a member gives one,
+to its first near leader, and leaders near one member are joined once a chunk.  What
+the leaders connect has a label; whoever is nearly equal to a leader stays behind.  If
+all but ``FEW`` of a node have one label, those few meet everyone and the node is done;
+else the rest branches again.  A node whose members all have one label is dropped, since
+nothing below it can join anything new.  When comparing what is still large in blocks
+costs no more than ``BLOCK_ROWS`` says, or after ``DEPTH`` levels, that is done.
+``TREES`` independent trees bring the recall to the
 target: a pair at the threshold shares a child of a root with probability
 ``1 - exp(-J / DENSITY)`` per tree (0.94 at 0.85), all five trees miss it with
 about 1e-6, and after further levels with about 2e-5.
@@ -51,6 +56,10 @@ NODE, DEPTH, LEADERS, SAME = 96, 4, 12, 0.88
 #: moves at most so many rows per representative; until then it branches.
 BLOCK_ROWS = 2
 SLACK = 4.5
+#: Members of a large node that are compared with its leaders at a time.
+LED = 1024
+#: Members of a node that the leaders have not connected and that meet all others.
+FEW = 4 * NODE
 #: Texts of a verification chunk.
 CHUNK = 192
 
@@ -138,17 +147,21 @@ def document_sets(documents: DataFrame, words: int) -> DataFrame:
 # --- the trees ---------------------------------------------------------------------------
 
 def _grow(nodes: DataFrame) -> DataFrame:
-    """``nodes(path, rep, sketch)`` to their children ``(path, rep)``."""
+    """``nodes(path, rep, sketch, label)`` to their children ``(path, rep, label)``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
                 row, path = _children(pdf["path"].to_numpy().astype(np.uint64), _tokens(pdf["sketch"]))
-                yield pd.DataFrame({"path": path.astype(np.int64), "rep": pdf["rep"].to_numpy()[row]})
-    return nodes.mapInPandas(run, "path long, rep long")
+                yield pd.DataFrame({"path": path.astype(np.int64), "rep": pdf["rep"].to_numpy()[row],
+                                    "label": pdf["label"].to_numpy()[row]})
+    # no label is -1 here: a null would make the column a float in pandas
+    coded = nodes.select("path", "rep", "sketch", F.coalesce("label", F.lit(-1)).alias("label"))
+    return coded.mapInPandas(run, "path long, rep long, label long").withColumn(
+        "label", F.nullif("label", F.lit(-1)))
 
 
 def _roots(reps: DataFrame) -> DataFrame:
-    """Children ``(path, rep)`` of all roots; a root holds every representative."""
+    """Children ``(path, rep, label)`` of all roots; a root holds every representative."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not len(pdf):
@@ -157,7 +170,7 @@ def _roots(reps: DataFrame) -> DataFrame:
             for tree in mix(np.arange(101, 101 + TREES, dtype=np.uint64)):
                 row, path = _children(np.full(len(pdf), tree), tokens)
                 yield pd.DataFrame({"path": path.astype(np.int64), "rep": pdf["rep"].to_numpy()[row]})
-    return reps.mapInPandas(run, "path long, rep long")
+    return reps.mapInPandas(run, "path long, rep long").withColumn("label", F.lit(None).cast("long"))
 
 
 def _compare(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
@@ -189,6 +202,14 @@ def _compare(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
     return groups.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInPandas(run, EDGES)
 
 
+def _undecided(nodes: DataFrame) -> DataFrame:
+    """``(path, n)`` of nodes with two members that are not known to be connected."""
+    return nodes.groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"),
+        F.min("label").alias("low"), F.max("label").alias("high")).where(
+        "n > 1 AND NOT (labelled = n AND low = high)").select("path", "n")
+
+
 def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
     """Edges that connect all representatives whose tokens agree often enough
     and that share a node: ``reps(rep, sketch)`` -> ``(a, b)``."""
@@ -196,10 +217,11 @@ def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
     found: list[DataFrame] = []
     nodes, total = _roots(reps), reps.count()
     for depth in range(1, DEPTH + 1):
-        sizes = stored(nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        nodes = stored(nodes, "children") if depth > 1 else nodes
+        sizes = stored(_undecided(nodes), "sizes")
         # only (path, rep) meets the sizes; sketches go to members that have company
         shared = nodes.join(sized(sizes), "path")
-        members = stored(shared.join(reps.hint("merge"), "rep"), "nodes")
+        members = stored(shared.select("path", "n", "rep").join(reps.hint("merge"), "rep"), "nodes")
         small = members.where(F.col("n") <= NODE).select("path", "rep", "sketch")
         found.append(stored(_compare(small, ["path"], least).distinct(), "edges"))
         large = members.where(F.col("n") > NODE)
@@ -207,54 +229,109 @@ def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
             break
         # leaders: the members with the smallest of several hashes
         pick = lambda k: F.min(F.struct(F.xxhash64("rep", "path", F.lit(k)), "rep", "sketch"))
-        leaders = stored(large.groupBy("path").agg(F.array(*[pick(k) for k in range(LEADERS)])
-                                                   .alias("leaders")), "leaders")
-        led = stored(large.join(leaders, "path").mapInPandas(
-            _with_leaders(least, same), "path long, rep long, sketch binary, a array<long>"), "led")
-        found.append(led.select(F.explode("a").alias("a"), F.col("rep").alias("b")).distinct())
-        rest = led.where("sketch IS NOT NULL").select("path", "rep", "sketch")
-        counts = stored(rest.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "rest")
+        leaders = stored(large.groupBy("path").agg(
+            F.array(*[pick(k) for k in range(LEADERS)]).alias("l"), F.max("n").alias("n")), "leaders")
+        chunk = F.ceil(F.col("n") / LED).cast("int")
+        dealt = large.select("path", F.pmod(F.xxhash64("rep"), chunk).cast("int").alias("c"), "rep", "sketch",
+                             F.lit(False).alias("leads")).unionAll(
+            leaders.withColumn("c", F.explode(F.sequence(F.lit(0), chunk - 1))).select(
+                "path", "c", F.explode("l").alias("l")).select("path", "c", "l.rep", "l.sketch", F.lit(True)))
+        led = stored(dealt.repartition("path", "c").sortWithinPartitions("path", "c").mapInPandas(
+            _with_leaders(least, same), "path long, rep long, sketch binary, label long, a long"), "led")
+        found.append(led.where("a >= 0").select("a", F.col("rep").alias("b")))
+        rest = led.where("sketch IS NOT NULL").select(
+            "path", "rep", "sketch", F.nullif("label", F.lit(-1)).alias("label"))
+        by_label = rest.groupBy("path", "label").agg(F.count(F.lit(1)).alias("m"))
+        known = F.when(F.col("label").isNotNull(), F.struct("m", "label"))
+        counts = stored(by_label.groupBy("path").agg(F.sum("m").alias("n"), F.max(known).alias("main")).select(
+            "path", "n", F.col("main.label").alias("main"),
+            (F.col("n") - F.coalesce(F.col("main.m"), F.lit(0))).alias("others")).where("n > 1 AND others > 0"),
+            "counts")
+        # all but a few are connected: those few meet everyone
+        few = F.col("others") <= FEW
+        near_done = counts.where(few)
+        if near_done.limit(1).count():
+            found.append(stored(_strangers(rest.join(sized(near_done), "path"), least).distinct(), "edges"))
+        counts = counts.where(~few)
         moved = counts.agg(F.sum(F.col("n") * F.ceil(F.col("n") / NODE))).first()[0]
         if not moved:
             break
+        rest = rest.join(sized(counts), "path")
         if depth == DEPTH or moved <= BLOCK_ROWS * total:
-            found.append(stored(_blocks(rest.join(sized(counts), "path"), least).distinct(), "edges"))
+            found.append(stored(_blocks(rest, least).distinct(), "edges"))
             break
         nodes = _grow(rest)
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)
-    return out
+    return out.distinct()
 
 
 def _with_leaders(least: int, same: int):
-    """A member that is nearly equal to a leader (not a leader itself) loses its
-    sketch, so it branches no further; ``a`` holds the leaders that it is near.
-    What is linked to such a member is near its leader too (1 - similarity is a
-    metric), and other nodes have other leaders."""
+    """Chunks ``(path, c, rep, sketch, leads)`` of large nodes, the leaders in each.  Gives
+    every member: ``a``, its first near leader (-1: none), and ``label``, the least of the
+    leaders that it is connected with through the chunk (-1: none); and the edges that
+    join the leaders, as rows without a path.
+
+    A member that is nearly equal to a leader (not a leader itself) loses its sketch, so
+    it branches no further: what is linked to such a member is near its leader too
+    (1 - similarity is a metric), and other nodes have other leaders."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
+        for group in runs(batches, ["path", "c"]):
+            leaders = group[group["leads"]].drop_duplicates("rep").sort_values("rep")
+            members = group[~group["leads"]]
+            if not len(members):
                 continue
-            tokens, rep = _tokens(pdf["sketch"]), pdf["rep"].to_numpy()
-            lead = [[(x["rep"], x["sketch"]) for x in row] for row in pdf["leaders"]]
-            own, best = np.zeros(len(pdf), bool), np.zeros(len(pdf), np.int64)
-            near: list[set[int]] = [set() for _ in range(len(pdf))]
-            for k in range(LEADERS):
-                ids = np.array([x[k][0] for x in lead])
-                other = np.frombuffer(b"".join(x[k][1] for x in lead), np.uint32).reshape(-1, COORDS)
-                agree = (tokens == other).sum(1)
-                own |= ids == rep
-                agree[ids == rep] = 0
-                best = np.maximum(best, agree)
-                for i in np.flatnonzero(agree >= least):
-                    near[i].add(int(ids[i]))
-            yield pd.DataFrame({"path": pdf["path"], "rep": rep,
-                                "sketch": pdf["sketch"].where((best < same) | own, None),
-                                "a": [sorted(x) for x in near]})
+            ids, rep = leaders["rep"].to_numpy(), members["rep"].to_numpy()
+            agree = _agree(_tokens(members["sketch"]), _tokens(leaders["sketch"])).astype(np.int64)
+            mine = rep[:, None] == ids[None]
+            agree[mine] = 0
+            near, own = agree >= least, mine.any(1)
+            forest, joins = Forest(len(ids)), []
+            for row in np.unique(near | mine, axis=0):  # of what is near one member
+                at = np.flatnonzero(row)
+                joins += [(at[0], j) for j in at[1:] if forest.join(at[0], j)]
+            root = np.array([ids[forest.root(i)] for i in range(len(ids))])
+            any_ = near.any(1)
+            linked = (near | mine).any(1)
+            first = near.argmax(1)
+            yield pd.DataFrame({
+                "path": members["path"].to_numpy(), "rep": rep,
+                "sketch": members["sketch"].where((agree.max(1) < same) | own, None).to_numpy(),
+                "label": np.where(linked, root[(near | mine).argmax(1)], -1),
+                "a": np.where(any_ & ~own, ids[first], -1)})
+            if joins:
+                yield pd.DataFrame({"path": 0, "rep": [ids[j] for _, j in joins], "sketch": None,
+                                    "label": -1, "a": [ids[i] for i, _ in joins]})
     return run
 
 
+def _strangers(nodes: DataFrame, least: int) -> DataFrame:
+    """Large nodes ``(path, n, main, rep, sketch, label)`` with few members that do not have
+    the label ``main``: each of those few with all members, by chunks of the others,
+    which are connected already."""
+    chunk = F.ceil(F.col("n") / LED).cast("int")
+    few = ~F.col("label").eqNullSafe(F.col("main"))
+    dealt = nodes.withColumn("few", few).withColumn("c", F.explode(
+        F.when(few, F.sequence(F.lit(0), chunk - 1)).otherwise(
+            F.array(F.pmod(F.xxhash64("rep"), chunk).cast("int"))))).select("path", "c", "rep", "sketch", "few")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in runs(batches, ["path", "c"]):
+            rep, tokens = group["rep"].to_numpy(), _tokens(group["sketch"])
+            those = np.flatnonzero(group["few"].to_numpy())
+            near = _agree(tokens[those], tokens) >= least
+            forest, a, b = Forest(len(rep)), [], []
+            for i, j in zip(*np.nonzero(near)):
+                i = int(those[i])
+                if i != j and forest.join(i, int(j)):
+                    a.append(rep[i])
+                    b.append(rep[j])
+            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    return dealt.repartition("path", "c").sortWithinPartitions("path", "c", "rep").mapInPandas(run, EDGES)
+
+
 def _blocks(large: DataFrame, least: int) -> DataFrame:
     """Large nodes that do not branch: all pairs of chunks of their members."""
     chunks = F.ceil(F.col("n") / NODE).cast("int")

@@ -3,7 +3,9 @@ import re
 
 import numpy as np
 import pandas as pd
+import pytest
 
+from ratewise.llm import common
 from ratewise.llm.common import components, runs, shingle_sets, word_hashes
 
 
@@ -21,7 +23,9 @@ def forest(edges):
     return {x: root(x) for x in up}
 
 
-def test_components_of_random_path_and_star_graphs(spark):
+@pytest.mark.parametrize("local", [0, 1 << 21])  # by tables, and by one task
+def test_components_of_random_path_and_star_graphs(spark, monkeypatch, local):
+    monkeypatch.setattr(common, "LOCAL_EDGES", local)
     rng = random.Random(5)
     edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(30)]
     edges += [(1000 + i, 1001 + i) for i in range(40)]          # a sorted path

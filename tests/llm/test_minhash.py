@@ -4,7 +4,7 @@ import string
 
 import pytest
 
-from ratewise.llm import minhash
+from ratewise.llm import common, minhash
 from tests.conftest import SF_SMALL
 
 SCHEMA = "doc_id long, text string, rep string, digest int, component string"
@@ -107,6 +107,38 @@ def test_leaders_thin_out_a_large_group(spark, monkeypatch):
     assert {r["component_id"] for r in run(spark, docs)} == {0}
 
 
+def test_edges_and_nodes_grow_with_the_group_alone(spark, monkeypatch):
+    """Near copies (a word of 60 changed) give a constant number of candidate edges a
+    member, and few of their nodes branch."""
+    monkeypatch.setattr(minhash, "LED", 128)
+    rng = random.Random(7)
+    base = [word(rng) for _ in range(60)]
+    made = {}
+    for n in (300, 900):
+        copies = []
+        for i in range(n):
+            copy = list(base)
+            copy[rng.randrange(60)] = word(rng)
+            copies.append((i, " ".join(copy)))
+        df = spark.createDataFrame(copies, "doc_id long, text string")
+        sets = minhash.document_sets(df, 5).selectExpr("doc_id AS rep", "sketch")
+        with common.noting() as tables:
+            edges = minhash.candidate_edges(common.stored(sets, "reps"), 0.8)
+            pairs = [(r["a"], r["b"]) for r in edges.collect()]
+        nodes = sum(spark.read.parquet(t).count() for t in tables if "llm-nodes" in t)
+        made[n] = (len(pairs) / n, nodes / n)
+        up = list(range(n))
+
+        def root(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+        for a, b in pairs:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+        assert {root(i) for i in range(n)} == {0}
+    assert made[900][0] <= 1.5 * made[300][0] < 60 and made[900][1] <= 1.5 * made[300][1] < 60
+
+
 def test_repeated_rows_and_empty_table(spark):
     rows = run(spark, [(5, "a b c d"), (5, "a b c d"), (2, "A B C D"), (None, "a b c d")])
     assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in rows) == [
