@@ -1,13 +1,14 @@
 """Benchmark decontamination by item-sized windows [native].
 
 1. *Anchors.*  Word shingles of the benchmark items (64-bit hashes) are looked up
-   in the documents' shingles.  This loses nothing: a window without a common
-   shingle has similarity 0.  A hit of an item's ``j``-th shingle at word ``p``
-   proposes the window that starts at ``p - j`` and has the item's length.
+   in the documents' shingles.  A hit of an item's ``j``-th shingle at word ``p``
+   proposes the window that starts at ``p - j`` and has the item's length.  Only such
+   aligned windows are looked at: of a passage whose parts are in another order (the
+   halves swapped) each aligned window holds one part, so it is missed.
 2. *Candidates.*  A window meets an item, not only the one it was proposed by, if
-   they share one of the item's rarest shingles.  This loses nothing either: the
-   shingles left out, the item's commonest, are together less than ``num / den`` of
-   it, so a window that shares no others cannot pass.
+   they share one of the item's rarest shingles.  Of the proposed windows this loses
+   none: the shingles left out, the item's commonest, are together less than
+   ``num / den`` of it, so a window that shares no others cannot pass.
 3. *Verification.*  Exact weighted-shingle similarity: the sum of the smaller over
    the sum of the larger number of occurrences of every shingle, at least
    ``num / den``.

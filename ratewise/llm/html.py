@@ -40,23 +40,29 @@ from pyspark.sql import functions as F
 
 from .common import plain, read, small_batches, uniform
 
-SAMPLE_PAGES, TRAIN_PAGES = 300, 700
+#: Bounds of the training sample: rows, characters read of each, words taken of its
+#: longest block; and the pages composed of them.
+SAMPLE_PAGES, SAMPLE_CHARS, SAMPLE_WORDS, TRAIN_PAGES = 300, 20_000, 4_000, 700
 CHANGE = 1.5
 
 # --- the tree of blocks --------------------------------------------------------------------
 
-_INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd
-mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br""".split())
+_INLINE = frozenset("""a abbr acronym audio b bdi bdo big canvas cite code data del dfn em font i img ins
+kbd mark math nobr object q rp rt ruby s samp small span strike strong sub sup svg time tt u var video wbr
+br""".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_SILENT = ("script", "style", "noscript", "template", "title", "svg", "iframe", "object", "math",
-           "head", "canvas", "audio", "video")
+_SILENT = ("script", "style", "noscript", "template", "title", "iframe")
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
          "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _LISTS = frozenset("ul ol dl table select body".split())
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-                  r"|<(script|style|noscript|template|title|svg|iframe|object|math|canvas|audio|video)\b"
-                  r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S | re.I)
+# Attributes: a quote counts only directly after "=", and only if it is closed.  Nothing
+# here gives back what it has read, and what the page's end cuts off is read to the
+# end, so a page is scanned once whatever it holds.
+_ATTRIBUTES = r"(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+"
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+                  r"|<(" + "|".join(_SILENT) + r")(?=[\s/>]|\Z)" + _ATTRIBUTES + r"(?:>|\Z)"
+                  r".*?(?:</\1\s*+>|\Z)"
+                  r"|<(/?)([a-zA-Z][^\s/>]*+)(" + _ATTRIBUTES + r")(?:>|\Z)", re.S | re.I)
 _NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _LETTERS = re.compile(r"[a-z]+")
 
@@ -341,7 +347,7 @@ def _words_of(pages: list[str]) -> list[list[str]]:
         _, blocks = parse(html)
         words = max((t for _, t in blocks), key=len, default="").split()
         if words:
-            found.append(words[:4000])
+            found.append(words[:SAMPLE_WORDS])
     return found or [["text", "words", "of", "a", "page."]]
 
 
@@ -441,7 +447,7 @@ def train(pages: DataFrame, seed: int = 17) -> Boosted:
     usable = pages.where("html IS NOT NULL AND html <> ''").withColumn("u", uniform("page_id"))
     few = usable.where(F.col("u") * F.lit(float(usable.count())) <= 3 * SAMPLE_PAGES)
     rows = few.orderBy("u", "page_id").limit(SAMPLE_PAGES).select(
-        F.substring("html", 1, 20000).alias("h")).collect()
+        F.substring("html", 1, SAMPLE_CHARS).alias("h")).collect()
     words = _words_of([r["h"] for r in rows])
     rng = random.Random(seed)
     xs, ys = [], []

@@ -14,8 +14,8 @@ scorer over words, word beginnings and shape marks, which scores whole texts.
 The share of distinct words is that of windows of ``NEAR`` words, averaged over all
 words, so that it means the same at every length.
 
-Bounds: ``LEXICON_ROWS`` labelled rows for the learned word lists, ``TRAIN_ROWS``
-documents for the scorer; vote patterns, and the scores, cover all documents.
+Bounds: ``LEXICON_ROWS`` labelled rows and ``LEXICON_WORDS`` words, the most telling
+ones, for the learned word lists, ``TRAIN_ROWS`` documents for the scorer; vote patterns, and the scores, cover all documents.
 
 Cases: null and empty texts have no votes but a label's and no features, so they
 get the scorer's bias; without labelled rows the learned lists are empty;
