@@ -1,8 +1,9 @@
 """Chat formatting [native]: conversations as marked-up training text.
 
 Only Spark expressions: the turns of a conversation are collected as structs,
-sorted, runs of adjacent same-role turns are merged into one block by an array
-aggregation, and the blocks are concatenated.
+sorted, runs of adjacent same-role turns are merged into one block by array
+functions, and the blocks are concatenated.  No step copies what it has so far at
+every turn, so a long conversation takes time in proportion.
 
 Template (fixed values below)::
 
@@ -46,15 +47,40 @@ def unescape_role(c: Column) -> Column:
     return F.replace(F.replace(unescape(c), F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
 
 
-def _merge(acc: Column, turn: Column) -> Column:
-    """Add a turn to the blocks so far: to the last one when the role is equal."""
-    last = F.get(acc, F.size(acc) - 1)  # null for no block yet
-    same = F.coalesce(last["role"] == turn["role"], F.lit(False))
-    grown = F.struct(turn["role"].alias("role"),
-                     F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-    fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-    return F.when(same, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown))).otherwise(
-        F.concat(acc, F.array(fresh)))
+SUM_CHUNK = 512
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(turns: Column) -> Column:
+    """Runs of adjacent turns of one role, ``(role, texts)``: the places where the role
+    changes are found by comparing neighbours, and every run is sliced once."""
+    def between(starts: Column) -> Column:
+        return F.transform(starts, lambda s, k: F.struct(
+            F.get(turns, s)["role"].alias("role"),
+            F.transform(F.slice(turns, s + 1, F.coalesce(F.get(starts, k + 1), F.size(turns)) - s),
+                        lambda t: t["text"]).alias("texts")))
+    return _once(F.filter(F.sequence(F.lit(0), F.size(turns) - 1), lambda i: (i == 0) | (
+        F.get(turns, i)["role"] != F.get(turns, i - 1)["role"])), between)
+
+
+def _sums_before(lengths: Column) -> Column:
+    """The sum of the lengths before each one.  A fold copies its array at every step, so
+    it runs over chunks, and over their totals for where each chunk begins."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+    grow = lambda acc, x: F.struct((acc["at"] + x).alias("at"),
+                                   F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+    inner = lambda c: F.aggregate(c, zero, grow)["out"]
+
+    def placed(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x))
+        return _once(inner(totals), lambda begins: F.flatten(F.transform(
+            chunks, lambda c, k: F.transform(inner(c), lambda x: x + F.get(begins, k)))))
+    return _once(F.transform(F.sequence(F.lit(1), F.size(lengths), F.lit(SUM_CHUNK)),
+                             lambda s: F.slice(lengths, s, SUM_CHUNK)), placed)
 
 
 def format_chat(conversations: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
@@ -64,9 +90,8 @@ def format_chat(conversations: DataFrame, loss_roles: tuple[str, ...] = ("assist
     turns = plain(conversations, conv_id="long", turn="long", role="string", text="string").select(
         "conv_id", F.struct("turn", F.coalesce(escape_role(F.col("role")), F.lit("")).alias("role"),
                             F.coalesce(escape(F.col("text")), F.lit("")).alias("text")).alias("t"))
-    blocks = "array<struct<role:string,texts:array<string>>>"
     merged = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts")).select(
-        "conv_id", F.aggregate("ts", F.array().cast(blocks), _merge).alias("blocks"))
+        "conv_id", _blocks(F.col("ts")).alias("blocks"))
     # pieces: (text, loss?) in order; spans follow from the lengths
     is_loss = lambda role: role.isin(*loss_roles)
     pieces = F.flatten(F.transform("blocks", lambda b: F.concat(
@@ -79,17 +104,17 @@ def format_chat(conversations: DataFrame, loss_roles: tuple[str, ...] = ("assist
         F.array(F.struct(F.lit(END).alias("s"), F.lit(False).alias("loss"))))))
     placed = merged.select("conv_id", F.size("blocks").cast("long").alias("n_blocks"),
                            pieces.alias("pieces"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"),
-                    F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-    step = lambda acc, p: F.struct(
-        (acc["at"] + F.length(p["s"])).alias("at"),
-        F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct(
-            acc["at"].alias("start"), F.length(p["s"]).cast("long").alias("length")))))
-         .otherwise(acc["spans"]).alias("spans"))
+
+    def spans(parts: Column) -> Column:
+        return _once(_sums_before(F.transform(parts, lambda p: F.length(p["s"]).cast("long"))),
+                     lambda at: F.transform(
+                         F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.get(parts, i)["loss"]),
+                         lambda i: F.struct(F.get(at, i).alias("start"),
+                                            F.length(F.get(parts, i)["s"]).cast("long").alias("length"))))
     return placed.select(
         "conv_id", "n_blocks",
         F.concat_ws("", F.transform("pieces", lambda p: p["s"])).alias("formatted"),
-        F.aggregate("pieces", zero, step)["spans"].alias("loss_spans"))
+        _once(F.col("pieces"), spans).alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

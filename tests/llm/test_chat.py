@@ -37,3 +37,19 @@ def test_nulls_ties_and_empty(spark):
     assert [(t["role"], t["text"]) for t in out[2]["turns"]] == [("assistant", "")]
     assert format_chat(frame(spark, [])).count() == 0
     assert out[1]["formatted"] and SEP in out[1]["formatted"]
+
+
+def test_a_long_conversation_takes_time_in_proportion(spark):
+    import time
+
+    from pyspark.sql import functions as F
+    rows = spark.range(50_000).select(
+        F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 5 < 3, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    start = time.time()
+    r = format_chat(rows).first()
+    assert time.time() - start < 30
+    assert r["n_blocks"] == 20_000 and len(r["loss_spans"]) == 20_000
+    told = [r["formatted"][s["start"]:s["start"] + s["length"]] for s in r["loss_spans"]]
+    assert told == [f"text {i}" for i in range(50_000) if i % 5 >= 3]
