@@ -1,41 +1,59 @@
-"""Benchmark decontamination by item-sized windows [native].
-
-1. *Anchors.*  Word shingles of the benchmark items (64-bit hashes) are looked up
-   in the documents' shingles.  A hit of an item's ``j``-th shingle at word ``p``
-   proposes the window that starts at ``p - j`` and has the item's length.  Only such
-   aligned windows are looked at: of a passage whose parts are in another order (the
-   halves swapped) each aligned window holds one part, so it is missed.
-2. *Candidates.*  A window meets an item, not only the one it was proposed by, if
-   they share one of the item's rarest shingles.  Of the proposed windows this loses
-   none: the shingles left out, the item's commonest, are together less than
-   ``num / den`` of it, so a window that shares no others cannot pass.
-3. *Verification.*  Exact weighted-shingle similarity: the sum of the smaller over
-   the sum of the larger number of occurrences of every shingle, at least
-   ``num / den``.
-
-Words are runs of letters and digits, lower case.  Built from DataFrame functions
-alone.  No SimHash distance decides: at a similarity of 0.8 about one pair in a
-hundred differs in more than 16 bits of 64.
+"""Benchmark decontamination by SimHashes of item-sized windows [native].
+
+A document holds an item if one of its windows of the item's length has an exact
+weighted-shingle similarity to it of at least ``num / den``: the sum of the smaller
+over the sum of the larger number of occurrences of every word shingle.
+
+1. *Windows.*  Every start counts.  Left out are only windows that cannot pass: both
+   sides have the same length, so at least ``2 num / (num + den)`` of a window's
+   shingles (0.889 at 0.8) must be shingles of items of that length.  The documents'
+   shingles are looked up in the items', and the starts with enough hits follow from
+   the sorted places of the hits.  A window at the end of its text may be cut short;
+   the bound follows its size.
+2. *Fingerprints.*  64-bit SimHash of a window's and an item's shingles, each weighted
+   by its occurrences: bit counts of two bits share a long, so they are 32 grouped sums.
+3. *Block index.*  A fingerprint has BLOCKS blocks.  Two that differ in at most RADIUS
+   bits differ in at most FLIPS bits in some block, for RADIUS < BLOCKS * (FLIPS + 1).
+   An item is entered under all values within FLIPS bits of each of its blocks, with its
+   length; a window looks up its own.  This finds all pairs within the radius, each
+   once (at the first block that agrees).
+4. *Beyond the radius*, where chance puts some pairs near the threshold: windows and
+   items of equal length that share one of the item's rarest shingles and whose
+   fingerprints differ in more than RADIUS bits.  The shingles left out, the item's
+   commonest, are together less than ``num / den`` of it, so a window that shares no
+   others cannot pass.
+5. *Verification* of all candidates by the exact similarity.
+
+So no pair is lost, whatever its order of parts.  Words are runs of letters and
+digits, lower case.  Built from DataFrame functions alone.
 
 Cases: null or empty texts and items match nothing; an item with fewer words than
 a shingle is one shingle of all its words and is found where a window of its
-length holds the same words; repeated items and documents are each reported;
-null ids are dropped; a window is cut at the ends of its text; an empty table
+length holds the same words; repeated items are each reported, and so are documents
+(rows of one id together, their texts apart); null ids are dropped; an empty table
 gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import plain, read, stored
+from .common import plain, read, sized, stored
 
 WORDS = 5
-#: Of the block index of SimHashes, which decides nothing here.
-RADIUS, BITS = 16, 64
-#: The table of item shingles is broadcast up to this many bytes, joined beyond.
+#: The block index of SimHashes.  At a similarity of 0.8 about ten bits differ; more
+#: than 23 do in less than one pair of 10,000.
+BITS, BLOCKS, FLIPS = 64, 8, 2
+RADIUS = BLOCKS * (FLIPS + 1) - 1
+_BLOCK_BITS = BITS // BLOCKS
+#: Tables made of the items are broadcast up to this many bytes, joined beyond.
 BROADCAST_BYTES, _ROW_BYTES = 32 << 20, 96
+#: Shingles of the windows that one row holds before they are dealt to rows of their own.
+_ROW_SHINGLES = 1 << 16
 
 
 def word_array(text: Column) -> Column:
@@ -53,13 +71,83 @@ def _shingles(words: Column, k: int) -> Column:
         .otherwise(F.array().cast("array<bigint>")))
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A stored table of the items' with a broadcast hint, up to BROADCAST_BYTES."""
+    return F.broadcast(table) if table.count() * _ROW_BYTES <= BROADCAST_BYTES else table.hint("merge")
+
+
+def _block(fp: Column, i: int) -> Column:
+    return F.shiftrightunsigned(fp, i * _BLOCK_BITS).bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
+
+
 def _blocks(fp: Column) -> Column:
-    """Array of ``(block, value)``: BITS bits in RADIUS + 1 blocks."""
-    n = RADIUS + 1
-    cuts = [BITS * i // n for i in range(n + 1)]
-    return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fp, a)
-                              .bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value"))
-                     for i, (a, b) in enumerate(zip(cuts, cuts[1:]))])
+    """Array of ``(block, value)``: the blocks of a fingerprint."""
+    return F.array(*[F.struct(F.lit(i).alias("block"), _block(fp, i).alias("value"))
+                     for i in range(BLOCKS)])
+
+
+def _near_blocks(fp: Column) -> Column:
+    """Array of ``(block, value)``: all values within FLIPS bits of each block."""
+    masks = [sum(1 << b for b in bits) for n in range(FLIPS + 1)
+             for bits in combinations(range(_BLOCK_BITS), n)]
+    flips = F.array(*[F.lit(m).cast("long") for m in masks])
+    return F.flatten(F.transform(_blocks(fp), lambda b: F.transform(flips, lambda m: F.struct(
+        b["block"].alias("block"), b["value"].bitwiseXOR(m).alias("value")))))
+
+
+def _first_block(a: Column, b: Column) -> Column:
+    """The first block in which two fingerprints differ in at most FLIPS bits, or null."""
+    x = a.bitwiseXOR(b)
+    return F.coalesce(*[F.when(F.bit_count(_block(x, i)) <= FLIPS, F.lit(i)) for i in range(BLOCKS)])
+
+
+def _distance(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
+
+
+def _fingerprints(counted: DataFrame, key: str) -> DataFrame:
+    """``(key, total, fp)`` from ``(key, sh, tf)``: the number of shingles and their
+    SimHash.  Bits ``j`` and ``j + 32`` are counted in the halves of one long."""
+    half = BITS // 2
+    sums = counted.groupBy(key).agg(F.sum("tf").alias("total"), *[
+        F.sum(F.shiftrightunsigned("sh", j).bitwiseAND(F.lit(1 << half | 1)) * F.col("tf")).alias(f"c{j}")
+        for j in range(half)])
+    fp = F.lit(0).cast("long")
+    for j in range(half):
+        for ones, at in ((F.col(f"c{j}").bitwiseAND(F.lit((1 << half) - 1)), j),
+                         (F.shiftrightunsigned(f"c{j}", half), j + half)):
+            mask = 1 << at if at < BITS - 1 else -(1 << at)
+            fp = fp.bitwiseOR(F.when(2 * ones > F.col("total"), F.lit(mask).cast("long")).otherwise(
+                F.lit(0).cast("long")))
+    return sums.select(key, "total", fp.alias("fp"))
+
+
+def _starts(at: Column, m: Column, total: Column, num: int, den: int) -> Column:
+    """The starts of windows of ``m`` shingles that hold enough of the sorted places
+    ``at``, in a text of ``total`` shingles: a start belongs to the first place that is
+    not before it, and each place has an interval of starts (two at the text's end)."""
+    both = num + den
+    need = F.expr(f"(2 * {num} * m + {both - 1}) div {both}").cast("int")
+    n = F.size(at)
+
+    def interval(low: Column, high: Column) -> Column:
+        return F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+
+    def whole(i: Column) -> Column:
+        return interval(F.greatest(F.coalesce(F.get(at, i - 1) + 1, F.lit(0)),
+                                   F.get(at, i + need - 1) - m + 1),
+                        F.least(F.get(at, i), total - m))
+
+    def cut(i: Column) -> Column:
+        reach = F.floor((n - i) * both / F.lit(num))
+        return interval(F.greatest(F.coalesce(F.get(at, i - 1) + 1, F.lit(0)), total - m + 1,
+                                   total + m - reach), F.get(at, i))
+
+    places = F.sequence(F.lit(0), n - 1)
+    told = F.concat(F.transform(F.filter(places, lambda i: i + need <= n), whole),
+                    F.transform(F.filter(places, lambda i: F.get(at, i) > total - m), cut))
+    return F.flatten(F.transform(F.filter(told, lambda x: x["low"] <= x["high"]),
+                                 lambda x: F.sequence(x["low"], x["high"])))
 
 
 def _counted(rows: DataFrame, key: str) -> DataFrame:
@@ -76,6 +164,34 @@ def _rarest(item_sh: DataFrame, num: int, den: int) -> DataFrame:
         den * F.col("common") >= num * F.col("total")).select("item", "sh")
 
 
+def _windows(docs: DataFrame, shingled: Callable[[Column], Column], anchors: DataFrame, words: int,
+             num: int, den: int) -> DataFrame:
+    """``(doc_id, start, n_words, s)``: the windows of ``docs(doc_id, digest, text)`` of
+    the lengths of ``anchors(n_words, sh)`` that hold enough of their shingles."""
+    shingles = shingled(word_array(F.col("text"))).alias("s")
+    places = docs.select("doc_id", "digest", shingles).select(
+        "doc_id", "digest", F.size("s").alias("total"), F.posexplode("s").alias("p", "sh"))
+    found = places.join(_small(anchors), "sh").groupBy("doc_id", "digest", "total", "n_words").agg(
+        F.array_sort(F.collect_set("p")).alias("at"))
+    m = F.col("m")
+    starts = stored(found.withColumn("m", F.greatest(F.col("n_words") - (words - 1), F.lit(1))).select(
+        "doc_id", "digest", "n_words", "m",
+        _starts(F.col("at"), m, F.col("total"), num, den).alias("starts")).where("size(starts) > 0"), "starts")
+    # a row holds some starts and the stretch of the text that their windows cover
+    step = F.greatest(F.floor(F.lit(_ROW_SHINGLES) / m), F.lit(1)).cast("int")
+    chunk = F.transform(F.sequence(F.lit(1), F.size("starts"), step),
+                        lambda i: F.slice("starts", i, step))
+    keys = stored(starts.select("doc_id", "digest").distinct(), "holders")
+    held = docs.join(sized(keys), ["doc_id", "digest"], "left_semi")  # others are not shuffled
+    parts = held.join(starts.withColumn("c", chunk).drop("starts"), ["doc_id", "digest"]).withColumn(
+        "s", shingles).select("doc_id", "n_words", "m", F.explode(F.transform("c", lambda c: F.struct(
+            c.alias("starts"), F.slice("s", F.get(c, F.lit(0)) + 1, F.get(c, F.size(c) - 1) - F.get(c, F.lit(0)) + m)
+            .alias("s")))).alias("c"))
+    return parts.select("doc_id", "n_words", F.explode(F.transform("c.starts", lambda p: F.struct(
+        p.alias("start"), F.slice("c.s", p - F.get("c.starts", F.lit(0)) + 1, m).alias("s")))).alias("x")).select(
+        "doc_id", F.col("x.start").alias("start"), "n_words", F.col("x.s").alias("s"))
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS, num: int = 80,
                  den: int = 100) -> DataFrame:
     """``(doc_id, item_id, similarity, start_word, n_words)``: every document that
@@ -84,43 +200,39 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
     items = stored(texts.withColumn("w", word_array(F.col("text"))).where("size(w) > 0").select(
         F.monotonically_increasing_id().alias("item"), "item_id", F.size("w").alias("n_words"),
         _shingles(F.col("w"), words).alias("s")), "items")
-    at = stored(items.select("n_words", F.posexplode("s").alias("j", "sh")).distinct(), "anchors")
-    short = words > 1 and items.where(F.col("n_words") < words).limit(1).count() > 0
-    small = at.count() * _ROW_BYTES <= BROADCAST_BYTES
-    docs = plain(documents, doc_id="long", text="string").where("doc_id IS NOT NULL AND text <> ''")
-
-    def hits(source: DataFrame, anchors: DataFrame) -> DataFrame:
-        found = source.select("doc_id", F.posexplode("s").alias("p", "sh")).join(
-            F.broadcast(anchors) if small else anchors.hint("merge"), "sh")
-        return found.select("doc_id", F.greatest(F.col("p") - F.col("j"), F.lit(0)).alias("start"), "n_words")
-
-    found = hits(docs.select("doc_id", _shingles(word_array(F.col("text")), words).alias("s")), at)
-    for n in range(1, words) if short else ():  # items shorter than a shingle
-        whole = F.col("n_words") == n
-        found = found.unionAll(hits(docs.withColumn("w", word_array(F.col("text"))).select(
-            "doc_id", _grams("w", n).alias("s")), at.where(whole)))
-    proposed = stored(found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n_words")).alias("at")),
-                      "windows")
-    # the windows' own shingles, from the documents that have any
-    held = docs.join(proposed, "doc_id").select(
-        "doc_id", word_array(F.col("text")).alias("w"), "at")
-    cut = held.select("doc_id", "w", F.explode("at").alias("a")).select(
-        F.monotonically_increasing_id().alias("win"), "doc_id", F.col("a.start").alias("start"),
-        F.slice("w", F.col("a.start") + 1, F.col("a.n_words")).alias("w"))
-    windows = stored(cut.where("size(w) > 0").select(
-        "win", "doc_id", "start", F.size("w").alias("n_words"),
-        _shingles(F.col("w"), words).alias("s")), "windows")
+    at = stored(items.select("n_words", F.explode("s").alias("sh")).distinct(), "anchors")
+    lengths = [n for n in range(1, words) if items.where(F.col("n_words") == n).limit(1).count()]
+    docs = plain(documents, doc_id="long", text="string").where("doc_id IS NOT NULL AND text <> ''").select(
+        "doc_id", F.xxhash64("text").alias("digest"), "text")
+    windows = _windows(docs, lambda w: _shingles(w, words), at.where(F.col("n_words") >= words), words, num, den)
+    for n in lengths:  # items shorter than a shingle
+        windows = windows.unionAll(_windows(docs, lambda w, n=n: _grams(w, n),
+                                            at.where(F.col("n_words") == n), n, num, den))
+    windows = stored(windows.select(F.monotonically_increasing_id().alias("win"), "*"), "windows")
 
     item_sh = stored(_counted(items.select("item", F.explode("s").alias("sh")), "item"), "item-shingles")
     win_sh = stored(_counted(windows.select("win", F.explode("s").alias("sh")), "win"), "win-shingles")
-    near = stored(win_sh.join(_rarest(item_sh, num, den), "sh").select("win", "item").distinct(),
-                  "candidates")
-
-    size = lambda rows, key: rows.groupBy(key).agg(F.sum("tf").alias(f"{key}_total"))
-    shared = near.join(win_sh.withColumnRenamed("tf", "wt"), "win").join(
-        item_sh.withColumnRenamed("tf", "it"), ["item", "sh"]).groupBy("win", "item").agg(
-        F.sum(F.least("wt", "it")).alias("both"))
-    joined = shared.join(size(win_sh, "win"), "win").join(size(item_sh, "item"), "item").withColumn(
+    item_fp = stored(_fingerprints(item_sh, "item").join(items.select("item", "n_words"), "item").select(
+        "item", "n_words", F.col("fp").alias("item_fp"), F.col("total").alias("item_total")), "item-fp")
+    win_fp = stored(_fingerprints(win_sh, "win").join(windows.select("win", "n_words"), "win").select(
+        "win", "n_words", "fp", F.col("total").alias("win_total")), "win-fp")
+
+    index = stored(item_fp.withColumn("b", F.explode(_near_blocks(F.col("item_fp")))).select(
+        "*", "b.block", "b.value").drop("b"), "blocks")
+    within = win_fp.withColumn("b", F.explode(_blocks(F.col("fp")))).select(
+        "*", "b.block", "b.value").drop("b").join(_small(index), ["n_words", "block", "value"]).where(
+        (_distance(F.col("fp"), F.col("item_fp")) <= RADIUS)
+        & (_first_block(F.col("fp"), F.col("item_fp")) == F.col("block")))
+    rare = stored(_rarest(item_sh, num, den), "rare")
+    beyond = win_sh.join(_small(rare), "sh").select("win", "item").distinct().join(
+        win_fp, "win").join(_small(item_fp), ["item", "n_words"]).where(
+        _distance(F.col("fp"), F.col("item_fp")) > RADIUS)
+    pair = ["win", "item", "win_total", "item_total"]
+    near = stored(within.select(*pair).unionAll(beyond.select(*pair)), "candidates")
+
+    joined = near.join(win_sh.withColumnRenamed("tf", "wt"), "win").join(
+        item_sh.withColumnRenamed("tf", "it"), ["item", "sh"]).groupBy(*pair).agg(
+        F.sum(F.least("wt", "it")).alias("both")).withColumn(
         "any", F.col("win_total") + F.col("item_total") - F.col("both")).where(
         den * F.col("both") >= num * F.col("any"))
     told = joined.join(windows.select("win", "doc_id", "start", "n_words"), "win").join(
@@ -133,7 +245,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
                        F.col("b.n_words").cast("long").alias("n_words"))
 
 
-def _grams(w: str, n: int) -> Column:
+def _grams(w: Column, n: int) -> Column:
     """Hashes of the ``n``-word runs, as :func:`_shingles` hashes ``n`` words that
     are fewer than a shingle."""
     h = lambda x: F.xxhash64(x).cast("string")

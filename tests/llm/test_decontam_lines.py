@@ -3,6 +3,8 @@ import re
 import string
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from ratewise.llm import decontam, lines
 from tests.conftest import SF_SMALL
 
@@ -24,11 +26,14 @@ def brute(docs, items):
     out = {}
     for d, text in docs:
         w = words(text)
+        held = {k: set(bag(w, k)) for k in range(1, 6)}
         for i, t in items:
             item = words(t)
             want = bag(item)
             best = 0
-            for p in range(len(w) if item else 0):
+            if not held[min(5, len(item) or 5)] & want.keys():
+                continue  # no window shares a shingle
+            for p in range(len(w)):
                 x = bag(w[p:p + len(item)])
                 both = sum((x & want).values())
                 best = max(best, both / (sum(x.values()) + sum(want.values()) - both))
@@ -68,8 +73,53 @@ def test_items_are_found_whole_edited_and_short(spark):
 def test_given_tables_equal_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
-    docs = [(d, " ".join(words(t)[:400])) for d, t in docs]  # the reference is quadratic
-    assert set(run(spark, docs, items)) == set(brute(docs, items))
+    got, want = run(spark, docs, items), brute(docs, items)
+    assert set(got) == set(want)
+    assert all(abs(r["similarity"] - want[key]) < 1e-9 for key, r in got.items())
+
+
+def test_passages_in_another_order_and_repeats_are_found(spark):
+    rng = random.Random(21)
+    prose = lambda n: [word(rng) for _ in range(n)]
+    items = [(i, " ".join(prose(n))) for i, n in enumerate((120, 60, 200))]
+    refrain = prose(8)
+    items.append((7, " ".join(refrain * 6 + prose(12))))  # repeated sentences
+    docs = []
+    for i, t in items:
+        w = t.split()
+        h, q = len(w) // 2, len(w) // 4
+        docs.append((10 * i, " ".join(w[h:] + w[:h])))                       # halves swapped, at both ends
+        docs.append((10 * i + 1, " ".join(prose(500) + w[h:] + w[:h] + prose(300))))
+        docs.append((10 * i + 2, " ".join(prose(30) + w[q:] + prose(30))))   # three quarters: clean
+        docs.append((10 * i + 3, " ".join(prose(30) + w[:-max(2, len(w) // 30)])))  # cut at the end
+        docs.append((10 * i + 4, " ".join(w * 3)))
+    docs.append((900, " ".join(refrain * 80)))
+    got, want = run(spark, docs, items), brute(docs, items)
+    assert set(got) == set(want) and (0, 0) in got and (1, 0) in got
+    assert all(abs(r["similarity"] - want[key]) < 1e-9 for key, r in got.items())
+
+
+def test_very_long_texts_and_rows_of_one_id(spark):
+    rng = random.Random(22)
+    item = [word(rng) for _ in range(70)]
+    filler = [word(rng) for _ in range(150_000)]
+    docs = [(1, " ".join(filler + item + filler[:20])), (2, " ".join(filler)),
+            (3, " ".join(item * 400)), (4, "nothing here"), (4, " ".join(item)), (4, " ".join(item))]
+    got = run(spark, docs, [(5, " ".join(item))])
+    assert set(got) == {(1, 5), (3, 5), (4, 5)}
+    assert got[1, 5]["start_word"] == len(filler) and got[3, 5]["start_word"] == 0
+
+
+def test_fingerprints_are_simhashes_of_weighted_shingles(spark):
+    rng = random.Random(23)
+    bags = {k: {rng.getrandbits(64) - (1 << 63): rng.randint(1, 4) for _ in range(rng.randint(1, 40))}
+            for k in range(30)}
+    rows = [(k, sh, tf) for k, b in bags.items() for sh, tf in b.items()]
+    df = spark.createDataFrame(rows, "item long, sh long, tf long")
+    for r in decontam._fingerprints(df, "item").collect():
+        b = bags[r["item"]]
+        want = sum((2 * sum(tf for sh, tf in b.items() if sh >> j & 1) > sum(b.values())) << j for j in range(64))
+        assert r["fp"] & (1 << 64) - 1 == want and r["total"] == sum(b.values())
 
 
 def test_block_index_finds_all_within_the_radius(spark):
@@ -81,8 +131,10 @@ def test_block_index_finds_all_within_the_radius(spark):
             f ^= 1 << rng.randrange(63)
         other.append(f)
     df = spark.createDataFrame(list(zip(range(60), fps, other)), "i long, a long, b long")
-    both = df.select("i", (decontam._blocks(df.a)).alias("x"), decontam._blocks(df.b).alias("y"))
-    assert both.where("NOT arrays_overlap(x, y)").count() == 0
+    found = df.select("i", F.explode(decontam._near_blocks(df.a)).alias("e")).join(
+        df.select("i", "a", "b", F.explode(decontam._blocks(df.b)).alias("e")), ["i", "e"])
+    once = found.where(decontam._first_block(F.col("a"), F.col("b")) == F.col("e.block"))
+    assert sorted(r["i"] for r in once.select("i").collect()) == list(range(60))
 
 
 def test_every_window_at_the_threshold_is_found(spark):
