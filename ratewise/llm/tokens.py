@@ -9,7 +9,9 @@ initial symbols minus the merges; no identifiers are made.
 The merge table and the special strings are read from a byte-level BPE ``.json``
 file, whose path is a parameter (each executor opens its own copy).  The counts
 equal those of the tokenizers library without added special tokens; a special
-string inside a text counts as one token, as that library does by default.
+string inside a text counts as one token, as that library does by default.  Texts
+with code points that Python's Unicode tables do not know are cut into pre-tokens by
+that library, whose tables are newer; they are counted like the others.
 
 Counts of pre-tokens are remembered per Python worker in a table of bounded
 size.  Cases: null or empty text has 0 bytes and 0 tokens; a text of one huge
@@ -71,9 +73,9 @@ _USUAL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+
 
 @functools.cache
 def _odd() -> re.Pattern:
-    """Numbers that ``re`` counts as letters, separators it counts as space, and
-    (for a quick test) everything beyond the basic plane."""
-    odd = "".join(chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) in ("No", "Nl"))
+    """Numbers that ``re`` counts as letters, separators it counts as space, code points
+    unassigned here, and (for a quick test) everything beyond the basic plane."""
+    odd = "".join(chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) in ("No", "Nl", "Cn"))
     return re.compile(f"[\x1c-\x1f{odd}\U00010000-\U0010ffff]")
 
 
@@ -82,10 +84,32 @@ def _exact() -> re.Pattern:
     return _pattern(*_classes())
 
 
+@functools.cache
+def _unassigned() -> re.Pattern:
+    out, start = [], None
+    for c in range(sys.maxunicode + 2):
+        hit = c <= sys.maxunicode and unicodedata.category(chr(c)) == "Cn"
+        if hit and start is None:
+            start = c
+        elif not hit and start is not None:
+            out.append(f"\\U{start:08x}-\\U{c - 1:08x}")
+            start = None
+    return re.compile("[" + "".join(out) + "]")
+
+
+def _library_split(text: str) -> list[str]:
+    """The pre-tokens by the tokenizers library, whose Unicode tables are newer."""
+    from tokenizers.pre_tokenizers import ByteLevel
+    split = ByteLevel(add_prefix_space=False).pre_tokenize_str(text)
+    return [text[a:b] for _, (a, b) in split]
+
+
 def pre_tokens(text: str) -> list[str]:
     if text.isascii():
         return _ASCII.findall(text)
-    return (_exact() if _odd().search(text) else _USUAL).findall(text)
+    if not _odd().search(text):
+        return _USUAL.findall(text)
+    return _library_split(text) if _unassigned().search(text) else _exact().findall(text)
 
 
 def _byte_of_char() -> dict[str, int]:
