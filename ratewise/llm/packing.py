@@ -1,12 +1,13 @@
 """Best-fit packing of tokenised documents into fixed-size sequences.
 
 Exact-complement hashing: the lengths of all pieces form a histogram (at most
-``size`` entries, however many pieces there are).  From the longest length on,
-the gap it leaves is looked up among single lengths, then among sums of two and
-of three available lengths, and combinations that fill it exactly are consumed
-as often as their counts allow.  What is left goes through best-fit decreasing,
-again by counts: a *pattern* is a multiset of lengths with a number of
-sequences, so the plan's size depends on ``size`` alone.
+``size`` entries, however many pieces there are), and the sums of two and of three
+available lengths are indexed, kept up to date as counts run out.  From the longest
+length on, the gap it leaves is looked up among single lengths, pairs and triples, and
+a combination that fills it (exactly first, or but for a hundredth of the size) is
+consumed as often as the counts allow.  A gap without such a filling takes its best fit
+at once.  A *pattern* is a multiset of lengths with a number of sequences, so the
+plan's size depends on ``size`` alone.
 
 Pieces find their place without a global sort: they are ranked within
 ``(length, salt)``, the ranks are shifted by the counts of the smaller salts,
@@ -26,8 +27,6 @@ import functools
 import json
 import re
 import zlib
-from array import array
-from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,19 +36,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import plain, read, small_batches, stored
-from .tokens import CACHE_CHARS, CACHE_ENTRIES, _byte_of_char, pre_tokens
+from .tokens import CACHE_CHARS, CACHE_ENTRIES, pre_tokens
 
 #: Most rows of one (length, salt) group, where the number of salts allows it.
 GROUP_ROWS, MAX_SALTS = 100_000, 4096
+#: A gap counts as filled if less than the SLACK-th part of a sequence stays empty: a
+#: pair or triple that fills it to the last token would take short lengths from others.
+SLACK = 100
 
 
 # --- token ids -----------------------------------------------------------------------
 
 class _Ids(dict):
     """Pre-token -> its ids as little-endian bytes, as the tokenizers library gives
-    them; bounded.  Vocabularies whose pre-tokens are not those of
-    :func:`pre_tokens` are encoded text by text by that library; for the others a
-    quicker encoder of the same vocabulary takes the single pre-tokens."""
+    them; bounded.  The new pre-tokens of a block of texts are encoded in one call.
+    Vocabularies whose pre-tokens are not those of :func:`pre_tokens` are encoded
+    text by text."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -62,60 +64,48 @@ class _Ids(dict):
                         and not pre.get("add_prefix_space") and not spec.get("normalizer")
                         and all(not t[k] for t in spec.get("added_tokens", [])
                                 for k in ("single_word", "lstrip", "rstrip")))
-        added = {t["content"]: np.uint32(t["id"]).tobytes() for t in spec.get("added_tokens", [])}
-        self.added = added
-        self.quick = self._quick(spec) if self.by_word else None
+        self.added = {t["content"]: np.uint32(t["id"]).tobytes() for t in spec.get("added_tokens", [])}
         self.special = re.compile("(" + "|".join(
-            re.escape(s) for s in sorted(added, key=len, reverse=True)) + ")") if added else None
-
-    def _quick(self, spec: dict):
-        """tiktoken over the vocabulary of the file, if merges are in the order of
-        their ids (then both libraries merge alike) and a probe agrees."""
-        import tiktoken
-
-        vocab, chars = spec["model"]["vocab"], _byte_of_char()
-        made = [vocab["".join(m.split(" ")) if isinstance(m, str) else "".join(m)]
-                for m in spec["model"]["merges"]]
-        if any(a >= b for a, b in zip(made, made[1:])):
-            return None
-        ranks = {bytes(chars[c] for c in token): i for token, i in vocab.items()
-                 if all(c in chars for c in token)}
-        quick = tiktoken.Encoding("file", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-        probe = [" " + w[::-1] + w for w in list(vocab)[256:50000:97] if w.isascii() and w.isalpha()]
-        same = self._encode(probe) == [array("I", quick.encode_ordinary(w)).tobytes() for w in probe]
-        return quick if same else None
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        if self.quick is None:
-            return self._encode(words)
-        return [array("I", self.quick.encode_ordinary(w)).tobytes() for w in words]
+            re.escape(s) for s in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> bytes:
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            new = [w for w in set(words) if w not in self]
+    def _split(self, text: str) -> list[str]:
+        """Pre-tokens and special strings, in order."""
+        if self.special is None or not self.special.search(text):
+            return pre_tokens(text)
+        return [w for p in self.special.split(text) if p
+                for w in ([p] if p in self.added else pre_tokens(p))]
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return self._encode(texts)
+        split = [self._split(t) for t in texts]
+        words = set().union(*split)
+        new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_ENTRIES:
             self.clear()
-            new = list(set(words))
-        self.update(zip(new, self._encode_words(new)))
-        out = b"".join(map(self.__getitem__, words))
+            new = list(words)
+        self.update(zip(new, self._encode(new)))
+        out = [b"".join(map(self.__getitem__, ws)) for ws in split]
         for w in new:
             if len(w) > CACHE_CHARS:
                 del self[w]
         return out
 
-    def text(self, text: str) -> bytes:
-        if not self.by_word:
-            return self._encode([text])[0]
-        if self.special is None or not self.special.search(text):
-            return self._words(pre_tokens(text))
-        return b"".join(self.added[p] if p in self.added else self._words(pre_tokens(p))
-                        for p in self.special.split(text) if p)
+
+def _text_blocks(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
+    """``texts`` in blocks of about ``size`` characters."""
+    block, held = [], 0
+    for t in texts:
+        block.append(t)
+        held += len(t)
+        if held >= size:
+            yield block
+            block, held = [], 0
+    yield block
 
 
 @functools.cache
@@ -144,8 +134,9 @@ def pieces(documents: DataFrame, tokenizer_path: str, size: int = 1024, end_id:
         ids = _ids(tokenizer_path)
         for pdf in batches:
             rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                data = ids.text(text) + end
+            encoded = (x for block in _text_blocks(pdf["text"].tolist()) for x in ids.texts(block))
+            for doc_id, data in zip(pdf["doc_id"], encoded):
+                data += end
                 for k, (start, length) in enumerate(cut(len(data) // 4, size)):
                     part = data[4 * start:4 * (start + length)]
                     row = (doc_id, k, start, length, zlib.crc32(part))
@@ -159,98 +150,95 @@ def pieces(documents: DataFrame, tokenizer_path: str, size: int = 1024, end_id:
 
 # --- the plan, on the histogram of lengths ----------------------------------------------
 
-def _exact(count: np.ndarray, size: int, terms: int = 3) -> list[tuple[Counter, int]]:
-    """Consume from ``count`` (by length) what fills sequences exactly, a gap
-    being filled by up to ``terms`` lengths."""
-    patterns: list[tuple[Counter, int]] = []
-
-    def take(lengths: tuple[int, ...]) -> bool:
-        need = Counter(lengths)
-        n = min(count[k] // v for k, v in need.items())
-        if n > 0:
-            for k, v in need.items():
-                count[k] -= n * v
-            patterns.append((need, int(n)))
-        return n > 0
+class _Lengths:
+    """The available lengths with their counts, and an index of the sums of two and of
+    three of them, kept up to date as lengths run out."""
 
-    for top in range(size, 0, -1):
-        gap = size - top
-        if not gap:
-            take((top,))
-            continue
-        if count[top] and gap <= top and count[gap]:
-            take((top, gap))
-        while terms > 1 and count[top]:  # two further lengths, each at most ``top``
-            a = np.arange((gap + 1) // 2, min(top, gap - 1) + 1)
-            a = a[(count[a] > 0) & (count[gap - a] > 0)] if len(a) else a
-            if not any(take((top, int(x), int(gap - x))) for x in a[::-1]):
-                break
-        while terms > 2 and count[top]:  # three
-            have = (count > 0).astype(np.int64)
-            pair = np.convolve(have, have)  # sums of two available lengths
-            a = np.arange(1, min(top, gap - 2) + 1)
-            a = a[(have[a] > 0) & (pair[gap - a] > 0)] if len(a) else a
-            if not any(take((top, int(x), int(b), int(gap - x - b)))
-                       for x in a[::-1]
-                       for b in (lambda c: c[(have[c] > 0) & (have[gap - x - c] > 0)])(
-                           np.arange((gap - x + 1) // 2, min(x, gap - x - 1) + 1))[::-1]):
-                break
-    return patterns
-
-
-def _best_fit(count: np.ndarray, size: int) -> list[tuple[Counter, int]]:
-    """Best-fit decreasing of what is left, many equal sequences at a time."""
-    by_gap: dict[int, list[tuple[Counter, int]]] = {}
-    gaps: list[int] = []
-
-    def put(pattern: Counter, n: int, gap: int) -> None:
-        if gap not in by_gap:
-            by_gap[gap] = []
-            insort(gaps, gap)
-        by_gap[gap].append((pattern, n))
-
-    for length in range(size, 0, -1):
-        left = int(count[length])
-        while left:
-            i = bisect_left(gaps, length)
-            if i < len(gaps):  # the tightest sequences that it fits
-                gap = gaps[i]
-                pattern, n = by_gap[gap].pop()
-                if not by_gap[gap]:
-                    del by_gap[gap], gaps[i]
-            else:
-                gap, pattern, n = size, Counter(), left
-            each = gap // length
-            full = min(n, left // each)
-            left -= full * each
-            if full:
-                put(pattern + Counter({length: each}), full, gap - each * length)
-            n -= full
-            if left and n:
-                some = min(left, each)
-                put(pattern + Counter({length: some}), 1, gap - some * length)
-                left -= some
-                n -= 1
-            if n and pattern:
-                put(pattern, n, gap)
-    count[:] = 0
-    return [x for g in gaps for x in by_gap[g]]
+    def __init__(self, histogram: dict[int, int], size: int):
+        self.size = size
+        self.count = np.zeros(size + 1, np.int64)
+        for length, n in histogram.items():
+            self.count[length] = n
+        self.have = (self.count > 0).astype(np.int64)
+        # ordered ways to write a sum by two and by three available lengths
+        self.pair = np.convolve(self.have, self.have)[:size + 1]
+        self.triple = np.convolve(self.pair, self.have)[:size + 1]
+
+    def _run_out(self, x: int) -> None:
+        def shifted(a: np.ndarray, by: int) -> np.ndarray:
+            return np.concatenate((np.zeros(min(by, len(a)), np.int64), a))[:self.size + 1]
+
+        self.have[x] = 0
+        one = np.zeros(self.size + 1, np.int64)
+        one[0] = 1
+        self.pair -= 2 * shifted(self.have, x) + shifted(one, 2 * x)
+        self.triple -= 3 * shifted(self.pair, x) + 3 * shifted(self.have, 2 * x) + shifted(one, 3 * x)
+
+    def take(self, need: Counter, n: int) -> None:
+        for x, k in need.items():
+            self.count[x] -= n * k
+            if not self.count[x]:
+                self._run_out(x)
+
+    def _two(self, total: int, most: int, used: Counter) -> tuple[int, ...] | None:
+        a = np.arange((total + 1) // 2, min(most, total - 1) + 1)
+        a = a[(self.have[a] & self.have[total - a]) > 0]
+        for x in map(int, a[::-1]):
+            if self._left(Counter((x, total - x)), used):
+                return x, total - x
+        return None
+
+    def _left(self, need: Counter, used: Counter) -> bool:
+        return all(self.count[x] - used[x] >= k for x, k in need.items())
+
+    def one(self, total: int, used: Counter) -> tuple[int, ...] | None:
+        return (total,) if self.count[total] > used[total] else None
+
+    def two(self, total: int, used: Counter) -> tuple[int, ...] | None:
+        return self._two(total, total, used) if self.pair[total] else None
+
+    def three(self, total: int, used: Counter) -> tuple[int, ...] | None:
+        if not self.triple[total]:
+            return None
+        a = np.arange((total + 2) // 3, total - 1)
+        a = a[(self.have[a] > 0) & (self.pair[total - a] > 0)]
+        for x in map(int, a[::-1]):
+            if self.count[x] > used[x] and (two := self._two(total - x, x, used + Counter((x,)))):
+                return (x, *two)
+        return None
+
+    def filling(self, gap: int, used: Counter) -> tuple[int, ...] | None:
+        """Lengths for a gap that are still there when ``used`` are taken: one, else two,
+        else three that fill it but for SLACK of the size, the fullest first and of equals
+        those with the largest length; else the largest single that fits."""
+        close = range(gap, max(0, gap - self.size // SLACK - 1), -1)
+        for way in (self.one, self.two, self.three):
+            for total in close:
+                if found := way(total, used):
+                    return found
+        return next((found for total in range(close.stop, 0, -1) if (found := self.one(total, used))), None)
 
 
 def plan(histogram: dict[int, int], size: int) -> list[tuple[Counter, int]]:
     """``[(lengths of a sequence, number of such sequences)]``.
 
-    Exact fills of many small lengths can leave large ones without partners, so
-    complements of up to three, two and one lengths are all planned (the plan
-    costs the same at any input size), and the one with the fewest sequences is
-    kept."""
-    def planned(terms: int) -> list[tuple[Counter, int]]:
-        count = np.zeros(2 * size + 2, np.int64)
-        for length, n in histogram.items():
-            count[length] = n
-        return _exact(count, size, terms) + _best_fit(count, size)
-
-    return min((planned(t) for t in (3, 2, 1)), key=lambda p: sum(n for _, n in p))
+    From the longest length on, its gap is filled by a single length, a pair or a triple.
+    A gap that none of them fills takes its best fit at once, and what is left of it is
+    filled in the same way, so that small lengths are not spent on others before.  Each
+    combination is taken as often as the counts allow, so the plan's cost depends on
+    ``size`` alone."""
+    lengths = _Lengths(histogram, size)
+    patterns: list[tuple[Counter, int]] = []
+    for top in range(size, 0, -1):
+        while lengths.count[top]:
+            pattern, gap = Counter((top,)), size - top
+            while gap and (found := lengths.filling(gap, pattern)):
+                pattern.update(found)
+                gap -= sum(found)
+            n = int(min(lengths.count[x] // k for x, k in pattern.items()))
+            lengths.take(pattern, n)
+            patterns.append((pattern, n))
+    return patterns
 
 
 def intervals(patterns: list[tuple[Counter, int]], size: int) -> dict[int, np.ndarray]:

@@ -1,14 +1,18 @@
+import itertools
 import random
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 from ratewise.llm import packing, tokens
 from ratewise.llm.queries import QUERIES
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, length long, n_tokens long"
@@ -34,16 +38,30 @@ def test_counts_equal_the_library(library):
 
 def test_ids_equal_the_library(library):
     ids = packing._Ids(PATH)
-    assert ids.by_word and ids.quick is not None
-    for text in hostile():
-        assert ids.text(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert ids.by_word
+    texts = hostile()
+    for some in (texts, texts[:1], []):
+        assert ids.texts(some) == [
+            np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
 
 
 def test_every_code_point_splits_alike(library):
-    texts = [f"a{chr(c)}b {chr(c)}1{chr(c)} " for c in range(1, 0x3000)]
-    known = tokens.counter(PATH)
-    assert [known.text(t) for t in texts] == [
-        len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    known = [c for c in range(1, 0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    for i in range(0, len(known), 64):
+        text = "".join(f"a{chr(c)}b {chr(c)}1{chr(c)} " for c in known[i:i + 64])
+        assert tokens.pre_tokens(text) == [
+            text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
+
+
+def test_letters_newer_than_these_tables_count_alike(library):
+    newer = [c for c in range(0x80, 0x20000) if unicodedata.category(chr(c)) == "Cn"]
+    counts, ids = tokens.counter(PATH), packing._Ids(PATH)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["a", "\u1c89", " ", "1", "\ua7cb", "\U000105c0", "é", chr(rng.choice(newer))])
+                     for _ in range(rng.randint(1, 20))) for _ in range(3000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [counts.text(t) for t in texts] == [len(x) for x in want]
+    assert ids.texts(texts) == [np.array(x, "<u4").tobytes() for x in want]
 
 
 def test_token_counts_of_nulls_and_repeats(spark):
@@ -116,6 +134,43 @@ def test_plans_use_every_piece_once():
         assert sum(n for _, n in patterns) <= 1.05 * least + 1
 
 
+def test_gaps_are_filled_by_singles_pairs_and_triples():
+    shape = lambda plan: sorted((sorted(p.elements()), n) for p, n in plan)
+    assert shape(packing.plan({70: 3, 30: 3}, 100)) == [([30, 70], 3)]
+    assert shape(packing.plan({60: 4, 25: 4, 15: 4}, 100)) == [([15, 25, 60], 4)]
+    assert shape(packing.plan({55: 2, 20: 2, 14: 2, 11: 2}, 100)) == [([11, 14, 20, 55], 2)]
+    assert shape(packing.plan({60: 1, 20: 2}, 100)) == [([20, 20, 60], 1)]  # a length twice
+    assert shape(packing.plan({60: 1, 20: 1}, 100)) == [([20, 60], 1)]      # but not without a second
+
+
+def test_the_index_of_sums_follows_the_counts():
+    rng = random.Random(4)
+    size = 40
+    left = packing._Lengths({n: rng.randint(1, 3) for n in rng.sample(range(1, size + 1), 15)}, size)
+    while left.count.any():
+        n = int(rng.choice(np.flatnonzero(left.count)))
+        left.take(Counter((n,)), 1)
+        have = np.flatnonzero(left.count)
+        pair, triple = np.zeros(size + 1, int), np.zeros(size + 1, int)
+        for a, b in itertools.product(have, have):
+            if a + b <= size:
+                pair[a + b] += 1
+                for c in have[have <= size - a - b]:
+                    triple[a + b + c] += 1
+        assert (left.pair == pair).all() and (left.triple == triple).all()
+
+
+def test_plan_of_the_given_documents_is_near_the_bound_and_uses_pairs_and_triples():
+    ids = packing._Ids(PATH)
+    texts = pq.read_table(f"{SF_MID}/documents.parquet", columns=["text"]).column("text").to_pylist()
+    histogram = Counter(length for x in ids.texts([t or "" for t in texts])
+                        for _, length in packing.cut(len(x) // 4 + 1, 1024))
+    patterns = packing.plan(histogram, 1024)
+    least = -(-sum(k * n for k, n in histogram.items()) // 1024)
+    assert sum(n for _, n in patterns) <= least + 2
+    assert {2, 3} <= {sum(p.values()) for p, _ in patterns}
+
+
 def test_merge_count_keeps_the_leftmost_of_equal_ranks():
     ranks, merged, of_byte, _ = tokens.load_merges(PATH)
     assert tokens.merge_count(b"", ranks, merged, of_byte) == 0
