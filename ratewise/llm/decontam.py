@@ -264,3 +264,41 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+_SQL_WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
+#: Every window that shares a shingle with an item, compared exactly.
+OP1_SQL = f"""
+WITH items AS (
+  SELECT row_number() OVER () AS it, item_id, w, len(w) AS n, least(5, len(w)) AS k
+  FROM (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)
+  WHERE len(w) > 0),
+item_sh AS (
+  SELECT it, item_id, n, k, n - k + 1 AS m, sh, count(*) AS tf
+  FROM (SELECT *, unnest(list_transform(range(0, n - k + 1), lambda i: array_to_string(w[i + 1:i + k], ' '))) AS sh
+        FROM items) GROUP BY ALL),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_SQL_WORDS} AS w
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+doc_sh AS (
+  SELECT r, doc_id, k, len(w) - k + 1 AS total, unnest(range(0, len(w) - k + 1)) AS p,
+    unnest(list_transform(range(0, len(w) - k + 1), lambda i: array_to_string(w[i + 1:i + k], ' '))) AS sh
+  FROM docs, (SELECT DISTINCT k FROM items) WHERE len(w) >= k),
+hits AS (SELECT r, doc_id, total, p, it, item_id, n, m, sh, tf FROM doc_sh JOIN item_sh USING (k, sh)),
+starts AS (
+  SELECT DISTINCT r, doc_id, total, it, item_id, n, m, unnest(range(greatest(0, p - m + 1), p + 1)) AS s
+  FROM hits),
+shared AS (
+  SELECT a.r, a.doc_id, a.it, a.item_id, a.n, a.s, a.m + least(a.m, a.total - a.s) AS sizes, h.sh,
+    least(count(*), any_value(h.tf)) AS c
+  FROM starts a JOIN hits h ON a.r = h.r AND a.it = h.it AND h.p >= a.s AND h.p < a.s + a.m
+  GROUP BY ALL),
+windows AS (
+  SELECT doc_id, item_id, n, s, CAST(sum(c) AS BIGINT) AS same, sizes - CAST(sum(c) AS BIGINT) AS any_of
+  FROM shared GROUP BY r, doc_id, it, item_id, n, s, sizes)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(item_id AS BIGINT) AS item_id,
+  CAST(same AS DOUBLE) / any_of AS similarity, CAST(s AS BIGINT) AS start_word, CAST(n AS BIGINT) AS n_words
+FROM windows WHERE 100 * same >= 80 * any_of
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY CAST(same AS DOUBLE) / any_of DESC, s, n) = 1
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP9_SQL, op9_chat_formatting
-from .decontam import op1_decontamination
+from .decontam import OP1_SQL, op1_decontamination
 from .embeddings import op5_embedding_dedup
 from .html import op10_html_extraction
 from .langid import op8_language_id
@@ -37,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
     "op3_line_dedup": OP3_SQL,
     "op9_chat_formatting": OP9_SQL,
     "op11_spelling_variants": OP11_SQL,
