@@ -14,8 +14,9 @@ scorer over words, word beginnings and shape marks, which scores whole texts.
 The share of distinct words is that of windows of ``NEAR`` words, averaged over all
 words, so that it means the same at every length.
 
-Bounds: ``LEXICON_ROWS`` labelled rows and ``LEXICON_WORDS`` words, the most telling
-ones, for the learned word lists, ``TRAIN_ROWS`` documents for the scorer; vote patterns, and the scores, cover all documents.
+Bounds: ``LEXICON_ROWS`` labelled rows for the learned word lists, which take all their
+words that are frequent and telling enough, and ``TRAIN_ROWS`` documents for the
+scorer; vote patterns, and the scores, cover all documents.
 
 Cases: null and empty texts have no votes but a label's and no features, so they
 get the scorer's bias; without labelled rows the learned lists are empty;
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import plain, read, small_batches, stored, uniform
 
-LEXICON_ROWS, LEXICON_WORDS, TRAIN_ROWS = 6000, 4000, 6000
+LEXICON_ROWS, TRAIN_ROWS = 6000, 6000
 BUCKETS = 1 << 18
 CACHE_WORDS = 300_000
 #: Distinct words are counted in consecutive windows of so many words.
@@ -126,7 +127,7 @@ def learned_lists(documents: DataFrame, labels: DataFrame) -> tuple[frozenset, f
             .groupBy("w").agg(F.sum("t").alias("a"), F.sum(1 - F.col("t")).alias("b"))
         odds = (F.col("a") / float(total[0])) / ((F.col("b") + 0.5) / float(total[1]))
         often = max(4.0, 0.015 * float(total[0]))  # a few copies of one text are no pattern
-        rows = counted.where((F.col("a") >= often) & (odds >= 25)).orderBy(odds.desc(), "w").limit(LEXICON_WORDS)
+        rows = counted.where((F.col("a") >= often) & (odds >= 25))
         return frozenset(r[0] for r in rows.select("w").collect())
 
     w = F.col("w")

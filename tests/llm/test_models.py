@@ -69,6 +69,18 @@ def test_quality_keeps_clean_and_catches_toxic(spark):
     assert np.mean(toxic) <= 0.25
 
 
+def test_quality_of_documents_whose_labels_are_held_out(spark):
+    import zlib
+    docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    held = [r for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    seen = labels.where("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 <> 0")
+    rows = {r["doc_id"]: r for r in quality.classify(docs, seen).collect()}
+    share = lambda test: np.mean([rows[r["doc_id"]]["kept"] for r in held if test(r)])
+    clean, junk, toxic = (share(lambda r: r["quality"] == 1 and not r["toxic"]),
+                          share(lambda r: r["quality"] == 0), share(lambda r: r["toxic"]))
+    assert clean >= 0.95 and junk <= 0.1 and toxic <= 0.25, (len(held), clean, junk, toxic)
+
+
 def test_quality_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (2, "", 1), (None, "some words", 1), (3, "word " * 20000, 1)],
                                  "doc_id long, text string, toxic int")
