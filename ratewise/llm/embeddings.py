@@ -202,3 +202,32 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame:
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+#: Exact: every pair of vectors of one length.
+OP5_SQL = """
+WITH RECURSIVE vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL
+), usable AS MATERIALIZED (
+  SELECT r, vec_id, v FROM vectors
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b
+  FROM usable a JOIN usable b ON len(a.v) = len(b.v) AND a.r <> b.r
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= 0.95 END
+), reach AS (
+  SELECT r AS a, r AS b FROM usable
+  UNION
+  SELECT x.a, l.b FROM reach x JOIN links l ON x.b = l.a
+), component AS (
+  SELECT x.a AS r, min(u.vec_id) AS component_id FROM reach x JOIN usable u ON u.r = x.b GROUP BY x.a
+), counted AS (
+  SELECT a AS r, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT v.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links,
+       coalesce(c.component_id, v.vec_id) AS component_id,
+       v.vec_id = coalesce(c.component_id, v.vec_id) AS kept
+FROM vectors v LEFT JOIN component c USING (r) LEFT JOIN counted n USING (r)
+"""

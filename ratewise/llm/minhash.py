@@ -468,3 +468,43 @@ def one_of_each(documents: DataFrame, words: int = 5, num: int = 80, den: int =
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), 3, 85, 100)
+
+
+#: Exact: sets of each class of equal sets meet through shared shingles.
+OP4_SQL = r"""
+WITH RECURSIVE tokens AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), sets AS MATERIALIZED (
+  SELECT doc_id, CASE
+      WHEN len(w) = 0 THEN []
+      WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1),
+                                                  lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))
+    END AS s
+  FROM tokens
+), classes AS MATERIALIZED (
+  SELECT min(doc_id) AS rep, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), members AS MATERIALIZED (
+  SELECT rep, n, unnest(s) AS shingle FROM classes
+), shared AS (
+  SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS m
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.rep <> b.rep
+   AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM shared WHERE 100 * m >= 85 * (na + nb - m)
+), reach AS (
+  SELECT rep AS a, rep AS b FROM classes
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), component AS (
+  SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles,
+       coalesce(p.component_id, d.doc_id) AS component_id,
+       d.doc_id = coalesce(p.component_id, d.doc_id) AS kept
+FROM sets d LEFT JOIN classes c ON d.s = c.s LEFT JOIN component p ON c.rep = p.rep
+"""

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP9_SQL, op9_chat_formatting
 from .decontam import OP1_SQL, op1_decontamination
-from .embeddings import op5_embedding_dedup
+from .embeddings import OP5_SQL, op5_embedding_dedup
 from .html import op10_html_extraction
 from .langid import op8_language_id
 from .lines import OP3_SQL, op3_line_dedup
-from .minhash import op4_minhash_dedup
+from .minhash import OP4_SQL, op4_minhash_dedup
 from .packing import op6_best_fit_packing
 from .quality import op7_quality_classifier
 from .repair import OP12_SQL, op12_conversation_repair
@@ -39,6 +39,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op3_line_dedup": OP3_SQL,
+    "op4_minhash_dedup": OP4_SQL,
+    "op5_embedding_dedup": OP5_SQL,
     "op9_chat_formatting": OP9_SQL,
     "op11_spelling_variants": OP11_SQL,
     "op12_conversation_repair": OP12_SQL,
