@@ -81,6 +81,68 @@ def test_recall_at_the_threshold():
         assert (shared >= embeddings.SHARED).mean() >= 0.99
 
 
+def _unit_rows(x):
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def _beside(rng, x):
+    """A vector beside each row, at cosines from 0.951 to 0.97."""
+    u = rng.normal(size=x.shape)
+    u = _unit_rows(u - (u * x).sum(1)[:, None] * x)
+    c = rng.uniform(0.951, 0.97, (len(x), 1))
+    return c * x + np.sqrt(1 - c * c) * u
+
+
+def _cone(rng, n, dim, clusters=0):
+    """Vectors of mean cosine 0.8, or more within clusters."""
+    axis = _unit_rows(rng.normal(size=(1, dim)))
+    off = _unit_rows(rng.normal(size=(n, dim)))
+    if clusters:
+        off = _unit_rows(_unit_rows(rng.normal(size=(clusters, dim)))[rng.integers(0, clusters, n)] + 0.7 * off)
+    return _unit_rows(math.sqrt(0.8) * axis + math.sqrt(0.2) * off)
+
+
+def _hot(rng, n, dim, share):
+    """So large a share of near copies of one vector, the rest anywhere."""
+    x = _unit_rows(rng.normal(size=(n, dim)))
+    m = int(share * n)
+    x[:m] = _beside(rng, np.repeat(x[:1], m, 0))
+    return x[rng.permutation(n)]
+
+
+@pytest.mark.parametrize("dim", [64, 256])
+@pytest.mark.parametrize("kind", ["anywhere", "cone", "clustered cone", "hot third", "hot most"])
+def test_recall_and_lists_in_crowded_spaces(dim, kind):
+    rng = np.random.default_rng(4)
+    x = {"anywhere": lambda: _unit_rows(rng.normal(size=(3000, dim))),
+         "cone": lambda: _cone(rng, 3000, dim),
+         "clustered cone": lambda: _cone(rng, 3000, dim, 30),
+         "hot third": lambda: _hot(rng, 3000, dim, 1 / 3),
+         "hot most": lambda: _hot(rng, 3000, dim, 0.8)}[kind]()
+    x = np.vstack([x, _beside(rng, x[::3])])
+    wanted = int(2 * len(x) ** 0.5)
+    centre, points = embeddings.reference_points(x[rng.permutation(len(x))[:2 * wanted]], 0.95)
+    points = points[:wanted]
+    near = np.argsort(-((x - centre) @ points.T), 1)[:, :embeddings.PREFIX]
+    named = np.zeros((len(x), len(points)), np.float32)
+    np.put_along_axis(named, near, 1, 1)
+    links = np.triu(x @ x.T >= 0.95, 1)
+    met = named @ named.T >= embeddings.SHARED
+    assert (links & met).sum() >= 0.97 * links.sum()
+    if not kind.startswith("hot"):
+        lists = named.sum(0)
+        assert lists.max() <= 4 * np.median(lists[lists > 0])
+        assert len(points) >= 30  # one a cluster at least
+
+
+def test_cone_equals_brute_force(spark):
+    rng = np.random.default_rng(12)
+    x = _cone(rng, 300, 48, 6)
+    x = np.vstack([x, x[:40], _beside(rng, x[40:50])])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_given_embeddings(spark):
     table = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
     rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in table.collect()]
