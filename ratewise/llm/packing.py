@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import re
 import zlib
 from collections import Counter
@@ -43,18 +44,24 @@ GROUP_ROWS, MAX_SALTS = 100_000, 4096
 #: A gap counts as filled if less than the SLACK-th part of a sequence stays empty: a
 #: pair or triple that fills it to the last token would take short lengths from others.
 SLACK = 100
+#: Pre-tokens that are encoded side by side.
+JOINED = 256
 
 
 # --- token ids -----------------------------------------------------------------------
 
 class _Ids(dict):
     """Pre-token -> its ids as little-endian bytes, as the tokenizers library gives
-    them; bounded.  The new pre-tokens of a block of texts are encoded in one call.
-    Vocabularies whose pre-tokens are not those of :func:`pre_tokens` are encoded
-    text by text."""
+    them; bounded, and what the table held before it was last full is looked up before
+    anything is encoded again.  The new pre-tokens of a block of texts are encoded in one
+    call; those of a space and letters stand side by side in one text, which the library
+    cuts at the same places.  Vocabularies whose pre-tokens are not those of
+    :func:`pre_tokens` are encoded text by text."""
 
     def __init__(self, path: str):
         super().__init__()
+        # a task has one core, so the library's own threads would only wait for it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -67,11 +74,30 @@ class _Ids(dict):
         self.added = {t["content"]: np.uint32(t["id"]).tobytes() for t in spec.get("added_tokens", [])}
         self.special = re.compile("(" + "|".join(
             re.escape(s) for s in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
+        #: No special string could arise where pre-tokens of letters meet.
+        self.joins = not any(t.replace(" ", "").isalpha() for t in self.added)
+        self.before: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of pre-tokens."""
+        letters, others = [], []
+        for w in words:
+            (letters if self.joins and w[0] == " " and w[1:].isalpha() else others).append(w)
+        groups = [letters[i:i + JOINED] for i in range(0, len(letters), JOINED)]
+        told = self.tokenizer.encode_batch(["".join(g) for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, told):
+            data, word = np.array(e.ids, "<u4").tobytes(), e.word_ids
+            ends = [4 * i for i in range(1, len(word)) if word[i] != word[i - 1]]
+            if len(ends) + 1 == len(group):
+                yield from zip(group, map(data.__getitem__, map(slice, [0, *ends], [*ends, len(data)])))
+            else:  # cut at other places
+                others += group
+        yield from zip(others, self._encode(others))
+
     def _split(self, text: str) -> list[str]:
         """Pre-tokens and special strings, in order."""
         if self.special is None or not self.special.search(text):
@@ -86,9 +112,12 @@ class _Ids(dict):
         words = set().union(*split)
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_ENTRIES:
+            self.before = dict(self)
             self.clear()
             new = list(words)
-        self.update(zip(new, self._encode(new)))
+        before = self.before
+        self.update([(w, before[w]) for w in new if w in before])
+        self.update(self._encode_words([w for w in new if w not in before]))
         out = [b"".join(map(self.__getitem__, ws)) for ws in split]
         for w in new:
             if len(w) > CACHE_CHARS:

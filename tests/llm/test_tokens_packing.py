@@ -45,6 +45,21 @@ def test_ids_equal_the_library(library):
             np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
 
 
+@pytest.mark.parametrize("entries, joined", [(40, 3), (400_000, 256)])
+def test_ids_of_any_table_size_equal_the_library(library, monkeypatch, entries, joined):
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", entries)
+    monkeypatch.setattr(packing, "JOINED", joined)
+    ids, rng = packing._Ids(PATH), np.random.default_rng(8)
+    words = ["the", "Straße", "été", "naïve", "日本語", "привет", "don't", "x" * 60, "<|endoftext|>", "42",
+             "a_b", "--", "ſ", "ªº", "\u0301", "\u1c89", "e\u0301", *("w" + c * 3 for c in "abcdefghijklm")]
+    texts = ["".join(str(w) + str(rng.choice(["", " ", "  ", "\n"])) for w in rng.choice(words, 30))
+             for _ in range(60)]
+    for _ in range(2):  # again from what was remembered
+        for block in (texts[:20], texts[20:40], texts[40:]):
+            assert ids.texts(block) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+                                        for t in block]
+
+
 def test_every_code_point_splits_alike(library):
     known = [c for c in range(1, 0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
     for i in range(0, len(known), 64):
