@@ -109,20 +109,16 @@ class _Ids(dict):
         if not self.by_word:
             return self._encode(texts)
         split = [self._split(t) for t in texts]
-        words = set().union(*split)
-        new = [w for w in words if w not in self]
+        known = [list(map(self.get, ws)) for ws in split]
+        new = {w for ws, xs in zip(split, known) if None in xs for w, x in zip(ws, xs) if x is None}
         if len(self) + len(new) > CACHE_ENTRIES:
             self.before = dict(self)
             self.clear()
-            new = list(words)
-        before = self.before
-        self.update([(w, before[w]) for w in new if w in before])
-        self.update(self._encode_words([w for w in new if w not in before]))
-        out = [b"".join(map(self.__getitem__, ws)) for ws in split]
-        for w in new:
-            if len(w) > CACHE_CHARS:
-                del self[w]
-        return out
+        found = {w: self.before[w] for w in new if w in self.before}
+        found.update(self._encode_words([w for w in new if w not in found]))
+        self.update((w, x) for w, x in found.items() if len(w) <= CACHE_CHARS)
+        return [b"".join([found[w] if x is None else x for w, x in zip(ws, xs)] if None in xs else xs)
+                for ws, xs in zip(split, known)]
 
 
 def _text_blocks(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
