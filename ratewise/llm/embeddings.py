@@ -15,7 +15,7 @@ cone, where all would name the same few pivots; so pivots are chosen and ranked
 seen from the sample's centre.  Recall against brute force is measured in the tests
 (at least 0.9 by contract; 0.99 and more on the given tables, 0.97 and more in cones
 of mean cosine 0.8).  In a cone of mean cosine above ``1 - 4 * (1 - threshold)`` the
-centre is not used: nothing is lost, but lists are long.
+centre is not used: few pivots are apart then, so lists are long.
 
 Equal vectors form a class and are indexed once.  Each block of a list returns a
 number of links per vector and edges of a spanning forest, so a group of
