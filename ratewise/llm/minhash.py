@@ -4,22 +4,23 @@ Documents become sets of word shingles (64-bit hashes).  Equal sets form a class
 and are joined once, by their digest; the classes' representatives go on.
 
 *Chosen paths.*  A set is embedded as ``COORDS`` minwise tokens, so that two sets
-agree in a coordinate with probability equal to their Jaccard similarity.  A
-node of a tree selects each coordinate with probability ``1 / (DENSITY *
-COORDS)``, by a hash of its path; a member goes to one child for each selected
-coordinate, named by path, coordinate and token.  Nodes of at most ``NODE``
-members are compared exhaustively on the tokens.  Larger ones first compare
-their members with a few leaders.  Edges only have to connect, so a member gives one,
-to its first near leader, and leaders near one member are joined once a chunk.  What
-the leaders connect has a label; whoever is nearly equal to a leader stays behind.  If
-all but ``FEW`` of a node have one label, those few meet everyone and the node is done;
-else the rest branches again.  A node whose members all have one label is dropped, since
-nothing below it can join anything new.  When comparing what is still large in blocks
-costs no more than ``BLOCK_ROWS`` says, or after ``DEPTH`` levels, that is done.
-``TREES`` independent trees bring the recall to the
-target: a pair at the threshold shares a child of a root with probability
-``1 - exp(-J / DENSITY)`` per tree (0.94 at 0.85), all five trees miss it with
-about 1e-6, and after further levels with about 2e-5.
+agree in a coordinate with probability equal to their Jaccard similarity.  The first
+nodes are bands: a member is in one node for every ``BAND`` coordinates, named by
+all their tokens, so that documents that share a common line, and nothing else, seldom
+meet.  Nodes of at most ``NODE`` members are compared exhaustively on the tokens.
+Larger ones first compare their members with a few leaders.  Edges only have to
+connect, so a member gives one, to its first near leader, and leaders near one member
+are joined once a chunk.  What the leaders connect has a label; whoever is nearly equal
+to a leader stays behind.  If all but ``FEW`` of a node have one label, those few meet
+everyone and the node is done; else the rest branches: a node selects each coordinate
+with probability ``1 / (DENSITY * COORDS)``, by a hash of its path, and a member goes to
+one child for each selected coordinate, named by path, coordinate and token.  A node
+whose members all have one label is dropped, since nothing below it can join anything
+new.  When comparing what is still large in blocks costs no more than ``BLOCK_ROWS``
+says, or after ``DEPTH`` levels, that is done.  A pair of similarity J shares a band with
+probability J ** 3: it misses all 21 with about 2e-9 at 0.85 and 3e-7 at 0.8, and, as it
+shares a child of a node with probability ``1 - exp(-J / DENSITY)`` (0.94 and 0.93), with
+about 3e-7 and 1e-5 after three branchings.
 
 *Verification.*  Pairs whose tokens agree often enough (``SLACK`` standard
 deviations below the threshold) connect their documents into clusters; a
@@ -50,7 +51,7 @@ from pyspark.sql import functions as F
 from .common import (Forest, components, mix, plain, read, runs, shingle_sets, sized, small_batches,
                      stored)
 
-COORDS, TREES, DENSITY = 64, 5, 0.3
+COORDS, BAND, DENSITY = 64, 3, 0.3
 NODE, DEPTH, LEADERS, SAME = 96, 4, 12, 0.88
 #: What the leaders leave of large nodes is compared in blocks as soon as that
 #: moves at most so many rows per representative; until then it branches.
@@ -161,15 +162,18 @@ def _grow(nodes: DataFrame) -> DataFrame:
 
 
 def _roots(reps: DataFrame) -> DataFrame:
-    """Children ``(path, rep, label)`` of all roots; a root holds every representative."""
+    """The first nodes ``(path, rep, label)``: one a band for every representative, named
+    by the band and its tokens."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not len(pdf):
                 continue
             tokens = _tokens(pdf["sketch"])
-            for tree in mix(np.arange(101, 101 + TREES, dtype=np.uint64)):
-                row, path = _children(np.full(len(pdf), tree), tokens)
-                yield pd.DataFrame({"path": path.astype(np.int64), "rep": pdf["rep"].to_numpy()[row]})
+            for band in range(COORDS // BAND):
+                path = np.full(len(pdf), band + 101, np.uint64)
+                for j in range(band * BAND, (band + 1) * BAND):
+                    path = mix(mix(path + _WHICH[j]) ^ tokens[:, j].astype(np.uint64))
+                yield pd.DataFrame({"path": path.astype(np.int64), "rep": pdf["rep"].to_numpy()})
     return reps.mapInPandas(run, "path long, rep long").withColumn("label", F.lit(None).cast("long"))
 
 

@@ -139,6 +139,26 @@ def test_edges_and_nodes_grow_with_the_group_alone(spark, monkeypatch):
     assert made[900][0] <= 1.5 * made[300][0] < 60 and made[900][1] <= 1.5 * made[300][1] < 60
 
 
+def test_a_common_line_gathers_few_documents(spark, monkeypatch):
+    """Documents of one common line and words of their own seldom share a node, so that
+    few rows meet on a path; near copies among them are found."""
+    monkeypatch.setattr(minhash, "NODE", 16)
+    monkeypatch.setattr(minhash, "FEW", 32)
+    rng = random.Random(8)
+    line = [word(rng) for _ in range(10)]
+    docs = [line + [word(rng) for _ in range(25)] for _ in range(600)]
+    for i in range(20):
+        docs.append(docs[i][:-1] + [word(rng)])
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    sets = minhash.document_sets(df, 3).selectExpr("doc_id AS rep", "sketch")
+    with common.noting() as tables:
+        edges = minhash.candidate_edges(common.stored(sets, "reps"), 0.85)
+        pairs = {(min(r), max(r)) for r in edges.collect()}
+    assert {(i, 600 + i) for i in range(20)} <= pairs and len(pairs) < 40
+    rows = sum(spark.read.parquet(t).count() for t in tables if "llm-nodes" in t)
+    assert rows < 2 * len(docs)
+
+
 def test_repeated_rows_and_empty_table(spark):
     rows = run(spark, [(5, "a b c d"), (5, "a b c d"), (2, "A B C D"), (None, "a b c d")])
     assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in rows) == [
