@@ -3,8 +3,9 @@ batches, word hashing in numpy, group runs and connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,25 @@ def forget(spark: SparkSession, paths: Iterable[str]) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+_kept: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """``make()``, kept in this Python worker for its later tasks, in place of what was
+    kept under another key."""
+    if key not in _kept:
+        let_go()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go() -> None:
+    """Drop what an operator kept in this Python worker.  Spark hands the workers on from
+    stage to stage, so without this a table that only one operator reads would stay in the
+    executor's memory through all that run after it."""
+    _kept.clear()
+
+
 #: Tables of at most so many bytes are broadcast to a join.
 BROADCAST_BYTES = 64 << 20
 _ROW_BYTES, _VALUE_BYTES, _ELEMENT_BYTES = 16, 8, 16
@@ -157,11 +177,12 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return h, counts
 
 
-def shingle_sets(texts: list[str | None], words: int, block: int = 1 << 20
+def shingle_sets(texts: list[str | None], words: int, block: int = 1 << 18
                  ) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Yields ``(first index, sorted distinct shingle hashes per text)`` in
-    blocks of about ``block`` characters.  Fewer than ``words`` words: the whole
-    sequence as one shingle; no word: the empty set."""
+    blocks of about ``block`` characters, which take up to 55 bytes each, 32 of them (the
+    powers) for good.  Fewer than ``words`` words: the whole sequence as one shingle; no
+    word: the empty set."""
     i = 0
     while i < len(texts):
         j, size = i, 0

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import plain, read, small_batches, uniform
+from .common import let_go, plain, read, small_batches, uniform
 
 #: Bound of the training sample.
 PER_LANGUAGE = 1200
@@ -195,6 +195,7 @@ def predict_language(documents: DataFrame, model: ByteNet | None) -> DataFrame:
     small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for pdf in batches:
             lang, score = predict(list(pdf["text"]), model)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": lang, "score": score})
@@ -220,6 +221,7 @@ def identified(documents: DataFrame, least: float) -> DataFrame:
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             lang, score = predict(batch.column(at).to_pylist(), model)
             yield batch.filter(pa.array([one != UNKNOWN and s >= least for one, s in zip(lang, score)],

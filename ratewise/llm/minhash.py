@@ -48,8 +48,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (Forest, components, mix, plain, read, runs, shingle_sets, sized, small_batches,
-                     stored)
+from .common import (Forest, components, let_go, mix, plain, read, runs, shingle_sets, sized,
+                     small_batches, stored)
 
 COORDS, BAND, DENSITY = 64, 3, 0.3
 NODE, DEPTH, LEADERS, SAME = 96, 4, 12, 0.88
@@ -130,6 +130,7 @@ def document_sets(documents: DataFrame, words: int) -> DataFrame:
     small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for pdf in batches:
             texts = list(pdf["text"])
             for i, sets in shingle_sets(texts, words):

@@ -23,7 +23,6 @@ separate pieces; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -36,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import plain, read, small_batches, stored
+from .common import kept, plain, read, small_batches, stored
 from .tokens import CACHE_CHARS, CACHE_ENTRIES, pre_tokens
 
 #: Most rows of one (length, salt) group, where the number of salts allows it.
@@ -121,7 +120,7 @@ class _Ids(dict):
                 for ws, xs in zip(split, known)]
 
 
-def _text_blocks(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
+def _text_blocks(texts: list[str], size: int = 1 << 18) -> Iterator[list[str]]:
     """``texts`` in blocks of about ``size`` characters."""
     block, held = [], 0
     for t in texts:
@@ -133,10 +132,9 @@ def _text_blocks(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
     yield block
 
 
-@functools.cache
 def _ids(path: str) -> _Ids:
-    """One per Python worker, kept over tasks."""
-    return _Ids(path)
+    """One per Python worker, kept over tasks until another operator's begin."""
+    return kept(("ids", path), lambda: _Ids(path))
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -60,6 +61,28 @@ def test_shingle_sets_count_distinct_shingles():
         assert (np.sort(s) == s).all()
 
 
+def test_shingle_sets_hold_little_of_a_long_batch(monkeypatch):
+    monkeypatch.setattr(common, "_TABLES", {})
+    texts = ["one two three four five six seven eight nine ten " * 40] * 2000  # 4 MB
+    tracemalloc.start()
+    try:
+        for _, part in shingle_sets(texts, 5):
+            assert all(len(s) == 10 for s in part)
+        left, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 << 20 and left < 10 << 20
+
+
+def test_what_a_worker_keeps_goes_when_another_table_comes():
+    a = common.kept("a", lambda: [1])
+    assert common.kept("a", lambda: [2]) is a
+    assert common.kept("b", lambda: [3]) == [3] and common.kept("a", lambda: [4]) == [4]
+    common.let_go()
+    assert common.kept("a", lambda: [5]) == [5]
+    common.let_go()
+
+
 def test_runs_join_groups_over_batches():
     frames = [pd.DataFrame({"k": [1, 1, 2]}), pd.DataFrame({"k": []}), pd.DataFrame({"k": [2, 2]}),
               pd.DataFrame({"k": [3]})]

@@ -1,16 +1,19 @@
 import itertools
 import random
+import time
 import unicodedata
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ratewise.llm import packing, tokens
+from ratewise.llm import langid, minhash, packing, tokens
 from ratewise.llm.queries import QUERIES
 from tests.conftest import SF_MID, SF_SMALL
 
@@ -131,6 +134,25 @@ def test_packing_of_nulls_repeats_and_nothing(spark):
     assert packing.pack_documents(df.limit(0), PATH).count() == 0
 
 
+@pytest.mark.parametrize("follows", [
+    lambda docs: langid.predict_language(docs, None), lambda docs: minhash.document_sets(docs, 5)])
+def test_workers_drop_the_ids_when_another_operator_begins(spark, follows):
+    def held(batches):
+        import gc
+        for _ in batches:
+            time.sleep(0.05)  # so that every worker has its turn
+            yield pd.DataFrame({"n": [sum(type(x).__name__ == "_Ids" for x in gc.get_objects())]})
+
+    def workers_that_hold():
+        return spark.range(0, 32, 1, 32).mapInPandas(held, "n long").where("n > 0").count()
+
+    docs = spark.range(0, 64, 1, 64).selectExpr("id AS doc_id", "concat('some words ', id) AS text")
+    assert packing.pieces(docs, PATH).agg(F.sum("length")).first()[0] > 0
+    assert workers_that_hold()
+    assert follows(docs).collect()
+    assert not workers_that_hold()
+
+
 def test_plans_use_every_piece_once():
     rng = random.Random(8)
     for size in (10, 64, 200):
